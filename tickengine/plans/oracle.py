@@ -79,9 +79,71 @@ select exchange, symbol, event_id, arrival, ts_us, bucket, price_c
 from marked where is_late
 """
 
+# the parsed view of the proxy messages: offset, price chain (last -> positive midpoint -> close)
+PARSED = """
+parsed as (
+  select *, arrival * 4 + case arrival - event_id when 162 then 0 when 150 then 1 when 12 then 2 else 3 end as "offset",
+    coalesce(last_c, case when bid_c > 0 and ask_c > 0 then (bid_c + ask_c) // 2 end, close_c) as price_p,
+    case when last_c is not null then 'last' when bid_c > 0 and ask_c > 0 then 'midpoint'
+         when close_c is not null then 'close' end as price_source
+  from ticks
+)"""
+
+PARSE_TICKS = f"""
+with {TICKS},{PARSED}
+select 0 as "partition", "offset", exchange, symbol, 'EUR' as currency, price_p as price_c, size, cum,
+  ts_us as event_us, price_source
+from parsed where price_p is not null
+"""
+
+BAD_RECORDS = f"""
+with {TICKS},{PARSED}
+select 'market.trades.raw' as topic, 0 as "partition", "offset", concat(exchange, ':', symbol) as "key",
+  'no_price' as reason
+from parsed where price_p is null
+"""
+
+PRICE_SOURCE = f"""
+with {TICKS},{PARSED}
+select exchange, symbol, coalesce(price_source, 'none') as price_source, count(*) as n
+from parsed group by all
+"""
+
+CANDLES_1M_PARSED = f"""
+with {TICKS},{PARSED},
+good as (select * exclude (price_c), price_p as price_c from parsed where price_p is not null),
+bucketed as (select *, ts_us - (ts_us % 60000000) as bucket from good),
+marked as (
+  select *, coalesce(bucket < max(bucket) over (partition by exchange, symbol order by "offset"
+                     rows between unbounded preceding and 1 preceding), false) as is_late
+  from bucketed
+),
+acc0 as (
+  select *,
+    row_number() over (partition by exchange, symbol, bucket order by "offset") as rn,
+    last_value(cum ignore nulls) over (partition by exchange, symbol, bucket order by "offset"
+                     rows between unbounded preceding and 1 preceding) as prev_cum
+  from marked where not is_late
+),
+acc as (
+  select *, case when rn = 1 then 0
+                 when cum is not null and prev_cum is not null then greatest(cum - prev_cum, 0)
+                 when size > 0 then size else 0 end as inc
+  from acc0
+)
+select exchange, symbol, 'EUR' as currency, '1m' as timeframe, bucket as open_us, bucket + 59999000 as close_us,
+  first(price_c order by "offset") as open, max(price_c) as high, min(price_c) as low,
+  last(price_c order by "offset") as close, sum(inc) as volume, count(*) as tick_count
+from acc group by exchange, symbol, bucket
+"""
+
 ORACLE: dict[str, str] = {
     "candles_1m": CANDLES_1M,
     "late_ticks": LATE_TICKS,
+    "parse_ticks": PARSE_TICKS,
+    "bad_records": BAD_RECORDS,
+    "price_source": PRICE_SOURCE,
+    "candles_1m_parsed": CANDLES_1M_PARSED,
 }
 
 

@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import candles as C
+from ..operators import parse as P
 from ..operators.late import late_ticks
-from ..schema import PROXY_TICKS
+from ..schema import ENVELOPE_TICKS, PROXY_TICKS
 from ..session import prepare
+from ..sources.envelope import tick_envelopes
 from ..sources.proxy import tick_proxy
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,9 +34,50 @@ def q_late_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.parse_ticks(tick_envelopes(_ticks(spark, sf_dir)))
+
+
+def _cents(c: str):
+    return (F.col(c) * 100).cast("bigint")
+
+
+def q_parse_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.good_ticks(_parsed(spark, sf_dir)).select(
+        "partition", "offset", "exchange", "symbol", "currency",
+        _cents("price").alias("price_c"), F.col("size").cast("bigint").alias("size"),
+        F.col("cumulative_volume").cast("bigint").alias("cum"), "event_us", "price_source",
+    )
+
+
+def q_bad_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.bad_records(_parsed(spark, sf_dir)).select("topic", "partition", "offset", "key", "reason")
+
+
+def q_price_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = _parsed(spark, sf_dir)
+    return parsed.groupBy("exchange", "symbol", F.coalesce("price_source", F.lit("none")).alias("price_source")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
+def q_candles_1m_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ticks = P.good_ticks(_parsed(spark, sf_dir))
+    c = C.candles(ticks, ENVELOPE_TICKS, "1m")
+    return c.select(
+        "exchange", "symbol", "currency", "timeframe", "open_us", "close_us",
+        *[_cents(x).alias(x) for x in ("open", "high", "low", "close")],
+        F.col("volume").cast("bigint").alias("volume"), "tick_count",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "candles_1m": q_candles_1m,
     "late_ticks": q_late_ticks,
+    "parse_ticks": q_parse_ticks,
+    "bad_records": q_bad_records,
+    "price_source": q_price_source,
+    "candles_1m_parsed": q_candles_1m_parsed,
 }
 
 
