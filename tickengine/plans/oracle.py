@@ -137,6 +137,47 @@ select exchange, symbol, 'EUR' as currency, '1m' as timeframe, bucket as open_us
 from acc group by exchange, symbol, bucket
 """
 
+SESSION_LABEL = f"""
+with {TICKS},
+lt as (
+  select *, epoch_us(timezone('Europe/Amsterdam', timezone('UTC', make_timestamp(ts_us)))) as local_us from ticks
+),
+tod as (select *, ((local_us % 86400000000) + 86400000000) % 86400000000 as tod_us from lt)
+select exchange, symbol, event_id, ts_us,
+  case when tod_us < 32400000000 then 'premarket' when tod_us <= 63000000000 then 'regular' else 'afterhours' end
+    as session,
+  tod_us < 32400000000 as is_premarket
+from tod
+"""
+
+QUOTE_CHANGES = f"""
+with {TICKS},
+s as (
+  select *, lag(bid_c) over w as pb, lag(size) over w as ps, row_number() over w as rn
+  from ticks window w as (partition by exchange, symbol order by ts_us, event_id)
+)
+select exchange, symbol, event_id, ts_us, bid_c, size from s
+where rn = 1 or bid_c is distinct from pb or size is distinct from ps
+"""
+
+# F6 + F7 as the producer's fold, one step per quote (recursive CTE)
+QUOTE_THROTTLE = f"""
+with recursive {TICKS},
+q as (select *, row_number() over (partition by exchange, symbol order by ts_us, event_id) as rn from ticks),
+walk as (
+  select exchange, symbol, rn, event_id, true as pub, bid_c as lb, size as ls, ts_us as lt from q where rn = 1
+  union all
+  select q.exchange, q.symbol, q.rn, q.event_id, x.pub,
+    case when x.pub then q.bid_c else w.lb end, case when x.pub then q.size else w.ls end,
+    case when x.pub then q.ts_us else w.lt end
+  from walk w join q on q.exchange = w.exchange and q.symbol = w.symbol and q.rn = w.rn + 1,
+  lateral (select ((q.bid_c is distinct from w.lb or q.size is distinct from w.ls)
+                   and q.ts_us - w.lt >= 15000000) as pub) x
+)
+select t.exchange, t.symbol, t.event_id, t.ts_us, t.bid_c, t.size
+from walk join ticks t using (exchange, symbol, event_id) where walk.pub
+"""
+
 ORACLE: dict[str, str] = {
     "candles_1m": CANDLES_1M,
     "late_ticks": LATE_TICKS,
@@ -144,6 +185,9 @@ ORACLE: dict[str, str] = {
     "bad_records": BAD_RECORDS,
     "price_source": PRICE_SOURCE,
     "candles_1m_parsed": CANDLES_1M_PARSED,
+    "session_label": SESSION_LABEL,
+    "quote_changes": QUOTE_CHANGES,
+    "quote_throttle": QUOTE_THROTTLE,
 }
 
 

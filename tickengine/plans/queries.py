@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import candles as C
 from ..operators import parse as P
+from ..operators import quotes as Q
 from ..operators.late import late_ticks
 from ..schema import ENVELOPE_TICKS, PROXY_TICKS
 from ..session import prepare
@@ -71,6 +72,28 @@ def q_candles_1m_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# the proxy's quote signature and throttle interval (its quotes are ~40 s apart per instrument, so the
+# producer's 250 ms default would never bite)
+QUOTE_SIGNATURE = ("bid_c", "size")
+THROTTLE_MS = 15_000
+QUOTE_KEYS = ["exchange", "symbol"]
+
+
+def q_session_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Q.label_sessions(_ticks(spark, sf_dir), "ts_us")
+    return t.select("exchange", "symbol", "event_id", "ts_us", "session", F.col("isPremarket").alias("is_premarket"))
+
+
+def q_quote_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Q.quote_changes(_ticks(spark, sf_dir), QUOTE_KEYS, "ts_us", "event_id", QUOTE_SIGNATURE)
+    return t.select("exchange", "symbol", "event_id", "ts_us", "bid_c", "size")
+
+
+def q_quote_throttle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Q.quote_throttle(_ticks(spark, sf_dir), QUOTE_KEYS, "ts_us", "event_id", QUOTE_SIGNATURE, THROTTLE_MS)
+    return t.select("exchange", "symbol", "event_id", "ts_us", "bid_c", "size")
+
+
 QUERIES: dict[str, Query] = {
     "candles_1m": q_candles_1m,
     "late_ticks": q_late_ticks,
@@ -78,6 +101,9 @@ QUERIES: dict[str, Query] = {
     "bad_records": q_bad_records,
     "price_source": q_price_source,
     "candles_1m_parsed": q_candles_1m_parsed,
+    "session_label": q_session_label,
+    "quote_changes": q_quote_changes,
+    "quote_throttle": q_quote_throttle,
 }
 
 
