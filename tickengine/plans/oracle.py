@@ -178,6 +178,39 @@ select t.exchange, t.symbol, t.event_id, t.ts_us, t.bid_c, t.size
 from walk join ticks t using (exchange, symbol, event_id) where walk.pub
 """
 
+CANDLE_REVISIONS = f"""
+with {TICKS},{_accepted(60_000_000)},
+upd as (
+  select exchange, symbol, '1m' as timeframe, bucket as open_us, rn as rev, 'candle.updated' as event,
+    first_value(price_c) over w as open, max(price_c) over w as high, min(price_c) over w as low,
+    price_c as close, sum(inc) over w as volume, count(*) over w as tick_count, false as is_final
+  from acc
+  window w as (partition by exchange, symbol, bucket order by arrival, event_id
+               rows between unbounded preceding and current row)
+),
+fin as (
+  select exchange, symbol, '1m' as timeframe, bucket as open_us, count(*) + 1 as rev, 'candle.closed' as event,
+    first(price_c order by arrival, event_id) as open, max(price_c) as high, min(price_c) as low,
+    last(price_c order by arrival, event_id) as close, sum(inc) as volume, count(*) as tick_count, true as is_final
+  from acc group by exchange, symbol, bucket
+)
+select * from upd union all select * from fin
+"""
+
+
+def _rollup_sql(inner: str, bucket_us: int, timeframe: str) -> str:
+    return f"""
+select exchange, symbol, '{timeframe}' as timeframe, b as open_us, b + {bucket_us - 1000} as close_us,
+  first(open order by open_us) as open, max(high) as high, min(low) as low, last(close order by open_us) as close,
+  sum(volume) as volume, sum(tick_count) as tick_count
+from (select *, open_us - (open_us % {bucket_us}) as b from ({inner}) c) r
+group by exchange, symbol, b
+"""
+
+
+ROLLUP_5M = _rollup_sql(CANDLES_1M, 300_000_000, "5m")
+ROLLUP_1H = _rollup_sql(CANDLES_1M, 3_600_000_000, "1h")
+
 ORACLE: dict[str, str] = {
     "candles_1m": CANDLES_1M,
     "late_ticks": LATE_TICKS,
@@ -188,6 +221,14 @@ ORACLE: dict[str, str] = {
     "session_label": SESSION_LABEL,
     "quote_changes": QUOTE_CHANGES,
     "quote_throttle": QUOTE_THROTTLE,
+    "candle_revisions": CANDLE_REVISIONS,
+    "candles_1s": _candles_sql(1_000_000, "1s"),
+    "candles_5m": _candles_sql(300_000_000, "5m"),
+    "candles_15m": _candles_sql(900_000_000, "15m"),
+    "candles_1h": _candles_sql(3_600_000_000, "1h"),
+    "candles_1d": _candles_sql(86_400_000_000, "1d"),
+    "rollup_5m": ROLLUP_5M,
+    "rollup_1h": ROLLUP_1H,
 }
 
 

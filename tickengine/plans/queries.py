@@ -94,6 +94,29 @@ def q_quote_throttle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("exchange", "symbol", "event_id", "ts_us", "bid_c", "size")
 
 
+def q_candle_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = C.candle_revisions(_ticks(spark, sf_dir), PROXY_TICKS, "1m")
+    return r.select("exchange", "symbol", "timeframe", "open_us", "rev", "event", "open", "high", "low", "close",
+                    "volume", "tick_count", "is_final")
+
+
+def _timeframe_query(timeframe: str) -> Query:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return C.candles(_ticks(spark, sf_dir), PROXY_TICKS, timeframe)
+
+    q.__name__ = f"q_candles_{timeframe}"
+    return q
+
+
+def q_rollup_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5: 1-minute candles rolled up to 5 minutes (volume and late rule of the 1-minute candles)."""
+    return C.rollup(C.candles(_ticks(spark, sf_dir), PROXY_TICKS, "1m"), "5m")
+
+
+def q_rollup_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.rollup(C.rollup(C.candles(_ticks(spark, sf_dir), PROXY_TICKS, "1m"), "5m"), "1h")
+
+
 QUERIES: dict[str, Query] = {
     "candles_1m": q_candles_1m,
     "late_ticks": q_late_ticks,
@@ -104,6 +127,10 @@ QUERIES: dict[str, Query] = {
     "session_label": q_session_label,
     "quote_changes": q_quote_changes,
     "quote_throttle": q_quote_throttle,
+    "candle_revisions": q_candle_revisions,
+    **{f"candles_{tf}": _timeframe_query(tf) for tf in ("1s", "5m", "15m", "1h", "1d")},
+    "rollup_5m": q_rollup_5m,
+    "rollup_1h": q_rollup_1h,
 }
 
 
