@@ -91,7 +91,7 @@ def candles(ticks: DataFrame, spec: TickSpec, timeframe: str = "1m") -> DataFram
     return candles_from_accepted(accepted_ticks(ticks, spec, timeframe), spec, timeframe)
 
 
-def candles_from_accepted(acc: DataFrame, spec: TickSpec, timeframe: str) -> DataFrame:
+def candles_from_accepted(acc: DataFrame, spec: TickSpec, timeframe: str, published: bool = False) -> DataFrame:
     price = F.col(spec.price)
     ordv = arrival(spec)
     aggs = [
@@ -104,10 +104,13 @@ def candles_from_accepted(acc: DataFrame, spec: TickSpec, timeframe: str) -> Dat
     ]
     if spec.currency:
         aggs.append(F.min_by(F.col(spec.currency), ordv).alias("currency"))
+    if published:
+        aggs.append(F.max_by(F.col(spec.time_us), ordv).alias("published_us"))
     out = acc.groupBy(*spec.keys, "bucket").agg(*aggs)
     cur = ["currency"] if spec.currency else []
+    pub = ["published_us"] if published else []
     return out.select(
-        *spec.keys, *_time_cols(timeframe), *cur, "open", "high", "low", "close", "volume", "tick_count"
+        *spec.keys, *_time_cols(timeframe), *cur, "open", "high", "low", "close", "volume", "tick_count", *pub
     )
 
 
@@ -159,13 +162,16 @@ def candle_revisions(ticks: DataFrame, spec: TickSpec, timeframe: str = "1m") ->
         F.greatest(F.col("_carry_hi"), F.max(price).over(running)).alias("high"),
         F.least(F.col("_carry_lo"), F.min(price).over(running)).alias("low"),
         price.alias("close"),
+        F.col(spec.time_us).alias("published_us"),
         (F.coalesce(F.col("_carry_vol"), F.lit(0)) + F.sum("inc").over(running)).alias("volume"),
         (F.coalesce(F.col("_carry_n"), F.lit(0)) + F.count(F.lit(1)).over(running)).alias("tick_count"),
         F.lit(False).alias("is_final"),
     )
     upd = upd.withColumn("rev", F.col("tick_count"))
+    # a closed candle is published when its minute is superseded; in a bounded batch it carries the time of its
+    # last accepted tick
     closed = (
-        candles_from_accepted(acc, spec, timeframe)
+        candles_from_accepted(acc, spec, timeframe, published=True)
         .withColumn("event", F.lit("candle.closed"))
         .withColumn("is_final", F.lit(True))
         .withColumn("rev", F.col("tick_count") + 1)

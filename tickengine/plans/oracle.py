@@ -211,6 +211,74 @@ group by exchange, symbol, b
 ROLLUP_5M = _rollup_sql(CANDLES_1M, 300_000_000, "5m")
 ROLLUP_1H = _rollup_sql(CANDLES_1M, 3_600_000_000, "1h")
 
+def _iso(us: str) -> str:
+    """Instant text with 0, 3 or 6 fraction digits."""
+    base = f"strftime(make_timestamp({us}), '%Y-%m-%dT%H:%M:%S')"
+    frac = f"(({us}) % 1000000)"
+    return (f"(case when {frac} = 0 then {base} || 'Z' "
+            f"when {frac} % 1000 = 0 then {base} || '.' || lpad(cast({frac} // 1000 as varchar), 3, '0') || 'Z' "
+            f"else {base} || '.' || lpad(cast({frac} as varchar), 6, '0') || 'Z' end)")
+
+
+# all revisions with their publication time and replay offset
+REVS = f"""
+{_accepted(60_000_000)},
+revs as (
+  select exchange, symbol, bucket as open_us, rn as rev, 'candle.updated' as event,
+    first_value(price_c) over w as open, max(price_c) over w as high, min(price_c) over w as low,
+    price_c as close, sum(inc) over w as volume, count(*) over w as tick_count, false as is_final,
+    ts_us as published_us
+  from acc
+  window w as (partition by exchange, symbol, bucket order by arrival, event_id
+               rows between unbounded preceding and current row)
+  union all
+  select exchange, symbol, bucket, count(*) + 1, 'candle.closed',
+    first(price_c order by arrival, event_id), max(price_c), min(price_c),
+    last(price_c order by arrival, event_id), sum(inc), count(*), true,
+    last(ts_us order by arrival, event_id)
+  from acc group by exchange, symbol, bucket
+)"""
+
+STORE_ROWS = f"""
+with {TICKS},{REVS}
+select event, exchange, symbol, cast(null as varchar) as currency, '1m' as timeframe,
+  {_iso("open_us")} as "openTime", {_iso("open_us + 59999000")} as "closeTime",
+  strftime(make_timestamp(open_us), '%Y-%m-%d') as "tradingDate",
+  cast(open as varchar) as open, cast(high as varchar) as high, cast(low as varchar) as low,
+  cast(close as varchar) as close, cast(volume as varchar) as volume, tick_count as "tickCount",
+  is_final as "isFinal", {_iso("published_us")} as "publishedAt",
+  exchange || ':' || symbol || ':1m' as "kafkaKey", 'market.candles.1m' as "kafkaTopic", 0 as "kafkaPartition",
+  (open_us // 1000) * 1000000 + rev as "kafkaOffset",
+  strftime(make_timestamp(open_us), '%Y-%m-%d') as date
+from revs where is_final
+"""
+
+LIVE = f"""
+live as (
+  select strftime(make_timestamp(open_us), '%Y-%m-%d') as trading_date, event, exchange, symbol,
+    cast(null as varchar) as currency, '1m' as timeframe,
+    {_iso("open_us")} as open_time, {_iso("open_us + 59999000")} as close_time,
+    cast(open as varchar) as open, cast(high as varchar) as high, cast(low as varchar) as low,
+    cast(close as varchar) as close, cast(volume as varchar) as volume, tick_count,
+    cast(is_final as int) as is_final, {_iso("published_us")} as published_at
+  from (select *, row_number() over (partition by exchange, symbol, open_us order by rev desc) as k from revs) r
+  where k = 1
+)"""
+
+LATEST_STATE = f"""
+with {TICKS},{REVS},{LIVE}
+select * from live
+"""
+
+HISTORY = f"""
+with {TICKS},{REVS},{LIVE}
+select event, exchange, symbol, nullif(currency, '') as currency, timeframe, open_time as "openTime",
+  close_time as "closeTime", open, high, low, close, volume, tick_count as "tickCount", is_final = 1 as "isFinal",
+  published_at as "publishedAt"
+from live where trading_date = '2024-01-15' and symbol = 'click' and timeframe = '1m'
+order by open_time
+"""
+
 ORACLE: dict[str, str] = {
     "candles_1m": CANDLES_1M,
     "late_ticks": LATE_TICKS,
@@ -229,6 +297,9 @@ ORACLE: dict[str, str] = {
     "candles_1d": _candles_sql(86_400_000_000, "1d"),
     "rollup_5m": ROLLUP_5M,
     "rollup_1h": ROLLUP_1H,
+    "store_rows": STORE_ROWS,
+    "latest_state": LATEST_STATE,
+    "history": HISTORY,
 }
 
 

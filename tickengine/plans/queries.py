@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..operators import candles as C
 from ..operators import parse as P
 from ..operators import quotes as Q
+from ..operators import store as S
 from ..operators.late import late_ticks
 from ..schema import ENVELOPE_TICKS, PROXY_TICKS
 from ..session import prepare
@@ -117,6 +118,36 @@ def q_rollup_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.rollup(C.rollup(C.candles(_ticks(spark, sf_dir), PROXY_TICKS, "1m"), "5m"), "1h")
 
 
+def _candle_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.candle_messages(C.candle_revisions(_ticks(spark, sf_dir), PROXY_TICKS, "1m"))
+
+
+def _parsed_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = P.parse_candles(_candle_envelopes(spark, sf_dir))
+    return parsed.where(F.col("bad_reason").isNull()).drop("bad_reason")
+
+
+def q_store_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = S.store_rows(S.final_only(_parsed_candles(spark, sf_dir)))
+    return rows.drop("storedAt", "_p_exchange", "_p_symbol", "_p_timeframe")
+
+
+def _live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.live_rows(S.latest_state(_parsed_candles(spark, sf_dir)))
+
+
+def q_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _live(spark, sf_dir)
+
+
+HISTORY_SYMBOL = "click"
+HISTORY_DATE = "2024-01-15"
+
+
+def q_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.history(_live(spark, sf_dir), HISTORY_SYMBOL, "1m", HISTORY_DATE)
+
+
 QUERIES: dict[str, Query] = {
     "candles_1m": q_candles_1m,
     "late_ticks": q_late_ticks,
@@ -131,6 +162,9 @@ QUERIES: dict[str, Query] = {
     **{f"candles_{tf}": _timeframe_query(tf) for tf in ("1s", "5m", "15m", "1h", "1d")},
     "rollup_5m": q_rollup_5m,
     "rollup_1h": q_rollup_1h,
+    "store_rows": q_store_rows,
+    "latest_state": q_latest_state,
+    "history": q_history,
 }
 
 
