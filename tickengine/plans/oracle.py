@@ -279,6 +279,56 @@ from live where trading_date = '2024-01-15' and symbol = 'click' and timeframe =
 order by open_time
 """
 
+SUBS = """
+subs as (
+  select cast(n_nationkey as varchar) as client_id,
+    nullif(upper(trim(case n_nationkey % 8 when 0 then null when 1 then ' click ' when 2 then 'VIEW' when 3 then ''
+      when 4 then 'purchase' when 5 then 'Signup' when 6 then 'error' else 'nope' end)), '') as sub_symbol,
+    nullif(trim(case (n_nationkey // 8) % 4 when 0 then null when 1 then '1m' when 2 then ' 1m ' else '5m' end), '')
+      as sub_timeframe
+  from nation
+)"""
+
+ROUTED = f"""
+{REVS},{SUBS},
+msgs as (select exchange || ':' || symbol || ':1m' as "key", 0 as "partition",
+           (open_us // 1000) * 1000000 + rev as "offset", upper(symbol) as rsym, '1m' as rtf, * from revs),
+routed as (
+  select s.client_id, m.* from msgs m join subs s
+    on (s.sub_symbol is null or s.sub_symbol = m.rsym) and (s.sub_timeframe is null or s.sub_timeframe = m.rtf)
+)"""
+
+ROUTE = f"""
+with {TICKS},{ROUTED}
+select client_id, "partition", "offset", "key" from routed
+"""
+
+FEED_METRICS = f"""
+with {TICKS},{ROUTED},
+ranked as (select *, count(*) over (partition by client_id) as message_count,
+             row_number() over (partition by client_id order by "offset" desc, "key" desc) as k from routed)
+select client_id, message_count, cast(close as varchar) as last_close, {_iso("open_us")} as last_open_time,
+  {_iso("published_us")} as last_update
+from ranked where k = 1
+"""
+
+CHART_SERIES = f"""
+with {TICKS},{REVS},
+pts as (
+  select 0 as src, (open_us // 1000) * 1000000 + rev as "offset", exchange || ':' || symbol || ':1m' as "key", *
+  from revs where symbol = 'click' and is_final and open_us < 1705320000000000
+  union all
+  select 1, (open_us // 1000) * 1000000 + rev, exchange || ':' || symbol || ':1m', *
+  from revs where symbol = 'click' and open_us >= 1705320000000000 - 60000000
+),
+ranked as (select *, row_number() over (partition by open_us order by src desc, "offset" desc, "key" desc) as k
+           from pts)
+select open_us // 1000000 as time, cast(open as double) as open, cast(high as double) as high,
+  cast(low as double) as low, cast(close as double) as close, cast(volume as double) as volume,
+  case when close >= open then '#26a69a' else '#ef5350' end as color
+from ranked where k = 1
+"""
+
 ORACLE: dict[str, str] = {
     "candles_1m": CANDLES_1M,
     "late_ticks": LATE_TICKS,
@@ -300,6 +350,9 @@ ORACLE: dict[str, str] = {
     "store_rows": STORE_ROWS,
     "latest_state": LATEST_STATE,
     "history": HISTORY,
+    "route": ROUTE,
+    "chart_series": CHART_SERIES,
+    "feed_metrics": FEED_METRICS,
 }
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..operators import candles as C
 from ..operators import parse as P
 from ..operators import quotes as Q
+from ..operators import feed as FD
 from ..operators import store as S
 from ..operators.late import late_ticks
 from ..schema import ENVELOPE_TICKS, PROXY_TICKS
@@ -148,6 +149,41 @@ def q_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.history(_live(spark, sf_dir), HISTORY_SYMBOL, "1m", HISTORY_DATE)
 
 
+def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Subscribers derived from `nation`: symbols in mixed case, padded, blank or absent; timeframes likewise."""
+    n = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    k = F.col("n_nationkey")
+    sym = (
+        F.when(k % 8 == 0, F.lit(None)).when(k % 8 == 1, F.lit(" click ")).when(k % 8 == 2, F.lit("VIEW"))
+        .when(k % 8 == 3, F.lit("")).when(k % 8 == 4, F.lit("purchase")).when(k % 8 == 5, F.lit("Signup"))
+        .when(k % 8 == 6, F.lit("error")).otherwise(F.lit("nope"))
+    )
+    g = (k / 8).cast("int") % 4
+    tf = F.when(g == 0, F.lit(None)).when(g == 1, F.lit("1m")).when(g == 2, F.lit(" 1m ")).otherwise(F.lit("5m"))
+    return n.select(k.cast("string").alias("client_id"), sym.alias("symbol"), tf.alias("timeframe"))
+
+
+def q_route(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = FD.route(_candle_envelopes(spark, sf_dir), subscriptions(spark, sf_dir))
+    return r.select("client_id", "partition", "offset", "key")
+
+
+CHART_SYMBOL = "click"
+CHART_SPLIT_US = 1705320000000000  # 2024-01-15 12:00 UTC: history before, live from one minute earlier on
+
+
+def q_chart_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    revs = C.candle_revisions(_ticks(spark, sf_dir), PROXY_TICKS, "1m").where(F.col("symbol") == CHART_SYMBOL)
+    hist = S.candle_messages(revs.where(F.col("is_final") & (F.col("open_us") < CHART_SPLIT_US)))
+    live = S.candle_messages(revs.where(F.col("open_us") >= CHART_SPLIT_US - 60_000_000))
+    return FD.chart_series(hist, live)
+
+
+def q_feed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    routed = FD.route(_candle_envelopes(spark, sf_dir), subscriptions(spark, sf_dir))
+    return FD.feed_metrics(routed)
+
+
 QUERIES: dict[str, Query] = {
     "candles_1m": q_candles_1m,
     "late_ticks": q_late_ticks,
@@ -165,6 +201,9 @@ QUERIES: dict[str, Query] = {
     "store_rows": q_store_rows,
     "latest_state": q_latest_state,
     "history": q_history,
+    "route": q_route,
+    "chart_series": q_chart_series,
+    "feed_metrics": q_feed_metrics,
 }
 
 
