@@ -353,6 +353,8 @@ ORACLE: dict[str, str] = {
     "route": ROUTE,
     "chart_series": CHART_SERIES,
     "feed_metrics": FEED_METRICS,
+    # the stream must equal the batch candles of the same messages
+    "candles_1m_stream": CANDLES_1M_PARSED,
 }
 
 
