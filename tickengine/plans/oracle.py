@@ -329,6 +329,48 @@ select open_us // 1000000 as time, cast(open as double) as open, cast(high as do
 from ranked where k = 1
 """
 
+OPTIONS = """
+opts as (
+  select p_partkey as arrival, p_brand as underlying,
+    cast('2026-06-19' as date) + cast((p_partkey % 8) * 7 as int) as expiry,
+    cast(100 + 5 * (p_partkey % 40) as int) as strike,
+    case when p_partkey % 2 = 0 then 'C' else 'P' end as "right",
+    cast('2026-05-25' as date) + cast(p_size % 3 as int) as snapshot_date,
+    (p_partkey * 37) % 1000 as open_interest,
+    cast(195 as int) as underlying_price
+  from part
+),
+latest as (
+  select * from (select *, row_number() over (partition by underlying, expiry, strike, "right", snapshot_date
+                                                order by arrival desc) as k from opts) where k = 1
+)"""
+
+OI_SELECTION = f"""
+with {OPTIONS},
+live as (select * from latest where expiry >= snapshot_date),
+exp as (select underlying, snapshot_date, expiry,
+          dense_rank() over (partition by underlying, snapshot_date order by expiry) as er
+        from (select distinct underlying, snapshot_date, expiry from live)),
+s1 as (select l.* from live l join exp e using (underlying, snapshot_date, expiry) where e.er <= 2),
+stk as (select underlying, snapshot_date, expiry, strike,
+          row_number() over (partition by underlying, snapshot_date, expiry
+                             order by abs(strike - px), strike) as sr
+        from (select underlying, snapshot_date, expiry, strike, max(underlying_price) as px from s1 group by all))
+select s1.underlying, s1.snapshot_date, s1.expiry, s1.strike, s1."right", s1.open_interest, s1.arrival
+from s1 join stk using (underlying, snapshot_date, expiry, strike) where stk.sr <= 10
+"""
+
+OI_PUT_CALL = f"""
+with {OPTIONS}
+select underlying, snapshot_date,
+  sum(case when "right" = 'C' then open_interest else 0 end) as call_oi,
+  sum(case when "right" = 'P' then open_interest else 0 end) as put_oi,
+  case when sum(case when "right" = 'C' then open_interest else 0 end) > 0 then
+    (sum(case when "right" = 'P' then open_interest else 0 end) * 1000000)
+      // sum(case when "right" = 'C' then open_interest else 0 end) end as put_call_ppm
+from latest group by underlying, snapshot_date
+"""
+
 ORACLE: dict[str, str] = {
     "candles_1m": CANDLES_1M,
     "late_ticks": LATE_TICKS,
@@ -355,6 +397,8 @@ ORACLE: dict[str, str] = {
     "feed_metrics": FEED_METRICS,
     # the stream must equal the batch candles of the same messages
     "candles_1m_stream": CANDLES_1M_PARSED,
+    "oi_selection": OI_SELECTION,
+    "oi_put_call": OI_PUT_CALL,
 }
 
 

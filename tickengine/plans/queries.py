@@ -12,12 +12,13 @@ from ..operators import candles as C
 from ..operators import parse as P
 from ..operators import quotes as Q
 from ..operators import feed as FD
+from ..operators import options as O
 from ..operators import store as S
 from ..operators.late import late_ticks
 from ..schema import ENVELOPE_TICKS, PROXY_TICKS
 from ..session import prepare
 from ..sources.envelope import tick_envelopes
-from ..sources.proxy import tick_proxy
+from ..sources.proxy import option_proxy, tick_proxy
 from ..streaming import candle_state as CS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -201,6 +202,21 @@ def q_candles_1m_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_oi_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return O.select_chain(option_proxy(spark, sf_dir), max_expiries=2, strikes_per_expiry=10).select(
+        "underlying", "snapshot_date", "expiry", "strike", "right", "open_interest", "arrival"
+    )
+
+
+def q_oi_put_call(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    r = O.put_call_ratio(option_proxy(spark, sf_dir))
+    # the ratio compared exactly, in parts per million (floor)
+    ppm = F.when(F.col("call_oi") > 0, F.expr("(put_oi * 1000000) div call_oi"))
+    return r.select("underlying", "snapshot_date", "call_oi", "put_oi", ppm.alias("put_call_ppm"))
+
+
 QUERIES: dict[str, Query] = {
     "candles_1m": q_candles_1m,
     "late_ticks": q_late_ticks,
@@ -222,6 +238,8 @@ QUERIES: dict[str, Query] = {
     "chart_series": q_chart_series,
     "feed_metrics": q_feed_metrics,
     "candles_1m_stream": q_candles_1m_stream,
+    "oi_selection": q_oi_selection,
+    "oi_put_call": q_oi_put_call,
 }
 
 
