@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import TickSpec, timeframe_micros
+from ..session import materialize
 from .chunks import arrival, chunk_cols, prior_chunks
 from .late import mark_late, with_bucket
 
@@ -68,9 +69,12 @@ def with_increments(accepted: DataFrame, spec: TickSpec) -> DataFrame:
 
 
 def accepted_ticks(ticks: DataFrame, spec: TickSpec, timeframe: str = "1m") -> DataFrame:
-    """F3 + A2: accepted ticks with ``bucket``, ``_chunk``, ``inc``, ``is_open_tick``."""
+    """F3 + A2: accepted ticks with ``bucket``, ``_chunk``, ``inc``, ``is_open_tick``.
+
+    The accepted ticks feed both the volume carry summary and the per-tick window, so they are materialized once
+    rather than recomputed (scan, shuffle, window) for each."""
     marked = mark_late(ticks, spec, timeframe)
-    return with_increments(marked.where(~F.col("is_late")).drop("is_late"), spec)
+    return with_increments(materialize(marked.where(~F.col("is_late")).drop("is_late")), spec)
 
 
 def _time_cols(timeframe: str) -> list[Column]:
@@ -125,7 +129,7 @@ def candle_revisions(ticks: DataFrame, spec: TickSpec, timeframe: str = "1m") ->
     ck = chunk_cols(spec)
     group = [*keys, "bucket"]
     price = F.col(spec.price)
-    acc = accepted_ticks(ticks, spec, timeframe)
+    acc = materialize(accepted_ticks(ticks, spec, timeframe))
 
     per_chunk = acc.groupBy(*group, *ck).agg(
         F.count(F.lit(1)).alias("_n"),

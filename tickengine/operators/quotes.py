@@ -111,23 +111,27 @@ def quote_throttle(quotes: DataFrame, keys: list[str], t_us: str, seq: str,
         *keys, F.col("_r._t").alias("_t"), F.col("_r._s").alias("_s")
     )
     chain = roots.checkpoint()
-    frontier = chain
+    size = chain.count()
     jump = pointers
-    for _ in range(max_rounds):
-        step = frontier.join(jump, [*keys, "_t", "_s"]).where(F.col("_nt").isNotNull()).select(
+    for i in range(max_rounds):
+        if i:
+            # jump_{i} = jump_{i-1} applied twice
+            a, b = jump.alias("a"), jump.alias("b")
+            cond = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys] + [
+                F.col("a._nt") == F.col("b._t"), F.col("a._ns") == F.col("b._s")]
+            jump = a.where(F.col("a._nt").isNotNull()).join(b, cond, "left").select(
+                *[F.col(f"a.{k}").alias(k) for k in keys], F.col("a._t").alias("_t"), F.col("a._s").alias("_s"),
+                F.col("b._nt").alias("_nt"), F.col("b._ns").alias("_ns"),
+            ).checkpoint()
+        # chain_{i+1} = chain_i + jump_i(chain_i): the chain positions [2^i, 2^(i+1))
+        step = chain.join(jump, [*keys, "_t", "_s"]).where(F.col("_nt").isNotNull()).select(
             *keys, F.col("_nt").alias("_t"), F.col("_ns").alias("_s")
-        ).checkpoint()
-        if step.isEmpty():
-            break
+        )
         chain = chain.unionByName(step).checkpoint()
-        frontier = chain
-        a, b = jump.alias("a"), jump.alias("b")
-        cond = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys] + [
-            F.col("a._nt") == F.col("b._t"), F.col("a._ns") == F.col("b._s")]
-        jump = a.join(b, cond, "left").select(
-            *[F.col(f"a.{k}").alias(k) for k in keys], F.col("a._t").alias("_t"), F.col("a._s").alias("_s"),
-            F.col("b._nt").alias("_nt"), F.col("b._ns").alias("_ns"),
-        ).checkpoint()
+        grown = chain.count()
+        if grown == size:
+            break
+        size = grown
     else:
         raise RuntimeError("quote_throttle: chain longer than 2**max_rounds")
 

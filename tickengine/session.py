@@ -60,3 +60,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="tickengine-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def materialize(df):
+    """Write an intermediate that several consumers read to the shared checkpoint folder once (reliable
+    ``checkpoint``), instead of recomputing its whole lineage per consumer; it also cuts the lineage, so a lost
+    executor costs a re-read, not a recomputation from the sources."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
