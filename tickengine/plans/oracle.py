@@ -371,6 +371,14 @@ select underlying, snapshot_date,
 from latest group by underlying, snapshot_date
 """
 
+LEARNING_EVENTS = f"""
+select 'user-' || cast((event_id + 1) % 3 as varchar) as "key",
+  '{{"event":"page_view","count":' || cast(event_id + 1 as varchar) || ',"at":"' || {_iso("epoch_us(ts)")} || '"}}'
+    as value,
+  0 as "partition", event_id as "offset"
+from events
+"""
+
 ORACLE: dict[str, str] = {
     "candles_1m": CANDLES_1M,
     "late_ticks": LATE_TICKS,
@@ -399,6 +407,7 @@ ORACLE: dict[str, str] = {
     "candles_1m_stream": CANDLES_1M_PARSED,
     "oi_selection": OI_SELECTION,
     "oi_put_call": OI_PUT_CALL,
+    "learning_events": LEARNING_EVENTS,
 }
 
 

@@ -17,7 +17,7 @@ from ..operators import store as S
 from ..operators.late import late_ticks
 from ..schema import ENVELOPE_TICKS, PROXY_TICKS
 from ..session import prepare
-from ..sources.envelope import tick_envelopes
+from ..sources.envelope import learning_events, received_records, tick_envelopes
 from ..sources.proxy import option_proxy, tick_proxy
 from ..streaming import candle_state as CS
 
@@ -217,6 +217,12 @@ def q_oi_put_call(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("underlying", "snapshot_date", "call_oi", "put_oi", ppm.alias("put_call_ppm"))
 
 
+def q_learning_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The learning producer's messages for every `events` row, as the consumer prints them."""
+    prepare(spark)
+    return received_records(learning_events(spark.read.parquet(f"{sf_dir}/events.parquet")))
+
+
 QUERIES: dict[str, Query] = {
     "candles_1m": q_candles_1m,
     "late_ticks": q_late_ticks,
@@ -240,6 +246,7 @@ QUERIES: dict[str, Query] = {
     "candles_1m_stream": q_candles_1m_stream,
     "oi_selection": q_oi_selection,
     "oi_put_call": q_oi_put_call,
+    "learning_events": q_learning_events,
 }
 
 
