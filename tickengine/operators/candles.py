@@ -129,7 +129,7 @@ def candle_revisions(ticks: DataFrame, spec: TickSpec, timeframe: str = "1m") ->
     ck = chunk_cols(spec)
     group = [*keys, "bucket"]
     price = F.col(spec.price)
-    acc = materialize(accepted_ticks(ticks, spec, timeframe))
+    acc = materialize(accepted_ticks(ticks, spec, timeframe))  # read by the carry, the window and the closes
 
     per_chunk = acc.groupBy(*group, *ck).agg(
         F.count(F.lit(1)).alias("_n"),

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import session_label
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, materialize
 from .asof import first_at_or_after
 
 # The producer's signature fields and default minimum interval
@@ -100,17 +100,17 @@ def quote_throttle(quotes: DataFrame, keys: list[str], t_us: str, seq: str,
                     F.col("_rnext._t").alias("_rt"), F.col("_rnext._s").alias("_rs"))
     nxt = k0f.join(rnf, [*keys, "_k0t", "_k0s"], "left")
     same = F.col("_k0sig").eqNullSafe(F.col("_sig"))
-    pointers = nxt.select(
+    pointers = materialize(nxt.select(
         *keys, "_t", "_s",
         F.when(F.col("_k0t").isNull(), F.lit(None)).when(same, F.col("_rt")).otherwise(F.col("_k0t")).alias("_nt"),
         F.when(F.col("_k0t").isNull(), F.lit(None)).when(same, F.col("_rs")).otherwise(F.col("_k0s")).alias("_ns"),
-    ).checkpoint()
+    ))
 
     # pointer doubling from each instrument's first quote
     roots = base.groupBy(*keys).agg(F.min(F.struct("_t", "_s")).alias("_r")).select(
         *keys, F.col("_r._t").alias("_t"), F.col("_r._s").alias("_s")
     )
-    chain = roots.checkpoint()
+    chain = materialize(roots)
     size = chain.count()
     jump = pointers
     for i in range(max_rounds):
@@ -119,15 +119,15 @@ def quote_throttle(quotes: DataFrame, keys: list[str], t_us: str, seq: str,
             a, b = jump.alias("a"), jump.alias("b")
             cond = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys] + [
                 F.col("a._nt") == F.col("b._t"), F.col("a._ns") == F.col("b._s")]
-            jump = a.where(F.col("a._nt").isNotNull()).join(b, cond, "left").select(
+            jump = materialize(a.where(F.col("a._nt").isNotNull()).join(b, cond, "left").select(
                 *[F.col(f"a.{k}").alias(k) for k in keys], F.col("a._t").alias("_t"), F.col("a._s").alias("_s"),
                 F.col("b._nt").alias("_nt"), F.col("b._ns").alias("_ns"),
-            ).checkpoint()
+            ))
         # chain_{i+1} = chain_i + jump_i(chain_i): the chain positions [2^i, 2^(i+1))
         step = chain.join(jump, [*keys, "_t", "_s"]).where(F.col("_nt").isNotNull()).select(
             *keys, F.col("_nt").alias("_t"), F.col("_ns").alias("_s")
         )
-        chain = chain.unionByName(step).checkpoint()
+        chain = materialize(chain.unionByName(step))
         grown = chain.count()
         if grown == size:
             break

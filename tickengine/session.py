@@ -63,8 +63,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df):
-    """Write an intermediate that several consumers read to the shared checkpoint folder once (reliable
-    ``checkpoint``), instead of recomputing its whole lineage per consumer; it also cuts the lineage, so a lost
-    executor costs a re-read, not a recomputation from the sources."""
+    """Write an intermediate that several consumers read to the shared checkpoint folder once, instead of
+    recomputing its lineage per consumer; it also cuts the lineage, so a lost executor costs a re-read, not a
+    recomputation from the sources. The plan is persisted while the checkpoint is written, so it is computed once
+    (a bare eager ``checkpoint`` computes it twice: once to count, once to write)."""
+    from pyspark import StorageLevel
+
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
