@@ -40,8 +40,11 @@ def test_throttle_matches_fold_on_random_traces(spark):
             rows.append((key, t, s, rnd.choice([1, 1, 2, 3])))
     df = spark.createDataFrame(rows, "k string, t long, s long, sig int")
     for interval_ms in (0, 250, 1000):
-        got = Q.quote_throttle(df, KEYS, "t", "s", ("sig",), interval_ms, bucket_us=1_000_000)
-        assert sorted(tuple(r) for r in got.select("k", "t", "s").collect()) == brute(rows, interval_ms * 1000)
+        for method, block in (("doubling", 0), ("blocks", 2_000_000), ("blocks", 30_000_000)):
+            got = Q.quote_throttle(df, KEYS, "t", "s", ("sig",), interval_ms, bucket_us=1_000_000, method=method,
+                                   block_us=block or 1)
+            want = brute(rows, interval_ms * 1000)
+            assert sorted(tuple(r) for r in got.select("k", "t", "s").collect()) == want, (interval_ms, method)
 
 
 def test_changes_is_throttle_without_interval(spark):

@@ -15,6 +15,7 @@ by pointer doubling in O(log chain) rounds of distributed joins.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -67,8 +68,12 @@ def quote_changes(quotes: DataFrame, keys: list[str], t_us: str, seq: str,
 
 def quote_throttle(quotes: DataFrame, keys: list[str], t_us: str, seq: str,
                    signature: tuple[str, ...] = SIGNATURE, interval_ms: int = MIN_INTERVAL_MS,
-                   bucket_us: int | None = None, max_rounds: int = 64) -> DataFrame:
-    """F6 + F7: the quotes the producer publishes. ``seq`` must make (keys, t_us, seq) unique."""
+                   bucket_us: int | None = None, max_rounds: int = 64, method: str = "blocks",
+                   block_us: int = 600_000_000) -> DataFrame:
+    """F6 + F7: the quotes the producer publishes. ``seq`` must make (keys, t_us, seq) unique.
+
+    ``method="blocks"`` (default) follows the chain with two grouped passes over (instrument, time block) and a
+    walk over block entry candidates; ``method="doubling"`` uses pointer doubling (O(log chain) join rounds)."""
     spark = quotes.sparkSession
     checkpoint_dir(spark)
     interval_us = int(interval_ms) * 1000
@@ -106,6 +111,11 @@ def quote_throttle(quotes: DataFrame, keys: list[str], t_us: str, seq: str,
         F.when(F.col("_k0t").isNull(), F.lit(None)).when(same, F.col("_rs")).otherwise(F.col("_k0s")).alias("_ns"),
     ))
 
+    if method == "blocks":
+        published = _chain_by_blocks(pointers, list(keys), int(block_us)).select(
+            *keys, F.col("_t").alias(t_us), F.col("_s").alias(seq))
+        return quotes.join(published, [*keys, t_us, seq], "left_semi")
+
     # pointer doubling from each instrument's first quote
     roots = base.groupBy(*keys).agg(F.min(F.struct("_t", "_s")).alias("_r")).select(
         *keys, F.col("_r._t").alias("_t"), F.col("_r._s").alias("_s")
@@ -137,3 +147,81 @@ def quote_throttle(quotes: DataFrame, keys: list[str], t_us: str, seq: str,
 
     published = chain.select(*keys, F.col("_t").alias(t_us), F.col("_s").alias(seq))
     return quotes.join(published, [*keys, t_us, seq], "left_semi")
+
+
+def _exit_fn(keys: list[str]):
+    """Per (instrument, block): where the chain goes after leaving the block, from every quote of the block."""
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["_t", "_s"], ascending=False)
+        exit_of: dict[tuple, tuple] = {}
+        ets, ess = [], []
+        for t, s_, nt, ns, nb, b in zip(pdf["_t"], pdf["_s"], pdf["_nt"], pdf["_ns"], pdf["_nblk"], pdf["_blk"]):
+            if pd.isna(nt):
+                e = (None, None)
+            elif nb != b:
+                e = (int(nt), int(ns))
+            else:
+                e = exit_of[(int(nt), int(ns))]
+            exit_of[(int(t), int(s_))] = e
+            ets.append(e[0])
+            ess.append(e[1])
+        out = pdf[[*keys, "_t", "_s"]].copy()
+        out["_et"] = pd.array(ets, dtype="Int64")
+        out["_es"] = pd.array(ess, dtype="Int64")
+        return out
+    return fn
+
+
+def _walk_entries_fn(keys: list[str]):
+    """Per instrument, over block entry candidates only: the chain's entry quote of every block it visits."""
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        nxt = {(int(t), int(s_)): (None if pd.isna(et) else (int(et), int(es)))
+               for t, s_, et, es in zip(pdf["_t"], pdf["_s"], pdf["_et"], pdf["_es"])}
+        node = min(nxt)
+        out = []
+        while node is not None:
+            out.append(node)
+            node = nxt[node]
+        res = pd.DataFrame(out, columns=["_t", "_s"])
+        for k in keys:
+            res.insert(0, k, pdf[k].iloc[0])
+        return res[[*keys, "_t", "_s"]]
+    return fn
+
+
+def _walk_block_fn(keys: list[str]):
+    """Per (instrument, block) with its entry marked: the published quotes inside the block."""
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        entry = pdf[pdf["_entry"]]
+        if entry.empty:
+            return pdf.iloc[0:0][[*keys, "_t", "_s"]]
+        nxt = {(int(t), int(s_)): (None if pd.isna(nt) or nb != b else (int(nt), int(ns)))
+               for t, s_, nt, ns, nb, b in zip(pdf["_t"], pdf["_s"], pdf["_nt"], pdf["_ns"], pdf["_nblk"], pdf["_blk"])}
+        node = (int(entry["_t"].iloc[0]), int(entry["_s"].iloc[0]))
+        out = []
+        while node is not None:
+            out.append(node)
+            node = nxt[node]
+        res = pd.DataFrame(out, columns=["_t", "_s"])
+        for k in keys:
+            res.insert(0, k, pdf[k].iloc[0])
+        return res[[*keys, "_t", "_s"]]
+    return fn
+
+
+def _chain_by_blocks(pointers: DataFrame, keys: list[str], block_us: int) -> DataFrame:
+    """Published quotes = the chain first -> next -> ... of each instrument, without a sequential pass over an
+    instrument: groups are (instrument, time block), plus one small group per instrument holding only the block
+    entry candidates (targets of pointers that cross into a later block, and the first quote)."""
+    key_schema = ", ".join(f"`{k}` {pointers.schema[k].dataType.simpleString()}" for k in keys)
+    p = pointers.withColumn("_blk", F.expr(f"_t div {block_us}")).withColumn("_nblk", F.expr(f"_nt div {block_us}"))
+    exits = p.groupBy(*keys, "_blk").applyInPandas(
+        _exit_fn(keys), f"{key_schema}, _t long, _s long, _et long, _es long")
+    crossing = p.where(F.col("_nblk") > F.col("_blk")).select(*keys, F.col("_nt").alias("_t"), F.col("_ns").alias("_s"))
+    firsts = p.groupBy(*keys).agg(F.min(F.struct("_t", "_s")).alias("_r")).select(
+        *keys, F.col("_r._t").alias("_t"), F.col("_r._s").alias("_s"))
+    candidates = crossing.unionByName(firsts).distinct()
+    entries = exits.join(candidates, [*keys, "_t", "_s"], "left_semi").groupBy(*keys).applyInPandas(
+        _walk_entries_fn(keys), f"{key_schema}, _t long, _s long").withColumn("_entry", F.lit(True))
+    marked = p.join(entries, [*keys, "_t", "_s"], "left").withColumn("_entry", F.coalesce("_entry", F.lit(False)))
+    return marked.groupBy(*keys, "_blk").applyInPandas(_walk_block_fn(keys), f"{key_schema}, _t long, _s long")
