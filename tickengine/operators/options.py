@@ -14,6 +14,35 @@ CONTRACT = ["underlying", "expiry", "strike", "right"]
 DAY = ["underlying", "snapshot_date"]
 
 
+def parse_option_snapshots(envelopes: DataFrame) -> DataFrame:
+    """Option OI messages -> snapshot rows. Contract fields come from the JSON, else from the key
+    ``underlying:expiry:strike:right``; the open interest is ``callOpenInterest`` for calls and
+    ``putOpenInterest`` for puts. Rows without a contract or open interest are dropped (dead letters)."""
+    from ..functions import json_fields as J
+    from ..functions.text import key_part
+
+    x = J.extract(J.parse(envelopes), ("underlying", "expiry", "strike", "right", "snapshotDate",
+                                        "callOpenInterest", "putOpenInterest", "underlyingPrice"))
+    key = F.col("key")
+    right = F.upper(F.coalesce(J.string_field("right"), key_part(key, 3)))
+    x = x.select(
+        F.col("offset").alias("arrival"),
+        F.coalesce(J.string_field("underlying"), key_part(key, 0)).alias("underlying"),
+        F.coalesce(J.string_field("expiry"), key_part(key, 1)).try_cast("date").alias("expiry"),
+        F.coalesce(J.long_field("strike"), key_part(key, 2).try_cast("bigint")).cast("int").alias("strike"),
+        right.alias("right"),
+        J.string_field("snapshotDate").try_cast("date").alias("snapshot_date"),
+        F.when(right == "C", J.long_field("callOpenInterest")).when(right == "P", J.long_field("putOpenInterest"))
+        .alias("open_interest"),
+        J.long_field("underlyingPrice").cast("int").alias("underlying_price"),
+    )
+    x = J.settle(x)
+    ok = F.lit(True)
+    for c in ("underlying", "expiry", "strike", "right", "snapshot_date", "open_interest"):
+        ok = ok & F.col(c).isNotNull()
+    return x.where(ok & F.col("right").isin("C", "P"))
+
+
 def latest_snapshots(snaps: DataFrame, order: str = "arrival") -> DataFrame:
     """The last snapshot per contract and day (a partial aggregate)."""
     cols = [c for c in snaps.columns if c not in CONTRACT + ["snapshot_date"]]

@@ -44,6 +44,33 @@ def label_sessions(quotes: DataFrame, t_us: str = "t_us", **kw) -> DataFrame:
     return quotes.withColumn("session", s).withColumn("isPremarket", s == "premarket")
 
 
+def snapshot_events(raw: DataFrame, exchange: str = "ibkr", **session_kw) -> DataFrame:
+    """Vendor snapshots -> the producer's tick messages (as columns) with key ``exchange:symbol``.
+
+    NaN prices are missing, sizes are truncated to integers, ``source`` is
+    ``exchange:symbol:currency:(primary exchange or exchange)``; the session is labelled from the quote time, or
+    from the publish time when the quote has none (the message keeps a null ``sourceTimestamp``)."""
+    from ..functions.text import iso_instant
+
+    t = F.coalesce(F.col("time_us"), F.col("published_us"))
+    s = session_label(t, **session_kw)
+    return raw.select(
+        F.concat_ws(":", F.lit(exchange), "symbol").alias("key"),
+        F.lit(exchange + ".market_tick").alias("event"),
+        F.concat_ws(":", F.lit(exchange), "symbol", "currency",
+                    F.coalesce(F.nullif("primary_exchange", F.lit("")), F.col("ib_exchange"))).alias("source"),
+        F.lit(exchange).alias("exchange"), "symbol", "currency", F.col("ib_exchange").alias("ibExchange"),
+        F.col("primary_exchange").alias("primaryExchange"), F.col("con_id").alias("conId"),
+        clean_number(F.col("bid")).alias("bid"), clean_size(F.col("bid_size")).alias("bidSize"),
+        clean_number(F.col("ask")).alias("ask"), clean_size(F.col("ask_size")).alias("askSize"),
+        clean_number(F.col("last")).alias("last"), clean_size(F.col("last_size")).alias("lastSize"),
+        clean_number(F.col("close")).alias("close"), clean_size(F.col("volume")).alias("volume"),
+        iso_instant(F.col("time_us")).alias("sourceTimestamp"),
+        iso_instant(F.col("published_us")).alias("publishedAt"),
+        s.alias("session"), (s == "premarket").alias("isPremarket"),
+    )
+
+
 def _sig(cols: tuple[str, ...]) -> Column:
     return F.struct(*[F.col(c) for c in cols])
 

@@ -379,6 +379,28 @@ select 'user-' || cast((event_id + 1) % 3 as varchar) as "key",
 from events
 """
 
+SNAPSHOT_EVENTS = f"""
+with {TICKS},
+raw as (
+  select *, case when event_id % 13 = 0 then null else ts_us end as time_us, ts_us + 5000 as published_us,
+    case when exchange = 'x0' then 'AEB' end as primary_exchange
+  from ticks
+),
+lt as (
+  select *, epoch_us(timezone('Europe/Amsterdam', timezone('UTC', make_timestamp(coalesce(time_us, published_us)))))
+    % 86400000000 as tod_us
+  from raw
+)
+select 'ibkr:' || symbol as "key", 'ibkr:' || symbol || ':EUR:' || coalesce(primary_exchange, 'SMART') as source,
+  symbol, bid_c / 100.0 as bid, 100 as "bidSize", ask_c / 100.0 as ask, 200 as "askSize", last_c / 100.0 as last,
+  size as "lastSize", close_c / 100.0 as close, cum as volume,
+  {_iso("time_us")} as "sourceTimestamp", {_iso("published_us")} as "publishedAt",
+  case when tod_us < 32400000000 then 'premarket' when tod_us <= 63000000000 then 'regular' else 'afterhours' end
+    as session,
+  tod_us < 32400000000 as "isPremarket", 1000 + event_id % 5 as "conId", primary_exchange as "primaryExchange"
+from lt
+"""
+
 ORACLE: dict[str, str] = {
     "candles_1m": CANDLES_1M,
     "late_ticks": LATE_TICKS,
@@ -408,6 +430,8 @@ ORACLE: dict[str, str] = {
     "oi_selection": OI_SELECTION,
     "oi_put_call": OI_PUT_CALL,
     "learning_events": LEARNING_EVENTS,
+    "oi_from_messages": OI_PUT_CALL,
+    "snapshot_events": SNAPSHOT_EVENTS,
 }
 
 

@@ -18,7 +18,7 @@ from ..operators.late import late_ticks
 from ..schema import ENVELOPE_TICKS, PROXY_TICKS
 from ..session import prepare
 from ..sources.envelope import learning_events, received_records, tick_envelopes
-from ..sources.proxy import option_proxy, tick_proxy
+from ..sources.proxy import option_envelopes, option_proxy, raw_snapshots, tick_proxy
 from ..streaming import candle_state as CS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -223,6 +223,23 @@ def q_learning_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return received_records(learning_events(spark.read.parquet(f"{sf_dir}/events.parquet")))
 
 
+def q_oi_from_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S7 + A7: the ratio series computed from option OI messages (JSON round trip of the snapshots)."""
+    prepare(spark)
+    snaps = O.parse_option_snapshots(option_envelopes(option_proxy(spark, sf_dir)))
+    r = O.put_call_ratio(snaps)
+    ppm = F.when(F.col("call_oi") > 0, F.expr("(put_oi * 1000000) div call_oi"))
+    return r.select("underlying", "snapshot_date", "call_oi", "put_oi", ppm.alias("put_call_ppm"))
+
+
+def q_snapshot_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vendor snapshots -> producer messages."""
+    raw = raw_snapshots(_ticks(spark, sf_dir))
+    return Q.snapshot_events(raw).select(
+        "key", "source", "symbol", "bid", "bidSize", "ask", "askSize", "last", "lastSize", "close", "volume",
+        "sourceTimestamp", "publishedAt", "session", "isPremarket", "conId", "primaryExchange")
+
+
 QUERIES: dict[str, Query] = {
     "candles_1m": q_candles_1m,
     "late_ticks": q_late_ticks,
@@ -247,6 +264,8 @@ QUERIES: dict[str, Query] = {
     "oi_selection": q_oi_selection,
     "oi_put_call": q_oi_put_call,
     "learning_events": q_learning_events,
+    "oi_from_messages": q_oi_from_messages,
+    "snapshot_events": q_snapshot_events,
 }
 
 

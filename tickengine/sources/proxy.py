@@ -83,3 +83,41 @@ def option_proxy(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((k * 37) % 1000).alias("open_interest"),
         F.lit(OPTION_UNDERLYING_PRICE).cast("int").alias("underlying_price"),
     )
+
+
+def raw_snapshots(ticks: DataFrame) -> DataFrame:
+    """Vendor quote snapshots as the producer receives them, from proxy ticks: float prices with NaN for missing
+    values, fractional sizes, and no quote time on every 13th row (``time_us`` null; ``published_us`` is the
+    producer's clock, 5 ms after the quote)."""
+    nan = F.lit(float("nan"))
+    px = lambda c: F.coalesce(F.col(c) / F.lit(100.0), nan)
+    eid = F.col("event_id")
+    return ticks.select(
+        "event_id", "symbol", F.lit("EUR").alias("currency"), F.lit("SMART").alias("ib_exchange"),
+        F.when(F.col("exchange") == "x0", F.lit("AEB")).alias("primary_exchange"),
+        (F.lit(1000) + F.col("event_id") % 5).alias("con_id"),
+        px("bid_c").alias("bid"), F.lit(100.0).alias("bid_size"),
+        px("ask_c").alias("ask"), F.lit(200.0).alias("ask_size"),
+        px("last_c").alias("last"), (F.col("size") + F.lit(0.5)).cast("double").alias("last_size"),
+        px("close_c").alias("close"), F.coalesce(F.col("cum").cast("double"), nan).alias("volume"),
+        F.when(eid % 13 == 0, F.lit(None)).otherwise(F.col("ts_us")).alias("time_us"),
+        (F.col("ts_us") + F.lit(5000)).alias("published_us"),
+    )
+
+
+def option_envelopes(options: DataFrame) -> DataFrame:
+    """Option OI snapshot messages (key ``underlying:expiry:strike:right``) from the option proxy."""
+    key = F.concat_ws(":", "underlying", F.col("expiry").cast("string"), F.col("strike").cast("string"), "right")
+    oi = F.col("open_interest")
+    msg = F.struct(
+        F.lit("ibkr.option_oi").alias("event"), "underlying", F.col("expiry").cast("string").alias("expiry"),
+        "strike", F.col("right").alias("right"), F.col("snapshot_date").cast("string").alias("snapshotDate"),
+        F.when(F.col("right") == "C", oi).alias("callOpenInterest"),
+        F.when(F.col("right") == "P", oi).alias("putOpenInterest"),
+        F.col("underlying_price").alias("underlyingPrice"),
+    )
+    return options.select(
+        key.alias("key"), F.to_json(msg).alias("value"), F.lit("market.options.oi.snapshot").alias("topic"),
+        F.lit(0).cast("int").alias("partition"), F.col("arrival").alias("offset"),
+        F.col("snapshot_date").cast("timestamp").alias("timestamp"),
+    )
