@@ -152,6 +152,12 @@ def live_rows(latest: DataFrame) -> DataFrame:
     )
 
 
+def live_schema() -> T.StructType:
+    from ..schema import LIVE_CANDLE
+
+    return T.StructType(list(LIVE_CANDLE.fields))
+
+
 def history(live: DataFrame, symbol: str, timeframe: str | None = "1m", date: str | None = None) -> DataFrame:
     """H1: candles of one symbol (case-sensitive), timeframe (default 1m) and trading date (default today UTC,
     also for a malformed date), ordered by open time; P24 decoding (empty currency missing, is_final boolean)."""
