@@ -106,12 +106,16 @@ def candles_from_accepted(acc: DataFrame, spec: TickSpec, timeframe: str, publis
         F.sum("inc").alias("volume"),
         F.count(F.lit(1)).alias("tick_count"),
     ]
-    if spec.currency:
-        aggs.append(F.min_by(F.col(spec.currency), ordv).alias("currency"))
     if published:
         aggs.append(F.max_by(F.col(spec.time_us), ordv).alias("published_us"))
     out = acc.groupBy(*spec.keys, "bucket").agg(*aggs)
-    cur = ["currency"] if spec.currency else []
+    cur = []
+    if spec.currency:
+        # the candle's currency is its opening tick's (one row per candle): a join keeps the aggregate above
+        # numeric-only, so it runs as a hash aggregate instead of sorting every tick
+        first = acc.where(F.col("is_open_tick")).select(*spec.keys, "bucket", F.col(spec.currency).alias("currency"))
+        out = out.join(first, [*spec.keys, "bucket"], "left")
+        cur = ["currency"]
     pub = ["published_us"] if published else []
     return out.select(
         *spec.keys, *_time_cols(timeframe), *cur, "open", "high", "low", "close", "volume", "tick_count", *pub
@@ -137,7 +141,6 @@ def candle_revisions(ticks: DataFrame, spec: TickSpec, timeframe: str = "1m") ->
         F.max(price).alias("_hi"),
         F.min(price).alias("_lo"),
         F.min_by(price, arrival(spec)).alias("_open"),
-        *([F.min_by(F.col(spec.currency), arrival(spec)).alias("_cur")] if spec.currency else []),
     )
     before = prior_chunks(group, ck)
     carry = per_chunk.select(
@@ -148,15 +151,15 @@ def candle_revisions(ticks: DataFrame, spec: TickSpec, timeframe: str = "1m") ->
         F.max("_hi").over(before).alias("_carry_hi"),
         F.min("_lo").over(before).alias("_carry_lo"),
         F.first("_open", ignorenulls=True).over(before).alias("_carry_open"),
-        *([F.first("_cur").over(before).alias("_carry_cur")] if spec.currency else []),
     ).where(F.col("_carry_n").isNotNull())
 
     running = _inside(spec).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cur = []
     if spec.currency:
-        # the candle keeps the first tick's currency, even a missing one
-        first_cur = F.first(F.col(spec.currency)).over(running)
-        cur = [F.when(F.col("_carry_n").isNotNull(), F.col("_carry_cur")).otherwise(first_cur).alias("currency")]
+        # the candle keeps its opening tick's currency, even a missing one (one row per candle, joined)
+        opening = acc.where(F.col("is_open_tick")).select(*group, F.col(spec.currency).alias("_cur0"))
+        acc = acc.join(opening, group, "left")
+        cur = [F.col("_cur0").alias("currency")]
     upd = acc.join(carry, [*group, *ck], "left").select(
         *keys,
         *_time_cols(timeframe),

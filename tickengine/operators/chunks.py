@@ -30,7 +30,10 @@ def with_chunk(df: DataFrame, spec: TickSpec) -> DataFrame:
 
 
 def arrival(spec: TickSpec) -> Column:
-    """The arrival order as one comparable value (for min_by / max_by)."""
+    """The arrival order as one comparable value (for min_by / max_by): the spec's BIGINT order key when it has
+    one, else a struct of the order columns."""
+    if spec.order_key:
+        return F.expr(spec.order_key)
     return F.struct(*[F.col(c) for c in spec.order])
 
 
