@@ -125,6 +125,20 @@ def learning_events(events: DataFrame, topic: str = LEARNING_TOPIC) -> DataFrame
     )
 
 
+def generated_events(spark: SparkSession, count: int = 10, topic: str = LEARNING_TOPIC) -> DataFrame:
+    """The learning producer's own generator, n = 1..count (default 10), stamped with the current time."""
+    n = F.col("id")
+    at = iso_instant(F.unix_micros(F.current_timestamp()))
+    return spark.range(1, int(count) + 1).select(
+        F.concat(F.lit("user-"), (n % 3).cast("string")).alias("key"),
+        F.to_json(F.struct(F.lit("page_view").alias("event"), n.alias("count"), at.alias("at"))).alias("value"),
+        F.lit(topic).alias("topic"),
+        F.lit(0).cast("int").alias("partition"),
+        (n - 1).alias("offset"),
+        F.current_timestamp().alias("timestamp"),
+    )
+
+
 def received_records(envelopes: DataFrame) -> DataFrame:
     """The learning consumer's projection (what it prints)."""
     return envelopes.select("key", "value", "partition", "offset")

@@ -39,6 +39,17 @@ def envelope_file_sink(envelopes: DataFrame, path: str, checkpoint: str | None =
     return None
 
 
+def console_sink(records: DataFrame, checkpoint: str | None = None, truncate: bool = False):
+    """K5: print received records (the learning consumer); streams get a console query."""
+    if records.isStreaming:
+        w = records.writeStream.format("console").option("truncate", str(truncate).lower())
+        if checkpoint:
+            w = w.option("checkpointLocation", checkpoint)
+        return w.start()
+    records.show(truncate=truncate)
+    return None
+
+
 def stored_candles(candle_envelopes: DataFrame, final_only: bool = True) -> DataFrame:
     """K3 rows from candle envelopes (stream or batch); records that do not parse are left out (F2)."""
     parsed = parse_candles(candle_envelopes)
