@@ -44,7 +44,7 @@ def _dec(x) -> decimal.Decimal | None:
     return decimal.Decimal(str(x))
 
 
-def _state_fn(length_us: int, grace_us: int):
+def _state_fn(length_us: int, grace_us: int, per_tick: bool = False):
     def fn(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         exchange, symbol = key
         st = dict(zip(_FIELDS, state.get)) if state.exists else {
@@ -87,6 +87,9 @@ def _state_fn(length_us: int, grace_us: int):
                     st.update(open_us=bucket, currency=r.currency, open=str(price), high=str(price), low=str(price),
                               close=str(price), volume="0", tick_count=1,
                               last_cum=None if cum is None else str(cum), published_us=t, dirty=True)
+                    if per_tick:
+                        emit(False)
+                        st["dirty"] = False
                     continue
                 prev = _dec(st["last_cum"])
                 if cum is not None and prev is not None:
@@ -100,6 +103,9 @@ def _state_fn(length_us: int, grace_us: int):
                     volume=str(_dec(st["volume"]) + inc), tick_count=st["tick_count"] + 1,
                     last_cum=str(cum) if cum is not None else st["last_cum"], published_us=t, dirty=True,
                 )
+                if per_tick:
+                    emit(False)
+                    st["dirty"] = False
             if st["open_us"] is not None and st["dirty"]:
                 emit(False)
                 st["dirty"] = False
@@ -116,8 +122,10 @@ def _state_fn(length_us: int, grace_us: int):
 
 
 def candle_stream(envelopes: DataFrame, timeframe: str = "1m", watermark_delay: str = "1 hour",
-                  grace_seconds: int = 2) -> DataFrame:
-    """Streaming candles from a streaming envelope DataFrame (Kafka or replay files)."""
+                  grace_seconds: int = 2, per_tick: bool = False) -> DataFrame:
+    """Streaming candles from a streaming envelope DataFrame (Kafka or replay files). With ``per_tick`` every
+    accepted tick emits a ``candle.updated`` revision (the reference's publication pattern, A3); otherwise each
+    micro-batch emits one snapshot per changed open candle."""
     length = timeframe_micros(timeframe)
     ticks = good_ticks(parse_ticks(envelopes)).select(
         "exchange", "symbol", "currency", F.col("price").cast("string").alias("price"),
@@ -126,7 +134,7 @@ def candle_stream(envelopes: DataFrame, timeframe: str = "1m", watermark_delay:
         "event_us", "partition", "offset", F.timestamp_micros("event_us").alias("event_time"),
     ).withWatermark("event_time", watermark_delay)
     return ticks.groupBy("exchange", "symbol").applyInPandasWithState(
-        _state_fn(length, grace_seconds * 1_000_000), OUTPUT_SCHEMA, STATE_SCHEMA, "append",
+        _state_fn(length, grace_seconds * 1_000_000, per_tick), OUTPUT_SCHEMA, STATE_SCHEMA, "append",
         GroupStateTimeout.EventTimeTimeout,
     ).withColumn("timeframe", F.lit(timeframe))
 
@@ -142,11 +150,12 @@ def latest_candles(revisions: DataFrame, drain: bool = True) -> DataFrame:
 
 
 def run_replay(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint: str, timeframe: str = "1m",
-               files_per_trigger: int = 1, watermark_delay: str = "1 hour", timeout_s: int = 600) -> None:
+               files_per_trigger: int = 1, watermark_delay: str = "1 hour", timeout_s: int = 600,
+               per_tick: bool = False) -> None:
     """Run the candle stream over envelope files until all are processed (``availableNow``)."""
     env = replay_stream(spark, source_dir, max_files_per_trigger=files_per_trigger)
     q = (
-        candle_stream(env, timeframe, watermark_delay)
+        candle_stream(env, timeframe, watermark_delay, per_tick=per_tick)
         .writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
