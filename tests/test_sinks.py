@@ -86,3 +86,15 @@ def test_timer_closes_idle_instrument(spark):
     want = C.candles(good_ticks(parse_ticks(envelopes(spark, a + b + later))), ENVELOPE_TICKS).select(
         "symbol", "open_us", "tick_count").collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
+def test_processing_time_close(spark):
+    # the minutes are long past on the wall clock: A's candle is closed by its processing-time timer as soon as a
+    # later batch runs, although A sees no tick of a later minute
+    base = tempfile.mkdtemp(prefix="tickengine-ptimer-")
+    envelopes(spark, [tick(0, 10, last=1)]).coalesce(1).write.mode("append").parquet(f"{base}/src")
+    envelopes(spark, [tick(0, 20, last=5, symbol="B")], start_offset=5).coalesce(1).write.mode("append").parquet(
+        f"{base}/src")
+    CS.run_replay(spark, f"{base}/src", f"{base}/sink", f"{base}/ckpt", timer="processing", timeout_s=300)
+    finals = {r.symbol for r in spark.read.parquet(f"{base}/sink").where("is_final").collect()}
+    assert "ASML" in finals

@@ -14,6 +14,7 @@ drops rows behind the watermark before the state function sees them.
 from __future__ import annotations
 
 import decimal
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -44,7 +45,7 @@ def _dec(x) -> decimal.Decimal | None:
     return decimal.Decimal(str(x))
 
 
-def _state_fn(length_us: int, grace_us: int, per_tick: bool = False):
+def _state_fn(length_us: int, grace_us: int, per_tick: bool = False, timer: str = "event"):
     def fn(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         exchange, symbol = key
         st = dict(zip(_FIELDS, state.get)) if state.exists else {
@@ -112,9 +113,13 @@ def _state_fn(length_us: int, grace_us: int, per_tick: bool = False):
         state.update(tuple(st.get(f) for f in _FIELDS))
         if st["open_us"] is not None:
             due_ms = (st["open_us"] + length_us + grace_us) // 1000
-            wm = state.getCurrentWatermarkMs()
-            if due_ms > wm:
-                state.setTimeoutTimestamp(due_ms)
+            if timer == "processing":
+                # W3 as the reference does it: by the wall clock (the process clock of the executor)
+                state.setTimeoutDuration(max(due_ms - state.getCurrentProcessingTimeMs(), 1))
+            else:
+                wm = state.getCurrentWatermarkMs()
+                if due_ms > wm:
+                    state.setTimeoutTimestamp(due_ms)
         if out:
             yield pd.DataFrame(out)
 
@@ -122,20 +127,26 @@ def _state_fn(length_us: int, grace_us: int, per_tick: bool = False):
 
 
 def candle_stream(envelopes: DataFrame, timeframe: str = "1m", watermark_delay: str = "1 hour",
-                  grace_seconds: int = 2, per_tick: bool = False) -> DataFrame:
+                  grace_seconds: int = 2, per_tick: bool = False, timer: str = "event") -> DataFrame:
     """Streaming candles from a streaming envelope DataFrame (Kafka or replay files). With ``per_tick`` every
     accepted tick emits a ``candle.updated`` revision (the reference's publication pattern, A3); otherwise each
-    micro-batch emits one snapshot per changed open candle."""
+    micro-batch emits one snapshot per changed open candle. ``timer="processing"`` closes candles by the wall
+    clock (minute end + grace, as the reference does; results then depend on when batches run) instead of by
+    event time."""
+    if timer not in ("event", "processing"):
+        raise ValueError("timer must be 'event' or 'processing'")
     length = timeframe_micros(timeframe)
     ticks = good_ticks(parse_ticks(envelopes)).select(
         "exchange", "symbol", "currency", F.col("price").cast("string").alias("price"),
         F.col("size").cast("string").alias("size"),
         F.col("cumulative_volume").cast("string").alias("cumulative_volume"),
         "event_us", "partition", "offset", F.timestamp_micros("event_us").alias("event_time"),
-    ).withWatermark("event_time", watermark_delay)
+    )
+    if timer == "event":
+        ticks = ticks.withWatermark("event_time", watermark_delay)
+    kind = GroupStateTimeout.EventTimeTimeout if timer == "event" else GroupStateTimeout.ProcessingTimeTimeout
     return ticks.groupBy("exchange", "symbol").applyInPandasWithState(
-        _state_fn(length, grace_seconds * 1_000_000, per_tick), OUTPUT_SCHEMA, STATE_SCHEMA, "append",
-        GroupStateTimeout.EventTimeTimeout,
+        _state_fn(length, grace_seconds * 1_000_000, per_tick, timer), OUTPUT_SCHEMA, STATE_SCHEMA, "append", kind,
     ).withColumn("timeframe", F.lit(timeframe))
 
 
@@ -151,22 +162,40 @@ def latest_candles(revisions: DataFrame, drain: bool = True) -> DataFrame:
 
 def run_replay(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint: str, timeframe: str = "1m",
                files_per_trigger: int = 1, watermark_delay: str = "1 hour", timeout_s: int = 600,
-               per_tick: bool = False) -> None:
-    """Run the candle stream over envelope files until all are processed (``availableNow``)."""
+               per_tick: bool = False, timer: str = "event", settle_s: float = 5.0) -> None:
+    """Run the candle stream over envelope files until all are processed.
+
+    Event-time timers: an ``availableNow`` trigger, which ends once the files are processed. Processing-time
+    timers make Spark schedule a batch after every batch (to fire timeouts), so ``availableNow`` would never end:
+    the query then runs on a 1-second trigger, is stopped ``settle_s`` seconds after all files are processed."""
     env = replay_stream(spark, source_dir, max_files_per_trigger=files_per_trigger)
-    q = (
-        candle_stream(env, timeframe, watermark_delay, per_tick=per_tick)
+    w = (
+        candle_stream(env, timeframe, watermark_delay, per_tick=per_tick, timer=timer)
         .writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
-        .trigger(availableNow=True)
-        .start(sink_dir)
     )
-    try:
-        q.awaitTermination(timeout_s)
-    finally:
-        if q.isActive:
+    if timer == "processing":
+        q = w.trigger(processingTime="1 second").start(sink_dir)
+        deadline = time.monotonic() + timeout_s
+        try:
+            # processAllAvailable() never returns here either (a batch is always pending): poll the progress
+            while time.monotonic() < deadline and q.isActive:
+                prog = q.recentProgress
+                seen = any(p["numInputRows"] > 0 for p in prog)
+                if seen and prog[-1]["numInputRows"] == 0 and not q.status["isDataAvailable"]:
+                    break
+                time.sleep(0.5)
+            time.sleep(settle_s)
+        finally:
             q.stop()
+    else:
+        q = w.trigger(availableNow=True).start(sink_dir)
+        try:
+            q.awaitTermination(timeout_s)
+        finally:
+            if q.isActive:
+                q.stop()
     if q.exception() is not None:
         raise RuntimeError(f"candle stream failed: {q.exception()}")
 
