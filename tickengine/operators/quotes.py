@@ -108,35 +108,7 @@ def quote_throttle(quotes: DataFrame, keys: list[str], t_us: str, seq: str,
     t, s = F.col(t_us), F.col(seq)
     base = quotes.select(*keys, t.alias("_t"), s.alias("_s"), _sig(signature).alias("_sig"))
 
-    # run starts: rows whose signature differs from the previous row (F6 structure)
-    runs = quote_changes(base, keys, "_t", "_s", ("_sig",)).select(*keys, "_t", "_s")
-
-    # k0(j): first row at or after t_j + interval (strictly after j)
-    after = base.select(*keys, "_t", "_s", "_sig")
-    k0 = first_at_or_after(
-        after, after.select(*keys, F.col("_t").alias("_jt"), F.col("_s").alias("_js"), "_sig"), list(keys),
-        (F.col("_t"), F.col("_s")),
-        (F.col("_jt") + F.lit(interval_us), F.when(F.lit(interval_us) > 0, F.lit(-(2**63))).otherwise(F.col("_js") + 1)),
-        ["_t", "_s", "_sig"], bucket, hit="_k0",
-    )
-    # run_next(k): first run start strictly after k
-    rn = first_at_or_after(
-        runs, after.select(*keys, F.col("_t").alias("_kt"), F.col("_s").alias("_ks")), list(keys),
-        (F.col("_t"), F.col("_s")), (F.col("_kt"), F.col("_ks") + 1),
-        ["_t", "_s"], bucket, hit="_rnext",
-    )
-    # next(j) = k0 if sig(k0) != sig(j) else run_next(k0)
-    k0f = k0.select(*keys, F.col("_jt").alias("_t"), F.col("_js").alias("_s"), "_sig",
-                    F.col("_k0._t").alias("_k0t"), F.col("_k0._s").alias("_k0s"), F.col("_k0._sig").alias("_k0sig"))
-    rnf = rn.select(*keys, F.col("_kt").alias("_k0t"), F.col("_ks").alias("_k0s"),
-                    F.col("_rnext._t").alias("_rt"), F.col("_rnext._s").alias("_rs"))
-    nxt = k0f.join(rnf, [*keys, "_k0t", "_k0s"], "left")
-    same = F.col("_k0sig").eqNullSafe(F.col("_sig"))
-    pointers = materialize(nxt.select(
-        *keys, "_t", "_s",
-        F.when(F.col("_k0t").isNull(), F.lit(None)).when(same, F.col("_rt")).otherwise(F.col("_k0t")).alias("_nt"),
-        F.when(F.col("_k0t").isNull(), F.lit(None)).when(same, F.col("_rs")).otherwise(F.col("_k0s")).alias("_ns"),
-    ))
+    pointers = materialize(_next_pointers(base, list(keys), interval_us, bucket))
 
     if method == "blocks":
         published = _chain_by_blocks(pointers, list(keys), int(block_us)).select(
@@ -176,6 +148,48 @@ def quote_throttle(quotes: DataFrame, keys: list[str], t_us: str, seq: str,
     return quotes.join(published, [*keys, t_us, seq], "left_semi")
 
 
+def _next_pointers(base: DataFrame, keys: list[str], interval_us: int, bucket: int) -> DataFrame:
+    """For every quote j (columns keys, _t, _s, _sig): ``(_nt, _ns)`` = the quote published next if j is
+    published, i.e. the first quote k with t_k >= t_j + interval (strictly after j) whose signature differs
+    from j's; null when there is none.
+
+    k0 = the first quote at or after t_j + interval. If its signature differs, next = k0; otherwise next is the
+    first run start after k0 (a run = consecutive quotes with one signature). Every quote first gets its own
+    "next run start" (one window pass per (instrument, time bucket), with carries from neighbouring buckets), and
+    the as-of lookup for k0 returns that value with k0, so no join back is needed."""
+    pos = F.struct("_t", "_s")
+    b = base.withColumn("_b", F.expr(f"_t div {bucket}"))
+    w = Window.partitionBy(*keys, "_b").orderBy("_t", "_s")
+    by_bucket = Window.partitionBy(*keys).orderBy("_b")
+
+    # run starts: the signature differs from the previous quote's (the previous bucket's last one at a border)
+    last_sig = b.groupBy(*keys, "_b").agg(F.max_by("_sig", pos).alias("_last"))
+    carry_sig = last_sig.select(*keys, "_b", F.lag("_last").over(by_bucket).alias("_carry"))
+    b = b.withColumn("_prev", F.lag("_sig").over(w)).join(carry_sig, [*keys, "_b"], "left")
+    prev = F.when(F.col("_prev").isNotNull(), F.col("_prev")).otherwise(F.col("_carry"))
+    start = prev.isNull() | ~F.col("_sig").eqNullSafe(prev)
+    b = materialize(b.select(*keys, "_b", "_t", "_s", "_sig", F.when(start, pos).alias("_rs")))
+
+    # next run start strictly after each quote: inside the bucket, else the first one of a later bucket
+    first_rs = b.groupBy(*keys, "_b").agg(F.min("_rs").alias("_frs"))
+    later = first_rs.select(
+        *keys, "_b", F.min("_frs").over(by_bucket.rowsBetween(1, Window.unboundedFollowing)).alias("_later_rs"))
+    b = b.withColumn("_rn_in", F.min("_rs").over(w.rowsBetween(1, Window.unboundedFollowing))).join(
+        later, [*keys, "_b"], "left")
+    rows = b.select(*keys, "_t", "_s", "_sig", F.coalesce("_rn_in", "_later_rs").alias("_rn"))
+
+    # k0 with its signature and next run start
+    probes = rows.select(*keys, F.col("_t").alias("_jt"), F.col("_s").alias("_js"), F.col("_sig").alias("_jsig"))
+    strict = F.when(F.lit(interval_us) > 0, F.lit(-(2**63))).otherwise(F.col("_js") + 1)
+    k0 = first_at_or_after(rows, probes, keys, (F.col("_t"), F.col("_s")),
+                           (F.col("_jt") + F.lit(interval_us), strict), ["_t", "_s", "_sig", "_rn"], bucket, hit="_k0")
+    differs = ~F.col("_k0._sig").eqNullSafe(F.col("_jsig"))
+    nxt = F.when(F.col("_k0").isNull(), F.lit(None)).when(differs, F.struct(F.col("_k0._t").alias("_t"), F.col("_k0._s").alias("_s"))) \
+        .otherwise(F.col("_k0._rn"))
+    return k0.select(*keys, F.col("_jt").alias("_t"), F.col("_js").alias("_s"), nxt.alias("_n")).select(
+        *keys, "_t", "_s", F.col("_n._t").alias("_nt"), F.col("_n._s").alias("_ns"))
+
+
 def _exit_fn(keys: list[str]):
     """Per (instrument, block): where the chain goes after leaving the block, from every quote of the block."""
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
