@@ -64,3 +64,12 @@ def test_latest_state_and_history(spark):
     assert [(r.close, r.isFinal) for r in h] == [("2", True), ("3", False)]
     assert S.history(live, "asml", "1m", "2024-01-15").count() == 0          # Q12: history is case-sensitive
     assert S.history(live, "ASML", "1m", "not-a-date").count() in (0, 2)     # P23: today when malformed
+
+
+def test_chart_points_number_rules(spark):
+    base = {"openTime": "2024-01-15T09:00:30.500Z", "open": "1", "high": " 2 ", "low": "0", "close": "1"}
+    msgs = [json.dumps({**base, "volume": "abc"}), json.dumps({**base, "volume": "Infinity"}),
+            json.dumps({k: v for k, v in base.items()}), json.dumps({**base, "close": "x"}),
+            json.dumps({**base, "low": ""}), json.dumps({**base, "openTime": "nope"})]
+    pts = FD.chart_points(envelopes(spark, msgs)).orderBy("offset").collect()
+    assert [(p.time, p.volume) for p in pts] == [(1705309230, 0.0), (1705309230, float("inf")), (1705309230, 0.0)]

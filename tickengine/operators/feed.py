@@ -91,13 +91,15 @@ def chart_points(messages: DataFrame) -> DataFrame:
         *messages.columns,
         F.floor(F.unix_micros(ts) / 1_000_000).cast("long").alias("time"),
         *[F.when(F.col(f"_{n}") != "", num(f"_{n}")).alias(n) for n in ("open", "high", "low", "close")],
-        F.coalesce(F.nanvl(num("_volume"), F.lit(0.0)), F.lit(0.0)).alias("volume"),
+        F.when(F.col("_volume").isNull(), F.lit(0.0)).otherwise(F.coalesce(num("_volume"), F.lit(float("nan"))))
+        .alias("volume"),
     )
     finite = lambda c: F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) != F.lit(float("inf")))
     ok = F.col("time").isNotNull()
     for c in ("open", "high", "low", "close"):
         ok = ok & finite(c)
-    x = x.withColumn("volume", F.when(finite("volume"), F.col("volume")).otherwise(F.lit(0.0)))
+    # Number(volume ?? "0") || 0: NaN (unparsable) becomes 0, +-Infinity stays
+    x = x.withColumn("volume", F.when(F.col("volume").isNull() | F.isnan("volume"), F.lit(0.0)).otherwise(F.col("volume")))
     x = J.settle(x)
     return x.where(ok).withColumn(
         "color", F.when(F.col("close") >= F.col("open"), F.lit(UP_COLOUR)).otherwise(F.lit(DOWN_COLOUR))

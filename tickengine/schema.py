@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 from pyspark.sql import types as T
 
@@ -107,7 +107,6 @@ class TickSpec:
     time_us: str = "event_us"
     currency: str | None = "currency"
     chunk_size: int = 1 << 16
-    extra: tuple[str, ...] = field(default_factory=tuple)
     # one BIGINT with the same order as ``order``: lets min_by / max_by run as hash aggregates (a struct
     # ordering forces a sort of every tick)
     order_key: str | None = None
