@@ -75,3 +75,17 @@ def materialize(df):
         return df.checkpoint(eager=True)
     finally:
         df.unpersist()
+
+
+# Settings for a large cluster (documented defaults; apply with ``spark.conf.set`` or at submit time). Shuffle
+# partitions are sized for ~128-256 MB per task at 100 TB of ticks, AQE coalesces the small stages and splits
+# skewed join partitions, and streaming state lives in RocksDB so millions of instruments do not sit on the heap.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "200000",
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
