@@ -401,6 +401,48 @@ select 'ibkr:' || symbol as "key", 'ibkr:' || symbol || ':EUR:' || coalesce(prim
 from lt
 """
 
+# revisions of the parsed messages; the last candle of each instrument has no close yet in a stream
+CANDLE_REVISIONS_STREAM = f"""
+with {TICKS},{PARSED},
+good as (select * exclude (price_c), price_p as price_c from parsed where price_p is not null),
+bucketed as (select *, ts_us - (ts_us % 60000000) as bucket from good),
+marked as (
+  select *, coalesce(bucket < max(bucket) over (partition by exchange, symbol order by "offset"
+                     rows between unbounded preceding and 1 preceding), false) as is_late
+  from bucketed
+),
+acc0 as (
+  select *,
+    row_number() over (partition by exchange, symbol, bucket order by "offset") as rn,
+    last_value(cum ignore nulls) over (partition by exchange, symbol, bucket order by "offset"
+                     rows between unbounded preceding and 1 preceding) as prev_cum
+  from marked where not is_late
+),
+acc as (
+  select *, case when rn = 1 then 0
+                 when cum is not null and prev_cum is not null then greatest(cum - prev_cum, 0)
+                 when size > 0 then size else 0 end as inc
+  from acc0
+),
+upd as (
+  select exchange, symbol, bucket as open_us, false as is_final, count(*) over w as tick_count,
+    first_value(price_c) over w as open, max(price_c) over w as high, min(price_c) over w as low,
+    price_c as close, sum(inc) over w as volume
+  from acc
+  window w as (partition by exchange, symbol, bucket order by "offset" rows between unbounded preceding and current row)
+),
+fin as (
+  select exchange, symbol, bucket as open_us, true as is_final, count(*) as tick_count,
+    first(price_c order by "offset") as open, max(price_c) as high, min(price_c) as low,
+    last(price_c order by "offset") as close, sum(inc) as volume
+  from acc group by exchange, symbol, bucket
+)
+select * from upd
+union all
+select f.* from fin f
+where f.open_us < (select max(open_us) from fin g where g.exchange = f.exchange and g.symbol = f.symbol)
+"""
+
 ORACLE: dict[str, str] = {
     "candles_1m": CANDLES_1M,
     "late_ticks": LATE_TICKS,
@@ -432,6 +474,7 @@ ORACLE: dict[str, str] = {
     "learning_events": LEARNING_EVENTS,
     "oi_from_messages": OI_PUT_CALL,
     "snapshot_events": SNAPSHOT_EVENTS,
+    "candle_revisions_stream": CANDLE_REVISIONS_STREAM,
 }
 
 

@@ -240,6 +240,22 @@ def q_snapshot_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "sourceTimestamp", "publishedAt", "session", "isPremarket", "conId", "primaryExchange")
 
 
+def q_candle_revisions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3 / W2 streaming: one revision per accepted tick and one close per superseded candle, from the keyed-state
+    stream over three replay files (no drain: each instrument's last candle stays open)."""
+    env = tick_envelopes(_ticks(spark, sf_dir))
+    base = CS.scratch_dir(spark, "revisions")
+    CS.write_replay_files(env, f"{base}/source", files=3)
+    CS.run_replay(spark, f"{base}/source", f"{base}/sink", f"{base}/checkpoint", per_tick=True)
+    out = spark.read.parquet(f"{base}/sink")
+    dec = lambda c: (F.col(c).cast("decimal(28,10)") * 100).cast("bigint")
+    return out.select(
+        "exchange", "symbol", "open_us", "is_final", "tick_count",
+        *[dec(x).alias(x) for x in ("open", "high", "low", "close")],
+        F.col("volume").cast("decimal(28,10)").cast("bigint").alias("volume"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "candles_1m": q_candles_1m,
     "late_ticks": q_late_ticks,
@@ -266,6 +282,7 @@ QUERIES: dict[str, Query] = {
     "learning_events": q_learning_events,
     "oi_from_messages": q_oi_from_messages,
     "snapshot_events": q_snapshot_events,
+    "candle_revisions_stream": q_candle_revisions_stream,
 }
 
 
