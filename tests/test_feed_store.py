@@ -73,3 +73,21 @@ def test_chart_points_number_rules(spark):
             json.dumps({**base, "low": ""}), json.dumps({**base, "openTime": "nope"})]
     pts = FD.chart_points(envelopes(spark, msgs)).orderBy("offset").collect()
     assert [(p.time, p.volume) for p in pts] == [(1705309230, 0.0), (1705309230, float("inf")), (1705309230, 0.0)]
+
+
+def test_compaction_keeps_rows_and_merges_files(spark):
+    import glob
+
+    path = tempfile.mkdtemp(prefix="tickengine-compact-")
+    for minute in range(4):
+        msgs = envelopes(spark, [candle_msg("ASML", minute=minute), candle_msg("SAP", minute=minute)],
+                         start_offset=minute * 10)
+        parsed = parse_candles(msgs).where("bad_reason is null").drop("bad_reason")
+        S.write_store(S.store_rows(parsed), path)
+    before = S.read_store(spark, path).drop("storedAt").collect()
+    files = lambda: len(glob.glob(f"{path}/**/*.parquet", recursive=True))
+    n_before = files()
+    assert S.compact_store(spark, path, "2024-01-15") == 8
+    after = S.read_store(spark, path).drop("storedAt").collect()
+    assert sorted(map(tuple, before)) == sorted(map(tuple, after))
+    assert files() == 2 < n_before

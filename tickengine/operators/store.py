@@ -128,6 +128,27 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(store_schema()).option("basePath", path).parquet(path)
 
 
+def compact_store(spark: SparkSession, path: str, day: str, files_per_partition: int = 1) -> int:
+    """Rewrite one trading day of the store into ``files_per_partition`` files per directory (streaming appends
+    leave many small files). The day is first materialized in the checkpoint folder, so the overwrite never reads
+    the files it replaces; only that day's directories are overwritten (dynamic partition overwrite). Returns the
+    number of rows rewritten."""
+    from ..session import materialize
+
+    day_rows = materialize(read_store(spark, path).where(F.col("date") == day))
+    n = day_rows.count()
+    salt = F.pmod(F.xxhash64("openTime"), F.lit(int(files_per_partition)))
+    (
+        day_rows.repartition(*[F.col(c) for c in PARTITION_COLS], salt)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("compression", "snappy")
+        .partitionBy(*PARTITION_COLS)
+        .parquet(path)
+    )
+    return n
+
+
 def latest_state(parsed_candles: DataFrame, order: tuple[str, ...] = ("partition", "offset")) -> DataFrame:
     """The last revision of every candle (exchange, symbol, timeframe, open time) by arrival, which is what a
     reader of the at-least-once candle topic should keep. A partial aggregate: one row per candle per task."""
