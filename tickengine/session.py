@@ -63,18 +63,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df):
-    """Write an intermediate that several consumers read to the shared checkpoint folder once, instead of
-    recomputing its lineage per consumer; it also cuts the lineage, so a lost executor costs a re-read, not a
-    recomputation from the sources. The plan is persisted while the checkpoint is written, so it is computed once
-    (a bare eager ``checkpoint`` computes it twice: once to count, once to write)."""
-    from pyspark import StorageLevel
-
-    checkpoint_dir(df.sparkSession)
-    df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return df.checkpoint(eager=True)
-    finally:
-        df.unpersist()
+    """Write an intermediate that several consumers read once, as a Parquet table in the shared checkpoint folder,
+    and read it back: its lineage is computed once instead of once per consumer, and it is cut, so a lost
+    executor costs a re-read, not a recomputation from the sources. (An eager ``checkpoint`` would compute the
+    plan twice unless it were cached first; caching terabytes on executors is what this avoids.)"""
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tickengine-mat-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 # Settings for a large cluster (documented defaults; apply with ``spark.conf.set`` or at submit time). Shuffle

@@ -77,9 +77,10 @@ class LiveTable:
 
     KEY = ["exchange", "symbol", "timeframe", "open_time"]
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, files_per_day: int = 8):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.files_per_day = int(files_per_day)
 
     def _log(self) -> DataFrame | None:
         try:
@@ -115,8 +116,10 @@ class LiveTable:
             .where(F.col("_r") == 1).drop("_r", "_src")
             .withColumn("version", F.lit(int(version)))
         )
-        merged.repartition("trading_date").write.mode("append").partitionBy("trading_date", "version").parquet(
-            f"{self.root}/data")
+        # a day is written by several tasks (hashed by instrument), not by one
+        salt = F.pmod(F.xxhash64("exchange", "symbol"), F.lit(self.files_per_day))
+        merged.repartition(F.col("trading_date"), salt).write.mode("append").partitionBy(
+            "trading_date", "version").parquet(f"{self.root}/data")
         self.spark.createDataFrame([(d, int(version)) for d in days], "trading_date string, version long") \
             .coalesce(1).write.mode("append").parquet(f"{self.root}/log")
 
