@@ -45,14 +45,14 @@ def first_at_or_after(
     u = r.unionByName(p).withColumn("_b", F.expr(f"_t div {int(bucket)}"))
 
     # inside the bucket: probes sort before rows at the same position, so the lookup is inclusive
-    w = Window.partitionBy(*keys, "_b").orderBy("_t", "_s", "_kind").rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    inside = u.withColumn("_in", F.first("_row", ignorenulls=True).over(w)).where(F.col("_kind") == 0)
+    w = Window.partitionBy(*keys, "_b").orderBy("_t", "_s", "_kind")
+    following = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    inside = u.withColumn("_in", F.first("_row", ignorenulls=True).over(following)).where(F.col("_kind") == 0)
 
     # later buckets: first row of the next non-empty bucket. Probe buckets join the per-bucket summary with an
     # empty entry, so a probe in a bucket without rows also finds its successor (no pairs of buckets).
     row_buckets = (
-        rows.select(*keys, row_pos[0].alias("_t"), row_pos[1].alias("_s"), F.struct(*[F.col(c) for c in payload]).alias("_row"))
-        .withColumn("_b", F.expr(f"_t div {int(bucket)}"))
+        r.withColumn("_b", F.expr(f"_t div {int(bucket)}"))
         .groupBy(*keys, "_b")
         .agg(F.min_by("_row", F.struct("_t", "_s")).alias("_first"))
     )
@@ -65,6 +65,4 @@ def first_at_or_after(
     later = Window.partitionBy(*keys).orderBy("_b").rowsBetween(1, Window.unboundedFollowing)
     nxt = buckets.select(*keys, "_b", F.first("_first", ignorenulls=True).over(later).alias("_next_first"))
     res = inside.join(nxt, [*keys, "_b"], "left")
-    return res.select(
-        *keys, *probe_cols, F.coalesce("_in", "_next_first").alias(hit)
-    )
+    return res.select(*keys, *probe_cols, F.coalesce("_in", "_next_first").alias(hit))
