@@ -38,7 +38,7 @@ def test_chart_series_and_metrics(spark):
     t0 = 1705309200
     assert s == {t0: (2.0, "#26a69a"), t0 + 60: (5.0, "#26a69a")}
     m = FD.feed_metrics(FD.route(live, spark.createDataFrame([("c", None, None)], "client_id string, symbol string, timeframe string"))).first()
-    assert (m.message_count, m.last_close) == (2, None) or m.message_count == 2
+    assert (m.message_count, m.last_close) == (1, "5")  # the message without a valid open is not counted
 
 
 def test_store_roundtrip_keeps_text_partitions(spark):
@@ -91,3 +91,23 @@ def test_compaction_keeps_rows_and_merges_files(spark):
     after = S.read_store(spark, path).drop("storedAt").collect()
     assert sorted(map(tuple, before)) == sorted(map(tuple, after))
     assert files() == 2 < n_before
+
+
+def test_feed_metrics_counts_chart_points_only(spark):
+    subs = spark.createDataFrame([("c", None, None)], "client_id string, symbol string, timeframe string")
+    msgs = envelopes(spark, [candle_msg("ASML", close="2"), json.dumps({"symbol": "ASML", "timeframe": "1m"}),
+                             candle_msg("ASML", minute=1, close="4")])
+    m = FD.feed_metrics(FD.route(msgs, subs)).first()
+    assert (m.message_count, m.last_close, m.last_open_time) == (2, "4", "2024-01-15T09:01:00Z")
+
+
+def test_write_options(spark):
+    from tickengine.operators import options as O
+    from tickengine.sources.proxy import option_proxy
+
+    path = tempfile.mkdtemp(prefix="tickengine-oi-")
+    snaps = option_proxy(spark, "/root/testdata/sf0.001")
+    ratio = O.put_call_ratio(snaps)
+    O.write_options(snaps, ratio, path)
+    assert spark.read.parquet(f"{path}/snapshots").count() == snaps.count()
+    assert spark.read.parquet(f"{path}/put_call_ratio").count() == ratio.count()

@@ -75,20 +75,20 @@ def route(messages: DataFrame, subscriptions: DataFrame, salt: int = 8) -> DataF
     return probes.join(subs, cond).select("client_id", *cols)
 
 
-def chart_points(messages: DataFrame) -> DataFrame:
-    """Candle messages -> chart points. Dropped: missing or empty openTime / OHLC, or any value that
-    is not a finite number. time = floor(epoch seconds of openTime); volume that is not a number is 0."""
-    x = J.extract(J.parse(messages), ("openTime", "open", "high", "low", "close", "volume"))
+def _points(messages: DataFrame, keep_text: bool = False) -> DataFrame:
+    """P25 / P26 on every message: ``time``, OHLC, ``volume``, ``color`` and ``_ok`` (the chart accepts it), plus
+    the close / openTime / publishedAt texts when ``keep_text``. One parse, settled."""
+    names = ("openTime", "open", "high", "low", "close", "volume", "publishedAt")
+    x = J.extract(J.parse(messages), names)
     txt = lambda n: F.when(J._t(n) == "STRING", J._text(n))  # noqa: E731  (the chart reads text fields)
-    x = x.select(
-        *messages.columns,
-        txt("openTime").alias("_ot"),
-        *[txt(n).alias(f"_{n}") for n in ("open", "high", "low", "close", "volume")],
-    )
+    x = x.select(*messages.columns, *[txt(n).alias(f"_{n}") for n in names])
     num = lambda c: F.trim(F.col(c)).try_cast("double")
-    ts = F.col("_ot").try_cast("timestamp")
+    ts = F.col("_openTime").try_cast("timestamp")
+    texts = [F.col("_close").alias("last_close"), F.col("_openTime").alias("last_open_time"),
+             F.col("_publishedAt").alias("last_update")] if keep_text else []
     x = x.select(
         *messages.columns,
+        *texts,
         F.floor(F.unix_micros(ts) / 1_000_000).cast("long").alias("time"),
         *[F.when(F.col(f"_{n}") != "", num(f"_{n}")).alias(n) for n in ("open", "high", "low", "close")],
         F.when(F.col("_volume").isNull(), F.lit(0.0)).otherwise(F.coalesce(num("_volume"), F.lit(float("nan"))))
@@ -100,10 +100,14 @@ def chart_points(messages: DataFrame) -> DataFrame:
         ok = ok & finite(c)
     # Number(volume ?? "0") || 0: NaN (unparsable) becomes 0, +-Infinity stays
     x = x.withColumn("volume", F.when(F.col("volume").isNull() | F.isnan("volume"), F.lit(0.0)).otherwise(F.col("volume")))
-    x = J.settle(x)
-    return x.where(ok).withColumn(
-        "color", F.when(F.col("close") >= F.col("open"), F.lit(UP_COLOUR)).otherwise(F.lit(DOWN_COLOUR))
-    )
+    x = x.withColumn("color", F.when(F.col("close") >= F.col("open"), F.lit(UP_COLOUR)).otherwise(F.lit(DOWN_COLOUR)))
+    return J.settle(x.withColumn("_ok", ok))
+
+
+def chart_points(messages: DataFrame) -> DataFrame:
+    """Candle messages -> chart points. Dropped: missing or empty openTime / OHLC, or any value that
+    is not a finite number. time = floor(epoch seconds of openTime); volume that is not a number is 0."""
+    return _points(messages).where(F.col("_ok")).drop("_ok")
 
 
 def chart_series(history: DataFrame, live: DataFrame, order: tuple[str, ...] = ("partition", "offset")) -> DataFrame:
@@ -119,17 +123,11 @@ def chart_series(history: DataFrame, live: DataFrame, order: tuple[str, ...] = (
 
 def feed_metrics(messages: DataFrame, group: tuple[str, ...] = ("client_id",),
                  order: tuple[str, ...] = ("partition", "offset")) -> DataFrame:
-    """Per subscriber, the message count, the latest message's close, open time and publish time."""
-    x = J.extract(J.parse(messages), ("close", "openTime", "publishedAt", "symbol"))
-    x = J.settle(x.select(
-        *messages.columns,
-        J.string_field("close", allow_empty=True).alias("_close"),
-        J.string_field("openTime", allow_empty=True).alias("_open_time"),
-        J.string_field("publishedAt", allow_empty=True).alias("_published"),
-    ))
+    """Per subscriber, the number of messages the chart accepted (those that parse into a candle point) and
+    the latest accepted message's close, open time and publish time."""
+    x = _points(messages, keep_text=True).where(F.col("_ok"))
     pos = F.struct(*[F.col(c) for c in order], F.col("key"))
-    last = F.struct(F.col("_close").alias("last_close"), F.col("_open_time").alias("last_open_time"),
-                    F.col("_published").alias("last_update"))
+    last = F.struct("last_close", "last_open_time", "last_update")
     return x.groupBy(*group).agg(F.count(F.lit(1)).alias("message_count"), F.max_by(last, pos).alias("_l")).select(
         *group, "message_count", "_l.*"
     )
