@@ -13,7 +13,8 @@ def test_candles_store_live_history_jobs(spark, capsys):
     tick_envelopes(tick_proxy(spark, SF_SMALL)).coalesce(1).write.parquet(f"{base}/ticks")
     ck = lambda n: ["--checkpoint", f"{base}/ck-{n}", "--once"]
     assert jobs.run(["candles", "--source", f"files://{base}/ticks", "--sink", f"files://{base}/msgs",
-                     "--timer", "event", *ck("c")], spark) == 0
+                     "--timer", "event", "--dead-letter", f"files://{base}/bad", *ck("c")], spark) == 0
+    assert spark.read.parquet(f"{base}/bad").where("reason = 'no_price'").count() > 0
     assert jobs.run(["store", "--source", f"files://{base}/msgs", "--store", f"{base}/store", *ck("s")], spark) == 0
     assert jobs.run(["live", "--source", f"files://{base}/msgs", "--live", f"{base}/live", *ck("l")], spark) == 0
     capsys.readouterr()

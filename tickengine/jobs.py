@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import store as S
+from .operators.parse import bad_records, parse_ticks
 from .session import checkpoint_dir, prepare
 from .sources.envelope import (CANDLES_TOPIC, LEARNING_TOPIC, generated_events, kafka_stream, received_records,
                                replay_stream)
@@ -52,7 +53,9 @@ def _sink(df: DataFrame, uri: str, checkpoint: str, once: bool):
 
 
 def _ckpt(spark: SparkSession, args, name: str) -> str:
-    return args.checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/tickengine-job-{name}"
+    """One checkpoint folder per streaming query (a job may run two: output and dead letters)."""
+    root = args.checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/tickengine-job"
+    return f"{root.rstrip('/')}/{name}"
 
 
 def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
@@ -64,6 +67,7 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> int
     c.add_argument("--timeframe", default="1m")
     c.add_argument("--timer", choices=["event", "processing"], default="processing")
     c.add_argument("--grace-seconds", type=int, default=2)
+    c.add_argument("--dead-letter", default=None, help="sink for records that do not parse (F2)")
     s = sub.add_parser("store", help="candle messages -> partitioned Parquet store")
     s.add_argument("--source", required=True)
     s.add_argument("--store", required=True)
@@ -94,6 +98,11 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> int
         msgs = S.candle_messages(revs.withColumn("event", F.when(F.col("is_final"), "candle.closed")
                                                  .otherwise("candle.updated")), topic=CANDLES_TOPIC)
         query = _sink(msgs, args.sink, _ckpt(spark, args, "candles"), args.once)
+        if args.dead_letter:
+            bad = bad_records(parse_ticks(_source(spark, args.source)))
+            dlq = _sink(bad, args.dead_letter, _ckpt(spark, args, "candles-dead-letter"), args.once)
+            if args.once:
+                dlq.awaitTermination()
     elif args.job == "store":
         query = K.store_stream(_source(spark, args.source), args.store, _ckpt(spark, args, "store"),
                                final_only=not args.all_revisions,
