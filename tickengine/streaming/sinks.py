@@ -83,9 +83,11 @@ class LiveTable:
         self.files_per_day = int(files_per_day)
 
     def _log(self) -> DataFrame | None:
+        from pyspark.errors import AnalysisException
+
         try:
             return self.spark.read.schema("trading_date string, version long").parquet(f"{self.root}/log")
-        except Exception:  # no commit yet
+        except AnalysisException:  # the log does not exist yet: nothing committed
             return None
 
     def read(self) -> DataFrame:
