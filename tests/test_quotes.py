@@ -76,3 +76,14 @@ def test_session_boundaries(spark):
     assert got == {"07:59:59": ("premarket", True), "08:00:00": ("regular", False),
                    "16:30:00.000000": ("regular", False), "16:30:00.000001": ("afterhours", False),
                    "none": ("unknown", False)}
+
+
+def test_throttle_golden_trace(spark):
+    # (ms, signature): B at 100 ms is too soon; B at 300 ms is published; A at 400 ms too soon; B at 700 ms equals
+    # the last published quote; A at 800 ms is published; A again at 1200 ms equals it
+    trace = [(0, "A"), (100, "B"), (300, "B"), (400, "A"), (700, "B"), (800, "A"), (1200, "A")]
+    df = spark.createDataFrame([("k", ms * 1000, i, sig) for i, (ms, sig) in enumerate(trace)],
+                               "k string, t long, s long, sig string")
+    for method in ("blocks", "doubling"):
+        got = Q.quote_throttle(df, KEYS, "t", "s", ("sig",), 250, method=method)
+        assert sorted(r.t // 1000 for r in got.collect()) == [0, 300, 800]
