@@ -42,14 +42,25 @@ _FIELDS = [f.split()[0] for f in STATE_SCHEMA.split(", ")]
 def _dec(x) -> decimal.Decimal | None:
     if x is None or (isinstance(x, float) and pd.isna(x)):
         return None
-    return decimal.Decimal(str(x))
+    return x if isinstance(x, decimal.Decimal) else decimal.Decimal(str(x))
+
+
+_ZERO = decimal.Decimal(0)
+_NUM = ("open", "high", "low", "close", "volume", "last_cum")
 
 
 def _state_fn(length_us: int, grace_us: int, per_tick: bool = False, timer: str = "event"):
+    """The candle loop for one instrument and micro-batch. The open candle is kept as Decimals while the batch's
+    ticks are folded and converted to text only when a revision is emitted or the state is saved."""
+
     def fn(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         exchange, symbol = key
-        st = dict(zip(_FIELDS, state.get)) if state.exists else {
-            "open_us": None, "closed_us": None, "rev": 0, "dirty": False}
+        if state.exists:
+            st = dict(zip(_FIELDS, state.get))
+            for f in _NUM:
+                st[f] = _dec(st[f])
+        else:
+            st = {"open_us": None, "closed_us": None, "rev": 0, "dirty": False}
         out = []
 
         def emit(final: bool):
@@ -57,8 +68,8 @@ def _state_fn(length_us: int, grace_us: int, per_tick: bool = False, timer: str
             out.append({
                 "exchange": exchange, "symbol": symbol, "open_us": st["open_us"],
                 "close_us": st["open_us"] + length_us - 1000, "currency": st["currency"],
-                "open": st["open"], "high": st["high"], "low": st["low"], "close": st["close"],
-                "volume": st["volume"], "tick_count": st["tick_count"], "is_final": final,
+                "open": str(st["open"]), "high": str(st["high"]), "low": str(st["low"]), "close": str(st["close"]),
+                "volume": str(st["volume"]), "tick_count": st["tick_count"], "is_final": final,
                 "published_us": st["published_us"], "rev": st["rev"],
             })
 
@@ -73,44 +84,45 @@ def _state_fn(length_us: int, grace_us: int, per_tick: bool = False, timer: str
         else:
             frames = [p for p in pdfs if len(p)]
             rows = pd.concat(frames).sort_values(["partition", "offset"]) if frames else pd.DataFrame()
-            for r in rows.itertuples(index=False):
-                t = int(r.event_us)
+            cols = ("event_us", "price", "cumulative_volume", "size", "currency")
+            for t, price, cum, size, currency in (zip(*(rows[c] for c in cols)) if len(rows) else ()):
+                t = int(t)
                 bucket = t - (t % length_us)
-                price = _dec(r.price)
-                cum = _dec(r.cumulative_volume)
-                size = _dec(r.size) or decimal.Decimal(0)
+                price, cum, size = _dec(price), _dec(cum), _dec(size) or _ZERO
                 current = st["open_us"] if st["open_us"] is not None else st["closed_us"]
                 if current is not None and (bucket < current or (st["open_us"] is None and bucket == current)):
                     continue  # late for this instrument (or a minute already closed)
                 if st["open_us"] is not None and bucket > st["open_us"]:
                     close_open_candle()
                 if st["open_us"] is None:
-                    st.update(open_us=bucket, currency=r.currency, open=str(price), high=str(price), low=str(price),
-                              close=str(price), volume="0", tick_count=1,
-                              last_cum=None if cum is None else str(cum), published_us=t, dirty=True)
-                    if per_tick:
-                        emit(False)
-                        st["dirty"] = False
-                    continue
-                prev = _dec(st["last_cum"])
-                if cum is not None and prev is not None:
-                    inc = max(cum - prev, decimal.Decimal(0))
-                elif size > 0:
-                    inc = size
+                    st.update(open_us=bucket, currency=None if pd.isna(currency) else currency, open=price,
+                              high=price, low=price, close=price, volume=_ZERO, tick_count=1, last_cum=cum,
+                              published_us=t, dirty=True)
                 else:
-                    inc = decimal.Decimal(0)
-                st.update(
-                    high=str(max(_dec(st["high"]), price)), low=str(min(_dec(st["low"]), price)), close=str(price),
-                    volume=str(_dec(st["volume"]) + inc), tick_count=st["tick_count"] + 1,
-                    last_cum=str(cum) if cum is not None else st["last_cum"], published_us=t, dirty=True,
-                )
+                    prev = st["last_cum"]
+                    if cum is not None and prev is not None:
+                        inc = max(cum - prev, _ZERO)
+                    elif size > 0:
+                        inc = size
+                    else:
+                        inc = _ZERO
+                    st["high"] = max(st["high"], price)
+                    st["low"] = min(st["low"], price)
+                    st["close"] = price
+                    st["volume"] += inc
+                    st["tick_count"] += 1
+                    if cum is not None:
+                        st["last_cum"] = cum
+                    st["published_us"] = t
+                    st["dirty"] = True
                 if per_tick:
                     emit(False)
                     st["dirty"] = False
             if st["open_us"] is not None and st["dirty"]:
                 emit(False)
                 st["dirty"] = False
-        state.update(tuple(st.get(f) for f in _FIELDS))
+        saved = {f: (None if st.get(f) is None else str(st[f])) if f in _NUM else st.get(f) for f in _FIELDS}
+        state.update(tuple(saved[f] for f in _FIELDS))
         if st["open_us"] is not None:
             due_ms = (st["open_us"] + length_us + grace_us) // 1000
             if timer == "processing":
@@ -136,6 +148,7 @@ def candle_stream(envelopes: DataFrame, timeframe: str = "1m", watermark_delay:
     if timer not in ("event", "processing"):
         raise ValueError("timer must be 'event' or 'processing'")
     length = timeframe_micros(timeframe)
+    # decimals cross into Python as text: Arrow decimal -> pandas object conversion is far slower
     ticks = good_ticks(parse_ticks(envelopes)).select(
         "exchange", "symbol", "currency", F.col("price").cast("string").alias("price"),
         F.col("size").cast("string").alias("size"),
