@@ -8,9 +8,10 @@ a suppressed quote changes neither.
 F6 alone compares with the previous row (a suppressed row has the previous published signature anyway), so it is
 a lag, done in two levels over time chunks. With F7 the decision depends on the last published row, which is a
 fold. It is computed exactly without a per-instrument task: if quote j is published, the next published quote is
-``next(j)`` = the first row at least ``interval`` later whose signature differs from j's, found with two forward
-as-of lookups; the published quotes are then the chain first-row -> next -> next ... of each instrument, collected
-by pointer doubling in O(log chain) rounds of distributed joins.
+``next(j)`` = the first row at least ``interval`` later whose signature differs from j's (one forward as-of
+lookup); the published quotes are then the chain first-row -> next -> next ... of each instrument, followed per
+(instrument, time block) with a walk over block entry candidates in between (default), or collected by pointer
+doubling in O(log chain) rounds of distributed joins.
 """
 
 from __future__ import annotations
