@@ -111,3 +111,13 @@ def test_write_options(spark):
     O.write_options(snaps, ratio, path)
     assert spark.read.parquet(f"{path}/snapshots").count() == snaps.count()
     assert spark.read.parquet(f"{path}/put_call_ratio").count() == ratio.count()
+
+
+def test_route_with_partial_pattern_classes(spark):
+    msgs = envelopes(spark, [candle_msg("ASML"), "not json"])
+    exact = spark.createDataFrame([("e", "asml", "1m")], "client_id string, symbol string, timeframe string")
+    assert sorted((r.client_id, r.offset) for r in FD.route(msgs, exact).collect()) == [("e", 0)]
+    anyone = spark.createDataFrame([("w", None, " ")], "client_id string, symbol string, timeframe string")
+    assert sorted((r.client_id, r.offset) for r in FD.route(msgs, anyone).collect()) == [("w", 0), ("w", 1)]
+    nobody = spark.createDataFrame([], "client_id string, symbol string, timeframe string")
+    assert FD.route(msgs, nobody).count() == 0

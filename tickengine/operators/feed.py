@@ -53,15 +53,18 @@ def route(messages: DataFrame, subscriptions: DataFrame, salt: int = 8) -> DataF
     cols = [F.col(c) for c in messages.columns]
     rs, rt = F.col("route_symbol"), F.col("route_timeframe")
     none = F.lit(None).cast("string")
-    patterns = F.when(
-        rs.isNotNull(),
-        F.array(
-            F.struct(rs.alias("p_symbol"), rt.alias("p_timeframe")),
-            F.struct(rs.alias("p_symbol"), none.alias("p_timeframe")),
-            F.struct(none.alias("p_symbol"), rt.alias("p_timeframe")),
-            F.struct(none.alias("p_symbol"), none.alias("p_timeframe")),
-        ),
-    ).otherwise(F.array(F.struct(none.alias("p_symbol"), none.alias("p_timeframe"))))
+    # which wildcard classes exist (at most four rows): messages only emit patterns some subscription can have
+    classes = {(r[0], r[1]) for r in s.select(F.col("sub_symbol").isNotNull(), F.col("sub_timeframe").isNotNull())
+               .distinct().collect()}
+    wanted = [(True, True, rs, rt), (True, False, rs, none), (False, True, none, rt), (False, False, none, none)]
+    parsed_patterns = [F.struct(a.alias("p_symbol"), b.alias("p_timeframe"))
+                       for has_sym, has_tf, a, b in wanted if (has_sym, has_tf) in classes]
+    wildcard = [F.struct(none.alias("p_symbol"), none.alias("p_timeframe"))] if (False, False) in classes else []
+    if not classes:
+        return m.select(F.lit(None).cast("string").alias("client_id"), *cols).where(F.lit(False))
+    # a message without routing fields only reaches all-wildcard subscriptions (null: no rows after explode)
+    patterns = F.when(rs.isNotNull(), F.array(*parsed_patterns)).otherwise(
+        F.array(*wildcard) if wildcard else F.lit(None))
     probes = m.select(
         *cols, F.pmod(F.xxhash64(*cols), F.lit(int(salt))).alias("_salt"), F.explode(patterns).alias("_p")
     ).select(*cols, "_salt", "_p.p_symbol", "_p.p_timeframe")
