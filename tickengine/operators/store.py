@@ -54,7 +54,7 @@ def candle_messages(revisions: DataFrame, topic: str = CANDLES_TOPIC, partition:
         F.to_json(msg).alias("value"),
         F.lit(topic).alias("topic"),
         (partition if partition is not None else F.lit(0)).cast("int").alias("partition"),
-        ((F.col("open_us") / 1000).cast("long") * 1_000_000 + F.col("rev")).alias("offset"),
+        (F.expr("open_us div 1000") * F.lit(1_000_000) + F.col("rev")).alias("offset"),
         F.timestamp_micros(F.col("published_us")).alias("timestamp"),
     )
 
