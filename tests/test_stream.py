@@ -49,7 +49,7 @@ def test_restart_from_checkpoint(spark):
     got, want = stream_candles(spark, f"{base}/sink"), batch_candles(env)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     # one final per candle in the stream output itself
-    finals = spark.read.parquet(f"{base}/sink").where("is_final")
+    finals = CS.candle_rows(spark.read.parquet(f"{base}/sink")).where("is_final")
     assert finals.groupBy("exchange", "symbol", "open_us").count().where("count > 1").count() == 0
 
 
@@ -58,7 +58,7 @@ def test_per_tick_revisions_equal_batch_revisions(spark):
     base = tempfile.mkdtemp(prefix="tickengine-revs-")
     CS.write_replay_files(env, f"{base}/src", files=2)
     CS.run_replay(spark, f"{base}/src", f"{base}/sink", f"{base}/ckpt", timeout_s=300, per_tick=True)
-    out = spark.read.parquet(f"{base}/sink")
+    out = CS.candle_rows(spark.read.parquet(f"{base}/sink"))
     num = lambda c: F.col(c).cast("decimal(28,10)")
     cols = ["exchange", "symbol", "open_us", "tick_count", "is_final"]
     got = out.select(*cols, *[num(c).alias(c) for c in ("open", "high", "low", "close", "volume")])
@@ -72,3 +72,17 @@ def test_per_tick_revisions_equal_batch_revisions(spark):
     assert closed.exceptAll(want.where("is_final")).count() == 0
     open_left = want.where("is_final").exceptAll(closed)
     assert open_left.count() == want.select("exchange", "symbol").distinct().count()
+
+
+def test_stream_late_ticks_equal_batch_late_ticks(spark):
+    from tickengine.operators.late import late_ticks
+
+    env = tick_envelopes(tick_proxy(spark, SF_SMALL))
+    base = tempfile.mkdtemp(prefix="tickengine-late-")
+    CS.write_replay_files(env, f"{base}/src", files=3)
+    CS.run_replay(spark, f"{base}/src", f"{base}/sink", f"{base}/ckpt", timeout_s=300)
+    got = CS.late_rows(spark.read.parquet(f"{base}/sink")).select("exchange", "symbol", "event_us", "open_us")
+    want = late_ticks(good_ticks(parse_ticks(env)), ENVELOPE_TICKS).select(
+        "exchange", "symbol", "event_us", F.col("bucket").alias("open_us"))
+    assert got.count() == want.count() > 0
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0

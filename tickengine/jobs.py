@@ -95,8 +95,8 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> int
         ticks = _source(spark, args.source)
         revs = CS.candle_stream(ticks, args.timeframe, grace_seconds=args.grace_seconds, per_tick=True,
                                 timer=args.timer)
-        msgs = S.candle_messages(revs.withColumn("event", F.when(F.col("is_final"), "candle.closed")
-                                                 .otherwise("candle.updated")), topic=CANDLES_TOPIC)
+        msgs = S.candle_messages(CS.candle_rows(revs).withColumn(
+            "event", F.when(F.col("is_final"), "candle.closed").otherwise("candle.updated")), topic=CANDLES_TOPIC)
         query = _sink(msgs, args.sink, _ckpt(spark, args, "candles"), args.once)
         if args.dead_letter:
             bad = bad_records(parse_ticks(_source(spark, args.source)))

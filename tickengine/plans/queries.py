@@ -247,7 +247,7 @@ def q_candle_revisions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = CS.scratch_dir(spark, "revisions")
     CS.write_replay_files(env, f"{base}/source", files=3)
     CS.run_replay(spark, f"{base}/source", f"{base}/sink", f"{base}/checkpoint", per_tick=True)
-    out = spark.read.parquet(f"{base}/sink")
+    out = CS.candle_rows(spark.read.parquet(f"{base}/sink"))
     dec = lambda c: (F.col(c).cast("decimal(28,10)") * 100).cast("bigint")
     return out.select(
         "exchange", "symbol", "open_us", "is_final", "tick_count",

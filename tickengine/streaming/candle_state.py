@@ -30,7 +30,8 @@ from ..sources.envelope import replay_stream
 
 OUTPUT_SCHEMA = (
     "exchange string, symbol string, open_us long, close_us long, currency string, open string, high string, "
-    "low string, close string, volume string, tick_count long, is_final boolean, published_us long, rev long"
+    "low string, close string, volume string, tick_count long, is_final boolean, published_us long, rev long, "
+    "kind string"
 )
 STATE_SCHEMA = (
     "open_us long, currency string, open string, high string, low string, close string, volume string, "
@@ -70,7 +71,7 @@ def _state_fn(length_us: int, grace_us: int, per_tick: bool = False, timer: str
                 "close_us": st["open_us"] + length_us - 1000, "currency": st["currency"],
                 "open": str(st["open"]), "high": str(st["high"]), "low": str(st["low"]), "close": str(st["close"]),
                 "volume": str(st["volume"]), "tick_count": st["tick_count"], "is_final": final,
-                "published_us": st["published_us"], "rev": st["rev"],
+                "published_us": st["published_us"], "rev": st["rev"], "kind": "candle",
             })
 
         def close_open_candle():
@@ -91,7 +92,14 @@ def _state_fn(length_us: int, grace_us: int, per_tick: bool = False, timer: str
                 price, cum, size = _dec(price), _dec(cum), _dec(size) or _ZERO
                 current = st["open_us"] if st["open_us"] is not None else st["closed_us"]
                 if current is not None and (bucket < current or (st["open_us"] is None and bucket == current)):
-                    continue  # late for this instrument (or a minute already closed)
+                    # late for this instrument (or a minute already closed): to the late table, not dropped
+                    out.append({
+                        "exchange": exchange, "symbol": symbol, "open_us": bucket, "close_us": bucket + length_us - 1000,
+                        "currency": None if pd.isna(currency) else currency, "open": str(price), "high": str(price),
+                        "low": str(price), "close": str(price), "volume": "0", "tick_count": 0, "is_final": False,
+                        "published_us": t, "rev": None, "kind": "late",
+                    })
+                    continue
                 if st["open_us"] is not None and bucket > st["open_us"]:
                     close_open_candle()
                 if st["open_us"] is None:
@@ -163,8 +171,20 @@ def candle_stream(envelopes: DataFrame, timeframe: str = "1m", watermark_delay:
     ).withColumn("timeframe", F.lit(timeframe))
 
 
+def candle_rows(out: DataFrame) -> DataFrame:
+    """The candle revisions of the stream's output (without the late ticks)."""
+    return out.where(F.col("kind") == "candle").drop("kind") if "kind" in out.columns else out
+
+
+def late_rows(out: DataFrame) -> DataFrame:
+    """F3 / W5 in the stream: the ticks the candle builder skipped, with their bucket (``open_us``), price and time."""
+    return out.where(F.col("kind") == "late").select(
+        "exchange", "symbol", "open_us", F.col("close").alias("price"), F.col("published_us").alias("event_us"))
+
+
 def latest_candles(revisions: DataFrame, drain: bool = True) -> DataFrame:
     """A6 over the stream's output: the last revision of every candle; ``drain`` (W4) marks open ones final."""
+    revisions = candle_rows(revisions)
     keys = ["exchange", "symbol", "timeframe", "open_us"]
     cols = [c for c in revisions.columns if c not in keys]
     latest = revisions.groupBy(*keys).agg(
