@@ -23,3 +23,13 @@ def test_candles_store_live_history_jobs(spark, capsys):
     assert lines and all(x["symbol"] == "click" and x["timeframe"] == "1m" for x in lines)
     assert [x["openTime"] for x in lines] == sorted(x["openTime"] for x in lines)
     assert spark.read.parquet(f"{base}/store").count() > 0
+
+
+def test_candles_job_with_late_sink(spark):
+    base = tempfile.mkdtemp(prefix="tickengine-jobs-late-")
+    tick_envelopes(tick_proxy(spark, SF_SMALL)).coalesce(1).write.parquet(f"{base}/ticks")
+    assert jobs.run(["candles", "--source", f"files://{base}/ticks", "--sink", f"files://{base}/msgs",
+                     "--late", f"files://{base}/late", "--timer", "event", "--checkpoint", f"{base}/ck", "--once"],
+                    spark) == 0
+    assert spark.read.parquet(f"{base}/late").count() > 0
+    assert spark.read.parquet(f"{base}/msgs").where("value like '%candle.closed%'").count() > 0

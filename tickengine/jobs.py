@@ -68,6 +68,7 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> int
     c.add_argument("--timer", choices=["event", "processing"], default="processing")
     c.add_argument("--grace-seconds", type=int, default=2)
     c.add_argument("--dead-letter", default=None, help="sink for records that do not parse (F2)")
+    c.add_argument("--late", default=None, help="files:// sink for late ticks (F3)")
     s = sub.add_parser("store", help="candle messages -> partitioned Parquet store")
     s.add_argument("--source", required=True)
     s.add_argument("--store", required=True)
@@ -97,7 +98,30 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> int
                                 timer=args.timer)
         msgs = S.candle_messages(CS.candle_rows(revs).withColumn(
             "event", F.when(F.col("is_final"), "candle.closed").otherwise("candle.updated")), topic=CANDLES_TOPIC)
-        query = _sink(msgs, args.sink, _ckpt(spark, args, "candles"), args.once)
+        if args.late:
+            # one stream, two outputs: candle messages and late ticks, written per micro-batch
+            late_path = args.late[len("files://"):]
+            sink_uri = args.sink
+
+            def both(batch: DataFrame, batch_id: int) -> None:
+                batch.persist()
+                try:
+                    out = S.candle_messages(CS.candle_rows(batch).withColumn(
+                        "event", F.when(F.col("is_final"), "candle.closed").otherwise("candle.updated")))
+                    if sink_uri.startswith("kafka://"):
+                        servers, topic = sink_uri[len("kafka://"):].split("/", 1)
+                        K.kafka_sink(out, servers, topic)
+                    else:
+                        out.write.mode("append").parquet(sink_uri[len("files://"):])
+                    CS.late_rows(batch).write.mode("append").parquet(late_path)
+                finally:
+                    batch.unpersist()
+
+            trigger = {"availableNow": True} if args.once else {"processingTime": "500 milliseconds"}
+            query = revs.writeStream.foreachBatch(both).option(
+                "checkpointLocation", _ckpt(spark, args, "candles")).trigger(**trigger).start()
+        else:
+            query = _sink(msgs, args.sink, _ckpt(spark, args, "candles"), args.once)
         if args.dead_letter:
             bad = bad_records(parse_ticks(_source(spark, args.source)))
             dlq = _sink(bad, args.dead_letter, _ckpt(spark, args, "candles-dead-letter"), args.once)
