@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -57,11 +58,34 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="tickengine-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Give the workers this package: a zip of its sources, sent once per application by Spark itself. Python
+    functions that run in tasks are pickled by reference, so a worker must be able to import their modules."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        here = os.path.dirname(os.path.abspath(__file__))
+        out = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="tickengine-src-")), "tickengine-src.zip")
+        with zipfile.ZipFile(out, "w") as z:
+            for folder, _, names in os.walk(here):
+                for name in names:
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        z.write(full, os.path.relpath(full, os.path.dirname(here)))
+        spark.sparkContext.addPyFile(out)
+        _shipped.add(app)
+    return spark
+
+
 def materialize(df):
     """Write an intermediate that several consumers read once, as a Parquet table in the shared checkpoint folder,
     and read it back: its lineage is computed once instead of once per consumer, and it is cut, so a lost
