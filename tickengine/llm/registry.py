@@ -6,17 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickengine.llm import packing, topk
+from tickengine.llm import decontamination, packing, tokencount, topk
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_decontamination": decontamination.op2_decontamination,
         "op3_packing": packing.op3_packing,
+        "op5_token_counts": tokencount.op5_token_counts,
         "op8_topk": topk.op8_topk,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_decontamination": decontamination.OP2_SQL,
         "op8_topk": topk.OP8_SQL,
     }
