@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickengine.llm import decontamination, packing, tokencount, topk
+from tickengine.llm import decontamination, nearduplicates, packing, tokencount, topk
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_packing": packing.op3_packing,
         "op5_token_counts": tokencount.op5_token_counts,
         "op8_topk": topk.op8_topk,
+        "op10_near_duplicates": nearduplicates.op10_near_duplicates,
     }
 
 
@@ -22,4 +23,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_decontamination": decontamination.OP2_SQL,
         "op8_topk": topk.OP8_SQL,
+        "op10_near_duplicates": nearduplicates.OP10_SQL,
     }
