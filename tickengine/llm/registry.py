@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickengine.llm import decontamination, nearduplicates, packing, tokencount, topk
+from tickengine.llm import decontamination, nearduplicates, packing, passages, suffixlevels, tokencount, topk
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_passages": passages.op1_passages,
         "op2_decontamination": decontamination.op2_decontamination,
         "op3_packing": packing.op3_packing,
+        "op4_suffix_levels": suffixlevels.op4_suffix_levels,
         "op5_token_counts": tokencount.op5_token_counts,
         "op8_topk": topk.op8_topk,
         "op10_near_duplicates": nearduplicates.op10_near_duplicates,
@@ -21,7 +23,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_passages": passages.OP1_SQL,
         "op2_decontamination": decontamination.OP2_SQL,
+        "op4_suffix_levels": suffixlevels.OP4_SQL,
         "op8_topk": topk.OP8_SQL,
         "op10_near_duplicates": nearduplicates.OP10_SQL,
     }
