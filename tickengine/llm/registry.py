@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickengine.llm import decontamination, nearduplicates, packing, passages, suffixlevels, tokencount, topk
+from tickengine.llm import decontamination, licenses, nearduplicates, packing, passages, suffixlevels, tokencount, topk
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_suffix_levels": suffixlevels.op4_suffix_levels,
         "op5_token_counts": tokencount.op5_token_counts,
         "op8_topk": topk.op8_topk,
+        "op9_licenses": licenses.op9_licenses,
         "op10_near_duplicates": nearduplicates.op10_near_duplicates,
     }
 
@@ -27,5 +28,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_decontamination": decontamination.OP2_SQL,
         "op4_suffix_levels": suffixlevels.OP4_SQL,
         "op8_topk": topk.OP8_SQL,
+        "op9_licenses": licenses.OP9_SQL,
         "op10_near_duplicates": nearduplicates.OP10_SQL,
     }
