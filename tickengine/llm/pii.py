@@ -357,7 +357,7 @@ def op7_private(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     found = find_private(documents(spark, sf_dir), train(labelled_table(spark)))
     base = F.filter("_spans", lambda s: s["pattern"])
-    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    counts = [F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in KINDS]  # noqa: B023
     return found.select("doc_id", *counts, F.sha2(_digest(base), 256).alias("base_sha256"), _digest(F.col("_spans")).alias("spans"))
 
 
