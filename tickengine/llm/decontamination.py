@@ -16,7 +16,6 @@ repeated item ids count once; repeated documents give repeated rows; other colum
 
 from __future__ import annotations
 
-import hashlib
 import uuid
 from collections.abc import Iterator
 
@@ -24,9 +23,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickengine.llm import textkit as tk
-from tickengine.llm.common import documents
+from tickengine.llm.common import documents, keeping_columns
 from tickengine.session import ship
 
 WIDTH = 13
@@ -237,12 +237,9 @@ def benchmark_hits(docs: DataFrame, items: DataFrame, width: int = WIDTH, shard_
                      pa.array(ids, pa.list_(pa.string()))],
                     names=[*names, "_n_words", "_n_hit", "_spans", "_items"])
 
-    if keep_columns:
-        source, before = docs, docs.schema.simpleString()[len("struct<") : -1]
-        before = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    else:
-        source, before = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id long"
-    return source.mapInArrow(scan, f"{before}, {out}")
+    source = docs if keep_columns else docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    kept = [f for f in source.schema.fields if keep_columns or f.name != "text"]
+    return source.mapInArrow(scan, T.StructType(kept + T.StructType.fromDDL(out).fields))
 
 
 def contaminated(min_cover: int = MIN_COVER):
@@ -260,8 +257,8 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: contaminated documents go, the others stay as they are."""
     ship(spark)
-    hits = benchmark_hits(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), keep_columns=True)
-    return hits.filter(~contaminated()).select(*docs.columns)
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return keeping_columns(docs, lambda plain: benchmark_hits(plain, items, keep_columns=True).filter(~contaminated()))
 
 
 OP2_SQL = r"""

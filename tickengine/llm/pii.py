@@ -20,9 +20,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickengine.llm import textkit as tk
-from tickengine.llm.common import documents
+from tickengine.llm.common import documents, keeping_columns
 from tickengine.session import ship
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -344,8 +345,7 @@ def find_private(docs: DataFrame, field: Field, keep_columns: bool = False) -> D
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(out, _SPANS_TYPE)], names=[*part.schema.names[: len(columns)], "_spans"])
 
     if keep_columns:
-        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-        return docs.mapInArrow(scan, f"{schema}, _spans {_SPANS}")
+        return docs.mapInArrow(scan, T.StructType(list(docs.schema.fields)).add("_spans", T.DataType.fromDDL(_SPANS)))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(scan, f"doc_id long, _spans {_SPANS}")
 
 
@@ -376,10 +376,14 @@ def masked(text, spans):
 def private_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: personal data is masked in the texts; every document stays, ``n_chars`` follows the text."""
     ship(spark)
-    found = find_private(docs, train(labelled_table(spark)), keep_columns=True)
-    found = found.withColumn("_masked", masked(F.col("text"), F.col("_spans")))
-    columns = {"text": F.col("_masked").alias("text")}
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        columns["n_chars"] = F.when(F.size("_spans") == 0, F.col("n_chars")).otherwise(F.length("_masked").cast(kind)).alias("n_chars")
-    return found.select(*(columns.get(c, F.col(f"`{c}`")) for c in docs.columns))
+    field = train(labelled_table(spark))
+
+    def mask(plain: DataFrame) -> DataFrame:
+        found = find_private(plain, field, keep_columns=True).withColumn("_masked", masked(F.col("text"), F.col("_spans")))
+        columns = {"text": F.col("_masked")}
+        if "n_chars" in plain.columns:
+            kind = plain.schema["n_chars"].dataType
+            columns["n_chars"] = F.when(F.size("_spans") == 0, F.col("n_chars")).otherwise(F.length("_masked").cast(kind))
+        return found.select(*(columns.get(c, F.col(c)).alias(c) for c in plain.columns))
+
+    return keeping_columns(docs, mask)

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickengine.llm import decontamination, licenses, nearduplicates, packing, passages, pii, suffixlevels, tokencount, topk
+import corpus_pipeline
+from tickengine.llm import decontamination, licenses, nearduplicates, packing, passages, pii, quality, suffixlevels, tokencount, topk
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,10 +17,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_packing": packing.op3_packing,
         "op4_suffix_levels": suffixlevels.op4_suffix_levels,
         "op5_token_counts": tokencount.op5_token_counts,
+        "op6_quality": quality.op6_quality,
         "op7_private": pii.op7_private,
         "op8_topk": topk.op8_topk,
         "op9_licenses": licenses.op9_licenses,
         "op10_near_duplicates": nearduplicates.op10_near_duplicates,
+        "pipeline": corpus_pipeline.run,
     }
 
 
