@@ -2,6 +2,8 @@
 
 import re
 
+import pytest
+
 from tickengine.operators import candles as C
 from tickengine.operators import feed as FD
 from tickengine.operators.parse import parse_ticks
@@ -17,11 +19,25 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_candles_shuffle_by_chunk_and_hash_aggregate(spark):
-    p = plan(C.candles(tick_proxy(spark, SF_SMALL), PROXY_TICKS, "1m"))
-    assert re.search(r"hashpartitioning\(exchange#\d+, symbol#\d+, _chunk#\d+", p), "ticks must shuffle by chunk"
-    assert "SortAggregate" not in p
-    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+def final(p: str) -> str:
+    return p[: p.index("== Initial Plan ==")] if "== Initial Plan ==" in p else p
+
+
+@pytest.mark.parametrize("build", [C.candles, C.candle_revisions])
+def test_ticks_are_parsed_and_shuffled_once(spark, build):
+    from tickengine.operators.parse import good_ticks
+    from tickengine.schema import ENVELOPE_TICKS
+
+    for ticks, spec in ((tick_proxy(spark, SF_SMALL), PROXY_TICKS),
+                        (good_ticks(parse_ticks(tick_envelopes(tick_proxy(spark, SF_SMALL)))), ENVELOPE_TICKS)):
+        df = build(ticks, spec, "1m")
+        df.collect()
+        p = final(df._jdf.queryExecution().executedPlan().toString())
+        assert p.count("REPARTITION_BY_COL") - len(re.findall(r"ReusedExchange[^\n]*REPARTITION_BY_COL", p)) == 1
+        assert p.count("FileScan") == 1 and len(re.findall(r"parseJson|try_parse_json", p)) <= 1
+        assert "InsertInto" not in p and "InMemoryRelation" not in p
+        # whatever else is shuffled is a row per cell, or per cell and candle
+        assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
 
 
 def test_route_is_an_equi_join(spark):

@@ -7,10 +7,10 @@ Semantics (reference candle builder):
 - volume: the opening tick adds 0; every later tick adds ``max(cum - prev_cum, 0)`` when its cumulative volume and
   the last known cumulative volume of the candle are both present, else its size when positive, else 0.
 
-Candle-level values are partial aggregates (``min_by`` / ``max_by`` on the arrival struct). The per-tick volume
-increment needs the last non-null cumulative volume before the tick inside the candle, computed in two levels over
-arrival chunks. The window ``(instrument, chunk, bucket)`` is clustered by the late-drop window's
-``(instrument, chunk)`` partitioning, so no second shuffle of the ticks is needed.
+Plan: the ticks are parsed and shuffled once, by cell (instrument and arrival chunk, see :mod:`.chunks`). Accepted
+ticks have buckets that never fall along an instrument's arrivals, so only the first bucket of a cell can continue a
+candle of earlier cells: one carry row a cell, joined on the cell, is all that the windows need from outside. A cell's
+ticks fold into one row per candle (ordered as the window left them), and those rows into candles.
 """
 
 from __future__ import annotations
@@ -19,42 +19,40 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import TickSpec, timeframe_micros
-from ..session import materialize
-from .chunks import arrival, chunk_cols, prior_chunks
+from .chunks import RANK, arrival, cell_cols, prior_cells
 from .late import mark_late, with_bucket
 
 
 def _inside(spec: TickSpec) -> Window:
-    return Window.partitionBy(*spec.keys, *chunk_cols(spec), "bucket").orderBy(*spec.order)
+    return Window.partitionBy(*cell_cols(spec), "bucket").orderBy(*spec.order)
+
+
+def _carried(accepted: DataFrame, spec: TickSpec, summary: list[Column], prefix: list[Column]) -> DataFrame:
+    """Joins to each accepted tick what earlier cells hold of its candle: ``summary`` aggregates per cell and bucket,
+    ``prefix`` columns over the earlier cells of the candle (null where the candle starts in this cell)."""
+    cell = cell_cols(spec)
+    before = prior_cells([*spec.keys, "bucket"])
+    cells = accepted.groupBy(*cell, "bucket").agg(F.first(RANK).alias(RANK), F.count(F.lit(1)).alias("_n"), *summary)
+    carry = cells.select(*cell, F.col("bucket").alias("_carry_bucket"), F.sum("_n").over(before).alias("_carry_n"),
+                         *[c.over(before).alias(f"_carry_{name}") for name, c in prefix])
+    # at most one bucket of a cell continues a candle, so this stays one row a cell
+    carry = carry.where(F.col("_carry_n").isNotNull())
+    joined = accepted.join(carry.hint("merge"), cell, "left")
+    same = F.col("bucket") == F.col("_carry_bucket")
+    names = ["n", *[name for name, _ in prefix]]
+    return joined.withColumns({f"_carry_{n}": F.when(same, F.col(f"_carry_{n}")) for n in names}).drop("_carry_bucket")
 
 
 def with_increments(accepted: DataFrame, spec: TickSpec) -> DataFrame:
-    """A2: adds ``inc`` (volume added by the tick) and ``is_open_tick`` to accepted ticks carrying ``bucket``
-    and ``_chunk``."""
-    keys = list(spec.keys)
-    ck = chunk_cols(spec)
+    """A2: adds ``inc`` (volume added by the tick) and ``is_open_tick`` to accepted ticks carrying ``bucket`` and the
+    cell columns."""
     cum = F.col(spec.cum)
     size = F.col(spec.size)
-    group = [*keys, "bucket"]
-
-    per_chunk = accepted.groupBy(*group, *ck).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.max_by(cum, F.when(cum.isNotNull(), arrival(spec))).alias("_last_cum"),
-    )
-    before = prior_chunks(group, ck)
-    carry = per_chunk.select(
-        *group,
-        *ck,
-        F.sum("_n").over(before).alias("_carry_n"),
-        F.last("_last_cum", ignorenulls=True).over(before).alias("_carry_cum"),
-    ).where(F.col("_carry_n").isNotNull())
-
     w = _inside(spec)
-    t = (
-        accepted.withColumn("_rn", F.row_number().over(w))
-        .withColumn("_prev_cum", F.last(cum, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)))
-        .join(carry, [*group, *ck], "left")
-    )
+    t = _carried(accepted, spec, [F.max_by(cum, F.when(cum.isNotNull(), arrival(spec))).alias("_last_cum")],
+                 [("cum", F.last("_last_cum", ignorenulls=True))])
+    t = t.withColumn("_rn", F.row_number().over(w)).withColumn(
+        "_prev_cum", F.last(cum, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)))
     opening = (F.col("_rn") == 1) & F.col("_carry_n").isNull()
     prev_cum = F.coalesce(F.col("_prev_cum"), F.col("_carry_cum"))
     inc = (
@@ -63,18 +61,13 @@ def with_increments(accepted: DataFrame, spec: TickSpec) -> DataFrame:
         .when(size > 0, size)
         .otherwise(F.lit(0))
     )
-    return t.withColumn("inc", inc).withColumn("is_open_tick", opening).drop(
-        "_rn", "_prev_cum", "_carry_n", "_carry_cum"
-    )
+    return t.withColumn("inc", inc).withColumn("is_open_tick", opening).drop("_rn", "_prev_cum", "_carry_n", "_carry_cum")
 
 
 def accepted_ticks(ticks: DataFrame, spec: TickSpec, timeframe: str = "1m") -> DataFrame:
-    """F3 + A2: accepted ticks with ``bucket``, ``_chunk``, ``inc``, ``is_open_tick``.
-
-    The accepted ticks feed both the volume carry summary and the per-tick window, so they are materialized once
-    rather than recomputed (scan, shuffle, window) for each."""
+    """F3 + A2: accepted ticks with ``bucket``, the cell columns, ``inc``, ``is_open_tick``; one shuffle of ticks."""
     marked = mark_late(ticks, spec, timeframe)
-    return with_increments(materialize(marked.where(~F.col("is_late")).drop("is_late")), spec)
+    return with_increments(marked.where(~F.col("is_late")).drop("is_late"), spec)
 
 
 def _time_cols(timeframe: str) -> list[Column]:
@@ -97,25 +90,25 @@ def candles(ticks: DataFrame, spec: TickSpec, timeframe: str = "1m") -> DataFram
 
 def candles_from_accepted(acc: DataFrame, spec: TickSpec, timeframe: str, published: bool = False) -> DataFrame:
     price = F.col(spec.price)
-    ordv = arrival(spec)
-    aggs = [
-        F.min_by(price, ordv).alias("open"),
-        F.max(price).alias("high"),
-        F.min(price).alias("low"),
-        F.max_by(price, ordv).alias("close"),
-        F.sum("inc").alias("volume"),
-        F.count(F.lit(1)).alias("tick_count"),
+    pos = arrival(spec)
+    # one row per cell and candle: no exchange, the accepted ticks are partitioned by cell
+    per_cell = [
+        F.min_by(price, pos).alias("open"), F.max(price).alias("high"), F.min(price).alias("low"), F.max_by(price, pos).alias("close"),
+        F.sum("inc").alias("volume"), F.count(F.lit(1)).alias("tick_count"), F.min(pos).alias("_from"), F.max(pos).alias("_to"),
+    ]
+    whole = [
+        F.min_by("open", "_from").alias("open"), F.max("high").alias("high"), F.min("low").alias("low"),
+        F.max_by("close", "_to").alias("close"), F.sum("volume").alias("volume"), F.sum("tick_count").alias("tick_count"),
     ]
-    if published:
-        aggs.append(F.max_by(F.col(spec.time_us), ordv).alias("published_us"))
-    out = acc.groupBy(*spec.keys, "bucket").agg(*aggs)
-    cur = []
     if spec.currency:
-        # the candle's currency is its opening tick's (one row per candle): a join keeps the aggregate above
-        # numeric-only, so it runs as a hash aggregate instead of sorting every tick
-        first = acc.where(F.col("is_open_tick")).select(*spec.keys, "bucket", F.col(spec.currency).alias("currency"))
-        out = out.join(first, [*spec.keys, "bucket"], "left")
-        cur = ["currency"]
+        # the candle's currency is its opening tick's, even a missing one
+        per_cell.append(F.min_by(F.col(spec.currency), pos).alias("currency"))
+        whole.append(F.min_by("currency", "_from").alias("currency"))
+    if published:
+        per_cell.append(F.max_by(F.col(spec.time_us), pos).alias("published_us"))
+        whole.append(F.max_by("published_us", "_to").alias("published_us"))
+    out = acc.groupBy(*cell_cols(spec), "bucket").agg(*per_cell).groupBy(*spec.keys, "bucket").agg(*whole)
+    cur = ["currency"] if spec.currency else []
     pub = ["published_us"] if published else []
     return out.select(
         *spec.keys, *_time_cols(timeframe), *cur, "open", "high", "low", "close", "volume", "tick_count", *pub
@@ -130,41 +123,25 @@ def candle_revisions(ticks: DataFrame, spec: TickSpec, timeframe: str = "1m") ->
     for the close, so (keys, open_us, rev) is unique and ordered like the reference's publications.
     """
     keys = list(spec.keys)
-    ck = chunk_cols(spec)
-    group = [*keys, "bucket"]
     price = F.col(spec.price)
-    acc = materialize(accepted_ticks(ticks, spec, timeframe))  # read by the carry, the window and the closes
-
-    per_chunk = acc.groupBy(*group, *ck).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.sum("inc").alias("_vol"),
-        F.max(price).alias("_hi"),
-        F.min(price).alias("_lo"),
-        F.min_by(price, arrival(spec)).alias("_open"),
-    )
-    before = prior_chunks(group, ck)
-    carry = per_chunk.select(
-        *group,
-        *ck,
-        F.sum("_n").over(before).alias("_carry_n"),
-        F.sum("_vol").over(before).alias("_carry_vol"),
-        F.max("_hi").over(before).alias("_carry_hi"),
-        F.min("_lo").over(before).alias("_carry_lo"),
-        F.first("_open", ignorenulls=True).over(before).alias("_carry_open"),
-    ).where(F.col("_carry_n").isNotNull())
+    acc = accepted_ticks(ticks, spec, timeframe)
+    pos = arrival(spec)
+    summary = [F.sum("inc").alias("_vol"), F.max(price).alias("_hi"), F.min(price).alias("_lo"), F.min_by(price, pos).alias("_open")]
+    prefix = [("vol", F.sum("_vol")), ("hi", F.max("_hi")), ("lo", F.min("_lo")), ("open", F.first("_open", ignorenulls=True))]
+    if spec.currency:
+        summary.append(F.min_by(F.struct(F.col(spec.currency).alias("c")), pos).alias("_cur"))
+        prefix.append(("cur", F.first("_cur", ignorenulls=True)))
+    t = _carried(acc, spec, summary, prefix)
 
     running = _inside(spec).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cur = []
     if spec.currency:
-        # the candle keeps its opening tick's currency, even a missing one (one row per candle, joined)
-        opening = acc.where(F.col("is_open_tick")).select(*group, F.col(spec.currency).alias("_cur0"))
-        acc = acc.join(opening, group, "left")
-        cur = [F.col("_cur0").alias("currency")]
-    upd = acc.join(carry, [*group, *ck], "left").select(
+        own = F.first(F.struct(F.col(spec.currency).alias("c"))).over(running)
+        cur = [F.coalesce(F.col("_carry_cur"), own)["c"].alias("currency")]
+    upd = t.select(
         *keys,
         *_time_cols(timeframe),
         *cur,
-        F.lit("candle.updated").alias("event"),
         F.coalesce(F.col("_carry_open"), F.first(price).over(running)).alias("open"),
         F.greatest(F.col("_carry_hi"), F.max(price).over(running)).alias("high"),
         F.least(F.col("_carry_lo"), F.min(price).over(running)).alias("low"),
@@ -172,9 +149,8 @@ def candle_revisions(ticks: DataFrame, spec: TickSpec, timeframe: str = "1m") ->
         F.col(spec.time_us).alias("published_us"),
         (F.coalesce(F.col("_carry_vol"), F.lit(0)) + F.sum("inc").over(running)).alias("volume"),
         (F.coalesce(F.col("_carry_n"), F.lit(0)) + F.count(F.lit(1)).over(running)).alias("tick_count"),
-        F.lit(False).alias("is_final"),
     )
-    upd = upd.withColumn("rev", F.col("tick_count"))
+    upd = upd.withColumns({"event": F.lit("candle.updated"), "is_final": F.lit(False), "rev": F.col("tick_count")})
     # a closed candle is published when its minute is superseded; in a bounded batch it carries the time of its
     # last accepted tick
     closed = (

@@ -92,13 +92,14 @@ def timeframe_micros(timeframe: str) -> int:
 class TickSpec:
     """Column roles of a tick DataFrame.
 
-    ``order`` is the arrival order (Kafka: partition, offset). ``seq`` is the order column that grows along the
+    ``order`` is the arrival order inside a partition (Kafka: offset); an instrument's partitions follow one another by
+    first record timestamp. ``seq`` is the order column that grows along the
     stream; arrival chunks are ``seq div chunk_size`` inside ``seq_prefix`` (Kafka: per partition). Chunks let a
     hot instrument's running state be computed by many tasks instead of one.
     """
 
     keys: tuple[str, ...] = ("exchange", "symbol")
-    order: tuple[str, ...] = ("partition", "offset")
+    order: tuple[str, ...] = ("offset",)
     seq: str = "offset"
     seq_prefix: tuple[str, ...] = ("partition",)
     price: str = "price"
@@ -106,7 +107,10 @@ class TickSpec:
     cum: str = "cumulative_volume"
     time_us: str = "event_us"
     currency: str | None = "currency"
-    chunk_size: int = 1 << 16
+    # arrivals of a chunk: bounds the ticks of one instrument in one task, and should be many per instrument
+    chunk_size: int = 1 << 22
+    # record timestamp: an instrument that moves to another partition continues there (null: one partition)
+    record_time: str | None = None
     # one BIGINT with the same order as ``order``: lets min_by / max_by run as hash aggregates (a struct
     # ordering forces a sort of every tick)
     order_key: str | None = None
@@ -115,8 +119,8 @@ class TickSpec:
         return replace(self, chunk_size=chunk_size)
 
 
-# ticks parsed from envelopes: arrival = (partition, offset); offsets stay below 2^48 per partition
-ENVELOPE_TICKS = TickSpec(order_key="shiftleft(cast(`partition` as bigint), 48) + `offset`")
+# ticks parsed from envelopes: offsets stay below 2^48 per partition
+ENVELOPE_TICKS = TickSpec(order_key="`offset`", order=("offset",), record_time="timestamp")
 
 # the FIXTURES proxy built from `events`: arrival = (arrival, event_id), integer cents
 PROXY_TICKS = TickSpec(
