@@ -35,11 +35,11 @@ def _windows(lengths: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _locate(width: int):
-    def locate(batches: list[Batch]) -> list[np.ndarray]:
+    def locate(batches: list[Batch]) -> np.ndarray:
         import ahocorasick
 
         interned: dict[bytes, int] = {}
-        sizes, ids, tokens = [], [], []
+        sizes, tokens = [], []
         for batch in batches:
             at = 0
             for n in batch.lengths.tolist():
@@ -47,32 +47,34 @@ def _locate(width: int):
                 at += n
                 sizes.append(len(piece))
                 tokens.extend(piece)
-            ids.append(batch.ids)
-        lengths, ids = np.array(sizes, dtype=np.int64), np.concatenate(ids)
+        lengths, ids = np.array(sizes, dtype=np.int64), np.concatenate([b.ids for b in batches])
         words = np.array(tokens, dtype=np.uint64)
         starts, piece = _windows(lengths, width)
-        # confirm: windows that two documents hold, and the first document of each
+        # confirm: passages that pieces of different first documents hold, and the first document of each
         hashes = tk.windows_hash(tk.rolling(tk.mix(words + np.uint64(1))), width)[starts]
         order = np.argsort(hashes, kind="stable")
-        first = np.flatnonzero(np.concatenate([[True], hashes[order][1:] != hashes[order][:-1]]))
+        heads = np.flatnonzero(np.concatenate([[True], hashes[order][1:] != hashes[order][:-1]]))
         by_window = ids[piece][order]
-        least, most = np.minimum.reduceat(by_window, first), np.maximum.reduceat(by_window, first)
+        least, most = np.minimum.reduceat(by_window, heads), np.maximum.reduceat(by_window, heads)
         recurs = np.flatnonzero(least < most)
+        first = ids[piece]  # a passage of one piece only starts where the piece does
+        if not len(recurs):
+            return first
         automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-        for k in recurs.tolist():
-            at = int(starts[order[first[k]]])
+        for k, at in zip(recurs.tolist(), starts[order[heads[recurs]]].tolist(), strict=True):
             automaton.add_word(tuple(tokens[at : at + width]), k)
+        automaton.make_automaton()
         found = np.full(int(lengths.sum()), -1, dtype=np.int64)
-        if len(recurs):
-            automaton.make_automaton()
-            bounds = np.concatenate([[0], np.cumsum(lengths)]).tolist()
-            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-                for end, k in automaton.iter(tuple(tokens[a:b])):
-                    found[a + end - width + 1] = k
+        touched = np.zeros(len(lengths), dtype=bool)
+        shared = np.zeros(len(heads), dtype=bool)
+        shared[recurs] = True
+        touched[piece[order[np.repeat(shared, np.diff(np.append(heads, len(order))))]]] = True
+        ends = np.cumsum(lengths)
+        for a, b in zip((ends - lengths)[touched].tolist(), ends[touched].tolist(), strict=True):
+            for end, k in automaton.iter(tuple(tokens[a:b])):
+                found[a + end - width + 1] = k
         found = found[starts]
-        hit = (found >= 0) & (least[found] < ids[piece])
-        cuts = np.cumsum([len(b.lengths) for b in batches])[:-1]
-        return np.split(hit, np.searchsorted(piece, cuts))
+        return np.where(found >= 0, least[found], first)
 
     return locate
 

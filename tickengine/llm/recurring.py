@@ -1,20 +1,22 @@
 """Windows of ``width`` units (words or bytes) that recur in documents of different ids, at any scale.
 
-Documents are dealt into slices of about ``SLICE_TEXT`` bytes by a hash of doc_id. Everything that leaves a slice is
-packed: one row per slice and receiving part, its entries combined inside the slice, so that a passage which a third
-of all documents hold arrives once a slice. Nothing is gathered by passage.
+Copies of a whole text lose everything to the first of them and take no further part. Documents are dealt into slices
+of about ``SLICE_TEXT`` bytes by a hash of doc_id. Everything that leaves a slice is packed: one row per slice and
+receiving part, its entries combined inside the slice, so that a passage which a third of all documents hold arrives
+once a slice. Nothing is gathered by passage.
 
 1. :func:`find` -- each window has a minimiser, the least hash of its runs of ``seed`` units; equal windows have equal
    minimisers. The minimisers of a slice go to parts by value; a part answers which of them occur in two documents.
 2. Windows with such a minimiser are candidates. Consecutive ones with one minimiser make a piece; the distinct pieces
    of a slice, with the least doc_id that holds each, go to shards by minimiser, so all copies of a window meet.
-3. ``match`` (the operator's own method) decides in a shard, exactly, which windows of a piece also start in a
-   document with a smaller id than the piece's. The other documents of a slice that hold the piece have such a
-   document in any case.
+3. In a shard, equal pieces are one; ``match`` (the operator's own method) finds, exactly, the smallest doc_id in which
+   each window of the distinct pieces starts. A slice gets back whether that is smaller than its own least one; the
+   slice's other documents with the piece have such a document in any case.
 4. ``finish`` gets each document's hit windows, back in the slices, and makes the result.
 
 The pieces of a slice are derived twice (steps 2 and 4) from rows in one fixed order, so answers need no ids. All of it
 is one lazy plan: documents are shuffled once and that exchange is reused; a lost executor costs recomputed tasks.
+Rows that leave the slices never outnumber their entries.
 """
 
 from __future__ import annotations
@@ -30,8 +32,8 @@ from pyspark.sql import functions as F
 from tickengine.llm import textkit as tk
 from tickengine.llm.common import ratio, shuffle_partitions
 
-SLICE_TEXT = 16 << 20
-SHARD_TEXT = 4 << 20
+SLICE_TEXT = 8 << 20
+SHARD_TEXT = 2 << 20
 
 _PACK = "shard long, slice long, blob binary, lengths binary, ids binary, keys binary"
 _NO_ID = np.iinfo(np.int64).max  # a null doc_id: no other document is later
@@ -52,6 +54,14 @@ class Units:
             return w, tk.rolling(w.hashes()), w.first
         return texts, tk.rolling(tk.byte_values(texts)), texts.offsets
 
+    def windows(self, batch: "Batch") -> np.ndarray:
+        """Windows of each piece of a batch."""
+        if self.kind == "bytes":
+            return batch.lengths - self.width + 1
+        spaces = np.concatenate([[0], np.cumsum(np.frombuffer(batch.data, dtype=np.uint8) == 0x20)])
+        ends = np.cumsum(batch.lengths)
+        return spaces[ends] - spaces[ends - batch.lengths] - self.width + 1
+
     def content(self, read, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bytes of the unit spans end to end, and their lengths. Words keep one space after each."""
         if self.kind == "bytes":
@@ -73,11 +83,11 @@ def word_bytes(w: tk.Words, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out, bounds
 
 
-def _minimisers(units: Units, prefix: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Minimiser of each window by its start (0 where no window starts), and whether one starts."""
+def _minimisers(units: Units, prefix: np.ndarray, first: np.ndarray, active: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Minimiser of each window by its start, and whether a window of an active document starts there."""
     seeds = tk.windows_hash(prefix, units.seed)
     least = tk.sliding(seeds, units.width - units.seed + 1, np.minimum)
-    ok = tk.inside_windows(first, units.width)
+    ok = tk.inside_windows(first, units.width, active)
     return (least[: len(ok)] | np.uint64(1)) ^ np.uint64(1), ok  # the low bit is left for a flag
 
 
@@ -89,6 +99,16 @@ def _doc_ids(table: pa.Table) -> np.ndarray:
     return table["doc_id"].fill_null(int(_NO_ID)).to_numpy()
 
 
+def _first_copies(docs: pa.Table, right: pa.Table) -> np.ndarray:
+    """Which rows (in order) stand for their text: the copy of the smallest doc_id."""
+    firsts = set(zip(right["first_id"].to_pylist(), right["first_hash"].to_pylist(), strict=True))
+    return np.array([x in firsts and x[0] is not None for x in zip(docs["doc_id"].to_pylist(), docs["text_hash"].to_pylist(), strict=True)], dtype=bool)
+
+
+def _keys(right: pa.Table) -> list[np.ndarray]:
+    return [np.frombuffer(b.as_buffer(), dtype=np.uint64) for b in right["keys"] if b.is_valid]
+
+
 def _parts(values: np.ndarray, parts: int) -> np.ndarray:
     return ((values >> np.uint64(24)) % np.uint64(parts)).astype(np.int64)
 
@@ -101,14 +121,17 @@ def _split(part: np.ndarray, order: np.ndarray) -> Iterator[tuple[int, np.ndarra
 
 
 def _seeds(units: Units, parts: int):
-    def seeds(table: pa.Table) -> pa.Table:
+    def seeds(table: pa.Table, firsts: pa.Table) -> pa.Table:
+        empty = pa.table({"part": pa.array([], pa.int64()), "slice": pa.array([], pa.int64()), "keys": pa.array([], pa.binary())})
+        if not table.num_rows or not firsts.num_rows:
+            return empty
         table = _ordered(table)
         texts, slice_id = tk.as_texts(table["text"]), table["slice"][0]
-        ids = _doc_ids(table)
+        ids, active = _doc_ids(table), _first_copies(table, firsts)
         values, docs = [], []
         for lo, hi in tk.slices(texts):
             _, prefix, first = units.read(tk.cut(texts, lo, hi))
-            least, ok = _minimisers(units, prefix, first)
+            least, ok = _minimisers(units, prefix, first, active[lo:hi])
             new = ok.copy()
             new[1:] &= (least[1:] != least[:-1]) | ~ok[:-1]
             at = np.flatnonzero(new)
@@ -119,7 +142,7 @@ def _seeds(units: Units, parts: int):
         values, docs = values[order], docs[order]
         starts = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else order
         if not len(starts):
-            return pa.table({"part": pa.array([], pa.int64()), "slice": pa.array([], pa.int64()), "keys": pa.array([], pa.binary())})
+            return empty
         many = np.minimum.reduceat(docs, starts) < np.maximum.reduceat(docs, starts)
         values = values[starts] | many.astype(np.uint64)
         part = _parts(values, parts)
@@ -151,26 +174,33 @@ def _recurring(table: pa.Table) -> pa.Table:
 
 @dataclass
 class Pieces:
-    """Candidate windows of one slice. Occurrences by row; distinct pieces by first occurrence."""
+    """Candidate windows of one slice: occurrences by row, and the distinct pieces by shard and first occurrence."""
 
     rows: np.ndarray  # occurrence -> row of the slice
     starts: np.ndarray  # occurrence -> first window, in units of its document
     counts: np.ndarray  # occurrence -> windows
     piece: np.ndarray  # occurrence -> distinct piece
+    shard: np.ndarray  # distinct piece -> shard, ascending
     key: np.ndarray  # distinct piece -> minimiser
     least: np.ndarray  # distinct piece -> least doc_id
     windows: np.ndarray  # distinct piece -> windows
-    blob: list[np.ndarray]
+    blobs: list[list[bytes]]  # part of the slice -> shard group -> bytes of its pieces
     lengths: np.ndarray  # distinct piece -> bytes
 
+    def groups(self) -> Iterator[tuple[int, int, int]]:
+        """(shard, first piece, last piece + 1)"""
+        cuts = [0, *(np.flatnonzero(np.diff(self.shard)) + 1).tolist(), len(self.shard)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if b > a:
+                yield int(self.shard[a]), a, b
+
 
-def _pieces(units: Units, texts: tk.Texts, ids: np.ndarray, keys: list[np.ndarray], with_content: bool) -> Pieces:
+def _pieces(units: Units, texts: tk.Texts, ids: np.ndarray, active: np.ndarray, keys: list[np.ndarray], shards: int, with_content: bool) -> Pieces:
     wanted = np.unique(np.concatenate(keys)) if keys else np.zeros(0, np.uint64)
-    rows, starts, counts, hashes, key, spans = [], [], [], [], [], []
-    reads = []
+    rows, starts, counts, hashes, key, spans, parts = [], [], [], [], [], [], []
     for lo, hi in tk.slices(texts):
         read, prefix, first = units.read(tk.cut(texts, lo, hi))
-        least, ok = _minimisers(units, prefix, first)
+        least, ok = _minimisers(units, prefix, first, active[lo:hi])
         at = np.minimum(np.searchsorted(wanted, least), max(len(wanted) - 1, 0))
         ok &= (wanted[at] == least) if len(wanted) else False
         edge = np.ones(len(ok) + 1, dtype=bool)
@@ -188,43 +218,48 @@ def _pieces(units: Units, texts: tk.Texts, ids: np.ndarray, keys: list[np.ndarra
         hashes.append(tk.span_hash(prefix, a, ends))
         key.append(least[a])
         spans.append((a, ends))
-        reads.append(read if with_content else None)
+        parts.append((lo, hi))
     rows, starts, counts, hashes, key = (np.concatenate(x) for x in (rows, starts, counts, hashes, key))
     _, one, piece = np.unique(hashes, return_index=True, return_inverse=True)
+    shard = _parts(key[one], shards)
+    order = np.lexsort((one, shard))
+    place = np.empty(len(order), dtype=np.int64)
+    place[order] = np.arange(len(order))
+    one, shard, piece = one[order], shard[order], place[piece]
     least_id = np.full(len(one), _NO_ID)
     np.minimum.at(least_id, piece, ids[rows])
-    blob, lengths = [], np.zeros(len(one), dtype=np.int64)
+    found = Pieces(rows, starts, counts, piece, shard, key[one], least_id, counts[one], [], np.zeros(len(one), dtype=np.int64))
     if with_content:
         base = np.cumsum([0, *(len(a) for a, _ in spans)])
         part_of = np.searchsorted(base, one, "right") - 1
-        texts_of: list = [None] * len(one)
-        for k, (read, (a, e)) in enumerate(zip(reads, spans, strict=True)):
+        group_of = np.cumsum(np.concatenate([[0], np.diff(shard) != 0])) if len(shard) else shard
+        n_groups = int(group_of[-1]) + 1 if len(shard) else 0
+        for k, ((lo, hi), (a, e)) in enumerate(zip(parts, spans, strict=True)):
             mine = np.flatnonzero(part_of == k)
-            if len(mine):
-                local = one[mine] - base[k]
-                data, size = units.content(read, a[local], e[local])
-                cuts = np.concatenate([[0], np.cumsum(size)])
-                lengths[mine] = size
-                for i, p in enumerate(mine.tolist()):
-                    texts_of[p] = data[cuts[i] : cuts[i + 1]]
-        blob = texts_of
-    return Pieces(rows, starts, counts, piece, key[one], least_id, counts[one], blob, lengths)
+            read, _, _ = _without_hashes(units, tk.cut(texts, lo, hi))
+            local = one[mine] - base[k]
+            data, size = units.content(read, a[local], e[local])
+            found.lengths[mine] = size
+            cuts = np.concatenate([[0], np.cumsum(size)])
+            at = cuts[np.searchsorted(group_of[mine], np.arange(n_groups + 1))].tolist()
+            raw = data.tobytes()
+            found.blobs.append([raw[x:y] for x, y in zip(at[:-1], at[1:], strict=True)])
+    return found
 
 
 def _send(units: Units, shards: int):
-    def send(docs: pa.Table, answers: pa.Table) -> pa.Table:
+    def send(docs: pa.Table, right: pa.Table) -> pa.Table:
         empty = {c.split()[0]: pa.array([], pa.int64() if c.endswith("long") else pa.binary()) for c in _PACK.split(", ")}
-        if not docs.num_rows or not answers.num_rows:
+        keys = _keys(right)
+        if not docs.num_rows or not keys:
             return pa.table(empty)
         docs = _ordered(docs)
         slice_id = docs["slice"][0].as_py()
-        keys = [np.frombuffer(b.as_buffer(), dtype=np.uint64) for b in answers["keys"]]
-        p = _pieces(units, tk.as_texts(docs["text"]), _doc_ids(docs), keys, True)
-        shard = _parts(p.key, shards)
+        p = _pieces(units, tk.as_texts(docs["text"]), _doc_ids(docs), _first_copies(docs, right), keys, shards, True)
         out: list[list] = [[], [], [], [], [], []]
-        for s, rows in _split(shard, np.argsort(shard, kind="stable")):
-            packed = (s, slice_id, np.concatenate([p.blob[i] for i in rows.tolist()]).tobytes(), p.lengths[rows].astype("<i4").tobytes(),
-                      p.least[rows].tobytes(), np.unique(p.key[rows]).tobytes())
+        for group, (shard, a, b) in enumerate(p.groups()):
+            packed = (shard, slice_id, b"".join(blob[group] for blob in p.blobs), p.lengths[a:b].astype("<i4").tobytes(),
+                      p.least[a:b].tobytes(), np.unique(p.key[a:b]).tobytes())
             for column, value in zip(out, packed, strict=True):
                 column.append(value)
         return pa.table({name: pa.array(column, kind.type) for (name, kind), column in zip(empty.items(), out, strict=True)})
@@ -234,54 +269,75 @@ def _send(units: Units, shards: int):
 
 @dataclass
 class Batch:
-    """The pieces one slice sent to a shard: their bytes end to end, and each one's length and least doc_id."""
+    """The pieces that a slice is the first to send to a shard: their bytes end to end, and the length and least
+    doc_id of each."""
 
     data: bytes
     lengths: np.ndarray
     ids: np.ndarray
 
 
-def _answer(match: Callable[[list[Batch]], list[np.ndarray]]):
+def _answer(units: Units, match: Callable[[list[Batch]], np.ndarray]):
     def answer(table: pa.Table) -> pa.Table:
         table = table.sort_by("slice")
-        batches = [Batch(a, np.frombuffer(b, dtype="<i4").astype(np.int64), np.frombuffer(c, dtype=np.int64))
-                   for a, b, c in zip(*(table[x].to_pylist() for x in ("blob", "lengths", "ids")), strict=True)]
-        bits = [np.packbits(x).tobytes() for x in match(batches)]
+        known: dict[bytes, int] = {}
+        new: list[list[bytes]] = []
+        which = []
+        for blob, lengths in zip(table["blob"].to_pylist(), table["lengths"].to_pylist(), strict=True):
+            cuts = np.concatenate([[0], np.cumsum(np.frombuffer(lengths, dtype="<i4"))]).tolist()
+            before = len(known)
+            own = [blob[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            which.append(np.array([known.setdefault(x, len(known)) for x in own], dtype=np.int64))
+            new.append(own if len(known) - before == len(own) else [own[i] for i in np.unique(which[-1], return_index=True)[1] if which[-1][i] >= before])
+        ids = [np.frombuffer(x, dtype=np.int64) for x in table["ids"].to_pylist()]
+        least = np.full(len(known), _NO_ID)
+        np.minimum.at(least, np.concatenate(which), np.concatenate(ids))
+        del known
+        batches, at = [], 0
+        for own in new:
+            if own:
+                batches.append(Batch(b"".join(own), np.array([len(x) for x in own], dtype=np.int64), least[at : at + len(own)]))
+                at += len(own)
+        windows = np.concatenate([units.windows(b) for b in batches])
+        first = match(batches)
+        bounds = np.concatenate([[0], np.cumsum(windows)])
+        bits = []
+        for own, mine in zip(which, ids, strict=True):
+            at = tk.ranges(bounds[own], windows[own])
+            bits.append(np.packbits(first[at] < np.repeat(mine, windows[own])).tobytes())
         return pa.table({"slice": table["slice"], "shard": table["shard"], "keys": table["keys"], "bits": pa.array(bits, pa.binary())})
 
     return answer
 
 
 def _back(units: Units, shards: int, finish, schema: pa.Schema):
-    def back(docs: pa.Table, answers: pa.Table) -> pa.Table:
+    def back(docs: pa.Table, right: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return schema.empty_table()
         docs = _ordered(docs)
-        texts, ids = tk.as_texts(docs["text"]), _doc_ids(docs)
+        texts, ids, active = tk.as_texts(docs["text"]), _doc_ids(docs), _first_copies(docs, right)
+        copies = ~active & (ids != _NO_ID)
         hit_rows, hit_starts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        if answers.num_rows:
-            keys = [np.frombuffer(b.as_buffer(), dtype=np.uint64) for b in answers["keys"]]
-            p = _pieces(units, texts, ids, keys, False)
-            shard = _parts(p.key, shards)
-            bits_of = dict(zip(answers["shard"].to_pylist(), answers["bits"], strict=True))
+        if keys := _keys(right):
+            p = _pieces(units, texts, ids, active, keys, shards, False)
+            bits_of = {s: b for s, b in zip(right["shard"].to_pylist(), right["bits"], strict=True) if s is not None}
             # windows of distinct pieces stand end to end in ``hits``
             at = np.concatenate([[0], np.cumsum(p.windows)])
             hits = np.zeros(int(at[-1]), dtype=bool)
-            for s, rows in _split(shard, np.argsort(shard, kind="stable")):
+            for s, a, b in p.groups():
                 bits = np.unpackbits(np.frombuffer(bits_of[s].as_buffer(), dtype=np.uint8))
-                where = tk.ranges(at[rows], p.windows[rows])
-                hits[where] = bits[: len(where)].astype(bool)
-            windows = tk.ranges(at[p.piece], p.counts)
+                hits[at[a] : at[b]] = bits[: at[b] - at[a]].astype(bool)
             owner = np.repeat(np.arange(len(p.rows)), p.counts)
-            hit = hits[windows] | (ids[p.rows] > p.least[p.piece])[owner]
-            hit &= (ids[p.rows] != _NO_ID)[owner]
+            hit = hits[tk.ranges(at[p.piece], p.counts)] | (ids[p.rows] > p.least[p.piece])[owner]
             hit_rows = p.rows[owner][hit]
             hit_starts = tk.ranges(p.starts, p.counts)[hit]
         out = []
         for lo, hi in tk.slices(texts):
             a, b = np.searchsorted(hit_rows, [lo, hi])
             read, _, first = _without_hashes(units, tk.cut(texts, lo, hi))
-            removed = tk.covered(np.sort(first[hit_rows[a:b] - lo] + hit_starts[a:b]), units.width, int(first[-1]))
+            removed = tk.covered(first[hit_rows[a:b] - lo] + hit_starts[a:b], units.width, int(first[-1]))
+            n = np.diff(first)
+            removed |= np.repeat(copies[lo:hi] & (n >= units.width), n)
             out.append(pa.table([docs["doc_id"].slice(lo, hi - lo), *finish(read, first, removed)], schema=schema))
         return pa.concat_tables(out)
 
@@ -297,18 +353,26 @@ def _without_hashes(units: Units, texts: tk.Texts):
 
 def find(docs: DataFrame, units: Units, match, finish, columns: list[tuple[str, pa.DataType]], ddl: str,
          slice_text: int = SLICE_TEXT, shard_text: int = SHARD_TEXT) -> DataFrame:
-    """``match(batches)`` gives for each batch whether each of its windows also starts in a smaller document.
+    """``match(batches)`` gives the smallest doc_id of every window of the batches' pieces, end to end.
     ``finish(read, first, removed)`` gives the result columns after doc_id for some documents, from the units, their
     document bounds and which units a hit window covers."""
     spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     slices = max(shuffle_partitions(spark), ratio(total, slice_text))
     parts = max(shuffle_partitions(spark), ratio(total, shard_text))
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
-    own = own.withColumn("slice", F.pmod(F.xxhash64("doc_id"), F.lit(slices))).groupBy("slice")
-    seeds = own.applyInArrow(_seeds(units, parts), "part long, slice long, keys binary")
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    plain = plain.withColumn("text_hash", F.xxhash64("text")).withColumn("slice", F.pmod(F.xxhash64("doc_id"), F.lit(slices)))
+    firsts = plain.groupBy("text_hash", F.hash("text").alias("_h"), F.octet_length("text").alias("_n")).agg(F.min("doc_id").alias("first_id"))
+    firsts = firsts.filter("first_id IS NOT NULL").select(
+        F.pmod(F.xxhash64("first_id"), F.lit(slices)).alias("slice"), "first_id", F.col("text_hash").alias("first_hash"))
+    own = plain.groupBy("slice")
+
+    def beside_firsts(rows: DataFrame):
+        return rows.unionByName(firsts, allowMissingColumns=True).groupBy("slice")
+
+    seeds = own.cogroup(firsts.groupBy("slice")).applyInArrow(_seeds(units, parts), "part long, slice long, keys binary")
     known = seeds.groupBy("part").applyInArrow(_recurring, "slice long, keys binary")
-    sent = own.cogroup(known.groupBy("slice")).applyInArrow(_send(units, parts), _PACK)
-    answers = sent.groupBy("shard").applyInArrow(_answer(match), "slice long, shard long, keys binary, bits binary")
+    sent = own.cogroup(beside_firsts(known)).applyInArrow(_send(units, parts), _PACK)
+    answers = sent.groupBy("shard").applyInArrow(_answer(units, match), "slice long, shard long, keys binary, bits binary")
     schema = pa.schema([("doc_id", pa.int64()), *columns])
-    return own.cogroup(answers.groupBy("slice")).applyInArrow(_back(units, parts, finish, schema), f"doc_id long, {ddl}")
+    return own.cogroup(beside_firsts(answers)).applyInArrow(_back(units, parts, finish, schema), f"doc_id long, {ddl}")

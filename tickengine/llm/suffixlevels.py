@@ -28,7 +28,7 @@ from tickengine.session import ship
 
 WIDTH = 50
 SEED = 16
-BATCH_WINDOWS = 1 << 16
+BATCH_WINDOWS = 1 << 17
 
 
 @dataclass
@@ -72,7 +72,7 @@ def _byte_order(eight: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray
     return order
 
 
-def _distinct(eight, data, width, starts, prints, ids) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _distinct(eight, width, starts, prints, ids) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct windows in byte order (starts, prints, least ids), and the place of each given one among them."""
     order = np.argsort(prints, kind="stable")
     new = np.concatenate([[True], prints[order][1:] != prints[order][:-1]])
@@ -82,9 +82,9 @@ def _distinct(eight, data, width, starts, prints, ids) -> tuple[np.ndarray, np.n
     place = np.empty(len(order), dtype=np.int64)
     place[order] = np.cumsum(new) - 1
     other = np.flatnonzero(~new)  # equal prints must be equal bytes
-    for lo in range(0, len(other), 1 << 15):
-        at = order[other[lo : lo + (1 << 15)]]
-        if (data[starts[at][:, None] + np.arange(width)] != data[starts[one[place[at]]][:, None] + np.arange(width)]).any():
+    a, b = starts[order[other]], starts[order[other - 1]]
+    for skip in (*range(0, width - 8, 8), width - 8) if width >= 8 else ():
+        if (eight[a + skip] != eight[b + skip]).any():
             raise ArithmeticError("two windows share a fingerprint; run again with another hash base")
     by_bytes = _byte_order(eight, starts[one], width)
     where = np.empty(len(one), dtype=np.int64)
@@ -93,7 +93,7 @@ def _distinct(eight, data, width, starts, prints, ids) -> tuple[np.ndarray, np.n
 
 
 def _levels(width: int, batch_windows: int):
-    def match(batches: list[Batch]) -> list[np.ndarray]:
+    def match(batches: list[Batch]) -> np.ndarray:
         data = np.frombuffer(b"".join(b.data for b in batches), dtype=np.uint8)
         eight = np.zeros(len(data), dtype=np.uint64)
         for k in range(8):
@@ -113,14 +113,14 @@ def _levels(width: int, batch_windows: int):
 
         def merged(a: Level, b: Level) -> Level:
             both = [np.concatenate(x) for x in ((a.starts, b.starts), (a.prints, b.prints), (a.ids, b.ids))]
-            s, p, i, place = _distinct(eight, data, width, *both)
+            s, p, i, place = _distinct(eight, width, *both)
             for members, shift in ((a.members, 0), (b.members, len(a.starts))):
                 for m in members:
                     places[m] = place[places[m] + shift]
             return Level(s, p, i, a.members + b.members, a.rank + 1)
 
         for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-            s, p, i, place = _distinct(eight, data, width, starts[lo:hi], prints[lo:hi], ids[piece[lo:hi]])
+            s, p, i, place = _distinct(eight, width, starts[lo:hi], prints[lo:hi], ids[piece[lo:hi]])
             places.append(place)
             level = Level(s, p, i, [len(places) - 1], 0)
             while level.rank in levels:
@@ -129,8 +129,7 @@ def _levels(width: int, batch_windows: int):
         last = None
         for rank in sorted(levels):
             last = levels[rank] if last is None else merged(levels[rank], last)
-        hit = last.ids[np.concatenate(places)] < ids[piece] if last else np.zeros(0, dtype=bool)
-        return np.split(hit, of_batch[1:-1])
+        return last.ids[np.concatenate(places)]
 
     return match
 

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _U = np.uint64
 
@@ -172,12 +172,12 @@ def byte_values(texts: Texts) -> np.ndarray:
     return _BYTE_VALUES[texts.data]
 
 
-def inside_windows(first: np.ndarray, width: int) -> np.ndarray:
-    """Which window starts (of all units end to end) hold ``width`` units of one document."""
+def inside_windows(first: np.ndarray, width: int, active: np.ndarray | None = None) -> np.ndarray:
+    """Which window starts (of all units end to end) hold ``width`` units of one (active) document."""
     total = int(first[-1])
     ok = np.zeros(max(total - width + 1, 0), dtype=bool)
     lengths = np.diff(first) - width + 1
-    keep = lengths > 0
+    keep = lengths > 0 if active is None else (lengths > 0) & active
     starts, lengths = first[:-1][keep], lengths[keep]
     if len(starts):
         ok[ranges(starts, lengths)] = True
@@ -195,8 +195,8 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 def covered(hits: np.ndarray, width: int, total: int) -> np.ndarray:
-    """Units inside a window of ``width`` that starts at one of the ``hits`` (sorted)."""
-    edge = np.zeros(total + 1, dtype=np.int64)
-    np.add.at(edge, hits, 1)
-    np.add.at(edge, np.minimum(hits + width, total), -1)
+    """Units inside a window of ``width`` that starts at one of the ``hits`` (each given once)."""
+    edge = np.zeros(total + 1, dtype=np.int32)
+    edge[hits] = 1
+    edge[np.minimum(hits + width, total)] -= 1
     return np.cumsum(edge[:-1]) > 0
