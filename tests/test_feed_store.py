@@ -63,7 +63,11 @@ def test_latest_state_and_history(spark):
     h = S.history(live, "ASML", None, "2024-01-15").collect()
     assert [(r.close, r.isFinal) for r in h] == [("2", True), ("3", False)]
     assert S.history(live, "asml", "1m", "2024-01-15").count() == 0          # Q12: history is case-sensitive
-    assert S.history(live, "ASML", "1m", "not-a-date").count() in (0, 2)     # P23: today when malformed
+    # A malformed or missing date is today's, which has no candles here but has this one
+    today = live.withColumn("trading_date", F.date_format(F.current_date(), "yyyy-MM-dd"))
+    for date in ("not-a-date", "2024-02-30", None, "", "2024-1-5"):
+        assert S.history(live, "ASML", "1m", date).count() == 0
+        assert S.history(today, "ASML", "1m", date).count() == 2
 
 
 def test_chart_points_number_rules(spark):

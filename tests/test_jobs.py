@@ -31,5 +31,44 @@ def test_candles_job_with_late_sink(spark):
     assert jobs.run(["candles", "--source", f"files://{base}/ticks", "--sink", f"files://{base}/msgs",
                      "--late", f"files://{base}/late", "--timer", "event", "--checkpoint", f"{base}/ck", "--once"],
                     spark) == 0
-    assert spark.read.parquet(f"{base}/late").count() > 0
-    assert spark.read.parquet(f"{base}/msgs").where("value like '%candle.closed%'").count() > 0
+    read = spark.read.option("recursiveFileLookup", "true")
+    assert read.parquet(f"{base}/late").count() > 0
+    assert read.parquet(f"{base}/msgs").where("value like '%candle.closed%'").count() > 0
+
+
+def test_flush_closes_what_is_open_once(spark):
+    from tickengine.operators import store as S
+
+    base = tempfile.mkdtemp(prefix="tickengine-jobs-flush-")
+    tick_envelopes(tick_proxy(spark, SF_SMALL)).repartition(2).write.parquet(f"{base}/ticks")
+    argv = ["candles", "--source", f"files://{base}/ticks", "--sink", f"files://{base}/msgs", "--checkpoint", f"{base}/ck", "--once", "--flush"]
+    assert jobs.run(argv, spark) == 0
+    flushed = spark.read.parquet(f"{base}/msgs-flushed").count()
+    instruments = spark.read.parquet(f"{base}/msgs").select("key").distinct().count()
+    assert flushed == instruments
+    assert jobs.run(argv, spark) == 0
+    assert spark.read.parquet(f"{base}/msgs-flushed").count() == flushed
+    assert S.closing_messages(jobs._published(spark, f"files://{base}/msgs")).count() == 0
+
+
+def test_feed_and_options_jobs(spark):
+    from tickengine.operators import options as O
+    from tickengine.plans import queries as Q
+    from tickengine.sources.proxy import option_envelopes, option_proxy
+
+    base = tempfile.mkdtemp(prefix="tickengine-jobs-feed-")
+    Q._candle_envelopes(spark, SF_SMALL).repartition(2).write.parquet(f"{base}/msgs")
+    Q.subscriptions(spark, SF_SMALL).write.parquet(f"{base}/subs")
+    assert jobs.run(["feed", "--source", f"files://{base}/msgs", "--subscriptions", f"{base}/subs", "--sink", f"files://{base}/out",
+                     "--checkpoint", f"{base}/ck", "--once"], spark) == 0
+    got = spark.read.parquet(f"{base}/out").select("client_id", "offset")
+    want = Q.q_route(spark, SF_SMALL).select("client_id", "offset")
+    assert got.count() == want.count() > 0 and got.exceptAll(want).count() == 0
+    env = option_envelopes(option_proxy(spark, SF_SMALL))
+    env.repartition(3).write.parquet(f"{base}/oi")
+    assert jobs.run(["options", "--source", f"files://{base}/oi", "--tables", f"{base}/opt", "--max-files", "1", "--checkpoint", f"{base}/ck",
+                     "--dead-letter", f"files://{base}/oi-bad", "--once"], spark) == 0
+    ratio = spark.read.parquet(f"{base}/opt/put_call_ratio").select("underlying", "snapshot_date", "call_oi", "put_oi")
+    want = O.put_call_ratio(O.parse_option_snapshots(env)).select(*ratio.columns)
+    assert ratio.count() == want.count() and ratio.exceptAll(want).count() == 0
+    assert spark.read.parquet(f"{base}/oi-bad").count() == 0

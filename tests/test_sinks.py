@@ -1,6 +1,8 @@
 import json
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from helpers import envelopes, tick
@@ -43,15 +45,20 @@ def test_live_table_versions(spark):
     assert table.read().count() == 0
 
     def rows(msgs, offset):
-        parsed = parse_candles(envelopes(spark, msgs, start_offset=offset)).where("bad_reason is null").drop("bad_reason")
-        return S.live_rows(S.latest_state(parsed))
-
-    table.upsert(rows([msg("1", False, 1), msg("2", False, 2)], 0), 1)
-    assert [r.close for r in table.read().collect()] == ["2"]
-    table.upsert(rows([msg("3", True, 3)], 10), 2)
-    table.upsert(rows([msg("2", False, 2)], 20), 3)   # a replayed older revision does not win
-    got = table.read().collect()
-    assert [(r.close, r.is_final) for r in got] == [("3", 1)]
+        return parse_candles(envelopes(spark, msgs, start_offset=offset)).where("bad_reason is null").drop("bad_reason")
+
+    seen = lambda: [(r.close, r.is_final) for r in table.read().collect()]
+    table.append(rows([msg("1", False, 1), msg("2", False, 2)], 0), "q", 1)
+    assert seen() == [("2", 0)]
+    table.append(rows([msg("3", True, 3)], 10), "q", 2)
+    table.append(rows([msg("3", True, 3)], 10), "q", 2)   # the batch is run again
+    assert seen() == [("3", 1)]
+    table.compact("2024-01-15")
+    table.append(rows([msg("1", False, 1), msg("2", False, 2)], 0), "other", 0)   # a new checkpoint reads from the start
+    assert seen() == [("3", 1)]
+    table.append(rows([msg("4", True, 2)], 20), "other", 1)   # the last arrival wins, whatever its tick count
+    table.compact("2024-01-15")
+    assert seen() == [("4", 1)]
 
 
 def test_live_stream(spark):
@@ -68,33 +75,52 @@ def test_live_stream(spark):
     assert got.exceptAll(want.select(got.columns)).count() == 0
 
 
-def test_timer_closes_idle_instrument(spark):
-    # instrument B goes quiet after minute 0; A's ticks move the watermark past B's minute + grace
-    a = [tick(0, 10, last=1), tick(0, 40, last=2)]
-    b = [tick(0, 20, last=5, symbol="B")]
-    later = [tick(m, 0, last=3) for m in range(5, 9)]
-    base = tempfile.mkdtemp(prefix="tickengine-timer-")
-    envelopes(spark, a + b).coalesce(1).write.mode("append").parquet(f"{base}/src")
-    envelopes(spark, later, start_offset=10).coalesce(1).write.mode("append").parquet(f"{base}/src")
-    CS.run_replay(spark, f"{base}/src", f"{base}/sink", f"{base}/ckpt", watermark_delay="1 minute", timeout_s=300)
+def test_instrument_far_behind_the_others_loses_nothing(spark):
+    # B's ticks are hours older than everything read before them
+    a = [tick(m, 0, last=3) for m in range(180, 190)]
+    b = [tick(0, 20, last=5, symbol="B"), tick(1, 0, last=6, symbol="B"), tick(0, 30, last=7, symbol="B")]
+    base = tempfile.mkdtemp(prefix="tickengine-lag-")
+    envelopes(spark, a).coalesce(1).write.mode("append").parquet(f"{base}/src")
+    envelopes(spark, b, start_offset=100).coalesce(1).write.mode("append").parquet(f"{base}/src")
+    CS.run_replay(spark, f"{base}/src", f"{base}/sink", f"{base}/ckpt", files_per_trigger=1, timeout_s=300)
     out = spark.read.parquet(f"{base}/sink")
-    finals = {(r.symbol, r.open_us) for r in out.where("is_final").collect()}
-    # B's only candle is closed by its timer (no later tick of B exists), A's minute-0 candle by A's next minute
-    assert ("B", 1705309200000000) in finals and ("ASML", 1705309200000000) in finals
-    # the stream and the batch agree on every candle once drained
     got = CS.latest_candles(out).select("symbol", "open_us", "tick_count").collect()
-    want = C.candles(good_ticks(parse_ticks(envelopes(spark, a + b + later))), ENVELOPE_TICKS).select(
+    want = C.candles(good_ticks(parse_ticks(envelopes(spark, a + b))), ENVELOPE_TICKS).select(
         "symbol", "open_us", "tick_count").collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+    # accepted and late ticks add up to the input
+    assert sum(r.tick_count for r in got) + CS.late_rows(out).count() == len(a) + len(b)
+
 
+def test_unfinished_replay_raises(spark):
+    base = tempfile.mkdtemp(prefix="tickengine-cut-")
+    envelopes(spark, [tick(m, 0, last=1) for m in range(50)]).repartition(40).write.parquet(f"{base}/src")
+    with pytest.raises(TimeoutError):
+        CS.run_replay(spark, f"{base}/src", f"{base}/sink", f"{base}/ckpt", files_per_trigger=1, timeout_s=0.5)
 
-def test_processing_time_close(spark):
-    # the minutes are long past on the wall clock: A's candle is closed by its processing-time timer as soon as a
-    # later batch runs, although A sees no tick of a later minute
+
+def test_processing_time_does_not_close_a_backlog_early(spark):
+    # the minute is long past on the wall clock and comes in three batches: one candle, no late tick
     base = tempfile.mkdtemp(prefix="tickengine-ptimer-")
-    envelopes(spark, [tick(0, 10, last=1)]).coalesce(1).write.mode("append").parquet(f"{base}/src")
-    envelopes(spark, [tick(0, 20, last=5, symbol="B")], start_offset=5).coalesce(1).write.mode("append").parquet(
-        f"{base}/src")
-    CS.run_replay(spark, f"{base}/src", f"{base}/sink", f"{base}/ckpt", timer="processing", timeout_s=300)
-    finals = {r.symbol for r in spark.read.parquet(f"{base}/sink").where("is_final").collect()}
-    assert "ASML" in finals
+    for k in range(3):
+        envelopes(spark, [tick(0, 10 * k + 5, last=k + 1)], start_offset=k).coalesce(1).write.mode("append").parquet(f"{base}/src")
+    CS.run_replay(spark, f"{base}/src", f"{base}/sink", f"{base}/ckpt", files_per_trigger=1, timer="processing", timeout_s=300, settle_s=3)
+    out = spark.read.parquet(f"{base}/sink")
+    assert [(r.tick_count, r.close) for r in CS.latest_candles(out, drain=False).collect()] == [(3, "3.0000000000")]
+    assert CS.late_rows(out).count() == 0 and CS.candle_rows(out).where("is_final").count() == 0
+
+
+def test_processing_time_closes_a_live_instrument(spark):
+    import time
+
+    now = int(time.time() * 1_000_000)
+    start = now - now % 60_000_000 - 60_000_000 + 59_000_000   # the last second of the minute before this one
+    base = tempfile.mkdtemp(prefix="tickengine-plive-")
+    live = envelopes(spark, [tick(0, 0, last=1)]).withColumn(
+        "value", F.regexp_replace("value", '"sourceTimestamp":"[^"]*"', f'"sourceTimestamp":"{time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime(start // 1_000_000))}"')
+    ).withColumn("timestamp", F.timestamp_micros(F.lit(now)))
+    live.coalesce(1).write.parquet(f"{base}/src")
+    CS.run_replay(spark, f"{base}/src", f"{base}/sink", f"{base}/ckpt", timer="processing", timeout_s=300, settle_s=8)
+    assert CS.candle_rows(spark.read.parquet(f"{base}/sink")).where("is_final").count() == 1
+
+

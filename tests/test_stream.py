@@ -30,8 +30,8 @@ def stream_candles(spark, sink):
 def test_stream_equals_batch(spark, files):
     env = tick_envelopes(tick_proxy(spark, SF_SMALL))
     base = tempfile.mkdtemp(prefix="tickengine-stream-")
-    CS.write_replay_files(env, f"{base}/src", files=files)
-    CS.run_replay(spark, f"{base}/src", f"{base}/sink", f"{base}/ckpt", timeout_s=300)
+    n = CS.write_replay_files(env, f"{base}/src", steps=files)
+    CS.run_replay(spark, f"{base}/src", f"{base}/sink", f"{base}/ckpt", timeout_s=300, files_per_trigger=n)
     got, want = stream_candles(spark, f"{base}/sink"), batch_candles(env)
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
@@ -56,8 +56,8 @@ def test_restart_from_checkpoint(spark):
 def test_per_tick_revisions_equal_batch_revisions(spark):
     env = tick_envelopes(tick_proxy(spark, SF_SMALL))
     base = tempfile.mkdtemp(prefix="tickengine-revs-")
-    CS.write_replay_files(env, f"{base}/src", files=2)
-    CS.run_replay(spark, f"{base}/src", f"{base}/sink", f"{base}/ckpt", timeout_s=300, per_tick=True)
+    n = CS.write_replay_files(env, f"{base}/src", steps=2)
+    CS.run_replay(spark, f"{base}/src", f"{base}/sink", f"{base}/ckpt", timeout_s=300, files_per_trigger=n, per_tick=True)
     out = CS.candle_rows(spark.read.parquet(f"{base}/sink"))
     num = lambda c: F.col(c).cast("decimal(28,10)")
     cols = ["exchange", "symbol", "open_us", "tick_count", "is_final"]
@@ -79,8 +79,8 @@ def test_stream_late_ticks_equal_batch_late_ticks(spark):
 
     env = tick_envelopes(tick_proxy(spark, SF_SMALL))
     base = tempfile.mkdtemp(prefix="tickengine-late-")
-    CS.write_replay_files(env, f"{base}/src", files=3)
-    CS.run_replay(spark, f"{base}/src", f"{base}/sink", f"{base}/ckpt", timeout_s=300)
+    n = CS.write_replay_files(env, f"{base}/src", steps=3)
+    CS.run_replay(spark, f"{base}/src", f"{base}/sink", f"{base}/ckpt", timeout_s=300, files_per_trigger=n)
     got = CS.late_rows(spark.read.parquet(f"{base}/sink")).select("exchange", "symbol", "event_us", "open_us")
     want = late_ticks(good_ticks(parse_ticks(env)), ENVELOPE_TICKS).select(
         "exchange", "symbol", "event_us", F.col("bucket").alias("open_us"))

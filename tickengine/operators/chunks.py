@@ -74,3 +74,17 @@ def with_rank(cells: DataFrame, spec: TickSpec) -> DataFrame:
 def prior_cells(partition: list[str]) -> Window:
     """Exclusive prefix over the summaries of one group, in arrival order."""
     return Window.partitionBy(*partition).orderBy(RANK, CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def with_position(messages: DataFrame, keys: list[str], record_us: Column, name: str = "_pos") -> DataFrame:
+    """Adds the arrival position of a message among those of its keys as one BIGINT: the partition's rank by first
+    record time over the offset. The ranks are a row per key and partition, joined back."""
+    seen = messages.groupBy(*keys, "partition").agg(F.min(record_us).alias("_seen"))
+    rank = F.dense_rank().over(Window.partitionBy(*keys).orderBy("_seen", "partition")) - 1
+    ranks = seen.withColumn(RANK, rank).drop("_seen")
+    same = [F.col(f"m.{c}").eqNullSafe(F.col(f"r.{c}")) for c in (*keys, "partition")]
+    cond = same[0]
+    for c in same[1:]:
+        cond = cond & c
+    pos = F.shiftleft(F.coalesce(F.col(f"r.{RANK}"), F.lit(0)).cast("long"), 48) + F.col("m.offset")
+    return messages.alias("m").join(ranks.alias("r"), cond, "left").select("m.*", pos.alias(name))

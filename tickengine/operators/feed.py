@@ -10,10 +10,11 @@ threshold (a checked size), and keeps a sort-merge join otherwise.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import json_fields as J
+from .chunks import with_position
 
 # The chart's volume bar colours
 UP_COLOUR = "#26a69a"
@@ -39,18 +40,26 @@ def routing_fields(messages: DataFrame) -> DataFrame:
     return J.settle(x)
 
 
-def route(messages: DataFrame, subscriptions: DataFrame, salt: int = 8) -> DataFrame:
+def route(messages: DataFrame, subscriptions: DataFrame, salt: int | None = None) -> DataFrame:
     """One row per (subscription, message) to deliver: ``client_id`` plus the message columns.
+    ``messages`` may be a stream."""
+    return deliver(routing_fields(messages), subscriptions, messages.columns, salt)
+
+
+def deliver(m: DataFrame, subscriptions: DataFrame, columns: list[str], salt: int | None = None) -> DataFrame:
+    """``columns`` of the rows of ``m`` (with ``route_symbol`` and ``route_timeframe``) for every subscription that
+    matches.
 
     Every subscription has one pattern (symbol or null, timeframe or null). A message can only match four
     patterns: (symbol, timeframe), (symbol, null), (null, timeframe), (null, null) -- or just (null, null) when
     it has no routing fields. So the theta join becomes one null-safe equi-join of the messages' patterns with
     the subscriptions' patterns, reading the messages once. Messages carry a hash salt and the subscriptions are
-    replicated over the salts, so a hot symbol or the all-wildcard pattern is spread over ``salt`` tasks.
+    replicated over the salts, so a hot symbol or the all-wildcard pattern is spread over ``salt`` tasks (default: as
+    many as the session's shuffles have, which are sized for the data).
     """
-    m = routing_fields(messages)
+    salt = salt or int(m.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     s = normalize_subscriptions(subscriptions)
-    cols = [F.col(c) for c in messages.columns]
+    cols = [F.col(c) for c in columns]
     rs, rt = F.col("route_symbol"), F.col("route_timeframe")
     none = F.lit(None).cast("string")
     # which wildcard classes exist (at most four rows): messages only emit patterns some subscription can have
@@ -78,20 +87,27 @@ def route(messages: DataFrame, subscriptions: DataFrame, salt: int = 8) -> DataF
     return probes.join(subs, cond).select("client_id", *cols)
 
 
-def _points(messages: DataFrame, keep_text: bool = False) -> DataFrame:
-    """P25 / P26 on every message: ``time``, OHLC, ``volume``, ``color`` and ``_ok`` (the chart accepts it), plus
-    the close / openTime / publishedAt texts when ``keep_text``. One parse, settled."""
+INSTRUMENT = ["exchange", "symbol", "timeframe"]
+
+
+def _points(messages: DataFrame) -> DataFrame:
+    """P21, P25 / P26 on every message, from one settled parse: the instrument, routing fields, ``time``, OHLC,
+    ``volume``, ``color`` and ``_ok`` (the chart accepts it), and the close / openTime / publishedAt texts. Prices may
+    be text or JSON numbers."""
     names = ("openTime", "open", "high", "low", "close", "volume", "publishedAt")
-    x = J.extract(J.parse(messages), names)
-    txt = lambda n: F.when(J._t(n) == "STRING", J._text(n))  # noqa: E731  (the chart reads text fields)
-    x = x.select(*messages.columns, *[txt(n).alias(f"_{n}") for n in names])
+    x = J.extract(J.parse(messages), (*names, *INSTRUMENT))
+    text = ("openTime", "publishedAt")
+    read = lambda n: J.string_field(n, allow_empty=True) if n in text else J.string_or_number_field(n)
+    sym, tf = J.string_field("symbol"), J.string_field("timeframe")
+    both = sym.isNotNull() & tf.isNotNull()
+    inst = [J.string_field(n, allow_empty=True).alias(n) for n in INSTRUMENT]
+    x = x.select(*messages.columns, *inst, F.when(both, F.upper(sym)).alias("route_symbol"), F.when(both, tf).alias("route_timeframe"),
+                 *[read(n).alias(f"_{n}") for n in names])
     num = lambda c: F.trim(F.col(c)).try_cast("double")
     ts = F.col("_openTime").try_cast("timestamp")
-    texts = [F.col("_close").alias("last_close"), F.col("_openTime").alias("last_open_time"),
-             F.col("_publishedAt").alias("last_update")] if keep_text else []
     x = x.select(
-        *messages.columns,
-        *texts,
+        *messages.columns, *INSTRUMENT, "route_symbol", "route_timeframe",
+        F.col("_close").alias("last_close"), F.col("_openTime").alias("last_open_time"), F.col("_publishedAt").alias("last_update"),
         F.floor(F.unix_micros(ts) / 1_000_000).cast("long").alias("time"),
         *[F.when(F.col(f"_{n}") != "", num(f"_{n}")).alias(n) for n in ("open", "high", "low", "close")],
         F.when(F.col("_volume").isNull(), F.lit(0.0)).otherwise(F.coalesce(num("_volume"), F.lit(float("nan"))))
@@ -108,32 +124,39 @@ def _points(messages: DataFrame, keep_text: bool = False) -> DataFrame:
 
 
 def chart_points(messages: DataFrame) -> DataFrame:
-    """Candle messages -> chart points. Dropped: missing or empty openTime / OHLC, or any value that
-    is not a finite number. time = floor(epoch seconds of openTime); volume that is not a number is 0."""
-    return _points(messages).where(F.col("_ok")).drop("_ok")
+    """Candle messages -> chart points of their instrument. Dropped: missing or empty openTime / OHLC, or any
+    value that is not a finite number. time = floor(epoch seconds of openTime); volume that is not a number is 0."""
+    return _points(messages).where(F.col("_ok")).drop("_ok", "route_symbol", "route_timeframe", "last_close", "last_open_time", "last_update")
 
 
-def chart_series(history: DataFrame, live: DataFrame, order: tuple[str, ...] = ("partition", "offset")) -> DataFrame:
-    """The chart's bars after loading ``history`` then applying ``live`` messages: per bar time the
-    last message wins (history first, then live in arrival order). Both inputs are candle message envelopes."""
+def chart_series(history: DataFrame, live: DataFrame) -> DataFrame:
+    """The bars of every instrument's chart after loading ``history`` then applying ``live`` messages: per
+    instrument and bar time the last message wins (history first, then live in arrival order). Both inputs are candle
+    message envelopes."""
     h = chart_points(history).withColumn("_src", F.lit(0))
     lv = chart_points(live).withColumn("_src", F.lit(1))
-    u = h.unionByName(lv)
-    pos = F.struct(F.col("_src"), *[F.col(c) for c in order], F.col("key"))
+    u = with_position(h.unionByName(lv), INSTRUMENT, F.unix_micros("timestamp"))
+    pos = F.struct("_src", "_pos", "key")
     bar = F.struct("open", "high", "low", "close", "volume", "color")
-    return u.groupBy("time").agg(F.max_by(bar, pos).alias("_b")).select("time", "_b.*")
+    return u.groupBy(*INSTRUMENT, "time").agg(F.max_by(bar, pos).alias("_b")).select(*INSTRUMENT, "time", "_b.*")
 
 
-def feed_metrics(messages: DataFrame, group: tuple[str, ...] = ("client_id",),
-                 order: tuple[str, ...] = ("partition", "offset")) -> DataFrame:
-    """Per subscriber, the number of messages the chart accepted (those that parse into a candle point) and
-    the latest accepted message's close, open time and publish time."""
-    x = _points(messages, keep_text=True).where(F.col("_ok"))
-    pos = F.struct(*[F.col(c) for c in order], F.col("key"))
+def feed_metrics(messages: DataFrame, subscriptions: DataFrame) -> DataFrame:
+    """Per subscriber, the number of messages the chart accepted (those that parse into a candle point) and the
+    latest accepted message's close, open time and publish time.
+
+    Messages are parsed once and folded by routing fields (partial aggregates) before any are copied to subscribers,
+    so what is delivered is a row per symbol and timeframe."""
+    x = _points(messages).where(F.col("_ok"))
+    pos = F.struct("timestamp_rank", "offset", "key")
+    seen = F.dense_rank().over(Window.orderBy("_seen", "partition")) - 1
+    ranks = messages.groupBy("partition").agg(F.min("timestamp").alias("_seen")).select(F.col("partition"), seen.alias("timestamp_rank"))
     last = F.struct("last_close", "last_open_time", "last_update")
-    return x.groupBy(*group).agg(F.count(F.lit(1)).alias("message_count"), F.max_by(last, pos).alias("_l")).select(
-        *group, "message_count", "_l.*"
-    )
+    per_key = x.join(ranks, "partition").groupBy("route_symbol", "route_timeframe").agg(
+        F.count(F.lit(1)).alias("_n"), F.max_by(last, pos).alias("_l"), F.max(pos).alias("_at"))
+    got = deliver(per_key, subscriptions, ["_n", "_l", "_at"])
+    return got.groupBy("client_id").agg(F.sum("_n").alias("message_count"), F.max_by("_l", "_at").alias("_l")).select(
+        "client_id", "message_count", "_l.*")
 
 
 def price_label(c: Column) -> Column:

@@ -10,37 +10,59 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .parse import bad_records
+
 CONTRACT = ["underlying", "expiry", "strike", "right"]
 DAY = ["underlying", "snapshot_date"]
 
 
-def parse_option_snapshots(envelopes: DataFrame) -> DataFrame:
-    """Option OI messages -> snapshot rows. Contract fields come from the JSON, else from the key
-    ``underlying:expiry:strike:right``; the open interest is ``callOpenInterest`` for calls and
-    ``putOpenInterest`` for puts. Rows without a contract or open interest are dropped (dead letters)."""
+def read_option_messages(envelopes: DataFrame) -> DataFrame:
+    """Option OI messages -> snapshot columns with the envelope's and a ``bad_reason`` (null for a snapshot).
+    Contract fields come from the JSON, else from the key ``underlying:expiry:strike:right``; the open interest is
+    ``callOpenInterest`` for calls and ``putOpenInterest`` for puts. Strikes and prices are decimals (52.5)."""
     from ..functions import json_fields as J
     from ..functions.text import key_part
+    from ..schema import PRICE
 
     x = J.extract(J.parse(envelopes), ("underlying", "expiry", "strike", "right", "snapshotDate",
                                         "callOpenInterest", "putOpenInterest", "underlyingPrice"))
     key = F.col("key")
     right = F.upper(F.coalesce(J.string_field("right"), key_part(key, 3)))
     x = x.select(
+        *envelopes.columns,
+        F.col(J.VARIANT).isNotNull().alias("_json"),
+        "_is_object",
         F.col("offset").alias("arrival"),
         F.coalesce(J.string_field("underlying"), key_part(key, 0)).alias("underlying"),
         F.coalesce(J.string_field("expiry"), key_part(key, 1)).try_cast("date").alias("expiry"),
-        F.coalesce(J.long_field("strike"), key_part(key, 2).try_cast("bigint")).cast("int").alias("strike"),
+        F.coalesce(J.decimal_field("strike"), key_part(key, 2).try_cast(PRICE)).alias("strike"),
         right.alias("right"),
         J.string_field("snapshotDate").try_cast("date").alias("snapshot_date"),
         F.when(right == "C", J.long_field("callOpenInterest")).when(right == "P", J.long_field("putOpenInterest"))
         .alias("open_interest"),
-        J.long_field("underlyingPrice").cast("int").alias("underlying_price"),
+        J.decimal_field("underlyingPrice").alias("underlying_price"),
     )
-    x = J.settle(x)
-    ok = F.lit(True)
-    for c in ("underlying", "expiry", "strike", "right", "snapshot_date", "open_interest"):
-        ok = ok & F.col(c).isNotNull()
-    return x.where(ok & F.col("right").isin("C", "P"))
+    contract = F.lit(True)
+    for c in ("underlying", "expiry", "strike", "snapshot_date"):
+        contract = contract & F.col(c).isNotNull()
+    reason = (
+        F.when(~F.col("_json"), "not_json")
+        .when(~F.col("_is_object"), "not_object")
+        .when(~contract | F.col("right").isNull() | ~F.col("right").isin("C", "P"), "no_contract")
+        .when(F.col("open_interest").isNull(), "no_open_interest")
+    )
+    return J.settle(x.withColumn("bad_reason", reason).drop("_json", "_is_object"))
+
+
+def parse_option_snapshots(envelopes: DataFrame) -> DataFrame:
+    """The snapshots of option OI messages; the other records are in :func:`bad_option_records`."""
+    good = read_option_messages(envelopes).where(F.col("bad_reason").isNull())
+    return good.select("arrival", *CONTRACT, "snapshot_date", "open_interest", "underlying_price")
+
+
+def bad_option_records(envelopes: DataFrame) -> DataFrame:
+    """the option records that are no snapshots, with their coordinates, for a dead-letter table."""
+    return bad_records(read_option_messages(envelopes))
 
 
 def latest_snapshots(snaps: DataFrame, order: str = "arrival") -> DataFrame:
@@ -80,9 +102,31 @@ def put_call_ratio(snaps: DataFrame) -> DataFrame:
     ).withColumn("put_call_ratio", F.col("put_oi") / F.nullif(F.col("call_oi"), F.lit(0)))
 
 
-def write_options(snaps: DataFrame, ratio: DataFrame, path: str) -> None:
-    """K7: raw snapshots and the daily ratio series as two day-partitioned Parquet tables."""
-    snaps.write.mode("append").partitionBy("snapshot_date").parquet(f"{path}/snapshots")
-    ratio.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("snapshot_date").parquet(
-        f"{path}/put_call_ratio"
-    )
+def write_options(snaps: DataFrame, path: str, run: str = "once", batch: int = 0) -> None:
+    """K7: raw snapshots appended under their run and batch (a batch that is written again replaces itself), then the
+    ratio of every day they touch, from all stored snapshots of the day."""
+    spark = snaps.sparkSession
+    snaps.repartition("snapshot_date", F.pmod(F.xxhash64(*CONTRACT), F.lit(8))).write.mode("overwrite").partitionBy(
+        "snapshot_date").parquet(f"{path}/snapshots/run={run}/batch={int(batch)}")
+    own = spark.read.schema(snaps.schema).option("basePath", f"{path}/snapshots").parquet(f"{path}/snapshots/run={run}/batch={int(batch)}")
+    days = own.select("snapshot_date").distinct()
+    stored = read_snapshots(spark, path).join(days, "snapshot_date", "left_semi")
+    put_call_ratio(stored).repartition("snapshot_date").write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy("snapshot_date").parquet(f"{path}/put_call_ratio")
+
+
+def read_snapshots(spark, path: str) -> DataFrame:
+    """Every stored snapshot."""
+    schema = ("arrival long, underlying string, expiry date, strike decimal(28,10), right string, open_interest long, "
+              "underlying_price decimal(28,10), snapshot_date date")
+    return spark.read.schema(schema).option("basePath", f"{path}/snapshots").parquet(f"{path}/snapshots")
+
+
+def options_stream(envelopes: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
+    """S7 / K7 as a streaming query."""
+    def write(messages: DataFrame, batch_id: int) -> None:
+        run = messages.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        write_options(parse_option_snapshots(messages), path, run, batch_id)
+
+    w = envelopes.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"availableNow": True})).start()

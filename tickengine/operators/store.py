@@ -1,9 +1,14 @@
 """Candle messages, the partitioned candle store, the live table and history.
 
 Candle store layout: ``<root>/exchange=<e>/symbol=<s>/timeframe=<t>/date=<YYYY-MM-DD>/part-*.parquet`` with the
-path segments cleaned (P17). Spark keeps partition columns in the path only, so the body holds the other stored
-fields; ``tradingDate`` stays in the body and ``date`` is its path copy (Q14). The store is always read with an
-explicit schema and partition type inference off, so a symbol such as ``0012`` stays text.
+path segments cleaned (P17). Spark keeps partition columns in the path only, so the body holds the names as they came
+under ``rawExchange``, ``rawSymbol`` and ``rawTimeframe``; readers get them back as ``exchange``, ``symbol`` and
+``timeframe``, and two symbols that are cleaned to one segment (``A/B`` and ``A_B``) stay two. ``tradingDate`` stays in
+the body and ``date`` is its path copy (Q14). The store is always read with an explicit schema and partition type
+inference off, so a symbol such as ``0012`` stays text.
+
+Compaction writes a closed day to a root of its own (``<root>-closed``) and readers take a day from there once it is
+complete, so it never touches files that a streaming sink's log names.
 """
 
 from __future__ import annotations
@@ -15,6 +20,8 @@ from pyspark.sql import types as T
 from ..functions.text import iso_instant, resolve_date, safe_path_segment, trading_date
 from ..schema import STORED_CANDLE
 from ..sources.envelope import CANDLES_TOPIC
+from .chunks import with_position
+from .parse import parse_candles
 
 PARTITION_COLS = ["exchange", "symbol", "timeframe", "date"]
 
@@ -90,11 +97,15 @@ def store_rows(parsed_candles: DataFrame, stored_at: Column | None = None) -> Da
     )
 
 
+RAW = {"exchange": "rawExchange", "symbol": "rawSymbol", "timeframe": "rawTimeframe"}
+
+
 def _to_layout(rows: DataFrame) -> DataFrame:
-    """Body columns + cleaned path columns under the directory names."""
-    body = [f.name for f in STORED_CANDLE.fields if f.name not in ("exchange", "symbol", "timeframe")]
+    """Body columns (raw names included) + cleaned path columns under the directory names."""
+    body = [f.name for f in STORED_CANDLE.fields if f.name not in RAW]
     return rows.select(
         *body,
+        *[F.col(c).alias(raw) for c, raw in RAW.items()],
         F.col("_p_exchange").alias("exchange"),
         F.col("_p_symbol").alias("symbol"),
         F.col("_p_timeframe").alias("timeframe"),
@@ -102,14 +113,18 @@ def _to_layout(rows: DataFrame) -> DataFrame:
     )
 
 
+def by_directory(out: DataFrame, files_per_partition: int) -> DataFrame:
+    """Rows clustered by directory, each directory over ``files_per_partition`` tasks by a hash of the open time."""
+    salt = F.pmod(F.xxhash64("openTime"), F.lit(int(files_per_partition)))
+    return out.repartition(*[F.col(c) for c in PARTITION_COLS], salt)
+
+
 def write_store(rows: DataFrame, path: str, files_per_partition: int = 4, mode: str = "append") -> None:
     """K2: append stored rows to the partitioned store. Rows are clustered by directory so each directory gets
     few files; a hot directory (one symbol-day holding much of the data) is spread over ``files_per_partition``
     writers by a hash of the open time instead of landing in one task."""
-    out = _to_layout(rows)
-    salt = F.pmod(F.xxhash64("openTime"), F.lit(int(files_per_partition)))
     (
-        out.repartition(*[F.col(c) for c in PARTITION_COLS], salt)
+        by_directory(_to_layout(rows), files_per_partition)
         .write.mode(mode)
         .option("compression", "snappy")
         .partitionBy(*PARTITION_COLS)
@@ -118,49 +133,84 @@ def write_store(rows: DataFrame, path: str, files_per_partition: int = 4, mode:
 
 
 def store_schema() -> T.StructType:
-    body = [f for f in STORED_CANDLE.fields if f.name not in ("exchange", "symbol", "timeframe")]
+    body = [f for f in STORED_CANDLE.fields if f.name not in RAW]
+    raw = [T.StructField(name, T.StringType()) for name in RAW.values()]
     parts = [T.StructField(c, T.StringType()) for c in PARTITION_COLS]
-    return T.StructType(body + parts)
+    return T.StructType(body + raw + parts)
+
+
+def _scan(spark: SparkSession, path: str) -> DataFrame | None:
+    from pyspark.errors import AnalysisException
+
+    try:
+        return spark.read.schema(store_schema()).option("basePath", path).parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return None
+
+
+def closed_root(path: str) -> str:
+    return f"{path.rstrip('/')}-closed"
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
-    """S6-style scan of the candle store, explicit schema (partition values stay text)."""
-    return spark.read.schema(store_schema()).option("basePath", path).parquet(path)
+    """S6-style scan of the candle store, explicit schema (partition values stay text): closed days from the compacted
+    root, the others from the store. Raw names under ``exchange``, ``symbol``, ``timeframe``; the cleaned path segments
+    under ``path_*``."""
+    rows, closed = _scan(spark, path), _scan(spark, closed_root(path))
+    if closed is not None:
+        days = closed.select("date").distinct()
+        rows = closed if rows is None else rows.join(days, "date", "left_anti").unionByName(closed)
+    if rows is None:
+        rows = spark.createDataFrame([], store_schema())
+    return rows.withColumnsRenamed({c: f"path_{c}" for c in RAW}).withColumnsRenamed({raw: c for c, raw in RAW.items()})
 
 
 def compact_store(spark: SparkSession, path: str, day: str, files_per_partition: int = 1) -> int:
-    """Rewrite one trading day of the store into ``files_per_partition`` files per directory (streaming appends
-    leave many small files). The day is first materialized in the checkpoint folder, so the overwrite never reads
-    the files it replaces; only that day's directories are overwritten (dynamic partition overwrite). Returns the
-    number of rows rewritten."""
-    from ..session import materialize
-
-    day_rows = materialize(read_store(spark, path).where(F.col("date") == day))
-    n = day_rows.count()
-    salt = F.pmod(F.xxhash64("openTime"), F.lit(int(files_per_partition)))
+    """Write one closed trading day of the store as ``files_per_partition`` files per directory into the compacted
+    root (streaming appends leave many small files). The day's directories appear there only when the write commits;
+    writing a day again replaces it. Returns the number of rows."""
+    rows = _scan(spark, path)
+    day_rows = None if rows is None else rows.where(F.col("date") == day)
+    if day_rows is None or day_rows.isEmpty():
+        return 0
     (
-        day_rows.repartition(*[F.col(c) for c in PARTITION_COLS], salt)
+        by_directory(day_rows, files_per_partition)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
         .partitionBy(*PARTITION_COLS)
-        .parquet(path)
+        .parquet(closed_root(path))
     )
-    return n
+    return _scan(spark, closed_root(path)).where(F.col("date") == day).count()
 
 
-def latest_state(parsed_candles: DataFrame, order: tuple[str, ...] = ("partition", "offset")) -> DataFrame:
+def latest_state(parsed_candles: DataFrame) -> DataFrame:
     """The last revision of every candle (exchange, symbol, timeframe, open time) by arrival, which is what a
-    reader of the at-least-once candle topic should keep. A partial aggregate: one row per candle per task."""
+    reader of the at-least-once candle topic should keep. Partitions of a candle key follow one another by first
+    record time. A partial aggregate: one row per candle per task."""
     keys = ["exchange", "symbol", "timeframe", "open_us"]
     cols = [c for c in parsed_candles.columns if c not in keys]
-    pos = F.struct(*[F.col(c) for c in order])
-    latest = parsed_candles.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in cols]), pos).alias("_l"))
+    placed = with_position(parsed_candles, keys[:3], F.unix_micros("timestamp"))
+    latest = placed.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in cols]), "_pos").alias("_l"))
     return latest.select(*keys, *[F.col(f"_l.{c}").alias(c) for c in cols])
 
 
-def live_rows(latest: DataFrame) -> DataFrame:
-    """K4 rows of the live table (snake_case, is_final 0/1) from :func:`latest_state`."""
+def closing_messages(candle_envelopes: DataFrame) -> DataFrame:
+    """A ``candle.closed`` message for every candle whose last published revision is not final, to publish when a
+    service is shut down. Published already, a candle has none, so flushing twice adds nothing."""
+    parsed = parse_candles(candle_envelopes)
+    last = latest_state(parsed.where(F.col("bad_reason").isNull()).drop("bad_reason")).where(~F.col("isFinal"))
+    return candle_messages(last.select(
+        F.lit("candle.closed").alias("event"), "exchange", "symbol", "currency", "timeframe", "open_us", "close_us",
+        "open", "high", "low", "close", "volume", F.col("tickCount").alias("tick_count"), F.lit(True).alias("is_final"),
+        F.unix_micros(F.coalesce(F.col("publishedAt").try_cast("timestamp"), F.col("timestamp"))).alias("published_us"),
+        (F.col("tickCount") + 1).alias("rev")))
+
+
+def live_rows(latest: DataFrame, more: list | tuple = ()) -> DataFrame:
+    """K4 rows of the live table (snake_case, is_final 0/1) from :func:`latest_state`, and ``more`` columns."""
     return latest.select(
         trading_date(F.col("open_us")).alias("trading_date"),
         "event", "exchange", "symbol", "currency", "timeframe",
@@ -170,6 +220,7 @@ def live_rows(latest: DataFrame) -> DataFrame:
         F.col("tickCount").alias("tick_count"),
         F.col("isFinal").cast("int").alias("is_final"),
         F.col("publishedAt").alias("published_at"),
+        *more,
     )
 
 
@@ -206,7 +257,8 @@ def store_history(store: DataFrame, symbol: str, timeframe: str | None = "1m", d
     day = resolve_date(F.lit(date).cast("string")).cast("string")
     tf = timeframe or "1m"
     return (
-        store.where((F.col("date") == day) & (F.col("symbol") == safe_path_segment(F.lit(symbol)))
-                    & (F.col("timeframe") == safe_path_segment(F.lit(tf))))
+        store.where((F.col("date") == day) & (F.col("path_symbol") == safe_path_segment(F.lit(symbol)))
+                    & (F.col("path_timeframe") == safe_path_segment(F.lit(tf))))
+        .where((F.col("symbol") == F.lit(symbol)) & (F.col("timeframe") == F.lit(tf)))
         .orderBy("openTime")
     )

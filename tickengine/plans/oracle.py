@@ -137,6 +137,10 @@ select exchange, symbol, 'EUR' as currency, '1m' as timeframe, bucket as open_us
 from acc group by exchange, symbol, bucket
 """
 
+LATE_TICKS_STREAM = CANDLES_1M_PARSED[: CANDLES_1M_PARSED.index("acc0 as (")].rstrip().rstrip(",") + """
+select exchange, symbol, ts_us as event_us, bucket, price_c from marked where is_late
+"""
+
 SESSION_LABEL = f"""
 with {TICKS},
 lt as (
@@ -249,10 +253,28 @@ select event, exchange, symbol, cast(null as varchar) as currency, '1m' as timef
   is_final as "isFinal", {_iso("published_us")} as "publishedAt",
   exchange || ':' || symbol || ':1m' as "kafkaKey", 'market.candles.1m' as "kafkaTopic", 0 as "kafkaPartition",
   (open_us // 1000) * 1000000 + rev as "kafkaOffset",
+  exchange as _p_exchange, symbol as _p_symbol, '1m' as _p_timeframe,
   strftime(make_timestamp(open_us), '%Y-%m-%d') as date
 from revs where is_final
 """
 
+STORE_ROUNDTRIP = f"""
+with {TICKS},{REVS},
+named as (select * exclude (symbol), exchange || case when open_us % 120000000 = 0 then '/' else '_' end || symbol as symbol
+  from revs where is_final)
+select event, exchange, symbol, cast(null as varchar) as currency, '1m' as timeframe,
+  {_iso("open_us")} as "openTime", {_iso("open_us + 59999000")} as "closeTime",
+  strftime(make_timestamp(open_us), '%Y-%m-%d') as "tradingDate",
+  cast(open as varchar) as open, cast(high as varchar) as high, cast(low as varchar) as low,
+  cast(close as varchar) as close, cast(volume as varchar) as volume, tick_count as "tickCount",
+  is_final as "isFinal", {_iso("published_us")} as "publishedAt",
+  exchange || ':' || symbol || ':1m' as "kafkaKey", 'market.candles.1m' as "kafkaTopic", 0 as "kafkaPartition",
+  (open_us // 1000) * 1000000 + rev as "kafkaOffset",
+  exchange as path_exchange, replace(symbol, '/', '_') as path_symbol, '1m' as path_timeframe,
+  strftime(make_timestamp(open_us), '%Y-%m-%d') as date
+from named
+"""
+
 LIVE = f"""
 live as (
   select strftime(make_timestamp(open_us), '%Y-%m-%d') as trading_date, event, exchange, symbol,
@@ -316,14 +338,14 @@ CHART_SERIES = f"""
 with {TICKS},{REVS},
 pts as (
   select 0 as src, (open_us // 1000) * 1000000 + rev as "offset", exchange || ':' || symbol || ':1m' as "key", *
-  from revs where symbol = 'click' and is_final and open_us < 1705320000000000
+  from revs where is_final and open_us < 1705320000000000
   union all
   select 1, (open_us // 1000) * 1000000 + rev, exchange || ':' || symbol || ':1m', *
-  from revs where symbol = 'click' and open_us >= 1705320000000000 - 60000000
+  from revs where open_us >= 1705320000000000 - 60000000
 ),
-ranked as (select *, row_number() over (partition by open_us order by src desc, "offset" desc, "key" desc) as k
+ranked as (select *, row_number() over (partition by exchange, symbol, open_us order by src desc, "offset" desc) as k
            from pts)
-select open_us // 1000000 as time, cast(open as double) as open, cast(high as double) as high,
+select exchange, symbol, '1m' as timeframe, open_us // 1000000 as time, cast(open as double) as open, cast(high as double) as high,
   cast(low as double) as low, cast(close as double) as close, cast(volume as double) as volume,
   case when close >= open then '#26a69a' else '#ef5350' end as color
 from ranked where k = 1
@@ -371,6 +393,41 @@ select underlying, snapshot_date,
 from latest group by underlying, snapshot_date
 """
 
+HALF_STRIKES = OPTIONS.replace("cast(100 + 5 * (p_partkey % 40) as int)", "cast(100 + 2.5 * (p_partkey % 40) as decimal(10,1))")
+OI_HALF_STRIKES = (
+    OI_SELECTION.replace(OPTIONS, HALF_STRIKES)
+    .replace("select s1.underlying, s1.snapshot_date, s1.expiry, s1.strike,", "select s1.underlying, s1.snapshot_date, s1.expiry, cast(s1.strike * 10 as bigint) as strike_tenths,")
+)
+
+OI_BAD_RECORDS = f"""
+with {HALF_STRIKES}
+select 'market.options.oi.snapshot' as topic, 0 as "partition", arrival as "offset",
+  case when arrival % 7 = 3 then 'x' else underlying || ':' || strftime(expiry, '%Y-%m-%d') || ':' || cast(strike as varchar) || ':' || "right" end as "key",
+  case arrival % 7 when 0 then 'not_json' when 1 then 'not_object' when 2 then 'no_open_interest' else 'no_contract' end as reason
+from opts where arrival % 7 < 4
+"""
+
+CHART_LABELS = f"""
+with {TICKS},
+c as ({_candles_sql(60_000_000, "1m").replace("with " + TICKS + ",", "with ", 1)})
+select exchange, symbol, open_us, format('{{:,.2f}}', close / 100.0) as price, strftime(make_timestamp(open_us), '%H:%M') as axis,
+  case when tick_count > 1 then strftime(make_timestamp(open_us), '%H:%M:%S') else 'No updates' end as updated,
+  case when tick_count > 1 then strftime(make_timestamp(open_us), '%A, %B %-d, %Y') else 'No date' end as day
+from c
+"""
+
+HISTORY_RANK = f"""
+with {TICKS},{REVS},{LIVE}
+select exchange, open_time as "openTime", true as in_order
+from live where trading_date = '2024-01-15' and symbol = 'click' and timeframe = '1m'
+"""
+
+HISTORY_DATES = """
+select c_custkey, strftime(case when c_custkey % 5 = 0 then date '2024-01-01' + cast(c_custkey % 400 as int)
+  else cast(timezone('UTC', now()) as date) end, '%Y-%m-%d') as day
+from customer
+"""
+
 LEARNING_EVENTS = f"""
 select 'user-' || cast((event_id + 1) % 3 as varchar) as "key",
   '{{"event":"page_view","count":' || cast(event_id + 1 as varchar) || ',"at":"' || {_iso("epoch_us(ts)")} || '"}}'
@@ -469,6 +526,20 @@ ORACLE: dict[str, str] = {
     "feed_metrics": FEED_METRICS,
     # the stream must equal the batch candles of the same messages
     "candles_1m_stream": CANDLES_1M_PARSED,
+    "late_ticks_stream": LATE_TICKS_STREAM,
+    "candles_lagging_stream": CANDLES_1M_PARSED,
+    "candles_moved_partition": CANDLES_1M_PARSED,
+    "candles_moved_partition_stream": CANDLES_1M_PARSED,
+    "candles_1m_chunks": CANDLES_1M,
+    "candle_revisions_chunks": CANDLE_REVISIONS,
+    "chart_labels": CHART_LABELS,
+    "history_rank": HISTORY_RANK,
+    "history_dates": HISTORY_DATES,
+    "oi_half_strikes": OI_HALF_STRIKES,
+    "oi_bad_records": OI_BAD_RECORDS,
+    "live_after_retry": LATEST_STATE,
+    "live_after_restart": LATEST_STATE,
+    "store_roundtrip": STORE_ROUNDTRIP,
     "oi_selection": OI_SELECTION,
     "oi_put_call": OI_PUT_CALL,
     "learning_events": LEARNING_EVENTS,

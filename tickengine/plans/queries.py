@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import candles as C
@@ -14,12 +14,14 @@ from ..operators import quotes as Q
 from ..operators import feed as FD
 from ..operators import options as O
 from ..operators import store as S
+from ..functions.text import iso_instant, resolve_date
 from ..operators.late import late_ticks
 from ..schema import ENVELOPE_TICKS, PROXY_TICKS
-from ..session import prepare
-from ..sources.envelope import learning_events, received_records, tick_envelopes
+from ..session import materialize, prepare
+from ..sources.envelope import learning_events, received_records, replay_stream, tick_envelopes
 from ..sources.proxy import option_envelopes, option_proxy, raw_snapshots, tick_proxy
 from ..streaming import candle_state as CS
+from ..streaming import sinks as K
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,7 +70,10 @@ def q_price_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_candles_1m_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     ticks = P.good_ticks(_parsed(spark, sf_dir))
-    c = C.candles(ticks, ENVELOPE_TICKS, "1m")
+    return _candles_in_cents(C.candles(ticks, ENVELOPE_TICKS, "1m"))
+
+
+def _candles_in_cents(c: DataFrame) -> DataFrame:
     return c.select(
         "exchange", "symbol", "currency", "timeframe", "open_us", "close_us",
         *[_cents(x).alias(x) for x in ("open", "high", "low", "close")],
@@ -99,7 +104,10 @@ def q_quote_throttle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_candle_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = C.candle_revisions(_ticks(spark, sf_dir), PROXY_TICKS, "1m")
+    return _revision_columns(C.candle_revisions(_ticks(spark, sf_dir), PROXY_TICKS, "1m"))
+
+
+def _revision_columns(r: DataFrame) -> DataFrame:
     return r.select("exchange", "symbol", "timeframe", "open_us", "rev", "event", "open", "high", "low", "close",
                     "volume", "tick_count", "is_final")
 
@@ -132,7 +140,7 @@ def _parsed_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_store_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = S.store_rows(S.final_only(_parsed_candles(spark, sf_dir)))
-    return rows.drop("storedAt", "_p_exchange", "_p_symbol", "_p_timeframe")
+    return rows.drop("storedAt")
 
 
 def _live(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,6 +151,42 @@ def q_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _live(spark, sf_dir)
 
 
+def q_live_after_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4: a batch that is written twice, and a day compacted between two batches, change nothing."""
+    table = K.LiveTable(spark, CS.scratch_dir(spark, "live"))
+    parsed = materialize(_parsed_candles(spark, sf_dir))
+    odd = F.pmod(F.xxhash64("exchange", "symbol"), F.lit(2)) == 1
+    table.append(parsed.where(odd), "q", 0)
+    table.append(parsed.where(odd), "q", 0)
+    table.compact(HISTORY_DATE)
+    table.append(parsed.where(~odd), "q", 1)
+    return table.read()
+
+
+def q_live_after_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4: the live stream run again over the same messages with a new checkpoint changes nothing."""
+    base = CS.scratch_dir(spark, "live")
+    files = CS.write_replay_files(_candle_envelopes(spark, sf_dir), f"{base}/source", steps=2)
+    table = K.LiveTable(spark, f"{base}/live")
+    for run in ("a", "b"):
+        K.live_stream(replay_stream(spark, f"{base}/source", files), table, f"{base}/checkpoint-{run}").awaitTermination()
+    return table.read()
+
+
+def q_store_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Final candles streamed to the store under names that collide once cleaned (``x0/a`` and ``x0_a``), one
+    day compacted, another written after it, read back."""
+    base = CS.scratch_dir(spark, "store")
+    revs = C.candle_revisions(_ticks(spark, sf_dir), PROXY_TICKS, "1m")
+    sep = F.when(F.col("open_us") % 120_000_000 == 0, F.lit("/")).otherwise(F.lit("_"))
+    named = revs.withColumn("symbol", F.concat("exchange", sep, "symbol"))
+    files = CS.write_replay_files(S.candle_messages(named), f"{base}/source", steps=2)
+    K.store_stream(replay_stream(spark, f"{base}/source", files), f"{base}/store", f"{base}/checkpoint").awaitTermination()
+    S.compact_store(spark, f"{base}/store", HISTORY_DATE)
+    S.compact_store(spark, f"{base}/store", HISTORY_DATE)
+    return S.read_store(spark, f"{base}/store").drop("storedAt")
+
+
 HISTORY_SYMBOL = "click"
 HISTORY_DATE = "2024-01-15"
 
@@ -170,38 +214,116 @@ def q_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("client_id", "partition", "offset", "key")
 
 
-CHART_SYMBOL = "click"
 CHART_SPLIT_US = 1705320000000000  # 2024-01-15 12:00 UTC: history before, live from one minute earlier on
 
 
 def q_chart_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    revs = C.candle_revisions(_ticks(spark, sf_dir), PROXY_TICKS, "1m").where(F.col("symbol") == CHART_SYMBOL)
+    revs = materialize(C.candle_revisions(_ticks(spark, sf_dir), PROXY_TICKS, "1m"))
     hist = S.candle_messages(revs.where(F.col("is_final") & (F.col("open_us") < CHART_SPLIT_US)))
     live = S.candle_messages(revs.where(F.col("open_us") >= CHART_SPLIT_US - 60_000_000))
     return FD.chart_series(hist, live)
 
 
+def q_chart_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P27 over every final candle."""
+    c = C.candles(_ticks(spark, sf_dir), PROXY_TICKS, "1m").withColumn("at", iso_instant(F.col("open_us")))
+    at = F.when(F.col("tick_count") > 1, F.col("at"))
+    return c.select("exchange", "symbol", "open_us", FD.price_label(F.col("close") / 100.0).alias("price"),
+                    FD.axis_label((F.col("open_us") / 1_000_000).cast("long")).alias("axis"),
+                    FD.update_label(at).alias("updated"), FD.date_label(at).alias("day"))
+
+
 def q_feed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    routed = FD.route(_candle_envelopes(spark, sf_dir), subscriptions(spark, sf_dir))
-    return FD.feed_metrics(routed)
+    return FD.feed_metrics(_candle_envelopes(spark, sf_dir), subscriptions(spark, sf_dir))
 
 
-def q_candles_1m_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The streaming candle builder over the proxy messages replayed as three arrival-ordered files (three
-    micro-batches), drained at the end; equal to the batch candles of the same messages."""
-    env = tick_envelopes(_ticks(spark, sf_dir))
+def q_history_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1: the rows of the history (one symbol and day) as they come out, and whether each follows the one before."""
+    out = S.history(_live(spark, sf_dir), HISTORY_SYMBOL, "1m", HISTORY_DATE).withColumn("_at", F.monotonically_increasing_id())
+    before = F.lag("openTime").over(Window.orderBy("_at"))
+    return out.select("exchange", "openTime", F.coalesce(before <= F.col("openTime"), F.lit(True)).alias("in_order"))
+
+
+def q_history_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Date parameters (given, missing, not a date, no such day) for every customer."""
+    prepare(spark)
+    k = F.col("c_custkey")
+    day = F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (k % 400).cast("int")), "yyyy-MM-dd")
+    text = (F.when(k % 5 == 0, day).when(k % 5 == 1, F.lit(None)).when(k % 5 == 2, F.lit("2024-02-30"))
+            .when(k % 5 == 3, F.concat(F.lit(" "), day)).otherwise(F.lit("today")))
+    c = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    return c.select(k.alias("c_custkey"), resolve_date(text).cast("string").alias("day"))
+
+
+def replay_input(spark: SparkSession, env: DataFrame, steps: int = 3) -> tuple[str, int]:
+    """Envelopes as replay files: the folder of a run, and the files of a step."""
     base = CS.scratch_dir(spark, "replay")
-    CS.write_replay_files(env, f"{base}/source", files=3)
-    CS.run_replay(spark, f"{base}/source", f"{base}/sink", f"{base}/checkpoint")
-    out = CS.latest_candles(spark.read.parquet(f"{base}/sink"))
+    return base, CS.write_replay_files(env, f"{base}/source", steps)
+
+
+def replayed(spark: SparkSession, base: str, files: int, per_tick: bool = False) -> DataFrame:
+    """The stream's output over replay files, step by step, until all are read."""
+    run = CS.scratch_dir(spark, "run")
+    CS.run_replay(spark, f"{base}/source", f"{run}/sink", f"{run}/checkpoint", files_per_trigger=files, per_tick=per_tick)
+    return spark.read.parquet(f"{run}/sink")
+
+
+def drained(out: DataFrame) -> DataFrame:
+    """A6 + W4 over the stream's output, in cents."""
     dec = lambda c: (F.col(c).cast("decimal(28,10)") * 100).cast("bigint")
-    return out.select(
+    return CS.latest_candles(out).select(
         "exchange", "symbol", "currency", "timeframe", "open_us", "close_us",
         *[dec(x).alias(x) for x in ("open", "high", "low", "close")],
         F.col("volume").cast("decimal(28,10)").cast("bigint").alias("volume"), "tick_count",
     )
 
 
+def q_candles_1m_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The streaming candle builder over the proxy messages replayed in three arrival-ordered steps (three
+    micro-batches), drained at the end; equal to the batch candles of the same messages."""
+    return drained(replayed(spark, *replay_input(spark, tick_envelopes(_ticks(spark, sf_dir)))))
+
+
+def q_late_ticks_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F3 / W5 in the stream: every tick that the builder skipped."""
+    out = CS.late_rows(replayed(spark, *replay_input(spark, tick_envelopes(_ticks(spark, sf_dir)))))
+    cents = (F.col("price").cast("decimal(28,10)") * 100).cast("bigint")
+    return out.select("exchange", "symbol", "event_us", F.col("open_us").alias("bucket"), cents.alias("price_c"))
+
+
+def q_candles_lagging_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One instrument is read hours after all others (its messages come last): nothing of it is lost."""
+    env = tick_envelopes(_ticks(spark, sf_dir))
+    lag = F.when(F.col("key") == "x0:click", F.lit(1 << 40)).otherwise(0)
+    return drained(replayed(spark, *replay_input(spark, env.withColumn("offset", F.col("offset") + lag))))
+
+
+def moved_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every instrument moves from partition 2 to partition 1 half-way, where offsets start again."""
+    env = tick_envelopes(_ticks(spark, sf_dir))
+    half = env.agg((F.max("offset") / 2).cast("long")).first()[0] or 0
+    first = F.col("offset") < half
+    return env.withColumns({"partition": F.when(first, 2).otherwise(1), "offset": F.when(first, F.col("offset")).otherwise(F.col("offset") - half)})
+
+
+def q_candles_moved_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = C.candles(P.good_ticks(P.parse_ticks(moved_envelopes(spark, sf_dir))), ENVELOPE_TICKS.with_chunk(256), "1m")
+    return _candles_in_cents(c)
+
+
+def q_candles_moved_partition_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drained(replayed(spark, *replay_input(spark, moved_envelopes(spark, sf_dir), steps=1)))
+
+
+def q_candles_1m_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks of 512 arrivals: candles and late ticks run across many of them."""
+    return C.candles(_ticks(spark, sf_dir), PROXY_TICKS.with_chunk(512), "1m")
+
+
+def q_candle_revisions_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _revision_columns(C.candle_revisions(_ticks(spark, sf_dir), PROXY_TICKS.with_chunk(512), "1m"))
+
+
 def q_oi_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return O.select_chain(option_proxy(spark, sf_dir), max_expiries=2, strikes_per_expiry=10).select(
@@ -232,6 +354,31 @@ def q_oi_from_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("underlying", "snapshot_date", "call_oi", "put_oi", ppm.alias("put_call_ppm"))
 
 
+def _half_strikes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    half = (F.lit(100) + F.col("arrival") % 40 * F.lit(2.5)).cast("decimal(10,1)")
+    return option_envelopes(option_proxy(spark, sf_dir).withColumn("strike", half))
+
+
+def q_oi_half_strikes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S7 / O2 on strikes such as 102.5, from messages."""
+    snaps = O.parse_option_snapshots(_half_strikes(spark, sf_dir))
+    return O.select_chain(snaps, max_expiries=2, strikes_per_expiry=10).select(
+        "underlying", "snapshot_date", "expiry", (F.col("strike") * 10).cast("bigint").alias("strike_tenths"), "right",
+        "open_interest", "arrival")
+
+
+def q_oi_bad_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F2 for options: messages broken by rule, and why."""
+    n = F.col("offset")
+    value = (F.when(n % 7 == 0, F.substring("value", 1, 20)).when(n % 7 == 1, F.lit("[1]"))
+             .when(n % 7 == 2, F.regexp_replace("value", "OpenInterest", "Other")).otherwise(F.col("value")))
+    key = F.when(n % 7 == 3, F.lit("x")).otherwise(F.col("key"))
+    value = F.when(n % 7 == 3, F.regexp_replace("value", '"right":"[CP]"', '"right":"X"')).otherwise(value)
+    env = _half_strikes(spark, sf_dir).withColumns({"value": value, "key": key})
+    return O.bad_option_records(env).select("topic", "partition", "offset", "key", "reason")
+
+
 def q_snapshot_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vendor snapshots -> producer messages."""
     raw = raw_snapshots(_ticks(spark, sf_dir))
@@ -242,12 +389,8 @@ def q_snapshot_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_candle_revisions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A3 / W2 streaming: one revision per accepted tick and one close per superseded candle, from the keyed-state
-    stream over three replay files (no drain: each instrument's last candle stays open)."""
-    env = tick_envelopes(_ticks(spark, sf_dir))
-    base = CS.scratch_dir(spark, "revisions")
-    CS.write_replay_files(env, f"{base}/source", files=3)
-    CS.run_replay(spark, f"{base}/source", f"{base}/sink", f"{base}/checkpoint", per_tick=True)
-    out = CS.candle_rows(spark.read.parquet(f"{base}/sink"))
+    stream over three replay steps (no drain: each instrument's last candle stays open)."""
+    out = CS.candle_rows(replayed(spark, *replay_input(spark, tick_envelopes(_ticks(spark, sf_dir))), per_tick=True))
     dec = lambda c: (F.col(c).cast("decimal(28,10)") * 100).cast("bigint")
     return out.select(
         "exchange", "symbol", "open_us", "is_final", "tick_count",
@@ -277,6 +420,20 @@ QUERIES: dict[str, Query] = {
     "chart_series": q_chart_series,
     "feed_metrics": q_feed_metrics,
     "candles_1m_stream": q_candles_1m_stream,
+    "late_ticks_stream": q_late_ticks_stream,
+    "candles_lagging_stream": q_candles_lagging_stream,
+    "candles_moved_partition": q_candles_moved_partition,
+    "candles_moved_partition_stream": q_candles_moved_partition_stream,
+    "candles_1m_chunks": q_candles_1m_chunks,
+    "candle_revisions_chunks": q_candle_revisions_chunks,
+    "chart_labels": q_chart_labels,
+    "history_rank": q_history_rank,
+    "history_dates": q_history_dates,
+    "oi_half_strikes": q_oi_half_strikes,
+    "oi_bad_records": q_oi_bad_records,
+    "live_after_retry": q_live_after_retry,
+    "live_after_restart": q_live_after_restart,
+    "store_roundtrip": q_store_roundtrip,
     "oi_selection": q_oi_selection,
     "oi_put_call": q_oi_put_call,
     "learning_events": q_learning_events,

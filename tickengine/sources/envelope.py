@@ -62,13 +62,13 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str, starting: str =
 
 
 def replay_batch(spark: SparkSession, path: str) -> DataFrame:
-    """Envelope files as a bounded input."""
-    return spark.read.schema(ENVELOPE).parquet(path)
+    """Envelope files as a bounded input (folders inside ``path`` too)."""
+    return spark.read.schema(ENVELOPE).option("recursiveFileLookup", "true").parquet(path)
 
 
 def replay_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Envelope files as a stream (one file = one or more micro-batches)."""
-    r = spark.readStream.schema(ENVELOPE)
+    r = spark.readStream.schema(ENVELOPE).option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return r.parquet(path)

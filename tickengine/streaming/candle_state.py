@@ -2,13 +2,20 @@
 
 Keyed state per instrument holds the open candle (and the last closed minute), exactly as the reference keeps
 one candle per key: a tick older than the open candle is late (W5, per key, not a global watermark); a tick of a
-later minute closes the open candle (W2); an event-time timer closes a candle ``grace`` after its minute ends
-(W3) once the watermark passes it; a closed minute is never reopened (Q7: one final per candle, later ticks of it
-are late). Each micro-batch emits the candles it closed plus a snapshot of the open candle, so the latest
-revision per candle (A6) is the result at any point; draining a finished replay (W4) marks the open ones final.
+later minute closes the open candle (W2); a closed minute is never reopened (Q7: one final per candle, later ticks of
+it are late and leave the stream as ``kind = "late"`` rows). Each micro-batch emits the candles it closed plus a
+snapshot of the open candle, so the latest revision per candle (A6) is the result at any point; draining a finished
+replay (W4) marks the open ones final.
 
-The watermark only drives timers. Its delay must cover how far instruments run behind each other, because Spark
-drops rows behind the watermark before the state function sees them.
+There is no watermark: Spark drops rows behind one before the state function sees them, and an instrument may run
+hours behind the others. Every row reaches its instrument's state, so accepted, late and bad rows add up to the input.
+
+Timers (W3): with ``timer="processing"`` a candle is closed by the wall clock ``grace`` after its minute, but only
+while its instrument is live, that is while its newest record was stamped less than a minute (and the grace) ago. On a
+backlog the instrument's own ticks close its candles, as with ``timer="event"``, which sets no timers.
+
+A micro-batch must fit its tasks instrument by instrument: sources cap it (``maxOffsetsPerTrigger`` and
+``maxFilesPerTrigger``).
 """
 
 from __future__ import annotations
@@ -25,7 +32,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.parse import good_ticks, parse_ticks
 from ..schema import timeframe_micros
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, materialize, ship
 from ..sources.envelope import replay_stream
 
 OUTPUT_SCHEMA = (
@@ -35,8 +42,9 @@ OUTPUT_SCHEMA = (
 )
 STATE_SCHEMA = (
     "open_us long, currency string, open string, high string, low string, close string, volume string, "
-    "tick_count long, last_cum string, published_us long, closed_us long, rev long, dirty boolean"
+    "tick_count long, last_cum string, published_us long, closed_us long, rev long, dirty boolean, record_us long"
 )
+OUTPUT_ROWS = 10_000  # rows of one output frame of an instrument
 _FIELDS = [f.split()[0] for f in STATE_SCHEMA.split(", ")]
 
 
@@ -84,7 +92,12 @@ def _state_fn(length_us: int, grace_us: int, per_tick: bool = False, timer: str
                 close_open_candle()
         else:
             frames = [p for p in pdfs if len(p)]
-            rows = pd.concat(frames).sort_values(["partition", "offset"]) if frames else pd.DataFrame()
+            rows = pd.concat(frames) if frames else pd.DataFrame()
+            if len(rows):
+                # a key that moved to another partition continues there: partitions by their first record time
+                seen = rows.groupby("partition")["record_us"].transform("min")
+                rows = rows.assign(_seen=seen).sort_values(["_seen", "partition", "offset"])
+                st["record_us"] = max(int(rows["record_us"].max()), st.get("record_us") or 0)
             cols = ("event_us", "price", "cumulative_volume", "size", "currency")
             for t, price, cum, size, currency in (zip(*(rows[c] for c in cols)) if len(rows) else ()):
                 t = int(t)
@@ -126,48 +139,45 @@ def _state_fn(length_us: int, grace_us: int, per_tick: bool = False, timer: str
                 if per_tick:
                     emit(False)
                     st["dirty"] = False
+                if len(out) >= OUTPUT_ROWS:
+                    yield pd.DataFrame(out)
+                    out.clear()
             if st["open_us"] is not None and st["dirty"]:
                 emit(False)
                 st["dirty"] = False
         saved = {f: (None if st.get(f) is None else str(st[f])) if f in _NUM else st.get(f) for f in _FIELDS}
         state.update(tuple(saved[f] for f in _FIELDS))
-        if st["open_us"] is not None:
-            due_ms = (st["open_us"] + length_us + grace_us) // 1000
-            if timer == "processing":
-                # W3 as the reference does it: by the wall clock (the process clock of the executor)
-                state.setTimeoutDuration(max(due_ms - state.getCurrentProcessingTimeMs(), 1))
-            else:
-                wm = state.getCurrentWatermarkMs()
-                if due_ms > wm:
-                    state.setTimeoutTimestamp(due_ms)
+        if timer == "processing" and st["open_us"] is not None:
+            # By the wall clock (the process clock of the executor), while the instrument is live
+            now_ms = state.getCurrentProcessingTimeMs()
+            if (st.get("record_us") or 0) // 1000 >= now_ms - (length_us + grace_us) // 1000:
+                due_ms = (st["open_us"] + length_us + grace_us) // 1000
+                state.setTimeoutDuration(max(due_ms - now_ms, 1))
         if out:
             yield pd.DataFrame(out)
 
     return fn
 
 
-def candle_stream(envelopes: DataFrame, timeframe: str = "1m", watermark_delay: str = "1 hour",
-                  grace_seconds: int = 2, per_tick: bool = False, timer: str = "event") -> DataFrame:
+def candle_stream(envelopes: DataFrame, timeframe: str = "1m", grace_seconds: int = 2, per_tick: bool = False,
+                  timer: str = "event") -> DataFrame:
     """Streaming candles from a streaming envelope DataFrame (Kafka or replay files). With ``per_tick`` every
     accepted tick emits a ``candle.updated`` revision (the reference's publication pattern, A3); otherwise each
-    micro-batch emits one snapshot per changed open candle. ``timer="processing"`` closes candles by the wall
-    clock (minute end + grace, as the reference does; results then depend on when batches run) instead of by
-    event time."""
+    micro-batch emits one snapshot per changed open candle. ``timer="processing"`` also closes the candles of live
+    instruments by the wall clock (minute end + grace, as the reference does)."""
     if timer not in ("event", "processing"):
         raise ValueError("timer must be 'event' or 'processing'")
-    length = timeframe_micros(timeframe)
+    ship(envelopes.sparkSession)
     # decimals cross into Python as text: Arrow decimal -> pandas object conversion is far slower
     ticks = good_ticks(parse_ticks(envelopes)).select(
         "exchange", "symbol", "currency", F.col("price").cast("string").alias("price"),
         F.col("size").cast("string").alias("size"),
         F.col("cumulative_volume").cast("string").alias("cumulative_volume"),
-        "event_us", "partition", "offset", F.timestamp_micros("event_us").alias("event_time"),
+        "event_us", "partition", "offset", F.unix_micros("timestamp").alias("record_us"),
     )
-    if timer == "event":
-        ticks = ticks.withWatermark("event_time", watermark_delay)
-    kind = GroupStateTimeout.EventTimeTimeout if timer == "event" else GroupStateTimeout.ProcessingTimeTimeout
+    kind = GroupStateTimeout.NoTimeout if timer == "event" else GroupStateTimeout.ProcessingTimeTimeout
     return ticks.groupBy("exchange", "symbol").applyInPandasWithState(
-        _state_fn(length, grace_seconds * 1_000_000, per_tick, timer), OUTPUT_SCHEMA, STATE_SCHEMA, "append", kind,
+        _state_fn(timeframe_micros(timeframe), grace_seconds * 1_000_000, per_tick, timer), OUTPUT_SCHEMA, STATE_SCHEMA, "append", kind,
     ).withColumn("timeframe", F.lit(timeframe))
 
 
@@ -194,55 +204,67 @@ def latest_candles(revisions: DataFrame, drain: bool = True) -> DataFrame:
 
 
 def run_replay(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint: str, timeframe: str = "1m",
-               files_per_trigger: int = 1, watermark_delay: str = "1 hour", timeout_s: int = 600,
-               per_tick: bool = False, timer: str = "event", settle_s: float = 5.0) -> None:
-    """Run the candle stream over envelope files until all are processed.
-
-    Event-time timers: an ``availableNow`` trigger, which ends once the files are processed. Processing-time
-    timers make Spark schedule a batch after every batch (to fire timeouts), so ``availableNow`` would never end:
-    the query then runs on a 1-second trigger, is stopped ``settle_s`` seconds after all files are processed."""
+               files_per_trigger: int | None = None, timeout_s: float | None = None, per_tick: bool = False,
+               timer: str = "event", settle_s: float = 5.0) -> None:
+    """Run the candle stream over envelope files until all are processed. With a ``timeout_s``, a run that is not
+    done by then raises :class:`TimeoutError`: its output is never taken for the result.
+
+    Without timers: an ``availableNow`` trigger, which ends once the files are processed. Processing-time timers make
+    Spark schedule a batch after every batch (to fire timeouts), so ``availableNow`` would never end: the query then
+    runs on a 1-second trigger and is stopped ``settle_s`` seconds after all files are processed."""
     env = replay_stream(spark, source_dir, max_files_per_trigger=files_per_trigger)
     w = (
-        candle_stream(env, timeframe, watermark_delay, per_tick=per_tick, timer=timer)
+        candle_stream(env, timeframe, per_tick=per_tick, timer=timer)
         .writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
     )
+    end = None if timeout_s is None else time.monotonic() + timeout_s
+    done = False
     if timer == "processing":
         q = w.trigger(processingTime="1 second").start(sink_dir)
-        deadline = time.monotonic() + timeout_s
         try:
             # processAllAvailable() never returns here either (a batch is always pending): poll the progress
-            while time.monotonic() < deadline and q.isActive:
+            while q.isActive and not done and (end is None or time.monotonic() < end):
                 prog = q.recentProgress
                 seen = any(p["numInputRows"] > 0 for p in prog)
-                if seen and prog[-1]["numInputRows"] == 0 and not q.status["isDataAvailable"]:
-                    break
+                done = seen and prog[-1]["numInputRows"] == 0 and not q.status["isDataAvailable"]
                 time.sleep(0.5)
-            time.sleep(settle_s)
+            if done:
+                time.sleep(settle_s)
         finally:
             q.stop()
     else:
         q = w.trigger(availableNow=True).start(sink_dir)
         try:
-            q.awaitTermination(timeout_s)
+            done = q.awaitTermination(timeout_s) if timeout_s is not None else q.awaitTermination() is None
         finally:
             if q.isActive:
                 q.stop()
     if q.exception() is not None:
         raise RuntimeError(f"candle stream failed: {q.exception()}")
-
-
-def write_replay_files(envelopes: DataFrame, path: str, files: int = 3) -> None:
-    """Split envelopes into ``files`` arrival-ordered files, written one after another so the file source sees
-    them in arrival order (it orders files by modification time)."""
-    bounds = envelopes.agg(F.min("offset").alias("lo"), F.max("offset").alias("hi")).first()
-    lo, hi = int(bounds["lo"]), int(bounds["hi"]) + 1
-    step = -(-(hi - lo) // files)
-    for i in range(files):
-        a, b = lo + i * step, lo + (i + 1) * step
-        part = envelopes.where((F.col("offset") >= a) & (F.col("offset") < b))
-        part.coalesce(1).write.mode("append").parquet(path)
+    if not done:
+        raise TimeoutError(f"the replay of {source_dir} was not done after {timeout_s} s")
+
+
+REPLAY_FILES = 4  # files of one replay step
+
+
+def write_replay_files(envelopes: DataFrame, path: str, steps: int = 3) -> int:
+    """Write envelopes as ``steps`` arrival-ordered steps of files (the file source takes files by modification time)
+    and return how many files a step has: a trigger of that many files replays one step. Every step is written in
+    parallel; steps are cut by offset."""
+    envelopes = materialize(envelopes)
+    cuts = envelopes.approxQuantile("offset", [i / steps for i in range(1, steps)], 0.001) if steps > 1 else []
+    bounds = [None, *[int(c) for c in cuts], None]
+    for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
+        part = envelopes
+        if lo is not None:
+            part = part.where(F.col("offset") > lo)
+        if hi is not None:
+            part = part.where(F.col("offset") <= hi)
+        part.repartition(REPLAY_FILES).write.mode("append").parquet(path)
+    return REPLAY_FILES
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:

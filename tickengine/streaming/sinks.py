@@ -3,19 +3,23 @@
 * K1 / K6: envelopes to Kafka (``kafka.acks=all``), or to envelope files anywhere Kafka is not available.
 * K2: the storage service: candle messages -> final-only stored rows -> the partitioned Parquet store, with the
   file sink's checkpoint giving exactly-once output (the reference auto-commits offsets before its writers close).
-* K4: the live table: every micro-batch is reduced to the latest revision per candle and merged into the day
-  partitions it touches. Each merge writes a new version of those days and then appends a commit record to a
-  small log table; readers take the newest committed version of every day, so a failed or half-written merge is
-  never visible and nothing is overwritten in place.
+* K4: the live table: every micro-batch appends its revisions, reduced to the last of each candle, under the query's
+  id and the batch's number, and readers take the last revision of every candle (A6). A batch that is run again
+  replaces its own folder, and a query with a new checkpoint appends the same revisions again, which readers see once.
+  Closed days are compacted into a folder of their own.
+* F2: candle records that do not parse go to a dead-letter sink.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import store as S
-from ..operators.parse import parse_candles
+from ..operators.chunks import with_position
+from ..operators.parse import bad_records, parse_candles
+from ..session import materialize
 
 
 def kafka_sink(envelopes: DataFrame, servers: str, topic: str, checkpoint: str | None = None):
@@ -51,16 +55,22 @@ def console_sink(records: DataFrame, checkpoint: str | None = None, truncate: bo
 
 
 def stored_candles(candle_envelopes: DataFrame, final_only: bool = True) -> DataFrame:
-    """K3 rows from candle envelopes (stream or batch); records that do not parse are left out (F2)."""
+    """K3 rows from candle envelopes (stream or batch); records that do not parse are in :func:`bad_candles` (F2)."""
     parsed = parse_candles(candle_envelopes)
     good = parsed.where(F.col("bad_reason").isNull()).drop("bad_reason")
     return S.store_rows(S.final_only(good, final_only))
 
 
+def bad_candles(candle_envelopes: DataFrame) -> DataFrame:
+    """the candle records that the store and the live table skip, with their coordinates and reason."""
+    return bad_records(parse_candles(candle_envelopes))
+
+
 def store_stream(candle_envelopes: DataFrame, path: str, checkpoint: str, final_only: bool = True,
-                 trigger: dict | None = None):
-    """K2: the storage service as a streaming query into ``exchange=/symbol=/timeframe=/date=`` directories."""
-    rows = S._to_layout(stored_candles(candle_envelopes, final_only))
+                 trigger: dict | None = None, files_per_partition: int = 4):
+    """K2: the storage service as a streaming query into ``exchange=/symbol=/timeframe=/date=`` directories, each
+    batch clustered by directory."""
+    rows = S.by_directory(S._to_layout(stored_candles(candle_envelopes, final_only)), files_per_partition)
     w = (
         rows.writeStream.format("parquet").option("checkpointLocation", checkpoint).option("compression", "snappy")
         .partitionBy(*S.PARTITION_COLS).outputMode("append")
@@ -70,68 +80,74 @@ def store_stream(candle_envelopes: DataFrame, path: str, checkpoint: str, final_
 
 
 class LiveTable:
-    """K4: the latest revision of every candle, per trading day, versioned.
+    """K4: the last revision of every candle, per trading day.
 
-    Layout: ``<root>/data/trading_date=<d>/version=<v>/`` and the commit log ``<root>/log`` (rows of
-    trading_date, version). A version is visible once its log row exists."""
+    Layout: ``<root>/revisions/query=<q>/batch=<b>/trading_date=<d>/`` (appended) and ``<root>/closed/trading_date=<d>/``
+    (compacted)."""
 
     KEY = ["exchange", "symbol", "timeframe", "open_time"]
+    SEEN = "record_us long, partition int, offset long"
 
     def __init__(self, spark: SparkSession, root: str, files_per_day: int = 8):
         self.spark = spark
         self.root = root.rstrip("/")
         self.files_per_day = int(files_per_day)
 
-    def _log(self) -> DataFrame | None:
+    def _scan(self, folder: str) -> DataFrame | None:
         from pyspark.errors import AnalysisException
 
+        schema = T.StructType(S.live_schema().fields + T.StructType.fromDDL(self.SEEN).fields)
         try:
-            return self.spark.read.schema("trading_date string, version long").parquet(f"{self.root}/log")
-        except AnalysisException:  # the log does not exist yet: nothing committed
-            return None
+            return self.spark.read.schema(schema).option("basePath", f"{self.root}/{folder}").parquet(f"{self.root}/{folder}")
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+            return None  # nothing written yet
+
+    def _rows(self) -> DataFrame:
+        found = [x for x in (self._scan("closed"), self._scan("revisions")) if x is not None]
+        columns = [*S.live_schema().fieldNames(), *T.StructType.fromDDL(self.SEEN).fieldNames()]
+        if not found:
+            return self.spark.createDataFrame([], T.StructType(S.live_schema().fields + T.StructType.fromDDL(self.SEEN).fields))
+        out = found[0].select(*columns)
+        return out.unionByName(found[1].select(*columns)) if len(found) > 1 else out
+
+    def _last(self, rows: DataFrame) -> DataFrame:
+        placed = with_position(rows, self.KEY[:3], F.col("record_us"))
+        rest = [c for c in rows.columns if c not in self.KEY]
+        last = placed.groupBy(*self.KEY).agg(F.max_by(F.struct(*rest), "_pos").alias("_l"))
+        return last.select(*self.KEY, "_l.*")
 
     def read(self) -> DataFrame:
-        """The committed live table."""
-        log = self._log()
-        schema = S.live_schema()
-        if log is None:
-            return self.spark.createDataFrame([], schema)
-        current = log.groupBy("trading_date").agg(F.max("version").alias("version"))
-        data = (
-            self.spark.read.schema(schema.add("version", "long"))
-            .option("basePath", f"{self.root}/data").parquet(f"{self.root}/data")
-        )
-        # a semi-join on the partition columns: dynamic partition pruning reads only the current versions
-        return data.join(current, ["trading_date", "version"], "left_semi").drop("version")
-
-    def upsert(self, batch: DataFrame, version: int) -> None:
-        """Merge live rows (``store.live_rows`` columns) into their days as ``version`` (e.g. the batch id)."""
-        if batch.isEmpty():
-            return
-        days = [r.trading_date for r in batch.select("trading_date").distinct().collect()]  # few days per batch
-        old = self.read().where(F.col("trading_date").isin(days))
-        rank = Window.partitionBy(*self.KEY)
-        merged = (
-            old.withColumn("_src", F.lit(0)).unionByName(batch.withColumn("_src", F.lit(1)))
-            # newer wins; a replayed older revision never replaces a final or a longer candle
-            .withColumn("_r", F.row_number().over(rank.orderBy(F.desc("is_final"), F.desc("tick_count"), F.desc("_src"))))
-            .where(F.col("_r") == 1).drop("_r", "_src")
-            .withColumn("version", F.lit(int(version)))
-        )
+        """The live table (S6): one row a candle."""
+        return self._last(self._rows()).select(*S.live_schema().fieldNames())
+
+    def append(self, parsed: DataFrame, query: str, batch: int) -> None:
+        """The revisions of a batch (good rows of ``parse_candles``); the same query and batch again replace them."""
+        latest = S.latest_state(parsed)
+        seen = [F.unix_micros("timestamp").alias("record_us"), "partition", "offset"]
         # a day is written by several tasks (hashed by instrument), not by one
         salt = F.pmod(F.xxhash64("exchange", "symbol"), F.lit(self.files_per_day))
-        merged.repartition(F.col("trading_date"), salt).write.mode("append").partitionBy(
-            "trading_date", "version").parquet(f"{self.root}/data")
-        self.spark.createDataFrame([(d, int(version)) for d in days], "trading_date string, version long") \
-            .coalesce(1).write.mode("append").parquet(f"{self.root}/log")
+        S.live_rows(latest, seen).repartition(F.col("trading_date"), salt).write.mode("overwrite").partitionBy(
+            "trading_date").parquet(f"{self.root}/revisions/query={query}/batch={int(batch)}")
+
+    def compact(self, day: str) -> None:
+        """The last revisions of a closed day as few files; readers still merge later arrivals for it."""
+        rows = self._rows().where(F.col("trading_date") == day)
+        # an instrument's partitions keep their order: the first record time goes with the row that stays
+        seen = Window.partitionBy(*self.KEY[:3], "partition")
+        last = self._last(rows.withColumn("record_us", F.min("record_us").over(seen)))
+        last = materialize(last)  # the day may be compacted again, over the files that are read here
+        last.repartition(self.files_per_day, *self.KEY[:2]).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy("trading_date").parquet(f"{self.root}/closed")
 
 
 def live_stream(candle_envelopes: DataFrame, table: LiveTable, checkpoint: str, trigger: dict | None = None):
-    """K4 as a streaming query: every micro-batch's latest revisions are merged into the live table."""
-    def merge(batch: DataFrame, batch_id: int) -> None:
+    """K4 as a streaming query: every micro-batch's last revisions are appended to the live table."""
+    def append(batch: DataFrame, batch_id: int) -> None:
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         parsed = parse_candles(batch)
-        good = parsed.where(F.col("bad_reason").isNull()).drop("bad_reason")
-        table.upsert(S.live_rows(S.latest_state(good)), batch_id)
+        table.append(parsed.where(F.col("bad_reason").isNull()).drop("bad_reason"), query, batch_id)
 
-    w = candle_envelopes.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    w = candle_envelopes.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"availableNow": True})).start()
