@@ -37,7 +37,7 @@ def test_chart_series_and_metrics(spark):
     s = {r.time: (r.close, r.color) for r in FD.chart_series(hist, live).collect()}
     t0 = 1705309200
     assert s == {t0: (2.0, "#26a69a"), t0 + 60: (5.0, "#26a69a")}
-    m = FD.feed_metrics(FD.route(live, spark.createDataFrame([("c", None, None)], "client_id string, symbol string, timeframe string"))).first()
+    m = FD.feed_metrics(live, spark.createDataFrame([("c", None, None)], "client_id string, symbol string, timeframe string")).first()
     assert (m.message_count, m.last_close) == (1, "5")  # the message without a valid open is not counted
 
 
@@ -48,7 +48,7 @@ def test_store_roundtrip_keeps_text_partitions(spark):
     path = tempfile.mkdtemp(prefix="tickengine-store-")
     S.write_store(rows, path)
     store = S.read_store(spark, path)
-    assert sorted(r.symbol for r in store.select("symbol").collect()) == ["0012", "BRK_B"]
+    assert sorted(r.symbol for r in store.select("symbol").collect()) == ["0012", "BRK/B"]
     h = S.store_history(store, "0012", "1m", "2024-01-15")
     plan = h._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and h.count() == 1
@@ -89,19 +89,20 @@ def test_compaction_keeps_rows_and_merges_files(spark):
         parsed = parse_candles(msgs).where("bad_reason is null").drop("bad_reason")
         S.write_store(S.store_rows(parsed), path)
     before = S.read_store(spark, path).drop("storedAt").collect()
-    files = lambda: len(glob.glob(f"{path}/**/*.parquet", recursive=True))
-    n_before = files()
-    assert S.compact_store(spark, path, "2024-01-15") == 8
+    files = lambda root: len(glob.glob(f"{root}/**/*.parquet", recursive=True))
+    n_before = files(path)
+    assert S.compact_store(spark, path, "2024-01-15") == 8 and S.compact_store(spark, path, "2024-01-15") == 8
+    assert S.compact_store(spark, path, "2024-01-16") == 0
     after = S.read_store(spark, path).drop("storedAt").collect()
     assert sorted(map(tuple, before)) == sorted(map(tuple, after))
-    assert files() == 2 < n_before
+    assert files(S.closed_root(path)) == 2 < n_before == files(path)
 
 
 def test_feed_metrics_counts_chart_points_only(spark):
     subs = spark.createDataFrame([("c", None, None)], "client_id string, symbol string, timeframe string")
     msgs = envelopes(spark, [candle_msg("ASML", close="2"), json.dumps({"symbol": "ASML", "timeframe": "1m"}),
                              candle_msg("ASML", minute=1, close="4")])
-    m = FD.feed_metrics(FD.route(msgs, subs)).first()
+    m = FD.feed_metrics(msgs, subs).first()
     assert (m.message_count, m.last_close, m.last_open_time) == (2, "4", "2024-01-15T09:01:00Z")
 
 
@@ -112,7 +113,7 @@ def test_write_options(spark):
     path = tempfile.mkdtemp(prefix="tickengine-oi-")
     snaps = option_proxy(spark, "/root/testdata/sf0.001")
     ratio = O.put_call_ratio(snaps)
-    O.write_options(snaps, ratio, path)
+    O.write_options(snaps, path)
     assert spark.read.parquet(f"{path}/snapshots").count() == snaps.count()
     assert spark.read.parquet(f"{path}/put_call_ratio").count() == ratio.count()
 

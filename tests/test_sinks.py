@@ -29,7 +29,8 @@ def test_store_stream_equals_batch_rows(spark):
     q = K.store_stream(replay_stream(spark, f"{base}/src"), f"{base}/store", f"{base}/ckpt")
     q.awaitTermination(300)
     got = S.read_store(spark, f"{base}/store").drop("storedAt")
-    want = S._to_layout(K.stored_candles(env)).drop("storedAt")
+    want = S._to_layout(K.stored_candles(env)).drop("storedAt").withColumnsRenamed({c: f"path_{c}" for c in S.RAW})
+    want = want.withColumnsRenamed({raw: c for c, raw in S.RAW.items()})
     assert got.count() == want.count() == env.where(F.col("value").contains('"isFinal":true')).count()
     assert got.exceptAll(want.select(got.columns)).count() == 0
 

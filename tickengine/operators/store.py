@@ -161,7 +161,7 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
     rows, closed = _scan(spark, path), _scan(spark, closed_root(path))
     if closed is not None:
         days = closed.select("date").distinct()
-        rows = closed if rows is None else rows.join(days, "date", "left_anti").unionByName(closed)
+        rows = closed if rows is None else rows.join(days, "date", "left_anti").select(*closed.columns).unionByName(closed)
     if rows is None:
         rows = spark.createDataFrame([], store_schema())
     return rows.withColumnsRenamed({c: f"path_{c}" for c in RAW}).withColumnsRenamed({raw: c for c, raw in RAW.items()})
@@ -206,7 +206,8 @@ def closing_messages(candle_envelopes: DataFrame) -> DataFrame:
         F.lit("candle.closed").alias("event"), "exchange", "symbol", "currency", "timeframe", "open_us", "close_us",
         "open", "high", "low", "close", "volume", F.col("tickCount").alias("tick_count"), F.lit(True).alias("is_final"),
         F.unix_micros(F.coalesce(F.col("publishedAt").try_cast("timestamp"), F.col("timestamp"))).alias("published_us"),
-        (F.col("tickCount") + 1).alias("rev")))
+        # right after the last revision
+        (F.col("offset") - F.expr("open_us div 1000") * F.lit(1_000_000) + 1).alias("rev")))
 
 
 def live_rows(latest: DataFrame, more: list | tuple = ()) -> DataFrame:
