@@ -510,6 +510,7 @@ ORACLE: dict[str, str] = {
     "session_label": SESSION_LABEL,
     "quote_changes": QUOTE_CHANGES,
     "quote_throttle": QUOTE_THROTTLE,
+    "quote_throttle_stream": QUOTE_THROTTLE,
     "candle_revisions": CANDLE_REVISIONS,
     "candles_1s": _candles_sql(1_000_000, "1s"),
     "candles_5m": _candles_sql(300_000_000, "5m"),

@@ -22,6 +22,7 @@ from ..sources.envelope import learning_events, received_records, replay_stream,
 from ..sources.proxy import option_envelopes, option_proxy, raw_snapshots, tick_proxy
 from ..streaming import candle_state as CS
 from ..streaming import sinks as K
+from ..streaming.quote_state import throttle_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -103,6 +104,22 @@ def q_quote_throttle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("exchange", "symbol", "event_id", "ts_us", "bid_c", "size")
 
 
+def q_quote_throttle_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F6 + F7 live: the quotes of three replayed steps (cut by time) through the keyed-state throttle."""
+    base = CS.scratch_dir(spark, "quotes")
+    quotes = materialize(_ticks(spark, sf_dir).select(*QUOTE_KEYS, "ts_us", "event_id", *QUOTE_SIGNATURE))
+    cuts = quotes.approxQuantile("ts_us", [1 / 3, 2 / 3], 0.01)
+    for lo, hi in zip([None, *cuts], [*cuts, None], strict=True):
+        part = quotes if lo is None else quotes.where(F.col("ts_us") > lo)
+        part = part if hi is None else part.where(F.col("ts_us") <= hi)
+        part.repartition(CS.REPLAY_FILES).write.mode("append").parquet(f"{base}/source")
+    stream = spark.readStream.schema(quotes.schema).option("maxFilesPerTrigger", str(CS.REPLAY_FILES)).parquet(f"{base}/source")
+    out = throttle_stream(stream, QUOTE_KEYS, "ts_us", "event_id", QUOTE_SIGNATURE, THROTTLE_MS)
+    out.writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start(
+        f"{base}/sink").awaitTermination()
+    return spark.read.parquet(f"{base}/sink")
+
+
 def q_candle_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _revision_columns(C.candle_revisions(_ticks(spark, sf_dir), PROXY_TICKS, "1m"))
 
@@ -409,6 +426,7 @@ QUERIES: dict[str, Query] = {
     "session_label": q_session_label,
     "quote_changes": q_quote_changes,
     "quote_throttle": q_quote_throttle,
+    "quote_throttle_stream": q_quote_throttle_stream,
     "candle_revisions": q_candle_revisions,
     **{f"candles_{tf}": _timeframe_query(tf) for tf in ("1s", "5m", "15m", "1h", "1d")},
     "rollup_5m": q_rollup_5m,
