@@ -40,11 +40,18 @@ def test_throttle_matches_fold_on_random_traces(spark):
             rows.append((key, t, s, rnd.choice([1, 1, 2, 3])))
     df = spark.createDataFrame(rows, "k string, t long, s long, sig int")
     for interval_ms in (0, 250, 1000):
-        for method, block in (("doubling", 0), ("blocks", 2_000_000), ("blocks", 30_000_000)):
-            got = Q.quote_throttle(df, KEYS, "t", "s", ("sig",), interval_ms, bucket_us=1_000_000, method=method,
-                                   block_us=block or 1)
-            want = brute(rows, interval_ms * 1000)
-            assert sorted(tuple(r) for r in got.select("k", "t", "s").collect()) == want, (interval_ms, method)
+        want = brute(rows, interval_ms * 1000)
+        for segment_rows, block, chunk in ((1 << 18, 1, 3_600_000_000), (1 << 18, 1, 300_000), (3, 2_000_000, 1_000_000), (0, 30_000_000, 7_000_000)):
+            got = Q.quote_throttle(df, KEYS, "t", "s", ("sig",), interval_ms, bucket_us=1_000_000, segment_rows=segment_rows,
+                                   block_us=block, chunk_us=chunk)
+            assert sorted(tuple(r) for r in got.select("k", "t", "s").collect()) == want, (interval_ms, segment_rows, chunk)
+
+
+def test_missing_values_in_a_signature_differ_by_place(spark):
+    rows = [("A", i * 1_000_000, i, x, y) for i, (x, y) in enumerate([(None, 1), (1, None), (1, None), (None, None), (None, 1)])]
+    df = spark.createDataFrame(rows, "k string, t long, s long, x int, y int")
+    got = Q.quote_throttle(df, KEYS, "t", "s", ("x", "y"), 250)
+    assert sorted(r.s for r in got.collect()) == [0, 1, 3, 4]
 
 
 def test_changes_is_throttle_without_interval(spark):
@@ -84,6 +91,6 @@ def test_throttle_golden_trace(spark):
     trace = [(0, "A"), (100, "B"), (300, "B"), (400, "A"), (700, "B"), (800, "A"), (1200, "A")]
     df = spark.createDataFrame([("k", ms * 1000, i, sig) for i, (ms, sig) in enumerate(trace)],
                                "k string, t long, s long, sig string")
-    for method in ("blocks", "doubling"):
-        got = Q.quote_throttle(df, KEYS, "t", "s", ("sig",), 250, method=method)
+    for segment_rows in (1 << 18, 0):
+        got = Q.quote_throttle(df, KEYS, "t", "s", ("sig",), 250, segment_rows=segment_rows)
         assert sorted(r.t // 1000 for r in got.collect()) == [0, 300, 800]

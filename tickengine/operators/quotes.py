@@ -6,22 +6,29 @@ signature equals the last *published* one (F6) or less than ``interval`` passed
 a suppressed quote changes neither.
 
 F6 alone compares with the previous row (a suppressed row has the previous published signature anyway), so it is
-a lag, done in two levels over time chunks. With F7 the decision depends on the last published row, which is a
-fold. It is computed exactly without a per-instrument task: if quote j is published, the next published quote is
-``next(j)`` = the first row at least ``interval`` later whose signature differs from j's (one forward as-of
-lookup); the published quotes are then the chain first-row -> next -> next ... of each instrument, followed per
-(instrument, time block) with a walk over block entry candidates in between (default), or collected by pointer
-doubling in O(log chain) rounds of distributed joins.
+a lag, done in two levels over time chunks. With F7 the decision depends on the last published row, which is a fold.
+It is computed exactly without a per-instrument task:
+
+* Where two quiet gaps of the interval follow one another, around a quote j, the quote after j finds the same state
+  whatever came before: the signature of j, and time to publish. Instruments are split there into segments, by windows
+  over (instrument, time chunk) cells and carries between them, on one shuffle of the quotes.
+* If quote j is published, the next one is ``next(j)`` = the first row at least ``interval`` later whose signature
+  differs from j's. A task holds whole segments; numpy finds ``next`` for all rows at once and follows the chains of all
+  its segments side by side.
+* A segment of more than ``SEGMENT_ROWS`` quotes (an instrument that is never quiet) is not held whole: its chain is
+  followed per (instrument, time block) with a walk over block entry candidates in between.
 """
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import session_label
-from ..session import checkpoint_dir, materialize
+from ..session import materialize, ship
 from .asof import first_at_or_after
 
 # The producer's signature fields and default minimum interval
@@ -94,59 +101,122 @@ def quote_changes(quotes: DataFrame, keys: list[str], t_us: str, seq: str,
     return q.where(keep).drop("_sig", "_chunk", "_prev", "_carry")
 
 
+SEGMENT_ROWS = 1 << 18
+
+
 def quote_throttle(quotes: DataFrame, keys: list[str], t_us: str, seq: str,
                    signature: tuple[str, ...] = SIGNATURE, interval_ms: int = MIN_INTERVAL_MS,
-                   bucket_us: int | None = None, max_rounds: int = 64, method: str = "blocks",
-                   block_us: int = 600_000_000) -> DataFrame:
-    """F6 + F7: the quotes the producer publishes. ``seq`` must make (keys, t_us, seq) unique.
-
-    ``method="blocks"`` (default) follows the chain with two grouped passes over (instrument, time block) and a
-    walk over block entry candidates; ``method="doubling"`` uses pointer doubling (O(log chain) join rounds)."""
-    spark = quotes.sparkSession
-    checkpoint_dir(spark)
+                   chunk_us: int = 3_600_000_000, segment_rows: int = SEGMENT_ROWS, block_us: int = 600_000_000,
+                   bucket_us: int | None = None) -> DataFrame:
+    """F6 + F7: the quotes the producer publishes. ``seq`` must make (keys, t_us, seq) unique."""
+    ship(quotes.sparkSession)
+    keys = list(keys)
     interval_us = int(interval_ms) * 1000
-    bucket = int(bucket_us or max(interval_us, 60_000_000))
-    t, s = F.col(t_us), F.col(seq)
-    base = quotes.select(*keys, t.alias("_t"), s.alias("_s"), _sig(signature).alias("_sig"))
-
-    pointers = materialize(_next_pointers(base, list(keys), interval_us, bucket))
-
-    if method == "blocks":
-        published = _chain_by_blocks(pointers, list(keys), int(block_us)).select(
-            *keys, F.col("_t").alias(t_us), F.col("_s").alias(seq))
-        return quotes.join(published, [*keys, t_us, seq], "left_semi")
-
-    # pointer doubling from each instrument's first quote
-    roots = base.groupBy(*keys).agg(F.min(F.struct("_t", "_s")).alias("_r")).select(
-        *keys, F.col("_r._t").alias("_t"), F.col("_r._s").alias("_s")
-    )
-    chain = materialize(roots)
-    size = chain.count()
-    jump = pointers
-    for i in range(max_rounds):
-        if i:
-            # jump_{i} = jump_{i-1} applied twice
-            a, b = jump.alias("a"), jump.alias("b")
-            cond = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys] + [
-                F.col("a._nt") == F.col("b._t"), F.col("a._ns") == F.col("b._s")]
-            jump = materialize(a.where(F.col("a._nt").isNotNull()).join(b, cond, "left").select(
-                *[F.col(f"a.{k}").alias(k) for k in keys], F.col("a._t").alias("_t"), F.col("a._s").alias("_s"),
-                F.col("b._nt").alias("_nt"), F.col("b._ns").alias("_ns"),
-            ))
-        # chain_{i+1} = chain_i + jump_i(chain_i): the chain positions [2^i, 2^(i+1))
-        step = chain.join(jump, [*keys, "_t", "_s"]).where(F.col("_nt").isNotNull()).select(
-            *keys, F.col("_nt").alias("_t"), F.col("_ns").alias("_s")
-        )
-        chain = materialize(chain.unionByName(step))
-        grown = chain.count()
-        if grown == size:
-            break
-        size = grown
-    else:
-        raise RuntimeError("quote_throttle: chain longer than 2**max_rounds")
-
-    published = chain.select(*keys, F.col("_t").alias(t_us), F.col("_s").alias(seq))
-    return quotes.join(published, [*keys, t_us, seq], "left_semi")
+    q = _segments(quotes, keys, t_us, seq, signature, interval_us, int(chunk_us))
+    sizes = q.groupBy(*keys, "_seg").agg(F.count("*").alias("_n"))
+    q = materialize(q.join(sizes.hint("merge"), [*keys, "_seg"]))
+    parts = int(quotes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    short = q.where(F.col("_n") <= segment_rows).withColumn("_bin", F.pmod(F.xxhash64(*keys, "_seg"), F.lit(4 * parts)))
+    ids = [f"_k{i}" for i in range(len(keys))]
+    # the hash skips missing values, so it is told which are
+    digest = lambda c: F.xxhash64(c, *[F.col(f"{c}.`{x}`").isNull() for x in signature])
+    small = short.select(F.col("_bin"), F.xxhash64(*keys).alias("_h"), "_seg", digest("_sig").alias("_sig"),
+                         F.when(F.col("_first"), F.lit(None)).otherwise(digest("_init")).alias("_init"),
+                         *[F.col(k).alias(i) for k, i in zip(keys, ids, strict=True)], F.col("_t"), F.col("_s"))
+    key_types = ", ".join(f"{i} {quotes.schema[k].dataType.simpleString()}" for k, i in zip(keys, ids, strict=True))
+    found = small.groupBy("_bin").applyInArrow(_follow(ids, interval_us), f"{key_types}, _t long, _s long")
+    found = found.select(*[F.col(i).alias(k) for k, i in zip(keys, ids, strict=True)], "_t", "_s")
+
+    # what a long segment opens with is its first quote that differs from the state it starts in: published for sure
+    long = q.where(F.col("_n") > segment_rows)
+    if not long.isEmpty():
+        w = Window.partitionBy(*keys, "_seg").orderBy("_t", "_s").rowsBetween(Window.unboundedPreceding, 0)
+        differs = F.col("_first") | ~F.col("_sig").eqNullSafe(F.col("_init"))
+        opened = long.withColumn("_open", F.max(differs.cast("int")).over(w)).where("_open = 1")
+        bucket = int(bucket_us or max(interval_us, 60_000_000))
+        pointers = materialize(_next_pointers(opened.select(*keys, "_seg", "_t", "_s", "_sig"), [*keys, "_seg"], interval_us, bucket))
+        found = found.unionByName(_chain_by_blocks(pointers, [*keys, "_seg"], int(block_us)).drop("_seg"))
+    return quotes.join(found.select(*keys, F.col("_t").alias(t_us), F.col("_s").alias(seq)), [*keys, t_us, seq], "left_semi")
+
+
+def _segments(quotes: DataFrame, keys: list[str], t_us: str, seq: str, signature, interval_us: int, chunk_us: int) -> DataFrame:
+    """keys, ``_t``, ``_s``, ``_sig``, and of the quote's segment: ``_seg`` (the time and sequence it starts at, as
+    text), ``_init`` (the signature it starts with) and ``_first`` (whether it is the instrument's first)."""
+    cell = [*keys, "_c"]
+    base = quotes.select(*keys, F.expr(f"`{t_us}` div {chunk_us}").alias("_c"), F.struct(
+        F.col(t_us).cast("long").alias("_t"), F.col(seq).cast("long").alias("_s"), _sig(signature).alias("_sig")).alias("_row"))
+    for k in cell:
+        base = base.where(F.col(k).isNotNull())
+    q = base.repartition(*cell).select(*cell, F.inline(F.array("_row")))
+    pos = F.struct("_t", "_s")
+    w = Window.partitionBy(*cell).orderBy("_t", "_s")
+
+    def gaps(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_quiet", F.col("_t") - F.lag("_t").over(w) >= interval_us)
+
+    # what a cell's first quote needs of the cell before it: its last time and signature, and whether a gap led to it
+    ends = gaps(q).groupBy(*cell).agg(F.max_by(F.struct("_t", "_sig", "_quiet"), pos).alias("_end"))
+    order = Window.partitionBy(*keys).orderBy("_c")
+    carry = ends.select(*cell, F.lag("_end").over(order).alias("_before"))
+    q = gaps(q).withColumn("_lag", F.lag(F.struct("_t", "_sig", "_quiet")).over(w)).join(carry.hint("merge"), cell)
+    q = q.withColumn("_lag", F.coalesce("_lag", "_before"))
+    first = F.col("_lag").isNull()
+    after_gap = F.col("_t") - F.col("_lag._t") >= interval_us
+    # a gap of unknown length before a cell's first quote counts as none: segments are then longer, never wrong
+    starts = first | (after_gap & F.coalesce(F.col("_lag._quiet"), F.lit(False)))
+    q = q.withColumn("_start", F.when(starts, F.struct(F.col("_t"), F.col("_s"), F.col("_lag._sig").alias("_init"), first.alias("_first"))))
+    q = q.select(*cell, "_t", "_s", "_sig", "_start")
+    opened = q.groupBy(*cell).agg(F.max_by("_start", F.when(F.col("_start").isNotNull(), pos)).alias("_open"))
+    earlier = opened.select(*cell, F.last("_open", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("_earlier"))
+    q = q.withColumn("_own", F.last("_start", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    q = q.join(earlier.hint("merge"), cell).withColumn("_own", F.coalesce("_own", "_earlier"))
+    return q.select(*keys, "_t", "_s", "_sig", F.concat_ws(":", "_own._t", "_own._s").alias("_seg"), F.col("_own._init").alias("_init"),
+                    F.col("_own._first").alias("_first"))
+
+
+def _follow(ids: list[str], interval_us: int):
+    """Published quotes of whole segments: the chains of all segments of a bin, one step of each at a time."""
+    def follow(table: pa.Table) -> pa.Table:
+        table = table.sort_by([(c, "ascending") for c in ("_h", "_seg", "_t", "_s")])
+        h, t = table["_h"].to_numpy(), table["_t"].to_numpy()
+        _, seg_name = np.unique(table["_seg"].to_pandas().to_numpy(), return_inverse=True)
+        new = np.concatenate([[True], (h[1:] != h[:-1]) | (seg_name[1:] != seg_name[:-1])])
+        seg = np.cumsum(new) - 1
+        starts = np.flatnonzero(new)
+        ends = np.append(starts[1:], len(t))[seg]
+        sig = table["_sig"].to_numpy()
+        n = np.arange(len(t))
+        # the next quote of a segment with another signature, and the first one an interval later
+        run = np.concatenate([[True], (sig[1:] != sig[:-1]) | new[1:]])
+        heads = np.append(np.flatnonzero(run), len(t))
+        other = heads[np.searchsorted(heads, n, "right")]
+        later = t - t[starts][seg]
+        span = int(later.max()) + interval_us + 1
+        if span * (int(seg[-1]) + 2) < 1 << 62:
+            place = seg * span + later
+            after = np.searchsorted(place, place + interval_us, "left")
+        else:  # times too far apart for one number: segment by segment
+            after = np.concatenate([a + np.searchsorted(t[a:b], t[a:b] + interval_us, "left") for a, b in zip(starts, np.append(starts[1:], len(t)), strict=True)])
+        after = np.maximum(after, n + 1)
+        inside = after < ends
+        same = np.zeros(len(t), dtype=bool)
+        same[inside] = sig[after[inside]] == sig[inside]
+        nxt = np.where(same, other[np.minimum(after, len(t) - 1)], after)
+        # a segment opens with its first quote that differs from the state it starts in
+        init = table["_init"]
+        known = init.is_valid().to_numpy()[starts]
+        equal = known & (init.fill_null(0).to_numpy()[starts] == sig[starts])
+        at = np.where(equal, other[starts], starts)
+        stop = ends[starts]
+        published = np.zeros(len(t), dtype=bool)
+        while len(at):
+            live = at < stop
+            at, stop = at[live], stop[live]
+            published[at] = True
+            at = nxt[at]
+        return table.filter(pa.array(published)).select([*ids, "_t", "_s"])
+
+    return follow
 
 
 def _next_pointers(base: DataFrame, keys: list[str], interval_us: int, bucket: int) -> DataFrame:
