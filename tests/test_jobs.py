@@ -72,3 +72,35 @@ def test_feed_and_options_jobs(spark):
     want = O.put_call_ratio(O.parse_option_snapshots(env)).select(*ratio.columns)
     assert ratio.count() == want.count() and ratio.exceptAll(want).count() == 0
     assert spark.read.parquet(f"{base}/oi-bad").count() == 0
+
+
+def test_streams_run_from_another_folder():
+    """Workers get the package from Spark, whatever folder the driver was started in."""
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import sys; sys.path.insert(0, {repo!r})
+import __spark_entry__ as e
+from tickengine.session import build_session
+spark = build_session(cpus=2)
+assert e.queries()["candles_1m_stream"](spark, {SF_SMALL!r}).count() > 0
+print("RAN")
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tempfile.mkdtemp(), env=env, capture_output=True, text=True, timeout=300)
+    assert "RAN" in out.stdout, out.stderr[-2000:]
+
+
+def test_intermediates_go_when_asked(spark):
+    import glob
+
+    from tickengine.session import checkpoint_dir, drop_intermediates, materialize
+
+    drop_intermediates(spark)
+    rows = materialize(spark.range(5))
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    assert rows.count() == 5 and glob.glob(f"{folder}/tickengine-mat-*")
+    assert drop_intermediates(spark) == 1 and not glob.glob(f"{folder}/tickengine-mat-*/part*")

@@ -28,7 +28,7 @@ from .operators import feed as FD
 from .operators import options as O
 from .operators import store as S
 from .operators.parse import bad_records, parse_ticks
-from .session import checkpoint_dir, prepare
+from .session import checkpoint_dir, drop_intermediates, prepare
 from .sources.envelope import (CANDLES_TOPIC, LEARNING_TOPIC, generated_events, kafka_batch, kafka_stream,
                                received_records, replay_batch, replay_stream)
 from .streaming import candle_state as CS
@@ -150,7 +150,15 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> int
         x.add_argument("--max-files", type=int, default=64, help="files of a micro-batch")
     args = ap.parse_args(argv)
 
-    spark = prepare(spark or SparkSession.builder.appName(f"tickengine-{args.job}").getOrCreate())
+    spark = spark or SparkSession.builder.appName(f"tickengine-{args.job}").getOrCreate()
+    prepare(spark, stream=args.job not in ("history", "produce-events"))
+    try:
+        return _run(spark, args)
+    finally:
+        drop_intermediates(spark)
+
+
+def _run(spark: SparkSession, args) -> int:
     if args.job == "candles":
         revs = CS.candle_stream(_source(spark, args), args.timeframe, grace_seconds=args.grace_seconds, per_tick=True,
                                 timer=args.timer or ("event" if args.once else "processing"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import SparkSession
@@ -42,10 +43,39 @@ def build_session(cpus: int | str = "*", app: str = "tickengine", shuffle_partit
     return prepare(spark)
 
 
-def prepare(spark: SparkSession) -> SparkSession:
-    """Pin the runtime settings the operators rely on (all are SQL confs, settable on a live session)."""
+# Defaults for a cluster, applied where nothing is set. Shuffle partitions belong to the deployment (about 128-256 MB of
+# shuffled data a task); AQE coalesces the small stages and splits skewed join partitions.
+BATCH_CONF = {
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+}
+
+# Streams keep a state store per shuffle partition, on every trigger: far fewer partitions than a batch, and state off
+# the heap.
+STREAM_CONF = {
+    "spark.sql.shuffle.partitions": "512",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+def is_local(spark: SparkSession) -> bool:
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
+def prepare(spark: SparkSession, stream: bool = False) -> SparkSession:
+    """Pin the runtime settings the operators rely on (all are SQL confs, settable on a live session), and on a cluster
+    set the batch or stream defaults that the deployment has left open."""
     for k, v in SESSION_CONF.items():
         spark.conf.set(k, v)
+    if not is_local(spark):
+        given = {k for k, _ in spark.sparkContext.getConf().getAll()}
+        for k, v in (STREAM_CONF if stream else BATCH_CONF).items():
+            if k not in given:
+                spark.conf.set(k, v)
     return spark
 
 
@@ -58,7 +88,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local[") and sc.master != "local":
+        if not is_local(spark):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="tickengine-ckpt-")
     sc.setCheckpointDir(configured)
@@ -86,28 +116,27 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_written: list[str] = []
+
+
 def materialize(df):
     """Write an intermediate that several consumers read once, as a Parquet table in the shared checkpoint folder,
     and read it back: its lineage is computed once instead of once per consumer, and it is cut, so a lost
     executor costs a re-read, not a recomputation from the sources. (An eager ``checkpoint`` would compute the
     plan twice unless it were cached first; caching terabytes on executors is what this avoids.)"""
-    import uuid
-
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tickengine-mat-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-# Settings for a large cluster (documented defaults; apply with ``spark.conf.set`` or at submit time). Shuffle
-# partitions are sized for ~128-256 MB per task at 100 TB of ticks, AQE coalesces the small stages and splits
-# skewed join partitions, and streaming state lives in RocksDB so millions of instruments do not sit on the heap.
-CLUSTER_CONF = {
-    "spark.sql.shuffle.partitions": "200000",
-    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
-    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-}
+def drop_intermediates(spark: SparkSession) -> int:
+    """Delete what :func:`materialize` has written in this process. To be called when the results that read it are
+    written (jobs do so at their end); returns how many folders went."""
+    jvm, n = spark.sparkContext._jvm, 0
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        n += bool(path.getFileSystem(conf).delete(path, True))
+    return n
