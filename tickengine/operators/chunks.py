@@ -76,15 +76,12 @@ def prior_cells(partition: list[str]) -> Window:
     return Window.partitionBy(*partition).orderBy(RANK, CHUNK).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def with_position(messages: DataFrame, keys: list[str], record_us: Column, name: str = "_pos") -> DataFrame:
-    """Adds the arrival position of a message among those of its keys as one BIGINT: the partition's rank by first
-    record time over the offset. The ranks are a row per key and partition, joined back."""
-    seen = messages.groupBy(*keys, "partition").agg(F.min(record_us).alias("_seen"))
-    rank = F.dense_rank().over(Window.partitionBy(*keys).orderBy("_seen", "partition")) - 1
-    ranks = seen.withColumn(RANK, rank).drop("_seen")
-    same = [F.col(f"m.{c}").eqNullSafe(F.col(f"r.{c}")) for c in (*keys, "partition")]
-    cond = same[0]
-    for c in same[1:]:
-        cond = cond & c
-    pos = F.shiftleft(F.coalesce(F.col(f"r.{RANK}"), F.lit(0)).cast("long"), 48) + F.col("m.offset")
-    return messages.alias("m").join(ranks.alias("r"), cond, "left").select("m.*", pos.alias(name))
+def last_by_arrival(rows: DataFrame, keys: list[str], instrument: list[str], value: Column, record_us: Column,
+                    within: tuple[str, ...] = (), ties: tuple[str, ...] = ()) -> DataFrame:
+    """keys and ``_l``: the ``value`` of the last arrival of each key -- by ``within`` first, then by the instrument's
+    partitions in order of their first record, then by offset (and ``ties``). Rows are read once and reduced to one per
+    key and partition before anything is compared across partitions."""
+    at = F.struct("offset", *ties) if ties else F.col("offset")
+    per = rows.groupBy(*keys, *within, "partition").agg(F.max_by(value, at).alias("_l"), F.min(record_us).alias("_seen"))
+    per = per.withColumn("_seen", F.min("_seen").over(Window.partitionBy(*instrument, "partition")))
+    return per.groupBy(*keys).agg(F.max_by("_l", F.struct(*within, "_seen", "partition")).alias("_l"))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import json_fields as J
-from .chunks import with_position
+from .chunks import last_by_arrival
 
 # The chart's volume bar colours
 UP_COLOUR = "#26a69a"
@@ -135,10 +135,9 @@ def chart_series(history: DataFrame, live: DataFrame) -> DataFrame:
     message envelopes."""
     h = chart_points(history).withColumn("_src", F.lit(0))
     lv = chart_points(live).withColumn("_src", F.lit(1))
-    u = with_position(h.unionByName(lv), INSTRUMENT, F.unix_micros("timestamp"))
-    pos = F.struct("_src", "_pos", "key")
     bar = F.struct("open", "high", "low", "close", "volume", "color")
-    return u.groupBy(*INSTRUMENT, "time").agg(F.max_by(bar, pos).alias("_b")).select(*INSTRUMENT, "time", "_b.*")
+    last = last_by_arrival(h.unionByName(lv), [*INSTRUMENT, "time"], INSTRUMENT, bar, F.unix_micros("timestamp"), ("_src",), ("key",))
+    return last.select(*INSTRUMENT, "time", "_l.*")
 
 
 def feed_metrics(messages: DataFrame, subscriptions: DataFrame) -> DataFrame:
@@ -148,12 +147,14 @@ def feed_metrics(messages: DataFrame, subscriptions: DataFrame) -> DataFrame:
     Messages are parsed once and folded by routing fields (partial aggregates) before any are copied to subscribers,
     so what is delivered is a row per symbol and timeframe."""
     x = _points(messages).where(F.col("_ok"))
-    pos = F.struct("timestamp_rank", "offset", "key")
-    seen = F.dense_rank().over(Window.orderBy("_seen", "partition")) - 1
-    ranks = messages.groupBy("partition").agg(F.min("timestamp").alias("_seen")).select(F.col("partition"), seen.alias("timestamp_rank"))
     last = F.struct("last_close", "last_open_time", "last_update")
-    per_key = x.join(ranks, "partition").groupBy("route_symbol", "route_timeframe").agg(
-        F.count(F.lit(1)).alias("_n"), F.max_by(last, pos).alias("_l"), F.max(pos).alias("_at"))
+    at = F.struct("offset", "key")
+    per = x.groupBy("route_symbol", "route_timeframe", "partition").agg(
+        F.count(F.lit(1)).alias("_n"), F.max_by(last, at).alias("_l"), F.max(at).alias("_at"), F.min("timestamp").alias("_seen"))
+    per = per.withColumn("_seen", F.min("_seen").over(Window.partitionBy("partition")))
+    pos = F.struct("_seen", "partition", "_at")
+    per_key = per.groupBy("route_symbol", "route_timeframe").agg(
+        F.sum("_n").alias("_n"), F.max_by("_l", pos).alias("_l"), F.max(pos).alias("_at"))
     got = deliver(per_key, subscriptions, ["_n", "_l", "_at"])
     return got.groupBy("client_id").agg(F.sum("_n").alias("message_count"), F.max_by("_l", "_at").alias("_l")).select(
         "client_id", "message_count", "_l.*")

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from ..functions.text import iso_instant, resolve_date, safe_path_segment, trading_date
 from ..schema import STORED_CANDLE
 from ..sources.envelope import CANDLES_TOPIC
-from .chunks import with_position
+from .chunks import last_by_arrival
 from .parse import parse_candles
 
 PARTITION_COLS = ["exchange", "symbol", "timeframe", "date"]
@@ -192,8 +192,8 @@ def latest_state(parsed_candles: DataFrame) -> DataFrame:
     record time. A partial aggregate: one row per candle per task."""
     keys = ["exchange", "symbol", "timeframe", "open_us"]
     cols = [c for c in parsed_candles.columns if c not in keys]
-    placed = with_position(parsed_candles, keys[:3], F.unix_micros("timestamp"))
-    latest = placed.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in cols]), "_pos").alias("_l"))
+    row = F.struct(*[F.col(c) for c in cols])
+    latest = last_by_arrival(parsed_candles, keys, keys[:3], row, F.unix_micros("timestamp"))
     return latest.select(*keys, *[F.col(f"_l.{c}").alias(c) for c in cols])
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import store as S
-from ..operators.chunks import with_position
+from ..operators.chunks import last_by_arrival
 from ..operators.parse import bad_records, parse_candles
 from ..session import materialize
 
@@ -113,9 +113,8 @@ class LiveTable:
         return out.unionByName(found[1].select(*columns)) if len(found) > 1 else out
 
     def _last(self, rows: DataFrame) -> DataFrame:
-        placed = with_position(rows, self.KEY[:3], F.col("record_us"))
         rest = [c for c in rows.columns if c not in self.KEY]
-        last = placed.groupBy(*self.KEY).agg(F.max_by(F.struct(*rest), "_pos").alias("_l"))
+        last = last_by_arrival(rows, self.KEY, self.KEY[:3], F.struct(*rest), F.col("record_us"))
         return last.select(*self.KEY, "_l.*")
 
     def read(self) -> DataFrame:
