@@ -96,8 +96,9 @@ def _levels(width: int, batch_windows: int):
     def match(batches: list[Batch]) -> np.ndarray:
         data = np.frombuffer(b"".join(b.data for b in batches), dtype=np.uint8)
         eight = np.zeros(len(data), dtype=np.uint64)
+        ahead = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
         for k in range(8):
-            eight[: len(data) - k] |= data[k:].astype(np.uint64) << np.uint64(56 - 8 * k)
+            eight |= ahead[k : k + len(data)].astype(np.uint64) << np.uint64(56 - 8 * k)
         lengths = np.concatenate([b.lengths for b in batches])
         ids = np.concatenate([b.ids for b in batches])
         starts, piece = _windows(lengths, width)
