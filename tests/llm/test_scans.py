@@ -202,6 +202,14 @@ def test_licenses(spark, docs, no_docs):
     assert licenses.scan_licenses(no_docs).collect() == []
 
 
+def test_a_file_of_all_licences_has_every_label(spark, docs):
+    lines = [line for _, line, _ in licenses.TEMPLATES]
+    data = [(0, " . x ".join(lines)), (1, "none of these"), *((10 + k, line) for k, line in enumerate(lines))]
+    for r in licenses.scan_licenses(spark.createDataFrame(data, "doc_id long, text string")).collect():
+        if r.doc_id == 0:
+            assert {x.label for x in r.found if not x.base} == {label for label, _, _ in licenses.TEMPLATES} and r.best == 1.0
+
+
 def test_sql_of_licenses(spark, docs, tmp_path):
     path = str(tmp_path / "documents.parquet")
     docs.select("doc_id", "text").write.parquet(path)

@@ -2,12 +2,11 @@
 
 The templates (fixed licence lines, a bounded list) and the base phrases are indexed by their rarest words: document
 frequencies are counted over the whole table, a template is posted under its ``RARE`` words of highest IDF, a phrase
-under its rarest one. A file looks up the index words that it holds, of the template words its ``ANCHORS`` of highest
-IDF. Every place of such a word, less the word's place in the template, is a place where the template may start:
-equal places of several words fall together there. A start is scored by the IDF share of the template's words that
-stand at their relative place, and counts if the share is ``LEAST`` or more and the template's mandatory key phrase
-stands in full. A base phrase must stand in full. All of it is one row per file: no shuffle but the counting of
-index words.
+under its rarest one. A file looks up every index word that it holds. Every place of such a word, less the word's
+place in the template, is a place where the template may start: equal places of several words fall together there. A
+start is scored by the IDF share of the template's words that stand at their relative place, and counts if the share
+is ``LEAST`` or more and the template's mandatory key phrase stands in full. A base phrase must stand in full. All of
+it is one row per file: no shuffle but the counting of index words.
 
 Defined cases: a null or empty text has no words, no labels and score 0; repeated rows are repeated in the result; a
 null doc_id is kept; other columns are ignored; an empty table gives no rows.
@@ -23,7 +22,7 @@ from pyspark.sql import functions as F
 from tickengine.llm.common import documents
 
 RARE = 3
-ANCHORS = 6
+ANCHORS = 6  # only OP9_SQL stops at so many template words a file
 LEAST = 0.6
 
 # The phrases of the contract and their labels
@@ -100,18 +99,13 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, base=BASE) -> DataFrame:
     n, counts = document_frequencies(words, vocabulary)
     idf = {w: round(math.log((n + 1) / (counts.get(w, 0) + 1)) + 1e-6, 9) for w in vocabulary}
     index = _index(patterns, idf)
-    always = sorted(w for w, posts in index.items() if any(patterns[k]["base"] for k, _ in posts))
-    others = sorted(set(index) - set(always))
 
     place = "array<struct<p:int,i:int>>"
     postings = F.create_map(*(x for w in sorted(index) for x in (
         F.lit(w), F.array(*(F.struct(F.lit(k).alias("p"), F.lit(i).alias("i")) for k, i in index[w])).cast(place))))
-    weight = F.create_map(*(x for w in sorted(index) for x in (F.lit(w), F.lit(idf[w]))))
     table = _literal(patterns, idf)
 
-    ranked = F.sort_array(F.transform(F.array_intersect("w", F.array(*map(F.lit, others))),
-                                      lambda w: F.struct((-F.element_at(weight, w)).alias("o"), w.alias("w"))))
-    anchors = F.concat(F.array_intersect("w", F.array(*map(F.lit, always))), F.transform(F.slice(ranked, 1, ANCHORS), lambda s: s["w"]))
+    anchors = F.array_intersect("w", F.array(*map(F.lit, sorted(index))))
     hits = F.filter(F.transform("w", lambda w, i: F.when(F.array_contains("anchors", w), F.struct(w.alias("w"), i.alias("i")))),
                     lambda h: h.isNotNull())
     starts = F.array_distinct(F.flatten(F.transform("hits", lambda h: F.transform(
