@@ -80,6 +80,15 @@ def test_stage_keeps_one_of_each_group(spark, docs):
     assert sorted(d for d in got if d is not None) == sorted(want) and got.count(None) == 2
 
 
+def test_stage_keeps_rows_of_one_id_in_different_groups(spark, docs):
+    text = {c: " ".join(f"{c}{k}" for k in range(30)) for c in "abc"}
+    data = [(1, text["a"]), (1, text["b"]), (1, text["b"]), (1, text["c"] + " end"), (2, text["c"]), (2, text["a"]), (0, text["c"]),
+            (1, ""), (1, ""), (1, " "), (1, None), (None, text["a"]), (None, text["a"])]
+    kept = nd.near_duplicates_stage(spark, spark.createDataFrame(data, "doc_id long, text string"), "")
+    want = [(1, text["a"]), (1, text["b"]), (0, text["c"]), (1, ""), (1, " "), (1, None), (None, text["a"]), (None, text["a"])]
+    assert sorted(map(repr, map(tuple, kept.collect()))) == sorted(map(repr, want))
+
+
 def test_components(spark, docs):
     rnd = np.random.default_rng(1)
     links = [(int(a), int(b)) for a, b in rnd.integers(0, 120, (90, 2))] + [(200 + i, 201 + i) for i in range(40)] + [(300, 300 + i) for i in range(1, 50)]
