@@ -152,6 +152,17 @@ def test_field_on_sentences_it_has_not_seen(field):
         assert pii._field_spans(field, tk.as_texts(pa.array([text]))) == []
 
 
+def test_field_words_beside_a_pattern_stay(monkeypatch):
+    text = "é 212-555-0100, +1 (415) 555-1234, 415-555-9999, 415-555-8888; (+1 415 555 7777)."
+    cut = [(text.index(v), text.index(v) + len(v)) for v in ("212-555-0100", "415-555-9999, 415-555-8888;")]
+    texts = tk.as_texts(pa.array(["none", text]))
+    a, b = (4 + len(text[:i].encode()) for i in (text.index("212"), len(text)))
+    monkeypatch.setattr(pii, "_field_spans", lambda field, texts: [(1, "phone", a, b)])
+    (_, _), (base, added) = pii._document_spans(None, texts)
+    assert base == patterns(text) and len(base) == 2
+    assert added == [("phone", cut[0][0], cut[0][1]), ("phone", cut[1][0], cut[1][1] - 1)]
+
+
 def test_viterbi_is_the_best_of_all_labellings():
     from itertools import product
 

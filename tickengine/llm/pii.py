@@ -4,8 +4,8 @@ The patterns (email, ip, card, phone) are found by short scans, linear in a text
 The field adds what the patterns miss, such as phone numbers without a country code. It is trained on a small labelled
 table (at most ``LABELLED_ROWS`` sentences are read) by gradient ascent on the exact likelihood, and decoded by Viterbi
 over numpy batches of word sequences. Its sequences are the runs of words near a word with a digit or an ``@``; all
-other words have plain shapes and carry no label. A span of the field that touches a pattern's span is dropped, so the
-patterns' spans always stay.
+other words have plain shapes and carry no label. The patterns' spans always stay: words that a pattern's span touches
+are cut out of a span of the field, and the runs of words that remain are spans of their own.
 
 Defined cases: a null or empty text has no spans; repeated rows are repeated in the result; a null doc_id is kept;
 other columns are ignored (or kept, on request); offsets are code points, ends exclusive.
@@ -14,7 +14,9 @@ other columns are ignored (or kept, on request); offsets are code points, ends e
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +37,7 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 
 Span = tuple[str, int, int]
@@ -299,15 +302,31 @@ def _field_spans(field: Field, texts: tk.Texts) -> list[tuple[int, str, int, int
     for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
         if labels[a]:
             kind = LABELS[labels[a]]
-            start, end = int(w.starts[at[a]]), int(w.ends[at[b - 1]])
-            raw = w.data[start:end].tobytes()
-            left = len(raw) - len(raw.lstrip(_TRIM[kind]))
-            right = len(raw.rstrip(_TRIM[kind]))
-            if left < right:
-                out.append((int(docs[at[a]]), kind, start + left, start + right))
+            start, end = _trimmed(w.data, kind, int(w.starts[at[a]]), int(w.ends[at[b - 1]]))
+            if start < end:
+                out.append((int(docs[at[a]]), kind, start, end))
     return out
 
 
+def _trimmed(data: np.ndarray, kind: str, start: int, end: int) -> tuple[int, int]:
+    raw = data[start:end].tobytes()
+    return start + len(raw) - len(raw.lstrip(_TRIM[kind])), start + len(raw.rstrip(_TRIM[kind]))
+
+
+def _remaining(data: np.ndarray, kind: str, start: int, end: int, touched: Callable[[int, int], bool]) -> Iterator[tuple[int, int]]:
+    """The runs of words in ``data[start:end]`` of which no word is touched."""
+    run: list[int] = []
+    for m in _WORD.finditer(data[start:end].tobytes()):
+        a, b = start + m.start(), start + m.end()
+        if not touched(a, b):
+            run = [run[0] if run else a, b]
+        elif run:
+            yield _trimmed(data, kind, *run)
+            run = []
+    if run:
+        yield _trimmed(data, kind, *run)
+
+
 def _document_spans(field: Field, texts: tk.Texts) -> list[tuple[list[Span], list[Span]]]:
     """Pattern spans and added spans of each document, in code points."""
     found: list[tuple[list[Span], list[Span]]] = [([], []) for _ in range(len(texts))]
@@ -316,11 +335,21 @@ def _document_spans(field: Field, texts: tk.Texts) -> list[tuple[list[Span], lis
         text = texts.data[texts.offsets[d] : texts.offsets[d + 1]].tobytes().decode("utf-8", "replace")
         found[d] = (pattern_spans(text), [])
     points = np.concatenate([[0], np.cumsum((texts.data & 0xC0) != 0x80)])
+    edges: dict[int, tuple[list[int], list[int]]] = {}  # of a document's patterns: starts, and how far those so far reach
     for d, kind, start, end in _field_spans(field, texts):
+        if d not in edges:
+            fixed = sorted((x, y) for _, x, y in found[d][0])
+            edges[d] = [x for x, _ in fixed], list(accumulate((y for _, y in fixed), max))
+        starts, reach = edges[d]
         base = points[texts.offsets[d]]
-        a, b = int(points[start] - base), int(points[end] - base)
-        if not any(x < b and a < y for _, x, y in found[d][0]):
-            found[d][1].append((kind, a, b))
+
+        def touched(a: int, b: int, starts=starts, reach=reach, base=base) -> bool:
+            before = bisect_left(starts, points[b] - base)
+            return before > 0 and reach[before - 1] > points[a] - base
+
+        for a, b in _remaining(texts.data, kind, start, end, touched) if touched(start, end) else [(start, end)]:
+            if a < b:
+                found[d][1].append((kind, int(points[a] - base), int(points[b] - base)))
     return found
 
 
