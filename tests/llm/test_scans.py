@@ -43,6 +43,13 @@ def test_packing_pads_little(docs):
     assert packed.length.sum() / (64 * packed.sequence_id.nunique()) > 0.97
 
 
+def test_packing_deals_pieces_of_one_id(spark, docs):
+    data = [(d, f"text {k} of one id") for d in (None, 1) for k in range(200)]
+    packed = pack(token_pieces(spark.createDataFrame(data, "doc_id long, text string"), 64), 64, group_pieces=40)
+    sizes = [r["count"] for r in packed.groupBy(F.shiftright("sequence_id", 32).alias("g")).count().collect()]
+    assert sum(sizes) == len(data) and max(sizes) < 100
+
+
 def test_first_fit_matches_a_plain_scan():
     rnd = np.random.default_rng(0)
     for n in (0, 1, 2, 50, 400):

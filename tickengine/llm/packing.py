@@ -125,7 +125,7 @@ def pack(pieces: DataFrame, length: int = LENGTH, group_pieces: int = GROUP_PIEC
         pdf["doc_id"] = pdf["doc_id"].astype("Int64")
         return pdf.drop(columns="_group")
 
-    dealt = pieces.withColumn("_group", F.pmod(F.xxhash64("doc_id", "start"), F.lit(groups)))
+    dealt = pieces.withColumn("_group", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(groups)))
     return dealt.groupBy("_group").applyInPandas(packed, PACKED)
 
 
