@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tickengine.llm import decontamination, licenses, nearduplicates, packing, passages, pii, quality, suffixlevels, tokencount, topk
+from tickengine.llm import (
+    alignment,
+    decontamination,
+    licenses,
+    nearduplicates,
+    packing,
+    passages,
+    periodicruns,
+    pii,
+    quality,
+    secretscan,
+    suffixlevels,
+    tokencount,
+    topk,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +36,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_topk": topk.op8_topk,
         "op9_licenses": licenses.op9_licenses,
         "op10_near_duplicates": nearduplicates.op10_near_duplicates,
+        "op11_secrets": secretscan.op11_secrets,
+        "op12_periodic_runs": periodicruns.op12_periodic_runs,
+        "op13_alignment": alignment.op13_alignment,
         "pipeline": corpus_pipeline.run,
     }
 
