@@ -32,7 +32,7 @@ from tickengine.llm import textkit as tk
 from tickengine.llm.common import documents
 from tickengine.session import materialize, ship
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 BYTE_VOCABULARY = "byte_bpe_50k"
 PIECE_VOCABULARY = "piece_bpe_32k"
 _SLICES = ("slice long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, "
@@ -42,19 +42,21 @@ ALIGNED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best
 GROUPS = "doc_id long, n_a long, n_b long, groups array<struct<a:array<int>,b:array<int>>>"
 _GROUPS_TYPE = pa.list_(pa.struct([("a", pa.list_(pa.int32())), ("b", pa.list_(pa.int32()))]))
 
-Encoder = Callable[[str], list[int]]
+Encoder = Callable[[list[str]], list[list[int]]]
 
 
 @dataclass
 class Side:
-    """One tokenizer: ids of a text, and the bytes of every id."""
+    """One tokenizer: the ids of each of some texts, and the bytes of every id."""
 
     encode: Encoder
     pieces: list[bytes]
     lengths: list[int] = field(init=False)
+    names: list[str] = field(init=False)
 
     def __post_init__(self):
         self.lengths = [len(p) for p in self.pieces]
+        self.names = [str(i) for i in range(len(self.pieces))]
 
 
 _sides: dict = {}
@@ -73,7 +75,7 @@ def _byte_side(path: Callable[[str], str]) -> Side:
     fast = tiktoken.Encoding(BYTE_VOCABULARY, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     plain: list = []
 
-    def encode(text: str) -> list[int]:
+    def one(text: str) -> list[int]:
         try:
             return fast.encode_ordinary(text)
         except ValueError:
@@ -87,7 +89,7 @@ def _byte_side(path: Callable[[str], str]) -> Side:
     pieces = [b""] * (max(ranks.values()) + 1)
     for piece, number in ranks.items():
         pieces[number] = piece
-    return Side(encode, pieces)
+    return Side(lambda texts: [one(t) for t in texts], pieces)
 
 
 def _piece_side(path: Callable[[str], str]) -> Side:
@@ -98,7 +100,7 @@ def _piece_side(path: Callable[[str], str]) -> Side:
     for number in range(model.get_piece_size()):
         piece = model.id_to_piece(number)
         pieces.append(bytes([int(piece[3:-1], 16)]) if model.is_byte(number) else piece.replace("▁", " ").encode())
-    return Side(model.encode_as_ids, pieces)
+    return Side(lambda texts: model.encode(texts, num_threads=1), pieces)
 
 
 def sides(folder: str | None = None) -> tuple[Side, Side]:
@@ -114,54 +116,57 @@ def sides(folder: str | None = None) -> tuple[Side, Side]:
     return _sides[folder]
 
 
-def encoded(text: str, a: Side, b: Side) -> tuple[list[int], list[int]]:
-    """The ids of both sides, or none where a side does not give the text's bytes back."""
-    if not text:
-        return [], []
-    spaced = " " + text
-    raw = spaced.encode()
-    ids_b = b.encode(text)
-    if b"".join(map(b.pieces.__getitem__, ids_b)) != raw:
-        return [], []
-    ids_a = a.encode(spaced)
-    if b"".join(map(a.pieces.__getitem__, ids_a)) != raw:
-        return [], []
-    return ids_a, ids_b
-
-
-def group_bounds(ends_a: list[int], ends_b: list[int]) -> Iterator[tuple[int, int, int, int]]:
-    """(first, end) of the A tokens and of the B tokens of each group: the common ends, in order, cut both lists."""
-    index_a = {end: i for i, end in enumerate(ends_a, 1)}
-    index_b = {end: i for i, end in enumerate(ends_b, 1)}
-    a = b = 0
-    for end in sorted(index_a.keys() & index_b.keys()):
-        to_a, to_b = index_a[end], index_b[end]
-        yield a, to_a, b, to_b
-        a, b = to_a, to_b
-
-
-def linked(ends_a: list[int], ends_b: list[int], a: int, to_a: int, b: int, to_b: int) -> Iterator[tuple[int, int]]:
-    """Tokens of a group whose bytes overlap."""
-    while a < to_a and b < to_b:
-        yield a, b
-        end_a, end_b = ends_a[a], ends_b[b]
-        a += end_a <= end_b
-        b += end_b <= end_a
-
-
-def align(ids_a: list[int], ids_b: list[int], a: Side, b: Side) -> tuple[list[str], list[int]]:
-    """A text's groups, as ``a1,a2|b1``, and its links, as A id << 32 | B id."""
-    ends_a = list(accumulate(map(a.lengths.__getitem__, ids_a)))
-    ends_b = list(accumulate(map(b.lengths.__getitem__, ids_b)))
-    groups, links = [], []
-    for i, to_i, j, to_j in group_bounds(ends_a, ends_b):
-        if to_i - i == 1 and to_j - j == 1:
-            groups.append(f"{ids_a[i]}|{ids_b[j]}")
-            links.append(ids_a[i] << 32 | ids_b[j])
+def encoded(texts: list[str | None], a: Side, b: Side) -> Iterator[tuple[list[int], list[int]]]:
+    """The ids of both sides for every text, or none where a side does not give the text's bytes back."""
+    texts = [t or "" for t in texts]
+    spaced = [" " + t for t in texts]
+    for text, ids_a, ids_b in zip(spaced, a.encode(spaced), b.encode(texts), strict=True):
+        raw = text.encode()
+        same = len(raw) > 1 and all(b"".join(map(side.pieces.__getitem__, ids)) == raw for side, ids in ((a, ids_a), (b, ids_b)))
+        yield (ids_a, ids_b) if same else ([], [])
+
+
+def group_ends(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[int]]:
+    """Where the groups end in both token lists: the common ends, in order, looked up in both sides' dictionaries."""
+    index_a = dict(zip(ends_a, range(1, len(ends_a) + 1), strict=True))
+    index_b = dict(zip(ends_b, range(1, len(ends_b) + 1), strict=True))
+    common = sorted(index_a.keys() & index_b.keys())
+    return [index_a[end] for end in common], [index_b[end] for end in common]
+
+
+def cumulative(ids: list[int], side: Side) -> list[int]:
+    return list(accumulate(map(side.lengths.__getitem__, ids)))
+
+
+def align(ids_a: list[int], ids_b: list[int], a: Side, b: Side) -> tuple[list[str], list[int], list[int]]:
+    """A text's groups, as ``a1,a2|b1``, and the A ids and B ids of its links."""
+    ends_a, ends_b = cumulative(ids_a, a), cumulative(ids_b, b)
+    names_a, names_b = list(map(a.names.__getitem__, ids_a)), list(map(b.names.__getitem__, ids_b))
+    groups, links_a, links_b = [], [], []
+    i = j = 0
+    for to_i, to_j in zip(*group_ends(ends_a, ends_b), strict=True):
+        if to_i == i + 1 and to_j == j + 1:
+            groups.append(f"{names_a[i]}|{names_b[j]}")
+            links_a.append(ids_a[i])
+            links_b.append(ids_b[j])
         else:
-            groups.append(f"{','.join(map(str, ids_a[i:to_i]))}|{','.join(map(str, ids_b[j:to_j]))}")
-            links.extend(ids_a[x] << 32 | ids_b[y] for x, y in linked(ends_a, ends_b, i, to_i, j, to_j))
-    return groups, links
+            groups.append(f"{','.join(names_a[i:to_i])}|{','.join(names_b[j:to_j])}")
+            if to_j == j + 1:  # one token overlaps all of the other side's
+                links_a += ids_a[i:to_i]
+                links_b += ids_b[j:to_j] * (to_i - i)
+            elif to_i == i + 1:
+                links_a += ids_a[i:to_i] * (to_j - j)
+                links_b += ids_b[j:to_j]
+            else:
+                x, y = i, j
+                while x < to_i and y < to_j:
+                    links_a.append(ids_a[x])
+                    links_b.append(ids_b[y])
+                    end_a, end_b = ends_a[x], ends_b[y]
+                    x += end_a <= end_b
+                    y += end_b <= end_a
+        i, j = to_i, to_j
+    return groups, links_a, links_b
 
 
 def token_groups(docs: DataFrame, folder: str | None = None) -> DataFrame:
@@ -173,11 +178,10 @@ def token_groups(docs: DataFrame, folder: str | None = None) -> DataFrame:
             texts = batch["text"]
             for lo, hi in tk.slices(tk.as_texts(texts), SLICE_BYTES):
                 n_a, n_b, rows = [], [], []
-                for text in texts.slice(lo, hi - lo).to_pylist():
-                    ids_a, ids_b = encoded(text or "", a, b)
-                    ends_a = list(accumulate(map(a.lengths.__getitem__, ids_a)))
-                    ends_b = list(accumulate(map(b.lengths.__getitem__, ids_b)))
-                    rows.append([{"a": ids_a[i:to_i], "b": ids_b[j:to_j]} for i, to_i, j, to_j in group_bounds(ends_a, ends_b)])
+                for ids_a, ids_b in encoded(texts.slice(lo, hi - lo).to_pylist(), a, b):
+                    to_a, to_b = group_ends(cumulative(ids_a, a), cumulative(ids_b, b))
+                    cuts = zip([0, *to_a[:-1]], to_a, [0, *to_b[:-1]], to_b, strict=True) if to_a else ()
+                    rows.append([{"a": ids_a[i:k], "b": ids_b[j:m]} for i, k, j, m in cuts])
                     n_a.append(len(ids_a))
                     n_b.append(len(ids_b))
                 yield pa.RecordBatch.from_arrays(
@@ -206,15 +210,14 @@ def aligned_slices(docs: DataFrame, folder: str | None = None, slice_bytes: int
             for lo, hi in tk.slices(tk.as_texts(texts), slice_bytes):
                 links: list[np.ndarray] = [np.zeros(0, np.int64)]
                 n_a, n_b, n_groups, n_links, digests = [], [], [], [], []
-                for text in texts.slice(lo, hi - lo).to_pylist():
-                    ids_a, ids_b = encoded(text or "", a, b)
-                    groups, own = align(ids_a, ids_b, a, b)
+                for ids_a, ids_b in encoded(texts.slice(lo, hi - lo).to_pylist(), a, b):
+                    groups, own_a, own_b = align(ids_a, ids_b, a, b)
                     n_a.append(len(ids_a))
                     n_b.append(len(ids_b))
                     n_groups.append(len(groups))
-                    n_links.append(len(own))
+                    n_links.append(len(own_a))
                     digests.append(hashlib.sha256(";".join(groups).encode()).hexdigest() if groups else "")
-                    links.append(np.array(own, dtype=np.int64))
+                    links.append(np.array(own_a, dtype=np.int64) << 32 | np.array(own_b, dtype=np.int64))
                 pair, link, n = np.unique(np.concatenate(links), return_inverse=True, return_counts=True)
                 long = pa.int64()
                 yield _one_row({
