@@ -1,7 +1,8 @@
 """Option open-interest snapshots, chain selection and the daily put/call ratio.
 
 Snapshots arrive per contract (underlying, expiry, strike, right) and trading day, possibly more than once a day;
-the latest arrival wins. Selection ranks the *distinct* expiries and strikes of each underlying-day (small tables),
+the latest arrival wins: a contract's partitions follow one another by first record time (a topic that grows moves keys
+to partitions whose offsets start again), and offsets order a partition. Selection ranks the *distinct* expiries and strikes of each underlying-day (small tables),
 then joins the choice back, so no window ever holds a whole chain.
 """
 
@@ -10,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .chunks import last_by_arrival
 from .parse import bad_records
 
 CONTRACT = ["underlying", "expiry", "strike", "right"]
@@ -57,7 +59,8 @@ def read_option_messages(envelopes: DataFrame) -> DataFrame:
 def parse_option_snapshots(envelopes: DataFrame) -> DataFrame:
     """The snapshots of option OI messages; the other records are in :func:`bad_option_records`."""
     good = read_option_messages(envelopes).where(F.col("bad_reason").isNull())
-    return good.select("arrival", *CONTRACT, "snapshot_date", "open_interest", "underlying_price")
+    return good.select("arrival", "partition", F.unix_micros("timestamp").alias("record_us"), *CONTRACT, "snapshot_date",
+                       "open_interest", "underlying_price")
 
 
 def bad_option_records(envelopes: DataFrame) -> DataFrame:
@@ -66,8 +69,12 @@ def bad_option_records(envelopes: DataFrame) -> DataFrame:
 
 
 def latest_snapshots(snaps: DataFrame, order: str = "arrival") -> DataFrame:
-    """The last snapshot per contract and day (a partial aggregate)."""
+    """The last snapshot per contract and day (a partial aggregate). Snapshots of a topic carry ``partition`` and
+    ``record_us``; those without are ordered by ``order`` alone."""
     cols = [c for c in snaps.columns if c not in CONTRACT + ["snapshot_date"]]
+    if "partition" in snaps.columns:
+        last = last_by_arrival(snaps.withColumn("offset", F.col(order)), [*CONTRACT, "snapshot_date"], CONTRACT, F.struct(*cols), F.col("record_us"))
+        return last.select(*CONTRACT, "snapshot_date", "_l.*")
     return snaps.groupBy(*CONTRACT, "snapshot_date").agg(
         F.max_by(F.struct(*cols), F.col(order)).alias("_l")
     ).select(*CONTRACT, "snapshot_date", "_l.*")
@@ -117,11 +124,17 @@ def write_options(snaps: DataFrame, path: str, run: str = "once", batch: int = 0
 
 def read_snapshots(spark, path: str) -> DataFrame:
     """Every stored snapshot."""
-    schema = ("arrival long, underlying string, expiry date, strike decimal(28,10), right string, open_interest long, "
+    schema = ("arrival long, partition int, record_us long, underlying string, expiry date, strike decimal(28,10), right string, open_interest long, "
               "underlying_price decimal(28,10), snapshot_date date")
     return spark.read.schema(schema).option("basePath", f"{path}/snapshots").parquet(f"{path}/snapshots")
 
 
+def read_ratio(spark, path: str) -> DataFrame:
+    """The stored daily ratios."""
+    schema = "underlying string, call_oi long, put_oi long, put_call_ratio double, snapshot_date date"
+    return spark.read.schema(schema).option("basePath", f"{path}/put_call_ratio").parquet(f"{path}/put_call_ratio")
+
+
 def options_stream(envelopes: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
     """S7 / K7 as a streaming query."""
     def write(messages: DataFrame, batch_id: int) -> None:

@@ -7,8 +7,10 @@ under ``rawExchange``, ``rawSymbol`` and ``rawTimeframe``; readers get them back
 the body and ``date`` is its path copy (Q14). The store is always read with an explicit schema and partition type
 inference off, so a symbol such as ``0012`` stays text.
 
-Compaction writes a closed day to a root of its own (``<root>-closed``) and readers take a day from there once it is
-complete, so it never touches files that a streaming sink's log names.
+Compaction writes a closed day to a root of its own (``<root>-closed``), so it never touches files that a streaming
+sink's log names. A compacted row keeps the name of the store file it came from (``sourceFile``); readers take the
+compacted rows and the store's rows from all other files, so rows that are appended to a day after its compaction, in
+whatever order, are read too. Files are never changed once written, and their names are unique.
 """
 
 from __future__ import annotations
@@ -139,15 +141,24 @@ def store_schema() -> T.StructType:
     return T.StructType(body + raw + parts)
 
 
+SOURCE = "sourceFile"
+
+
 def _scan(spark: SparkSession, path: str) -> DataFrame | None:
+    """The rows of a store or of a compacted root, with the store file each row came from."""
     from pyspark.errors import AnalysisException
 
+    schema = store_schema()
+    compacted = path.endswith("-closed")
+    if compacted:
+        schema = T.StructType([*schema.fields[: -len(PARTITION_COLS)], T.StructField(SOURCE, T.StringType()), *schema.fields[-len(PARTITION_COLS):]])
     try:
-        return spark.read.schema(store_schema()).option("basePath", path).parquet(path)
+        rows = spark.read.schema(schema).option("basePath", path).parquet(path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
         return None
+    return rows if compacted else rows.withColumn(SOURCE, F.col("_metadata.file_name"))
 
 
 def closed_root(path: str) -> str:
@@ -155,22 +166,22 @@ def closed_root(path: str) -> str:
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
-    """S6-style scan of the candle store, explicit schema (partition values stay text): closed days from the compacted
-    root, the others from the store. Raw names under ``exchange``, ``symbol``, ``timeframe``; the cleaned path segments
-    under ``path_*``."""
+    """S6-style scan of the candle store, explicit schema (partition values stay text): compacted rows, and the store's
+    rows from files that no compaction has read. Raw names under ``exchange``, ``symbol``, ``timeframe``; the cleaned path
+    segments under ``path_*``."""
     rows, closed = _scan(spark, path), _scan(spark, closed_root(path))
     if closed is not None:
-        days = closed.select("date").distinct()
-        rows = closed if rows is None else rows.join(days, "date", "left_anti").select(*closed.columns).unionByName(closed)
-    if rows is None:
-        rows = spark.createDataFrame([], store_schema())
+        # one row a compacted file: a filter on the date reaches all three scans
+        done = closed.select("date", SOURCE).distinct()
+        rows = closed if rows is None else rows.join(done, ["date", SOURCE], "left_anti").select(*closed.columns).unionByName(closed)
+    rows = spark.createDataFrame([], store_schema()) if rows is None else rows.drop(SOURCE)
     return rows.withColumnsRenamed({c: f"path_{c}" for c in RAW}).withColumnsRenamed({raw: c for c, raw in RAW.items()})
 
 
 def compact_store(spark: SparkSession, path: str, day: str, files_per_partition: int = 1) -> int:
-    """Write one closed trading day of the store as ``files_per_partition`` files per directory into the compacted
-    root (streaming appends leave many small files). The day's directories appear there only when the write commits;
-    writing a day again replaces it. Returns the number of rows."""
+    """Write one trading day of the store as ``files_per_partition`` files per directory into the compacted root
+    (streaming appends leave many small files). The day's directories appear there only when the write commits; writing
+    a day again, with what has arrived since, replaces it. Returns the number of rows."""
     rows = _scan(spark, path)
     day_rows = None if rows is None else rows.where(F.col("date") == day)
     if day_rows is None or day_rows.isEmpty():

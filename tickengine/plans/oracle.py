@@ -541,6 +541,9 @@ ORACLE: dict[str, str] = {
     "live_after_retry": LATEST_STATE,
     "live_after_restart": LATEST_STATE,
     "store_roundtrip": STORE_ROUNDTRIP,
+    "store_late_arrivals": STORE_ROWS,
+    "oi_moved_partition": OI_PUT_CALL,
+    "oi_tables": OI_PUT_CALL,
     "oi_selection": OI_SELECTION,
     "oi_put_call": OI_PUT_CALL,
     "learning_events": LEARNING_EVENTS,

@@ -204,6 +204,20 @@ def q_store_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.read_store(spark, f"{base}/store").drop("storedAt")
 
 
+def q_store_late_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: final candles appended to days that are compacted already (every third candle after the first compaction, every
+    third after the second): all are read."""
+    path = f"{CS.scratch_dir(spark, 'store')}/store"
+    rows = materialize(S.store_rows(S.final_only(_parsed_candles(spark, sf_dir))))
+    third = F.expr("kafkaOffset div 60000000") % 3
+    for step in range(3):
+        S.write_store(rows.where(third == step), path)
+        if step < 2:
+            S.compact_store(spark, path, HISTORY_DATE)
+    read = S.read_store(spark, path).drop("storedAt")
+    return read.withColumnsRenamed({f"path_{c}": f"_p_{c}" for c in ("exchange", "symbol", "timeframe")})
+
+
 HISTORY_SYMBOL = "click"
 HISTORY_DATE = "2024-01-15"
 
@@ -371,6 +385,38 @@ def q_oi_from_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("underlying", "snapshot_date", "call_oi", "put_oi", ppm.alias("put_call_ppm"))
 
 
+def moved_options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Option messages of a topic that grew half-way: the later snapshots of every contract are in partition 1, where
+    offsets start again, below those of partition 2. Record times rise with the arrivals."""
+    env = option_envelopes(option_proxy(spark, sf_dir))
+    half = env.agg((F.max("offset") / 2).cast("long")).first()[0] or 0
+    first = F.col("offset") < half
+    return env.withColumns({"partition": F.when(first, 2).otherwise(1), "offset": F.when(first, F.col("offset")).otherwise(F.col("offset") - half),
+                            "timestamp": F.timestamp_seconds(F.lit(1779700000) + F.col("offset"))})
+
+
+def _ratio_parts(ratio: DataFrame) -> DataFrame:
+    ppm = F.when(F.col("call_oi") > 0, F.expr("(put_oi * 1000000) div call_oi"))
+    return ratio.select("underlying", "snapshot_date", "call_oi", "put_oi", ppm.alias("put_call_ppm"))
+
+
+def q_oi_moved_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S7 + A7: the ratio follows the arrivals, not the offsets, when contracts move to another partition."""
+    prepare(spark)
+    return _ratio_parts(O.put_call_ratio(O.parse_option_snapshots(moved_options(spark, sf_dir))))
+
+
+def q_oi_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K7: the messages of a moved topic through the stream into the tables, in two steps; the stored ratio."""
+    prepare(spark)
+    base = CS.scratch_dir(spark, "options")
+    env = materialize(moved_options(spark, sf_dir))
+    for part in (2, 1):
+        env.where(F.col("partition") == part).repartition(CS.REPLAY_FILES).write.mode("append").parquet(f"{base}/source")
+    O.options_stream(replay_stream(spark, f"{base}/source", CS.REPLAY_FILES), f"{base}/tables", f"{base}/checkpoint").awaitTermination()
+    return _ratio_parts(O.read_ratio(spark, f"{base}/tables"))
+
+
 def _half_strikes(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     half = (F.lit(100) + F.col("arrival") % 40 * F.lit(2.5)).cast("decimal(10,1)")
@@ -452,6 +498,9 @@ QUERIES: dict[str, Query] = {
     "live_after_retry": q_live_after_retry,
     "live_after_restart": q_live_after_restart,
     "store_roundtrip": q_store_roundtrip,
+    "store_late_arrivals": q_store_late_arrivals,
+    "oi_moved_partition": q_oi_moved_partition,
+    "oi_tables": q_oi_tables,
     "oi_selection": q_oi_selection,
     "oi_put_call": q_oi_put_call,
     "learning_events": q_learning_events,

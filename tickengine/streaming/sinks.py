@@ -83,9 +83,10 @@ class LiveTable:
     """K4: the last revision of every candle, per trading day.
 
     Layout: ``<root>/revisions/query=<q>/batch=<b>/trading_date=<d>/`` (appended) and ``<root>/closed/trading_date=<d>/``
-    (compacted)."""
+    (compacted). The trading date leads the key that revisions are reduced by and the order of an instrument's
+    partitions, so a reader's filter on the date (F5) selects folders before anything is read or shuffled."""
 
-    KEY = ["exchange", "symbol", "timeframe", "open_time"]
+    KEY = ["trading_date", "exchange", "symbol", "timeframe", "open_time"]
     SEEN = "record_us long, partition int, offset long"
 
     def __init__(self, spark: SparkSession, root: str, files_per_day: int = 8):
@@ -114,7 +115,7 @@ class LiveTable:
 
     def _last(self, rows: DataFrame) -> DataFrame:
         rest = [c for c in rows.columns if c not in self.KEY]
-        last = last_by_arrival(rows, self.KEY, self.KEY[:3], F.struct(*rest), F.col("record_us"))
+        last = last_by_arrival(rows, self.KEY, self.KEY[:4], F.struct(*rest), F.col("record_us"))
         return last.select(*self.KEY, "_l.*")
 
     def read(self) -> DataFrame:
@@ -130,15 +131,31 @@ class LiveTable:
         S.live_rows(latest, seen).repartition(F.col("trading_date"), salt).write.mode("overwrite").partitionBy(
             "trading_date").parquet(f"{self.root}/revisions/query={query}/batch={int(batch)}")
 
-    def compact(self, day: str) -> None:
-        """The last revisions of a closed day as few files; readers still merge later arrivals for it."""
+    def compact(self, day: str) -> list[str]:
+        """The last revisions of a closed day as few files; readers still merge later arrivals for it. Returns the
+        revision folders that the compacted rows cover, for :meth:`retire`."""
+        revisions = self._scan("revisions")
+        covered = [] if revisions is None else [
+            f"{self.root}/revisions/query={r['query']}/batch={r['batch']}/trading_date={day}"
+            for r in revisions.where(F.col("trading_date") == day).select("query", "batch").distinct().toLocalIterator()]
         rows = self._rows().where(F.col("trading_date") == day)
         # an instrument's partitions keep their order: the first record time goes with the row that stays
-        seen = Window.partitionBy(*self.KEY[:3], "partition")
+        seen = Window.partitionBy(*self.KEY[:4], "partition")
         last = self._last(rows.withColumn("record_us", F.min("record_us").over(seen)))
         last = materialize(last)  # the day may be compacted again, over the files that are read here
-        last.repartition(self.files_per_day, *self.KEY[:2]).write.mode("overwrite").option(
+        last.repartition(self.files_per_day, *self.KEY[1:3]).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic").partitionBy("trading_date").parquet(f"{self.root}/closed")
+        return covered
+
+    def retire(self, folders: list[str]) -> int:
+        """Deletes revision folders that a finished :meth:`compact` covers. To be called once no reader that started
+        before the compaction is left, for example at the next one. Readers see the same rows before and after; a batch
+        that is run again brings its folder back, which changes nothing either. Returns how many folders went."""
+        sc, n = self.spark.sparkContext, 0
+        for folder in folders:
+            path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+            n += bool(path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True))
+        return n
 
 
 def live_stream(candle_envelopes: DataFrame, table: LiveTable, checkpoint: str, trigger: dict | None = None):
