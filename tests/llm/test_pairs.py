@@ -4,10 +4,12 @@ import hashlib
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.conftest import duck, plain, rows
 from tickengine.llm import nearduplicates as nd
+from tickengine.llm import textkit as tk
 from tickengine.llm.components import components
 from tickengine.llm.decontamination import OP2_SQL, ItemAutomaton, benchmark_hits, contaminated, decontamination_stage, item_words
 from tickengine.llm.topk import OP8_SQL, scaled, search
@@ -67,6 +69,56 @@ def test_near_copies_of_many_degrees(spark, docs):
     assert plain(nd.near_duplicates(df, 4).drop("text_hash")) == brute_near(data, 4)
 
 
+@pytest.mark.parametrize("edits", [3, 9])
+def test_large_groups_of_near_copies(spark, monkeypatch, edits):
+    """Copies of one text, each with words of its own: with few edits all are linked, with many only to the first text
+    and some neighbours, so that lists and clusters of several blocks stay in pieces after their own blocks."""
+    monkeypatch.setattr(nd, "LIST_ROWS", 8)
+    monkeypatch.setattr(nd, "CLUSTER_ROWS", 8)
+    rnd = np.random.default_rng(edits)
+    base = [f"b{i}" for i in range(200)]
+    data = [(0, " ".join(base)), (500, " ".join(base).upper())]
+    for i in range(1, 70):
+        text = list(base)
+        for at in rnd.choice(200, edits, replace=False):
+            text[at] = f"e{i}x{at}"
+        data.append((i, " ".join(text)))
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    assert plain(nd.near_duplicates(df, 4).drop("text_hash")) == brute_near(data, 4)
+
+
+def test_links_of_a_large_group_grow_with_its_members(spark, monkeypatch):
+    """Every task gives a forest, and blocks that are connected already are not compared again."""
+    given, edges = [], nd._links_table
+    monkeypatch.setattr(nd, "LIST_ROWS", 8)
+    rnd = np.random.default_rng(2)
+    members = [sorted(rnd.integers(0, 1 << 60, 40).astype(np.uint64).tolist()) for _ in range(1)] * 64
+    table = {"k1": [0] * 64, "k2": [0] * 64, "_i": [i // 8 for i in range(64)], "sig": [bytes([i]) for i in range(64)],
+             "n_shingles": [40] * 64, "sketch": [np.array(m, dtype=np.uint64).tobytes() for m in members]}
+    monkeypatch.setattr(nd, "_links_table", lambda links: given.append(len(links)) or edges(links))
+    nd._cluster_lists(0.8, 64, ("k1", "k2", "_i"))(pa.table(table))
+    assert given == [56]
+    nd._cluster_lists(0.8, 64, ("k1", "k2"))(pa.table(table | {"comp": [bytes([i % 2]) for i in range(64)]}))
+    assert given[1] == 1
+
+
+def thue_morse(n):
+    bits = [0]
+    while len(bits) < n:
+        bits += [1 - b for b in bits]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_words_of_a_doubling_structure_stay_apart(spark, docs):
+    one, other = thue_morse(2048)
+    tail = " ".join(f"t{i}" for i in range(20))
+    data = [(1, one), (2, other), (3, f"{one} {tail}"), (4, f"{other} {tail}")]
+    got = plain(nd.near_duplicates(spark.createDataFrame(data, "doc_id long, text string"), 4).drop("text_hash"))
+    assert got == brute_near(data, 4) and [r[0] for r in got] == [1, 2, 3, 3]  # the shared tail links 3 and 4
+    sets = nd.word_sets(tk.as_texts(pa.array([one, other, one])), 4, tk.NOT_SPACE)
+    assert sets[0].tolist() == sets[2].tolist() != sets[1].tolist()
+
+
 def test_sql_of_near_duplicates():
     data = [r[:2] for r in rows() if r[0] is not None]
     assert duck(nd.OP10_SQL, documents=[{"doc_id": d, "text": t} for d, t in data]) == brute_near(data, 4)

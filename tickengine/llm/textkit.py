@@ -43,42 +43,101 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 _BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * _U(0x9E3779B97F4A7C15))
-_BASE = 0xD6E8FEB86659FD93  # odd, so it has an inverse modulo 2^64
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_powers = {"up": np.ones(1, dtype=np.uint64), "down": np.ones(1, dtype=np.uint64)}
+# two polynomials modulo the prime 2^31 - 1: unlike one modulo 2^64, they tell texts of a doubling structure apart
+_PRIME = (1 << 31) - 1
+_P, _SHIFT = _U(_PRIME), _U(31)
+_BASES = (0x2E6B1F4D, 0x517CC1B7)
+_powers = [np.ones(1, dtype=np.uint64) for _ in range(4)]  # of the bases, then of their inverses
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers["up"]) < n:
-        size = 1 << (n - 1).bit_length()
-        for name, base in (("up", _BASE), ("down", _INVERSE)):
-            p = np.full(size, base, dtype=np.uint64)
-            p[0] = 1
-            _powers[name] = np.multiply.accumulate(p)
-    return _powers["up"], _powers["down"]
+_CHUNK = 1 << 14  # values at a time, so that the passes below stay in the cache
+
+
+def _fold(x: np.ndarray, spare: np.ndarray) -> None:
+    """One step of x modulo 2^31 - 1 (in place): from below 2^62 to below 2^32, from there to 2^31 at most."""
+    np.right_shift(x, _SHIFT, out=spare)
+    np.bitwise_and(x, _P, out=x)
+    np.add(x, spare, out=x)
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """x modulo 2^31 - 1 (in place)."""
+    spare = np.empty_like(x)
+    _fold(x, spare)
+    _fold(x, spare)
+    x[x >= _P] -= _P
+    return x
+
+
+def _power_tables(n: int) -> list[np.ndarray]:
+    if len(_powers[0]) < n:
+        for k, base in enumerate((*_BASES, *(pow(b, -1, _PRIME) for b in _BASES))):
+            p = _powers[k]
+            while len(p) < n:  # twice as many: the second half is the first times base^len
+                p = np.concatenate([p, _reduced(p * _U(pow(base, len(p), _PRIME)))])
+            _powers[k] = p
+    return _powers
 
 
 def rolling(values: np.ndarray) -> np.ndarray:
-    """Prefix sums of values[i] * base^i; :func:`span_hash` takes the hash of any span from them."""
-    up, _ = _power_tables(len(values) + 1)
-    out = np.zeros(len(values) + 1, dtype=np.uint64)
-    np.cumsum(values * up[: len(values)], out=out[1:])
+    """Prefix sums of values[i] * base^i, one row for each base (of the low and the next 31 bits of the values);
+    :func:`span_hash` takes the hash of any span from them."""
+    n = len(values)
+    up = _power_tables(n + 1)
+    out = np.zeros((2, n + 1), dtype=np.uint64)
+    spare = np.empty(min(n, _CHUNK), dtype=np.uint64)
+    for lo in range(0, n, _CHUNK):
+        hi = min(lo + _CHUNK, n)
+        room = spare[: hi - lo]
+        for k in range(2):
+            own = out[k, lo + 1 : hi + 1]
+            if k:
+                np.right_shift(values[lo:hi], _SHIFT, out=own)
+                np.bitwise_and(own, _P, out=own)
+            else:
+                np.bitwise_and(values[lo:hi], _P, out=own)
+            np.multiply(own, up[k][lo:hi], out=own)
+            _fold(own, room)
+            np.cumsum(own, out=own)
+            np.add(own, out[k, lo], out=own)
+            _fold(own, room)
+            _fold(own, room)
+    return out
+
+
+def _joined(prefix: np.ndarray, n: int, starts, ends) -> np.ndarray:
+    """Hashes of ``n`` spans; ``starts`` and ``ends`` give the k-th to the l-th as something to index with."""
+    down = _power_tables(prefix.shape[1])[2:]
+    out = np.empty(n, dtype=np.uint64)
+    for lo in range(0, n, _CHUNK):
+        hi = min(lo + _CHUNK, n)
+        a, b = starts(lo, hi), ends(lo, hi)
+        lanes = []
+        for k in range(2):
+            own = prefix[k][b] + _U(2 * _PRIME)
+            own -= prefix[k][a]
+            _fold(own, spare := np.empty_like(own))
+            own *= down[k][a]
+            _fold(own, spare)
+            _fold(own, spare)
+            own[own >= _P] -= _P
+            lanes.append(own)
+        lanes[0] <<= _SHIFT
+        out[lo:hi] = mix(lanes[0] | lanes[1])
     return out
 
 
 def span_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each span [start, end), the same wherever the span stands."""
-    _, down = _power_tables(len(prefix))
-    return mix((prefix[ends] - prefix[starts]) * down[starts])
+    """Hash (62 bits, spread over 64) of each span [start, end), the same wherever the span stands."""
+    return _joined(prefix, len(starts), lambda lo, hi: starts[lo:hi], lambda lo, hi: ends[lo:hi])
 
 
 def windows_hash(prefix: np.ndarray, width: int) -> np.ndarray:
     """Hash of each span of ``width`` values, by its start."""
-    n = len(prefix) - width
+    n = prefix.shape[1] - width
     if n <= 0:
         return np.zeros(0, dtype=np.uint64)
-    _, down = _power_tables(len(prefix))
-    return mix((prefix[width:] - prefix[:n]) * down[:n])
+    return _joined(prefix, n, slice, lambda lo, hi: slice(lo + width, hi + width))
 
 
 def sliding(values: np.ndarray, width: int, op) -> np.ndarray:

@@ -6,11 +6,11 @@ pieces are the byte strings of a public vocabulary; a word is read with one spac
 start with a space are word-initial and the others continue a word. Every single byte must be a piece, so every word
 has pieces.
 
-Words are `[^\\x20\\x09-\\x0D]+`. Distinct words of a slice (a few MB) are read together, one byte position at a time
+Words are `[^\\x20\\x09-\\x0D]+`. Distinct words of a slice (told apart by their bytes) are read together, one byte position at a time
 in numpy; words of more than ``LONG`` bytes are read alone.
 
 Defined cases: a null or empty text has no words and no pieces; repeated rows are repeated in the result; a null
-doc_id is kept; other columns are ignored.
+doc_id is kept; other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -141,17 +141,24 @@ def token_counts(docs: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken", fol
         for batch in batches:
             texts = tk.as_texts(batch["text"])
             for lo, hi in tk.slices(texts):
-                w = tk.words(tk.cut(texts, lo, hi), tk.NOT_SPACE)
-                _, one, where = np.unique(w.hashes(), return_index=True, return_inverse=True)
-                each = counter.counts(w.data, w.starts[one], w.ends[one])[where]
-                n = np.diff(w.first)
+                numbers: dict[bytes, int] = {}
+                codes, first = [], [0]
+                for d in range(lo, hi):
+                    words = texts.data[texts.offsets[d] : texts.offsets[d + 1]].tobytes().split()
+                    codes.extend([numbers.setdefault(w, len(numbers)) for w in words])
+                    first.append(len(codes))
+                ends = np.cumsum(np.fromiter(map(len, numbers), np.int64, len(numbers)))
+                starts = np.concatenate([[0], ends])[:-1]
+                each = counter.counts(np.frombuffer(b"".join(numbers), np.uint8), starts, ends)[np.array(codes, dtype=np.int64)]
+                first = np.array(first, dtype=np.int64)
+                n = np.diff(first)
                 sums = np.concatenate([[0], np.cumsum(each)])
-                most = np.maximum.reduceat(each, w.first[:-1][n > 0]) if len(each) else each
+                most = np.maximum.reduceat(each, first[:-1][n > 0]) if len(each) else each
                 peak = np.zeros(len(n), dtype=np.int64)
                 peak[n > 0] = most
                 yield pa.RecordBatch.from_arrays(
                     [batch["doc_id"].slice(lo, hi - lo), pa.array(n.astype(np.int64)),
-                     pa.array(sums[w.first[1:]] - sums[w.first[:-1]]), pa.array(peak, mask=n == 0)],
+                     pa.array(sums[first[1:]] - sums[first[:-1]]), pa.array(peak, mask=n == 0)],
                     names=["doc_id", "n_words", "n_tokens", "max_word_tokens"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
