@@ -51,6 +51,7 @@ def test_near_duplicates(docs, width):
 
 
 def test_long_lists_and_clusters_are_cut_into_blocks(docs, monkeypatch):
+    monkeypatch.setattr(nd, "KEYED_ROWS", 3)
     monkeypatch.setattr(nd, "LIST_ROWS", 3)
     monkeypatch.setattr(nd, "CLUSTER_ROWS", 4)
     assert plain(nd.near_duplicates(docs, 4).drop("text_hash")) == brute_near([r[:2] for r in rows()], 4)
@@ -73,6 +74,7 @@ def test_near_copies_of_many_degrees(spark, docs):
 def test_large_groups_of_near_copies(spark, monkeypatch, edits):
     """Copies of one text, each with words of its own: with few edits all are linked, with many only to the first text
     and some neighbours, so that lists and clusters of several blocks stay in pieces after their own blocks."""
+    monkeypatch.setattr(nd, "KEYED_ROWS", 8)
     monkeypatch.setattr(nd, "LIST_ROWS", 8)
     monkeypatch.setattr(nd, "CLUSTER_ROWS", 8)
     rnd = np.random.default_rng(edits)

@@ -17,6 +17,7 @@ counted each); a null doc_id is kept; other columns are ignored; an empty table
 
 from __future__ import annotations
 
+import gc
 import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
@@ -32,7 +33,7 @@ from tickengine.llm import textkit as tk
 from tickengine.llm.common import documents
 from tickengine.session import materialize, ship
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 BYTE_VOCABULARY = "byte_bpe_50k"
 PIECE_VOCABULARY = "piece_bpe_32k"
 _SLICES = ("slice long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, "
@@ -204,6 +205,7 @@ def aligned_slices(docs: DataFrame, folder: str | None = None, slice_bytes: int
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = sides(folder)
+        gc.disable()  # lists of numbers hold no cycles, and there are many of them; the worker is the task's own
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
             texts = batch["text"]
@@ -225,6 +227,7 @@ def aligned_slices(docs: DataFrame, folder: str | None = None, slice_bytes: int
                     "n_links": (n_links, long), "groups_sha256": (digests, pa.string()), "pair": (pair, long), "n": (n, long),
                     "link": (link.astype(np.int32), pa.int32())}, number)
                 number += 1
+        gc.enable()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(scan, _SLICES)
 
