@@ -1,3 +1,5 @@
+import pytest
+
 import json
 import tempfile
 
@@ -104,3 +106,22 @@ def test_intermediates_go_when_asked(spark):
     folder = checkpoint_dir(spark).removeprefix("file:")
     assert rows.count() == 5 and glob.glob(f"{folder}/tickengine-mat-*")
     assert drop_intermediates(spark) == 1 and not glob.glob(f"{folder}/tickengine-mat-*/part*")
+
+
+def test_feed_starts_live_on_kafka(spark, monkeypatch, tmp_path):
+    """S3: without a checkpoint a feed reads messages from the end of the topic on; other jobs read all."""
+    from tickengine import jobs
+
+    asked = []
+
+    def stream(spark, servers, topic, starting="earliest", most=None):
+        asked.append((topic, starting))
+        raise LookupError
+
+    monkeypatch.setattr(jobs, "kafka_stream", stream)
+    spark.createDataFrame([("a", None, None)], "client_id string, symbol string, timeframe string").write.parquet(f"{tmp_path}/subs")
+    feed = ["feed", "--source", "kafka://h:1/candles", "--subscriptions", f"{tmp_path}/subs", "--sink", f"files://{tmp_path}/out"]
+    for argv in (feed, [*feed, "--starting", "earliest"], ["live", "--source", "kafka://h:1/candles", "--live", f"{tmp_path}/live"]):
+        with pytest.raises(LookupError):
+            jobs.run(argv, spark)
+    assert asked == [("candles", "latest"), ("candles", "earliest"), ("candles", "earliest")]

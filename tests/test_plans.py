@@ -51,3 +51,35 @@ def test_json_parsed_once(spark):
     env = tick_envelopes(tick_proxy(spark, SF_SMALL))
     p = plan(parse_ticks(env).where("bad_reason is null and price > 1"))
     assert len(re.findall(r"parseJson|try_parse_json", p)) == 1
+
+
+def test_subscriptions_are_not_copied_per_shuffle_partition(spark):
+    env = tick_envelopes(tick_proxy(spark, SF_SMALL))
+    subs = spark.createDataFrame([("a", None, None), ("b", "click", "1m")], "client_id string, symbol string, timeframe string")
+    assert "_salt" not in FD.route(env, subs)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_history_reads_one_trading_date(spark, tmp_path):
+    """the date is a partition filter of both scans of the live table, and of the store's."""
+    from tickengine.operators import store as S
+    from tickengine.plans import queries as Q
+    from tickengine.streaming.sinks import LiveTable
+
+    table, parsed = LiveTable(spark, f"{tmp_path}/live"), Q._parsed_candles(spark, SF_SMALL)
+    table.append(parsed, "q", 0)
+    before = sorted(map(str, table.read().collect()))
+    covered = table.compact("2024-01-15")
+    table.append(parsed, "q", 1)
+    scans = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan(S.history(table.read(), "click", "1m", "2024-01-15")))
+    assert len(scans) == 2 and all("trading_date" in x and "2024-01-15" in x for x in scans)
+    assert sorted(map(str, table.read().collect())) == before
+    assert len(covered) == 1 and table.retire(covered) == 1 and table.retire(covered) == 0
+    assert sorted(map(str, table.read().collect())) == before
+
+    path = f"{tmp_path}/store"
+    S.write_store(S.store_rows(S.final_only(parsed)), path)
+    n = S.compact_store(spark, path, "2024-01-15")
+    S.write_store(S.store_rows(S.final_only(parsed)), path)  # a day's rows again, after its compaction
+    assert S.read_store(spark, path).count() == 2 * n
+    scans = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan(S.store_history(S.read_store(spark, path), "click", "1m", "2024-01-15")))
+    assert len(scans) >= 2 and all("date" in x and "2024-01-15" in x for x in scans)

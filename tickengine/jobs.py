@@ -36,11 +36,12 @@ from .streaming import sinks as K
 
 
 def _source(spark: SparkSession, args) -> DataFrame:
-    """The job's input as a stream from the start of the topic or folder; a checkpoint continues where it was."""
+    """The job's input as a stream: from the start of the topic or folder, or from its end with ``--starting latest``
+    (Kafka); a checkpoint continues where it was."""
     uri = args.source
     if uri.startswith("kafka://"):
         servers, topic = uri[len("kafka://"):].split("/", 1)
-        return kafka_stream(spark, servers, topic, "earliest", args.max_offsets)
+        return kafka_stream(spark, servers, topic, getattr(args, "starting", "earliest"), args.max_offsets)
     if uri.startswith("files://"):
         return replay_stream(spark, uri[len("files://"):], args.max_files)
     raise SystemExit(f"unknown source {uri!r}: use kafka://servers/topic or files://path")
@@ -128,6 +129,8 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> int
     fd.add_argument("--source", required=True)
     fd.add_argument("--subscriptions", required=True, help="Parquet folder: client_id, symbol, timeframe")
     fd.add_argument("--sink", required=True)
+    fd.add_argument("--starting", choices=["latest", "earliest"], default="latest",
+                    help="where a feed without a checkpoint starts on Kafka (S3: live messages only)")
     op = sub.add_parser("options", help="option snapshots -> raw table and daily put/call ratio (K7)")
     op.add_argument("--source", required=True)
     op.add_argument("--tables", required=True)

@@ -3,7 +3,7 @@
 Routing (H2) sends every candle message to every subscription whose symbol (case-insensitive) and timeframe
 match, a null subscription field matching anything; a message without routing fields goes only to
 subscriptions with neither field. The reference loops over all clients per message; here the theta condition
-becomes one salted null-safe equi-join on subscription patterns (see :func:`route`). The join strategy is left to
+becomes one null-safe equi-join on subscription patterns (see :func:`route`). The join strategy is left to
 the optimizer: AQE turns it into a broadcast when the runtime size of the subscriptions is below the broadcast
 threshold (a checked size), and keeps a sort-merge join otherwise.
 """
@@ -20,6 +20,8 @@ from .chunks import last_by_arrival
 UP_COLOUR = "#26a69a"
 DOWN_COLOUR = "#ef5350"
 
+STREAM_SALT = 8
+
 
 def normalize_subscriptions(subs: DataFrame) -> DataFrame:
     """Symbol trimmed and upper-cased, timeframe trimmed, blanks become wildcards (null)."""
@@ -53,11 +55,13 @@ def deliver(m: DataFrame, subscriptions: DataFrame, columns: list[str], salt: in
     Every subscription has one pattern (symbol or null, timeframe or null). A message can only match four
     patterns: (symbol, timeframe), (symbol, null), (null, timeframe), (null, null) -- or just (null, null) when
     it has no routing fields. So the theta join becomes one null-safe equi-join of the messages' patterns with
-    the subscriptions' patterns, reading the messages once. Messages carry a hash salt and the subscriptions are
-    replicated over the salts, so a hot symbol or the all-wildcard pattern is spread over ``salt`` tasks (default: as
-    many as the session's shuffles have, which are sized for the data).
+    the subscriptions' patterns, reading the messages once. A hot symbol or the all-wildcard pattern makes a skewed
+    partition, which AQE splits at run time: only that partition's subscriptions are read by several tasks, so the
+    subscriptions are never copied for the sake of patterns that are not hot. Micro-batches of a stream are not planned
+    anew at run time: there messages carry a hash salt over ``salt`` tasks (default ``STREAM_SALT``, whatever the number
+    of shuffle partitions) and the subscriptions are repeated per salt.
     """
-    salt = salt or int(m.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salt = salt or (STREAM_SALT if m.isStreaming else 1)
     s = normalize_subscriptions(subscriptions)
     cols = [F.col(c) for c in columns]
     rs, rt = F.col("route_symbol"), F.col("route_timeframe")
@@ -74,16 +78,14 @@ def deliver(m: DataFrame, subscriptions: DataFrame, columns: list[str], salt: in
     # a message without routing fields only reaches all-wildcard subscriptions (null: no rows after explode)
     patterns = F.when(rs.isNotNull(), F.array(*parsed_patterns)).otherwise(
         F.array(*wildcard) if wildcard else F.lit(None))
-    probes = m.select(
-        *cols, F.pmod(F.xxhash64(*cols), F.lit(int(salt))).alias("_salt"), F.explode(patterns).alias("_p")
-    ).select(*cols, "_salt", "_p.p_symbol", "_p.p_timeframe")
-    subs = s.select("client_id", "sub_symbol", "sub_timeframe",
-                    F.explode(F.sequence(F.lit(0), F.lit(int(salt) - 1))).alias("_salt"))
-    cond = (
-        probes.p_symbol.eqNullSafe(subs.sub_symbol)
-        & probes.p_timeframe.eqNullSafe(subs.sub_timeframe)
-        & (probes._salt == subs._salt)
-    )
+    salted = [F.pmod(F.xxhash64(*cols), F.lit(int(salt))).alias("_salt")] if salt > 1 else []
+    probes = m.select(*cols, *salted, F.explode(patterns).alias("_p")).select(
+        *cols, *(["_salt"] if salted else []), "_p.p_symbol", "_p.p_timeframe")
+    copies = [F.explode(F.sequence(F.lit(0), F.lit(int(salt) - 1))).alias("_salt")] if salted else []
+    subs = s.select("client_id", "sub_symbol", "sub_timeframe", *copies)
+    cond = probes.p_symbol.eqNullSafe(subs.sub_symbol) & probes.p_timeframe.eqNullSafe(subs.sub_timeframe)
+    if salted:
+        cond = cond & (probes._salt == subs._salt)
     return probes.join(subs, cond).select("client_id", *cols)
 
 
@@ -140,24 +142,36 @@ def chart_series(history: DataFrame, live: DataFrame) -> DataFrame:
     return last.select(*INSTRUMENT, "time", "_l.*")
 
 
-def feed_metrics(messages: DataFrame, subscriptions: DataFrame) -> DataFrame:
+def feed_metrics(messages: DataFrame, subscriptions: DataFrame, history: DataFrame | None = None) -> DataFrame:
     """Per subscriber, the number of messages the chart accepted (those that parse into a candle point) and the
     latest accepted message's close, open time and publish time.
 
-    Messages are parsed once and folded by routing fields (partial aggregates) before any are copied to subscribers,
-    so what is delivered is a row per symbol and timeframe."""
-    x = _points(messages).where(F.col("_ok"))
+    ``history`` (candle envelopes that were loaded before the feed started) sets what a subscriber starts from: all its
+    rows count, if the chart accepts one of them, and its last candle by open time is the last message until a live one
+    comes. Messages are parsed once and folded by routing fields (partial aggregates) before any are copied to
+    subscribers, so what is delivered is a row per symbol and timeframe."""
     last = F.struct("last_close", "last_open_time", "last_update")
     at = F.struct("offset", "key")
-    per = x.groupBy("route_symbol", "route_timeframe", "partition").agg(
+    per = _points(messages).where(F.col("_ok")).groupBy("route_symbol", "route_timeframe", "partition").agg(
         F.count(F.lit(1)).alias("_n"), F.max_by(last, at).alias("_l"), F.max(at).alias("_at"), F.min("timestamp").alias("_seen"))
     per = per.withColumn("_seen", F.min("_seen").over(Window.partitionBy("partition")))
-    pos = F.struct("_seen", "partition", "_at")
+    # live after history; partitions by their first record, then offsets
+    pos = F.struct(F.lit(1).alias("src"), F.lit("").alias("open"), "_seen", "partition", "_at")
     per_key = per.groupBy("route_symbol", "route_timeframe").agg(
-        F.sum("_n").alias("_n"), F.max_by("_l", pos).alias("_l"), F.max(pos).alias("_at"))
-    got = deliver(per_key, subscriptions, ["_n", "_l", "_at"])
-    return got.groupBy("client_id").agg(F.sum("_n").alias("message_count"), F.max_by("_l", "_at").alias("_l")).select(
-        "client_id", "message_count", "_l.*")
+        F.sum("_n").alias("_n"), F.lit(True).alias("_any"), F.max_by("_l", pos).alias("_l"), F.max(pos).alias("_pos"))
+    if history is not None:
+        loaded = _points(history)
+        pos = F.struct(F.lit(0).alias("src"), F.coalesce("last_open_time", F.lit("")).alias("open"), F.col("timestamp").alias("_seen"),
+                       "partition", at.alias("_at"))
+        loaded = loaded.groupBy("route_symbol", "route_timeframe").agg(
+            F.count(F.lit(1)).alias("_n"), F.max("_ok").alias("_any"), F.max_by(last, pos).alias("_l"), F.max(pos).alias("_pos"))
+        per_key = per_key.unionByName(loaded)
+    got = deliver(per_key, subscriptions, ["_n", "_any", "_l", "_pos"])
+    live = F.col("_pos.src") == 1
+    out = got.groupBy("client_id").agg(
+        F.sum("_n").alias("_all"), F.coalesce(F.sum(F.when(live, F.col("_n"))), F.lit(0)).alias("_live"), F.max(F.col("_any")).alias("_any"),
+        F.coalesce(F.max(F.when(~live, F.col("_any"))), F.lit(False)).alias("_loaded"), F.max_by("_l", "_pos").alias("_l"))
+    return out.where("_any").select("client_id", F.when(F.col("_loaded"), F.col("_all")).otherwise(F.col("_live")).alias("message_count"), "_l.*")
 
 
 def price_label(c: Column) -> Column:

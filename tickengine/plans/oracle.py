@@ -334,6 +334,19 @@ select client_id, message_count, cast(close as varchar) as last_close, {_iso("op
 from ranked where k = 1
 """
 
+FEED_METRICS_HISTORY = f"""
+with {TICKS},{ROUTED},
+both_sources as (
+  select 0 as src, * from routed where is_final and open_us < 1705320000000000
+  union all
+  select 1, * from routed where open_us >= 1705320000000000 and symbol <> 'error'),
+ranked as (select *, count(*) over (partition by client_id) as message_count,
+             row_number() over (partition by client_id order by src desc, "offset" desc, "key" desc) as k from both_sources)
+select client_id, message_count, cast(close as varchar) as last_close, {_iso("open_us")} as last_open_time,
+  {_iso("published_us")} as last_update
+from ranked where k = 1
+"""
+
 CHART_SERIES = f"""
 with {TICKS},{REVS},
 pts as (
@@ -525,6 +538,7 @@ ORACLE: dict[str, str] = {
     "route": ROUTE,
     "chart_series": CHART_SERIES,
     "feed_metrics": FEED_METRICS,
+    "feed_metrics_history": FEED_METRICS_HISTORY,
     # the stream must equal the batch candles of the same messages
     "candles_1m_stream": CANDLES_1M_PARSED,
     "late_ticks_stream": LATE_TICKS_STREAM,

@@ -268,6 +268,14 @@ def q_feed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FD.feed_metrics(_candle_envelopes(spark, sf_dir), subscriptions(spark, sf_dir))
 
 
+def q_feed_metrics_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A8 after loading history: final candles before the split, then the live revisions from it on."""
+    revs = materialize(C.candle_revisions(_ticks(spark, sf_dir), PROXY_TICKS, "1m"))
+    loaded = S.candle_messages(revs.where(F.col("is_final") & (F.col("open_us") < CHART_SPLIT_US)))
+    live = S.candle_messages(revs.where((F.col("open_us") >= CHART_SPLIT_US) & (F.col("symbol") != "error")))
+    return FD.feed_metrics(live, subscriptions(spark, sf_dir), loaded)
+
+
 def q_history_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O1: the rows of the history (one symbol and day) as they come out, and whether each follows the one before."""
     out = S.history(_live(spark, sf_dir), HISTORY_SYMBOL, "1m", HISTORY_DATE).withColumn("_at", F.monotonically_increasing_id())
@@ -483,6 +491,7 @@ QUERIES: dict[str, Query] = {
     "route": q_route,
     "chart_series": q_chart_series,
     "feed_metrics": q_feed_metrics,
+    "feed_metrics_history": q_feed_metrics_history,
     "candles_1m_stream": q_candles_1m_stream,
     "late_ticks_stream": q_late_ticks_stream,
     "candles_lagging_stream": q_candles_lagging_stream,
