@@ -16,6 +16,11 @@ backlog the instrument's own ticks close its candles, as with ``timer="event"``,
 
 A micro-batch must fit its tasks instrument by instrument: sources cap it (``maxOffsetsPerTrigger`` and
 ``maxFilesPerTrigger``).
+
+An instrument's ticks of a micro-batch are folded with segmented numpy scans: a running maximum of the buckets tells late
+ticks, the accepted ones form one segment a candle, the last known cumulative volume is a running index, and candles are
+reductions over segments. Numbers cross as integers in units of the tenth decimal, which is exact; a batch with a number
+that has no such 64-bit form is folded tick by tick in Decimals, with the same result.
 """
 
 from __future__ import annotations
@@ -25,6 +30,7 @@ import time
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,6 +64,135 @@ _ZERO = decimal.Decimal(0)
 _NUM = ("open", "high", "low", "close", "volume", "last_cum")
 
 
+UNIT = 10**10  # numbers are decimals with ten places
+_LIMIT = 1 << 62
+_CANDLE = ["exchange", "symbol", "open_us", "close_us", "currency", "open", "high", "low", "close", "volume", "tick_count",
+           "is_final", "published_us", "rev", "kind"]
+_TYPES = {"open_us": "int64", "close_us": "int64", "tick_count": "int64", "is_final": "bool", "published_us": "int64", "rev": "Int64"}
+
+
+def _text(units: int) -> str:
+    """A whole number of units as decimal text."""
+    return str(decimal.Decimal(int(units)).scaleb(-10))
+
+
+def _frame(columns: dict) -> pd.DataFrame:
+    return pd.DataFrame({c: columns[c] for c in _CANDLE}).astype({"currency": "object"} | _TYPES)
+
+
+def _units(st: dict) -> dict | None:
+    """The open candle's numbers in units; None if one has no 64-bit form."""
+    out = {}
+    for f in _NUM:
+        x = st.get(f)
+        out[f] = None if x is None else int(x.scaleb(10))
+        if x is not None and (out[f] != x.scaleb(10) or abs(out[f]) >= _LIMIT):
+            return None
+    return out
+
+
+def _scan(rows: pd.DataFrame, st: dict, length_us: int, per_tick: bool, exchange: str, symbol: str) -> list[pd.DataFrame] | None:
+    """Folds one instrument's ticks (in arrival order) into ``st``, which must hold all state columns, and gives the
+    output rows. None, with ``st`` unchanged, if a number has no 64-bit form."""
+    kept = _units(st) if st["open_us"] is not None else dict.fromkeys(_NUM)
+    if kept is None or not rows["exact"].all():
+        return None
+    t, price = rows["event_us"].to_numpy(np.int64), rows["price_u"].to_numpy(np.int64)
+    size, cum = rows["size_u"].to_numpy(np.int64), rows["cum_u"].to_numpy(np.int64)
+    known = rows["cumulative_volume"].notna().to_numpy()
+    # cumulative volumes and sizes bound every sum of increments
+    if float(np.abs(cum).sum(dtype=np.float64)) + float(np.abs(size).sum(dtype=np.float64)) + abs(kept["volume"] or 0) >= _LIMIT:
+        return None
+    currency = rows["currency"].to_numpy(object)
+    bucket = t - t % length_us
+    floor = st["open_us"] if st["open_us"] is not None else (st["closed_us"] + 1 if st["closed_us"] is not None else np.iinfo(np.int64).min)
+    top = np.maximum.accumulate(np.concatenate([[floor], bucket]))[:-1]
+    late = bucket < top
+    out = []
+    missing = lambda c: [None if pd.isna(x) else x for x in c]
+    if late.any():
+        texts = [_text(p) for p in price[late]]
+        n = len(texts)
+        out.append(_frame({
+            "exchange": exchange, "symbol": symbol, "open_us": bucket[late], "close_us": bucket[late] + length_us - 1000,
+            "currency": missing(currency[late]), "open": texts, "high": texts, "low": texts, "close": texts, "volume": "0", "tick_count": np.zeros(n, np.int64),
+            "is_final": False, "published_us": t[late], "rev": pd.array([None] * n, "Int64"), "kind": "late"}))
+    at = np.flatnonzero(~late)
+    if not len(at):
+        return out
+    t, price, size, cum, known, bucket, currency = (x[at] for x in (t, price, size, cum, known, bucket, currency))
+    n = len(at)
+    head = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+    segment = np.repeat(np.arange(len(head)), np.diff(np.append(head, n)))
+    going = bool(st["open_us"] is not None and bucket[0] == st["open_us"])
+    # the last known cumulative volume before each tick, in its candle
+    seen = np.maximum.accumulate(np.where(known, np.arange(n), -1))
+    before = np.concatenate([[-1], seen[:-1]])
+    inside = before >= head[segment]
+    previous, has = cum[np.maximum(before, 0)], inside.copy()
+    if going and kept["last_cum"] is not None:
+        carried = (segment == 0) & ~inside
+        previous, has = np.where(carried, kept["last_cum"], previous), has | carried
+    inc = np.where(known & has, np.maximum(cum - previous, 0), np.where(size > 0, size, 0))
+    opening = head[1:] if going else head
+    inc[opening] = 0
+    stop = np.append(head[1:], n)
+    candle = {
+        "open": price[head], "high": np.maximum.reduceat(price, head), "low": np.minimum.reduceat(price, head), "close": price[stop - 1],
+        "volume": np.add.reduceat(inc, head), "tick_count": stop - head, "published_us": t[stop - 1], "open_us": bucket[head]}
+    first = missing(currency[head])
+    last_seen = seen[stop - 1]
+    last_cum = [int(cum[k]) if k >= h else None for k, h in zip(last_seen.tolist(), head.tolist(), strict=True)]
+    if going:
+        candle["open"][0] = kept["open"]
+        candle["high"][0], candle["low"][0] = max(candle["high"][0], kept["high"]), min(candle["low"][0], kept["low"])
+        candle["volume"][0] += kept["volume"]
+        candle["tick_count"][0] += st["tick_count"]
+        first[0] = st["currency"]
+        last_cum[0] = kept["last_cum"] if last_cum[0] is None else last_cum[0]
+    ended = None  # an open candle that the first tick closes as it was
+    if st["open_us"] is not None and not going:
+        ended = {f: [_text(kept[f])] for f in ("open", "high", "low", "close", "volume")} | {
+            "open_us": [st["open_us"]], "tick_count": [st["tick_count"]], "published_us": [st["published_us"]], "currency": [st["currency"]]}
+    rev = st["rev"]
+
+    def emitted(columns: dict, final: bool, revs) -> pd.DataFrame:
+        opened = np.asarray(columns["open_us"], dtype=np.int64)
+        texts = {f: [x if isinstance(x, str) else _text(x) for x in columns[f]] for f in ("open", "high", "low", "close", "volume")}
+        return _frame(columns | texts | {"exchange": exchange, "symbol": symbol, "open_us": opened, "close_us": opened + length_us - 1000,
+                                         "is_final": final, "rev": pd.array(revs, "Int64"), "kind": "candle"})
+
+    if ended:
+        rev += 1
+        out.append(emitted(ended, True, [rev]))
+    closing = np.arange(len(head) - 1)
+    if per_tick:  # every tick's candle so far: running values of each segment
+        running = {"open": candle["open"][segment], "close": price, "published_us": t, "open_us": bucket, "currency": [first[k] for k in segment.tolist()]}
+        high, low, volume = price.copy(), price.copy(), inc.copy()
+        if going:
+            high[0], low[0], volume[0] = max(high[0], kept["high"]), min(low[0], kept["low"]), volume[0] + kept["volume"]
+        for a, b in zip(head.tolist(), stop.tolist(), strict=True):
+            high[a:b], low[a:b], volume[a:b] = np.maximum.accumulate(high[a:b]), np.minimum.accumulate(low[a:b]), np.cumsum(volume[a:b])
+        count = np.arange(n) - head[segment] + 1 + np.where(segment == 0, st["tick_count"] if going else 0, 0)
+        out.append(emitted(running | {"high": high, "low": low, "volume": volume, "tick_count": count}, False, rev + np.arange(n) + 1 + segment))
+        closes = rev + stop[:-1] + closing + 1
+        rev += n + len(closing)
+    else:
+        closes = rev + closing + 1
+        rev += len(closing) + 1  # and the snapshot of the open candle
+    if len(closing):
+        out.append(emitted({f: v[:-1] for f, v in candle.items()} | {"currency": first[:-1]}, True, closes))
+        st["closed_us"] = int(candle["open_us"][-2])
+    elif ended:
+        st["closed_us"] = st["open_us"]
+    if not per_tick:
+        out.append(emitted({f: v[-1:] for f, v in candle.items()} | {"currency": first[-1:]}, False, [rev]))
+    amount = lambda x: None if x is None else decimal.Decimal(int(x)).scaleb(-10)
+    st.update({f: amount(candle[f][-1]) for f in ("open", "high", "low", "close", "volume")}, last_cum=amount(last_cum[-1]), currency=first[-1],
+              tick_count=int(candle["tick_count"][-1]), published_us=int(t[-1]), open_us=int(bucket[-1]), rev=int(rev), dirty=False)
+    return out
+
+
 def _state_fn(length_us: int, grace_us: int, per_tick: bool = False, timer: str = "event"):
     """The candle loop for one instrument and micro-batch. The open candle is kept as Decimals while the batch's
     ticks are folded and converted to text only when a revision is emitted or the state is saved."""
@@ -69,7 +204,7 @@ def _state_fn(length_us: int, grace_us: int, per_tick: bool = False, timer: str
             for f in _NUM:
                 st[f] = _dec(st[f])
         else:
-            st = {"open_us": None, "closed_us": None, "rev": 0, "dirty": False}
+            st = dict.fromkeys(_FIELDS) | {"rev": 0, "dirty": False}
         out = []
 
         def emit(final: bool):
@@ -98,6 +233,10 @@ def _state_fn(length_us: int, grace_us: int, per_tick: bool = False, timer: str
                 seen = rows.groupby("partition")["record_us"].transform("min")
                 rows = rows.assign(_seen=seen).sort_values(["_seen", "partition", "offset"])
                 st["record_us"] = max(int(rows["record_us"].max()), st.get("record_us") or 0)
+            scanned = _scan(rows, st, length_us, per_tick, exchange, symbol) if len(rows) and not st.get("dirty") else None
+            if scanned is not None:
+                yield from scanned
+                rows = rows.iloc[:0]
             cols = ("event_us", "price", "cumulative_volume", "size", "currency")
             for t, price, cum, size, currency in (zip(*(rows[c] for c in cols)) if len(rows) else ()):
                 t = int(t)
@@ -168,12 +307,20 @@ def candle_stream(envelopes: DataFrame, timeframe: str = "1m", grace_seconds: in
     if timer not in ("event", "processing"):
         raise ValueError("timer must be 'event' or 'processing'")
     ship(envelopes.sparkSession)
+    # numbers in units, never null (a null would make pandas read the column as floats), and whether all have that form
+    named = {"price": "price_u", "size": "size_u", "cumulative_volume": "cum_u"}
+    whole = {c: F.expr(f"try_cast({c} * {UNIT} as long)") for c in named}
+    units = [F.coalesce(whole[c], F.lit(0)).alias(name) for c, name in named.items()]
+    exact = F.lit(True)
+    for c in named:
+        exact = exact & (F.col(c).isNull() | whole[c].isNotNull())
     # decimals cross into Python as text: Arrow decimal -> pandas object conversion is far slower
     ticks = good_ticks(parse_ticks(envelopes)).select(
         "exchange", "symbol", "currency", F.col("price").cast("string").alias("price"),
         F.col("size").cast("string").alias("size"),
         F.col("cumulative_volume").cast("string").alias("cumulative_volume"),
         "event_us", "partition", "offset", F.unix_micros("timestamp").alias("record_us"),
+        *units, exact.alias("exact"),
     )
     kind = GroupStateTimeout.NoTimeout if timer == "event" else GroupStateTimeout.ProcessingTimeTimeout
     return ticks.groupBy("exchange", "symbol").applyInPandasWithState(
