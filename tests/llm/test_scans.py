@@ -228,6 +228,28 @@ def test_a_file_of_all_licences_has_every_label(spark, docs):
             assert {x.label for x in r.found if not x.base} == {label for label, _, _ in licenses.TEMPLATES} and r.best == 1.0
 
 
+def test_an_altered_line_is_reached_by_its_key_phrase(spark):
+    """The three rarest words of the line are others; its key phrase and most of its weight stand."""
+    line = next(line for label, line, _ in licenses.TEMPLATES if label == "isc")
+    rest = [(k, "permission to use modify or this software for purpose with without fee is hereby granted and") for k in range(20)]
+    data = [(100, line.replace("copy", "x").replace("distribute", "y").replace("any", "z"))]
+    found = licenses.scan_licenses(spark.createDataFrame(rest + data, "doc_id long, text string"), templates=[t for t in licenses.TEMPLATES if t[1] == line])
+    rows = {r.doc_id: r for r in found.collect()}
+    assert rows[100].best > 0 and all(not rows[k].found for k, _ in rest)
+    assert bool(rows[100].found) == (rows[100].best >= licenses.LEAST)
+    # all words in the same number of files: the line keeps 19 of 22 words
+    same = licenses.scan_licenses(spark.createDataFrame([*data, (1, line)], "doc_id long, text string")).collect()
+    assert all("isc" in {x.label for x in r.found} for r in same)
+
+
+def test_query_and_sql_agree_on_a_file_of_all_licences(spark, tmp_path):
+    lines = [line for _, line, _ in licenses.TEMPLATES]
+    data = [(0, " . x ".join(lines)), (1, " and ".join(reversed(lines))), (2, "none"), (3, None), (4, lines[5].replace("copy", "x").replace("any", "z"))]
+    spark.createDataFrame(data, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    want = duck(licenses.OP9_SQL, documents=[{"doc_id": d, "text": t} for d, t in data])
+    assert plain(licenses.op9_licenses(spark, str(tmp_path))) == want
+
+
 def test_sql_of_licenses(spark, docs, tmp_path):
     path = str(tmp_path / "documents.parquet")
     docs.select("doc_id", "text").write.parquet(path)
@@ -257,10 +279,59 @@ def test_held_out_accuracy(spark, docs):
     found = quality.classify(table, model).withColumn("kept", quality.kept())
     found = found.join(labels.filter("doc_id % 2 = 1"), "doc_id").toPandas()
     clean, junk = found[(found.quality == 1) & (found.toxic == 0)], found[found.quality == 0]
-    assert clean.kept.mean() > 0.99 and junk.kept.mean() < 0.05 and found[found.toxic == 1].kept.mean() < 0.3
+    assert clean.kept.mean() > 0.99 and junk.kept.mean() < 0.05 and found[found.toxic == 1].kept.mean() <= 0.1
     print("held out:", len(clean), (~clean.kept).sum(), len(junk), (~junk.kept).sum(), (found.toxic == 1).sum(), (~found[found.toxic == 1].kept).sum())
 
 
+def test_scorer_is_the_least_of_its_loss():
+    """A plain gradient of the same weighted loss, over a dense matrix, finds no lower value nearby."""
+    rnd = np.random.default_rng(3)
+    dense = rnd.random((400, 12)) < 0.3
+    target = 1 / (1 + np.exp(-(3 * dense[:, 0] - 2 * dense[:, 1] + dense[:, 2] - 1)))
+    docs, column = np.nonzero(dense)
+    keys = np.sort(rnd.integers(1, 1 << 60, 12).astype(np.uint64))
+    found = quality.train_scorer(docs, keys[column], target, rounds=3000, sparse=0.0)
+    assert list(found.keys) == list(keys)
+    share = target.mean()
+    balance = (target / share + (1 - target) / (1 - share)) / 2
+
+    def gradient(weights, bias):
+        error = balance * (target - 1 / (1 + np.exp(-(dense @ weights + bias)))) / len(target)
+        return np.append(dense.T @ error, error.sum())
+
+    weights, bias = np.zeros(12), 0.0
+    for _ in range(20000):
+        g = gradient(weights, bias)
+        weights, bias = weights + g[:-1], bias + g[-1]
+    assert np.abs(found.weights - weights).max() < 0.05 and abs(found.bias - bias) < 0.05
+
+
+def test_quality_query_is_its_scorers_on_every_row(spark, docs, tmp_path):
+    """op6_quality: one row a document, the scores those of a scorer run by hand over the same features, texts without words kept."""
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(d, 1, d % 2) for d in range(12)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    rows = quality.op6_quality(spark, str(tmp_path)).collect()
+    assert len(rows) == docs.count()
+    model = quality.train(docs.select("doc_id", "text"), spark.read.parquet(str(tmp_path / "labels.parquet")))
+    texts = [r.text for r in docs.collect()]
+    want = []
+    for t in texts:
+        v = quality.view(quality.tk.as_texts(quality.pa.array([t], quality.pa.string())))
+        for s in (model.junk, model.abuse):
+            own = set(v.features.tolist())
+            total = s.bias + sum(w for k, w in zip(s.keys.tolist(), s.weights.tolist(), strict=True) if k in own)
+            want.append(round(float(1 / (1 + np.exp(-np.clip(total, -50, 50)))), 6) if v.n_words[0] else 0.0)
+    got = sorted((r.junk_score, r.abuse_score, r.kept) for r in rows)
+    assert np.allclose([x[:2] for x in got], sorted(zip(want[::2], want[1::2], strict=True)), atol=2e-6)
+    assert all(k == (j < 0.5 and a < 0.5) for j, a, k in got)
+
+
+def test_null_ids_are_sampled_by_their_texts(spark):
+    rows = spark.range(20000).selectExpr("if(id % 4 = 0, id, null) AS doc_id", "concat('t', id) AS text")
+    found = quality._sampled(rows, ["doc_id", "text"], 2000)
+    assert 1700 < found.count() < 2300 and 1200 < found.filter("doc_id IS NULL").count() < 1800
+
+
 def test_quality_stage_takes_any_table(spark, docs, no_docs, tmp_path):
     spark.createDataFrame([(5, None, None), (None, 1, 1), (6, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     out = quality.quality_stage(spark, docs, str(tmp_path))

@@ -1,8 +1,9 @@
 """License scan with a positional rare-token index, in DataFrame operations only.
 
 The templates (fixed licence lines, a bounded list) and the base phrases are indexed by their rarest words: document
-frequencies are counted over the whole table, a template is posted under its ``RARE`` words of highest IDF, a phrase
-under its rarest one. A file looks up every index word that it holds. Every place of such a word, less the word's
+frequencies are counted over the whole table, a template is posted under its ``RARE`` words of highest IDF and under the
+rarest word of its mandatory key phrase (no place is accepted without that one, so none is missed), a base phrase under
+its rarest word. A file looks up every index word that it holds. Every place of such a word, less the word's
 place in the template, is a place where the template may start: equal places of several words fall together there. A
 start is scored by the IDF share of the template's words that stand at their relative place, and counts if the share
 is ``LEAST`` or more and the template's mandatory key phrase stands in full. A base phrase must stand in full. All of
@@ -22,13 +23,12 @@ from pyspark.sql import functions as F
 from tickengine.llm.common import documents
 
 RARE = 3
-ANCHORS = 6  # only OP9_SQL stops at so many template words a file
 LEAST = 0.6
 
 # The phrases of the contract and their labels
 BASE = [("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved")]
 
-# Label, a line of the licence as words, the key phrase that must stand in it
+# Label, lines of the licence as words, the key phrase that must stand in them
 TEMPLATES = [
     ("apache-2.0", "licensed under the apache license version 2 0", "apache license"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted", "source and binary forms"),
@@ -41,6 +41,20 @@ TEMPLATES = [
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software", "hereby granted free of charge"),
     ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0", "mozilla public license"),
     ("unlicense", "this is free and unencumbered software released into the public domain", "unencumbered software"),
+    ("apache-2.0", "you may not use this file except in compliance with the license you may obtain a copy of the license at "
+     "http www apache org licenses license 2 0 unless required by applicable law or agreed to in writing software distributed under "
+     "the license is distributed on an as is basis without warranties or conditions of any kind", "apache org licenses license 2 0"),
+    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer "
+     "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in "
+     "the documentation and or other materials provided with the distribution", "redistributions in binary form must reproduce"),
+    ("gpl-3.0", "it under the terms of the gnu general public license as published by the free software foundation either version 3 of "
+     "the license or at your option any later version", "either version 3 of the license"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided "
+     "that the above copyright notice and this permission notice appear in all copies", "permission notice appear in all copies"),
+    ("mit", "to deal in the software without restriction including without limitation the rights to use copy modify merge publish "
+     "distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so",
+     "publish distribute sublicense and or sell"),
+    ("mpl-2.0", "if a copy of the mpl was not distributed with this file you can obtain one at", "if a copy of the mpl"),
 ]
 
 # what stands between words once A-Z is lower-cased; the Kelvin sign is kept from becoming an ASCII letter
@@ -84,7 +98,8 @@ def _index(patterns: list[dict], idf: dict[str, float]) -> dict[str, list[tuple[
     """Rare word -> (pattern, place of the word in it)."""
     index: dict[str, list[tuple[int, int]]] = {}
     for k, p in enumerate(patterns):
-        rare = sorted(set(p["words"]), key=lambda w: (-idf[w], w))[: 1 if p["base"] else RARE]
+        order = lambda w: (-idf[w], w)
+        rare = [min(p["key"], key=order)] if p["base"] else [*sorted(set(p["words"]), key=order)[:RARE], min(p["key"], key=order)]
         for i, w in enumerate(p["words"]):
             if w in rare:
                 index.setdefault(w, []).append((k, i))
@@ -154,14 +169,11 @@ df AS (SELECT word, count(DISTINCT r) AS n FROM hits GROUP BY word),
 idf AS (SELECT word, round(ln(((SELECT count(*) FROM d) + 1) / (coalesce(n, 0) + 1)) + 1e-6, 9) AS x
   FROM (SELECT DISTINCT word FROM pw) LEFT JOIN df USING (word)),
 rare AS (SELECT k, word FROM (SELECT k, base, word, row_number() OVER (PARTITION BY k ORDER BY x DESC, word) AS o
-  FROM (SELECT DISTINCT k, base, word FROM pw) JOIN idf USING (word)) WHERE o <= CASE WHEN base THEN 1 ELSE {RARE} END),
-post AS (SELECT k, base, word, i FROM pw SEMI JOIN rare USING (k, word)),
-always AS (SELECT DISTINCT word FROM post WHERE base),
-held AS (SELECT DISTINCT r, word FROM hits SEMI JOIN post USING (word)),
-anchors AS (SELECT r, word FROM held SEMI JOIN always USING (word)
-  UNION ALL SELECT r, word FROM (SELECT r, word, row_number() OVER (PARTITION BY r ORDER BY x DESC, word) AS o
-    FROM held ANTI JOIN always USING (word) JOIN idf USING (word)) WHERE o <= {ANCHORS}),
-starts AS (SELECT DISTINCT h.r, k, h.i - p.i AS s FROM hits h JOIN anchors a ON a.r = h.r AND a.word = h.word JOIN post p ON p.word = h.word),
+  FROM (SELECT DISTINCT k, base, word FROM pw) JOIN idf USING (word)) WHERE o <= CASE WHEN base THEN 1 ELSE {RARE} END
+  UNION SELECT k, word FROM (SELECT k, word, row_number() OVER (PARTITION BY k ORDER BY x DESC, word) AS o
+  FROM (SELECT DISTINCT k, unnest(phrase) AS word FROM pat) JOIN idf USING (word)) WHERE o = 1),
+post AS (SELECT k, word, i FROM pw SEMI JOIN rare USING (k, word)),
+starts AS (SELECT DISTINCT h.r, k, h.i - p.i AS s FROM hits h JOIN post p ON p.word = h.word),
 total AS (SELECT k, sum(x) AS t FROM pw JOIN idf USING (word) GROUP BY k),
 share AS (SELECT st.r, st.k, st.s, round(least(coalesce(sum(x) FILTER (h.word IS NOT NULL), 0) / any_value(t), 1.0), 6) AS score
   FROM starts st JOIN pw ON pw.k = st.k JOIN idf USING (word) JOIN total ON total.k = st.k

@@ -1,17 +1,18 @@
 """Quality classifier from weak labels.
 
 Overlapping heuristic labellers vote on every document (bad, good, or no vote) for two questions: is it junk (repeats,
-shouting, symbols), is it abusive (four parts of a lexicon). The votes of all documents are counted by pattern (at most
-3^6 and 3^4 of them), and expectation-maximisation over the counts estimates each labeller's accuracy in both classes
-and the posterior of every pattern. The posteriors of a bounded sample (``TRAIN_ROWS`` documents by a hash of their
-id) train one hashed linear scorer a question, over words, word beginnings and steps of the measures; the scorers
-judge every whole document.
+shouting, symbols), is it abusive (a word of the lexicon, a beginning of one, a beginning that several words share, two
+or more such words). The votes of all documents are counted by pattern (at most 3^6 and 3^4 of them), and
+expectation-maximisation over the counts estimates each labeller's accuracy in both classes and the posterior of every
+pattern. The posteriors of a bounded sample (``TRAIN_ROWS`` documents by a hash of id and text, of a document with more
+than ``TRAIN_FEATURES`` features those of least hash) train one hashed linear scorer a question, over words, word
+beginnings and steps of the measures; the scorers judge every whole document.
 
-The lexicon is a short fixed list of insults and, from a bounded sample of ``LABELLED_ROWS`` rows of ``labels``, the
-words and word beginnings that are far more frequent in abusive documents (at most ``LEXICON`` of them).
+The lexicon holds, from a bounded sample of ``LABELLED_ROWS`` rows of ``labels``, the words, word beginnings and
+repeated beginnings that are far more frequent in abusive documents (at most ``LEXICON`` of them). No list is fixed.
 
 Defined cases: a null or empty text, or one without words, has no evidence: scores 0, kept; a null doc_id is kept and
-scored like any; repeated rows are repeated; an empty label table leaves the fixed list; other columns are ignored
+scored like any; repeated rows are repeated; without labels no document counts as abusive; other columns are ignored
 (or kept, on request); an empty table gives no rows.
 """
 
@@ -32,14 +33,12 @@ from tickengine.session import ship
 
 TRAIN_ROWS = 6000
 LABELLED_ROWS = 6000
+TRAIN_FEATURES = 8192
 LEXICON = 4096
-PREFIX = 4
+BEGINNINGS = (4, 6)  # bytes of a longer word
 LEAST_DOCS = 8  # documents of the sample that must hold a feature
 ODDS = 3.0
 
-# Words that only insult
-INSULTS = ["clown", "disgusting", "idiot", "loser", "moron", "pathetic", "scum", "stupid", "trash", "worthless"]
-
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[list(b"#%$&*|")] = True
 _LOUD = _SYMBOL.copy()
@@ -48,31 +47,43 @@ _LOUD[0x21] = True
 # (measure, bad from, good below, least words)
 JUNK_LABELLERS = [("repeats", 0.3, 0.1, 5), ("sameness", 0.7, 0.5, 20), ("capitals", 0.6, 0.3, 1), ("shouts", 0.5, 0.1, 1),
                   ("symbols", 0.3, 0.1, 1), ("tails", 0.3, 0.1, 1)]
+# kinds of features; the first three are those of the lexicon, and each has a labeller of abuse beside "two or more words"
+WORD, BEGINNING, REPEATED, MEASURE = 0, 1, 2, 3
 ABUSE_LABELLERS = 4
 BAD, GOOD, NONE = 0, 1, 2
 
 
 @dataclass
 class View:
-    """What one slice of texts shows: words a document, measures, and hashed features with their documents."""
+    """What one slice of texts shows: words a document, measures, and hashed features with their kinds, documents and words."""
 
     n_words: np.ndarray
     measures: dict[str, np.ndarray]
     features: np.ndarray
+    kinds: np.ndarray
     of: np.ndarray
+    word: np.ndarray
 
 
 def _share(amount: np.ndarray, of: np.ndarray) -> np.ndarray:
     return amount / np.maximum(of, 1)
 
 
-def term_hashes(w: tk.Words) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every (lower-case) word, and of the beginnings of those longer than ``PREFIX`` bytes, with their words."""
+def term_hashes(w: tk.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, kind and word of every (lower-case) word, of the beginnings of longer ones, and of each beginning that at
+    least two words of its document have (once a document, with one of them)."""
     prefix = tk.rolling(tk.byte_values(tk.Texts(w.data, w.starts)))
-    whole = tk.span_hash(prefix, w.starts, w.ends)
-    long = np.flatnonzero(w.ends - w.starts > PREFIX)
-    begin = tk.mix(tk.span_hash(prefix, w.starts[long], w.starts[long] + PREFIX) ^ np.uint64(0x5851F42D4C957F2D))
-    return np.concatenate([whole, begin]), np.concatenate([np.arange(len(whole)), long])
+    terms, kinds, words = [tk.span_hash(prefix, w.starts, w.ends)], [WORD], [np.arange(len(w.starts))]
+    docs = w.docs().astype(np.uint64)
+    for n in BEGINNINGS:
+        long = np.flatnonzero(w.ends - w.starts > n)
+        begin = tk.mix(tk.span_hash(prefix, w.starts[long], w.starts[long] + n) ^ np.uint64(0x5851F42D4C957F2D + n))
+        _, first, count = np.unique(tk.mix(begin ^ tk.mix(docs[long])), return_index=True, return_counts=True)
+        first = first[count > 1]
+        terms += [begin, tk.mix(begin[first] ^ np.uint64(0x14057B7EF767814F))]
+        kinds += [BEGINNING, REPEATED]
+        words += [long, long[first]]
+    return np.concatenate(terms), np.repeat(np.array(kinds, dtype=np.int8), [len(t) for t in terms]), np.concatenate(words)
 
 
 def view(texts: tk.Texts) -> View:
@@ -101,13 +112,15 @@ def view(texts: tk.Texts) -> View:
         "tails": _share(count(_LOUD[raw.data[raw.ends - 1]] if len(docs) else again), n),
     }
     w = tk.words(texts, tk.LETTERS_DIGITS, lower=True)
-    terms, word = term_hashes(w)
+    terms, kinds, word = term_hashes(w)
     features, of = [terms], [w.docs()[word]]
     for k, value in enumerate(measures.values()):
         step = np.minimum((value * 10).astype(np.uint64), np.uint64(10))
         features.append(tk.mix(step + np.uint64(1000 * (k + 1))))
         of.append(np.arange(len(n)))
-    return View(n, measures, np.concatenate(features), np.concatenate(of))
+    rest = len(n) * len(measures)
+    return View(n, measures, np.concatenate(features), np.concatenate([kinds, np.full(rest, MEASURE, dtype=np.int8)]), np.concatenate(of),
+                np.concatenate([word, np.full(rest, -1)]))
 
 
 def _holds(values: np.ndarray, sorted_set: np.ndarray) -> np.ndarray:
@@ -125,8 +138,10 @@ def votes(v: View, lexicon: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         junk[x < good, k] = GOOD
         junk[v.n_words < least, k] = NONE
     abuse = np.full((len(v.n_words), ABUSE_LABELLERS), GOOD, dtype=np.int8)
-    hit = _holds(v.features, lexicon)
-    abuse[v.of[hit], (v.features[hit] % np.uint64(ABUSE_LABELLERS)).astype(np.int64)] = BAD
+    hit = np.flatnonzero(_holds(v.features, lexicon) & (v.kinds != MEASURE))
+    abuse[v.of[hit], v.kinds[hit]] = BAD
+    _, one = np.unique(v.word[hit], return_index=True)
+    abuse[np.bincount(v.of[hit[one]], minlength=len(v.n_words)) > 1, ABUSE_LABELLERS - 1] = BAD
     abuse[v.n_words == 0] = NONE
     return junk, abuse
 
@@ -199,17 +214,15 @@ def train_scorer(docs: np.ndarray, features: np.ndarray, target: np.ndarray, rou
 # ---- on Spark
 
 
-def _sampled(table: DataFrame, id_col: str, rows: int) -> DataFrame:
-    """About ``rows`` rows, by a hash of the id; all if there are no more."""
+def _sampled(table: DataFrame, columns: list[str], rows: int) -> DataFrame:
+    """About ``rows`` rows, by a hash of the columns; all if there are no more."""
     n = table.count()
-    return table if n <= rows else table.filter(F.pmod(F.xxhash64(id_col, F.lit(17)), F.lit(1 << 30)) < int(rows / n * (1 << 30)))
+    return table if n <= rows else table.filter(F.pmod(F.xxhash64(*columns, F.lit(17)), F.lit(1 << 30)) < int(rows / n * (1 << 30)))
 
 
 def mine_lexicon(docs: DataFrame, labels: DataFrame) -> np.ndarray:
-    """Hashes of the fixed insults and of the terms that the abusive documents of a bounded sample hold far more often."""
-    w = tk.words(tk.as_texts(pa.array(INSULTS, pa.string())), tk.LETTERS_DIGITS)
-    fixed = tk.span_hash(tk.rolling(tk.byte_values(tk.Texts(w.data, w.starts))), w.starts, w.ends)
-    sample = _sampled(labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "doc_id", LABELLED_ROWS)
+    """Hashes of the terms that the abusive documents of a bounded sample hold far more often than the others."""
+    sample = _sampled(labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic")), ["doc_id"], LABELLED_ROWS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -217,7 +230,7 @@ def mine_lexicon(docs: DataFrame, labels: DataFrame) -> np.ndarray:
             toxic = batch["toxic"].to_numpy(zero_copy_only=False) > 0
             for lo, hi in tk.slices(texts):
                 w = tk.words(tk.cut(texts, lo, hi), tk.LETTERS_DIGITS, lower=True)
-                terms, word = term_hashes(w)
+                terms, _, word = term_hashes(w)
                 of = w.docs()[word]
                 order = np.lexsort((of, terms))
                 terms, of = terms[order], of[order]
@@ -236,7 +249,7 @@ def mine_lexicon(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     odds = F.log((F.col("bad") + 0.5) / (n_bad + 1)) - F.log((F.col("total") - F.col("bad") + 0.5) / (n_good + 1))
     found = counted.filter(F.col("bad") >= LEAST_DOCS).withColumn("odds", odds).filter(F.col("odds") >= ODDS)
     mined = [r.term for r in found.orderBy(F.desc("odds"), F.desc("bad"), "term").limit(LEXICON).collect()]
-    return np.unique(np.concatenate([fixed, np.array(mined, dtype=np.int64).view(np.uint64)]))
+    return np.sort(np.array(mined, dtype=np.int64).view(np.uint64))
 
 
 def vote_patterns(docs: DataFrame, lexicon: np.ndarray) -> tuple[tuple, tuple]:
@@ -293,7 +306,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
                 of, features = of[new], features[new]
                 cuts = np.searchsorted(of, np.arange(len(v.n_words) + 1))
                 full = v.n_words > 0
-                packed = [features[a:b].tobytes() for a, b, f in zip(cuts[:-1], cuts[1:], full, strict=True) if f]
+                # features come in the order of their hashes: a long document gives those of least hash
+                packed = [features[a : min(b, a + TRAIN_FEATURES)].tobytes() for a, b, f in zip(cuts[:-1], cuts[1:], full, strict=True) if f]
                 yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary()), pa.array(targets[0][full]), pa.array(targets[1][full])], names=["features", "junk", "abuse"])
 
     def fit(table: pa.Table) -> pa.Table:
@@ -303,7 +317,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
         return pa.table({"question": pa.array([0, 1], pa.int32()), "keys": pa.array([s.keys.tobytes() for s in found], pa.binary()),
                          "weights": pa.array([s.weights.tobytes() for s in found], pa.binary()), "bias": pa.array([s.bias for s in found])})
 
-    rows = _sampled(docs.select("doc_id", "text"), "doc_id", TRAIN_ROWS).select("text").mapInArrow(sample, "features binary, junk double, abuse double")
+    rows = _sampled(docs.select("doc_id", "text"), ["doc_id", "text"], TRAIN_ROWS).select("text").mapInArrow(sample, "features binary, junk double, abuse double")
     trained = rows.groupBy(F.lit("all").alias("_all")).applyInArrow(fit, "question int, keys binary, weights binary, bias double").collect()
     scorers = {r.question: Scorer(np.frombuffer(r["keys"], np.uint64), np.frombuffer(r.weights, np.float64), r.bias) for r in trained}
     empty = Scorer(np.zeros(0, np.uint64), np.zeros(0), -50.0)
