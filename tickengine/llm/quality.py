@@ -195,13 +195,21 @@ def train_scorer(docs: np.ndarray, features: np.ndarray, target: np.ndarray, rou
     keep = common[column]
     keys, column, docs = keys[common], (np.cumsum(common) - 1)[column[keep]], docs[keep]
     weights, bias = np.zeros(len(keys)), 0.0
+    # the pairs once by document and once by feature, so that both sums are taken over stretches
+    order = np.argsort(docs, kind="stable")
+    of_doc, rows, row_starts = column[order].astype(np.int32), *np.unique(docs[order], return_index=True)
+    order = np.argsort(column, kind="stable")
+    of_key, key_starts = docs[order].astype(np.int32), np.searchsorted(column[order], np.arange(len(keys)))
     seen, seen_bias = np.full(len(keys), 1e-12), 1e-12
     share = np.clip(target.mean(), 1e-6, 1 - 1e-6)
     balance = (target / share + (1 - target) / (1 - share)) / 2
     for _ in range(rounds):
-        out = 1 / (1 + np.exp(-np.clip(np.bincount(docs, weights[column], minlength=len(target)) + bias, -50, 50)))
+        total = np.zeros(len(target))
+        if len(keys):
+            total[rows] = np.add.reduceat(weights.astype(np.float32)[of_doc], row_starts)
+        out = 1 / (1 + np.exp(-np.clip(total + bias, -50, 50)))
         error = balance * (target - out) / len(target)
-        grad = np.bincount(column, error[docs], minlength=len(keys))
+        grad = np.add.reduceat(error.astype(np.float32)[of_key], key_starts).astype(np.float64) if len(keys) else weights
         seen += grad**2
         step = rate / np.sqrt(seen)
         weights += step * grad
