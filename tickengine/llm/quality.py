@@ -179,10 +179,11 @@ class Scorer:
     bias: float
 
     def score(self, v: View) -> np.ndarray:
-        hit = _holds(v.features, self.keys)
+        n = max(len(self.keys), 1)
+        hit = np.flatnonzero(_holds(v.features, self.keys))
         # a feature counts once a document
-        pairs = np.unique(np.stack([v.of[hit].astype(np.uint64), v.features[hit]], axis=1), axis=0) if hit.any() else np.zeros((0, 2), np.uint64)
-        total = np.bincount(pairs[:, 0].astype(np.int64), self.weights[np.searchsorted(self.keys, pairs[:, 1])], minlength=len(v.n_words))
+        pairs = np.unique(v.of[hit].astype(np.int64) * n + np.searchsorted(self.keys, v.features[hit]))
+        total = np.bincount(pairs // n, self.weights[pairs % n] if len(pairs) else None, minlength=len(v.n_words))
         out = 1 / (1 + np.exp(-np.clip(total + self.bias, -50, 50)))
         return np.where(v.n_words > 0, out, 0.0)
 
