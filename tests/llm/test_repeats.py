@@ -8,9 +8,11 @@ import pyarrow as pa
 import pytest
 
 from tests.llm.conftest import SCHEMA, duck, plain, rows
+from tickengine.llm import suffixlevels
 from tickengine.llm import textkit as tk
 from tickengine.llm.passages import OP1_SQL, remove_repeated_passages
-from tickengine.llm.suffixlevels import OP4_SQL, _byte_order, remove_repeated_bytes
+from tickengine.llm.recurring import Batch
+from tickengine.llm.suffixlevels import OP4_SQL, _byte_order, _levels, remove_repeated_bytes
 
 
 def brute(units_of, width: int, data) -> list[tuple[int, list, list[bool]]]:
@@ -88,18 +90,79 @@ def test_sql_agrees(spark):
     assert duck(OP4_SQL, documents=data) == brute_bytes([r[:2] for r in rows()], 50)
 
 
-def test_windows_are_sorted_by_their_bytes():
-    data = np.frombuffer(b"abracadabra abracadabra! abracadabrac" * 3 + b"\x00" * 8, dtype=np.uint8)
+def eight_bytes(data: np.ndarray) -> np.ndarray:
     eight = np.zeros(len(data), dtype=np.uint64)
     for k in range(8):
         eight[: len(data) - k] |= data[k:].astype(np.uint64) << np.uint64(56 - 8 * k)
-    for width in (3, 8, 13, 20):
-        seen: dict[bytes, int] = {}
-        for i in range(len(data) - 8 - width):
-            seen.setdefault(data[i : i + width].tobytes(), i)
-        starts = np.array(sorted(seen.values()))
-        order = _byte_order(eight, starts, width)
-        assert [data[s : s + width].tobytes() for s in starts[order]] == sorted(seen)
+    return eight
+
+
+@pytest.mark.parametrize("width", [3, 8, 13, 20, 50])
+def test_windows_are_sorted_and_merged_by_their_bytes(width):
+    rng = np.random.default_rng(7)
+    text = b"abracadabra abracadabra! abracadabrac" * 5 + bytes(60) + bytes(rng.integers(0, 2, 300).tolist())
+    data = np.frombuffer(text, dtype=np.uint8)
+    eight = eight_bytes(data)
+    window = [text[i : i + width] for i in range(len(text) - width)]
+    starts = rng.permutation(len(window))
+
+    def check(starts, order, new):
+        got = [window[s] for s in starts[order]]
+        assert got == sorted(window[s] for s in starts)
+        assert new.tolist() == [not i or got[i - 1] != got[i] for i in range(len(got))]
+
+    check(starts, *_byte_order(eight, starts, width))
+    halves = [h[_byte_order(eight, h, width)[0]] for h in (starts[:150], starts[150:])]
+    both = np.concatenate(halves)
+    check(both, *_byte_order(eight, both, width, 150))
+
+
+def pieces(n_batches: int, seed: int) -> list[Batch]:
+    """Batches of pieces that share stretches of a common text."""
+    rng = np.random.default_rng(seed)
+    common = bytes(rng.integers(97, 123, 400, dtype=np.uint8))
+    out = []
+    for _ in range(n_batches):
+        own = []
+        for _ in range(rng.integers(1, 6)):
+            a = int(rng.integers(0, 300))
+            own.append(bytes(rng.integers(97, 123, 10, dtype=np.uint8)) + common[a : a + int(rng.integers(60, 100))])
+        out.append(Batch(b"".join(own), np.array([len(x) for x in own]), rng.integers(0, 1000, len(own))))
+    return out
+
+
+def least_ids(batches: list[Batch], width: int) -> list[int]:
+    windows = []
+    for batch in batches:
+        ends = np.cumsum(batch.lengths)
+        for end, n, i in zip(ends, batch.lengths, batch.ids, strict=True):
+            windows += [(batch.data[k : k + width], i) for k in range(end - n, end - width + 1)]
+    least: dict[bytes, int] = {}
+    for w, i in windows:
+        least[w] = min(least.get(w, i), i)
+    return [least[w] for w, _ in windows]
+
+
+@pytest.mark.parametrize("n_batches", [1, 2, 7, 13])
+def test_levels_give_the_least_id_of_each_window(n_batches):
+    for seed in range(5):
+        batches = pieces(n_batches, seed)
+        assert _levels(50, 64)(batches).tolist() == least_ids(batches, 50)
+
+
+def test_matches_come_from_the_byte_order(monkeypatch):
+    """With the order shuffled, equal windows are no neighbours and are not matched."""
+    def shuffled(eight, starts, width, cut=0):
+        order, _ = _byte_order(eight, starts, width, cut)
+        order = np.random.default_rng(1).permutation(order)
+        at = [eight[starts[order] + k] for k in (*range(0, width - 8, 8), width - 8)]
+        new = np.ones(len(order), dtype=bool)
+        new[1:] = np.any([x[1:] != x[:-1] for x in at], axis=0)
+        return order, new
+
+    batches = pieces(7, 0)
+    monkeypatch.setattr(suffixlevels, "_byte_order", shuffled)
+    assert _levels(50, 64)(batches).tolist() != least_ids(batches, 50)
 
 
 def test_word_and_window_hashes():

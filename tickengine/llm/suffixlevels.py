@@ -4,7 +4,8 @@ In every shard (see :mod:`recurring`) the batches arrive one after the other. A
 windows (their first ``WIDTH`` bytes in order), which is merge-scanned against the level of its size: equal neighbours
 in the merged order are matches of ``WIDTH`` bytes, which are counted for the smallest doc_id that holds them, and the
 two merge into one array for the next level, and so on while a level of that size exists. The levels left at the end
-are merged too, so every batch has met every other. Each window is thus sorted a logarithmic number of times.
+are merged too, so every batch has met every other. A window is sorted once, in its batch, and merged a logarithmic
+number of times; windows are compared by their bytes only.
 
 Defined cases: a null or empty text has no bytes; rows that share a doc_id never remove from one another; a null
 doc_id neither loses bytes nor makes others lose any; texts shorter than a window stay whole; a match never crosses
@@ -33,63 +34,59 @@ BATCH_WINDOWS = 1 << 17
 
 @dataclass
 class Level:
-    """Distinct windows in byte order: where each starts in the shard's text, a fingerprint, the least doc_id, and the
-    batches whose windows point into it."""
+    """Distinct windows in byte order: where each starts in the shard's text, the least doc_id, and the batches whose
+    windows point into it."""
 
     starts: np.ndarray
-    prints: np.ndarray
     ids: np.ndarray
     members: list[int]
     rank: int
 
 
-def _words_at(eight: np.ndarray, starts: np.ndarray, skip: int, width: int) -> np.ndarray:
-    """The 8 bytes from ``skip`` of each window as one number in byte order, cut at the window's end."""
-    value = eight[starts + skip]
-    left = width - skip
-    return value if left >= 8 else value >> np.uint64(8 * (8 - left))
+def _bytes_at(eight: np.ndarray, starts: np.ndarray, skip: int, count: int) -> np.ndarray:
+    """``count`` (1 to 8) bytes from ``skip`` of each window as one number in byte order."""
+    return eight[starts + skip] >> np.uint64(8 * (8 - count))
 
 
-def _byte_order(eight: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
-    """Order of distinct windows by their bytes: by 8 bytes, then the windows still tied by the next 8, and so on."""
-    order = np.argsort(_words_at(eight, starts, 0, width), kind="stable")
-    key = _words_at(eight, starts[order], 0, width)
-    group = np.cumsum(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else key
-    for skip in range(8, width, 8):
-        same = np.zeros(len(group) + 1, dtype=bool)
-        same[1:-1] = group[1:] == group[:-1]
-        tied = np.flatnonzero(same[1:] | same[:-1])
+def _byte_order(eight: np.ndarray, starts: np.ndarray, width: int, cut: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Order of windows by their bytes, and which of them, in that order, differ from their left neighbour.
+
+    With ``cut``, the windows before it and those from it on are each in byte order already, and are merged: numpy's
+    stable sort of 64-bit numbers finds ascending runs and merges them, so two of them take linear time. Windows still
+    tied are told apart by their next bytes behind the number of their group, again as two ascending runs."""
+    kind = "stable" if cut else None
+    skip = min(8, width)
+    key = _bytes_at(eight, starts, 0, skip)
+    order = np.argsort(key, kind=kind)
+    key = key[order]
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = key[1:] != key[:-1]
+    while skip < width:
+        tied = np.flatnonzero(~new | np.append(~new[1:], False))
         if not len(tied):
             break
-        key = _words_at(eight, starts[order[tied]], skip, width)
-        within = np.lexsort((key, group[tied]))
-        order[tied] = order[tied][within]
-        key, old = key[within], group[tied]
-        new = (key[1:] != key[:-1]) & (old[1:] == old[:-1])
-        bump = np.zeros(len(group), dtype=np.int64)
-        bump[tied[1:]] = new
-        group = group + np.cumsum(bump)
-    return order
-
-
-def _distinct(eight, width, starts, prints, ids) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct windows in byte order (starts, prints, least ids), and the place of each given one among them."""
-    order = np.argsort(prints, kind="stable")
-    new = np.concatenate([[True], prints[order][1:] != prints[order][:-1]])
+        windows = order[tied]
+        group = np.cumsum(new[tied]) - 1
+        step = min(7, (64 - int(group[-1]).bit_length()) // 8, width - skip)
+        late = windows >= cut
+        runs = np.concatenate([np.flatnonzero(~late), np.flatnonzero(late)])
+        key = group[runs].astype(np.uint64) << np.uint64(8 * step) | _bytes_at(eight, starts[windows[runs]], skip, step)
+        by = np.argsort(key, kind=kind)
+        key = key[by]
+        order[tied] = windows[runs[by]]
+        new[tied[1:]] = key[1:] != key[:-1]
+        skip += step
+    return order, new
+
+
+def _scan(eight, width, starts, ids, cut: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One scan of the windows in byte order: equal neighbours are one window of the least id. Distinct windows in byte
+    order (starts, least ids), and the place of each given one among them."""
+    order, new = _byte_order(eight, starts, width, cut)
     heads = np.flatnonzero(new)
-    least = np.minimum.reduceat(ids[order], heads)
-    one = order[heads]
     place = np.empty(len(order), dtype=np.int64)
     place[order] = np.cumsum(new) - 1
-    other = np.flatnonzero(~new)  # equal prints must be equal bytes
-    a, b = starts[order[other]], starts[order[other - 1]]
-    for skip in (*range(0, width - 8, 8), width - 8) if width >= 8 else ():
-        if (eight[a + skip] != eight[b + skip]).any():
-            raise ArithmeticError("two windows share a fingerprint; run again with another hash base")
-    by_bytes = _byte_order(eight, starts[one], width)
-    where = np.empty(len(one), dtype=np.int64)
-    where[by_bytes] = np.arange(len(one))
-    return starts[one][by_bytes], prints[one][by_bytes], least[by_bytes], where[place]
+    return starts[order[heads]], np.minimum.reduceat(ids[order], heads), place
 
 
 def _levels(width: int, batch_windows: int):
@@ -102,7 +99,6 @@ def _levels(width: int, batch_windows: int):
         lengths = np.concatenate([b.lengths for b in batches])
         ids = np.concatenate([b.ids for b in batches])
         starts, piece = _windows(lengths, width)
-        prints = tk.windows_hash(tk.rolling(tk.byte_values(tk.Texts(data, np.zeros(1)))), width)[starts]
         of_batch = np.searchsorted(piece, np.cumsum([0, *(len(b.lengths) for b in batches)]))
         cuts = [0]  # small batches go in together
         for b in of_batch[1:].tolist():
@@ -113,17 +109,16 @@ def _levels(width: int, batch_windows: int):
         levels: dict[int, Level] = {}
 
         def merged(a: Level, b: Level) -> Level:
-            both = [np.concatenate(x) for x in ((a.starts, b.starts), (a.prints, b.prints), (a.ids, b.ids))]
-            s, p, i, place = _distinct(eight, width, *both)
+            s, i, place = _scan(eight, width, np.concatenate([a.starts, b.starts]), np.concatenate([a.ids, b.ids]), len(a.starts))
             for members, shift in ((a.members, 0), (b.members, len(a.starts))):
                 for m in members:
                     places[m] = place[places[m] + shift]
-            return Level(s, p, i, a.members + b.members, a.rank + 1)
+            return Level(s, i, a.members + b.members, max(a.rank, b.rank) + 1)
 
         for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-            s, p, i, place = _distinct(eight, width, starts[lo:hi], prints[lo:hi], ids[piece[lo:hi]])
+            s, i, place = _scan(eight, width, starts[lo:hi], ids[piece[lo:hi]])
             places.append(place)
-            level = Level(s, p, i, [len(places) - 1], 0)
+            level = Level(s, i, [len(places) - 1], 0)
             while level.rank in levels:
                 level = merged(levels.pop(level.rank), level)
             levels[level.rank] = level
