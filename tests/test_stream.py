@@ -1,5 +1,6 @@
 import tempfile
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -86,3 +87,53 @@ def test_stream_late_ticks_equal_batch_late_ticks(spark):
         "exchange", "symbol", "event_us", F.col("bucket").alias("open_us"))
     assert got.count() == want.count() > 0
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_timeframes_of_one_stream_equal_their_batches(spark):
+    env = tick_envelopes(tick_proxy(spark, SF_SMALL))
+    base = tempfile.mkdtemp(prefix="tickengine-timeframes-")
+    n = CS.write_replay_files(env, f"{base}/src", steps=3)
+    CS.run_replay(spark, f"{base}/src", f"{base}/sink", f"{base}/ckpt", ("1m", "1h"), timeout_s=300, files_per_trigger=n)
+    num = lambda c: F.col(c).cast("decimal(28,10)")
+    cols = ["timeframe", "exchange", "symbol", "open_us", "tick_count"]
+    values = [num(c).alias(c) for c in ("open", "high", "low", "close", "volume")]
+    got = CS.latest_candles(spark.read.parquet(f"{base}/sink")).select(*cols, *values)
+    ticks = good_ticks(parse_ticks(env))
+    want = C.candles(ticks, ENVELOPE_TICKS, "1m").unionByName(C.candles(ticks, ENVELOPE_TICKS, "1h")).select(*cols, *values)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+class Kept:
+    """An instrument's state between calls, on a clock of its own."""
+
+    def __init__(self):
+        self.get, self.exists, self.hasTimedOut, self.now_ms, self.wait_ms = None, False, False, 0, None
+
+    def update(self, values):
+        self.get, self.exists = values, True
+
+    def getCurrentProcessingTimeMs(self):
+        return self.now_ms
+
+    def setTimeoutDuration(self, wait_ms):
+        self.wait_ms = wait_ms
+
+
+def test_a_timeout_closes_the_timeframes_that_are_due():
+    minute = 60_000_000
+    start = 60 * minute
+    rows = pd.DataFrame({
+        "event_us": [start + 1], "price": ["2"], "size": ["1"], "cumulative_volume": [None], "currency": ["EUR"], "partition": [0],
+        "offset": [0], "record_us": [start + 1], "price_u": [2 * 10**10], "size_u": [10**10], "cum_u": [0], "exact": [True]})
+    state, fn = Kept(), CS._timeframes_fn(("1m", "1h"), 2_000_000, False, "processing")
+    state.now_ms = start // 1000 + 5
+    opened = pd.concat(fn(("x", "a"), iter([rows]), state))
+    assert opened.timeframe.tolist() == ["1m", "1h"] and not opened.is_final.any()
+    assert state.wait_ms == 62_000 - 5
+    state.now_ms, state.hasTimedOut, state.wait_ms = start // 1000 + 62_000, True, None
+    closed = pd.concat(fn(("x", "a"), iter([]), state))
+    assert closed.timeframe.tolist() == ["1m"] and closed.is_final.all()
+    assert state.wait_ms == 3_540_000  # the hour's candle is next
+    state.now_ms, state.wait_ms = start // 1000 + 3_602_000, None
+    closed = pd.concat(fn(("x", "a"), iter([]), state))
+    assert closed.timeframe.tolist() == ["1h"] and closed.is_final.all() and state.wait_ms is None

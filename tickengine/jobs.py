@@ -111,7 +111,7 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> int
     c = sub.add_parser("candles", help="ticks -> 1-minute (or other) candle messages")
     c.add_argument("--source", required=True)
     c.add_argument("--sink", required=True)
-    c.add_argument("--timeframe", default="1m")
+    c.add_argument("--timeframe", default="1m", help="one, or several from one fold: 1m,5m,1h (messages name their topic; Kafka takes one)")
     c.add_argument("--timer", choices=["event", "processing"], default=None,
                    help="default: processing, and event with --once (a drained input needs no timers)")
     c.add_argument("--grace-seconds", type=int, default=2)
@@ -163,9 +163,12 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> int
 
 def _run(spark: SparkSession, args) -> int:
     if args.job == "candles":
-        revs = CS.candle_stream(_source(spark, args), args.timeframe, grace_seconds=args.grace_seconds, per_tick=True,
-                                timer=args.timer or ("event" if args.once else "processing"))
-        topic = CANDLES_TOPIC.rsplit(".", 1)[0] + f".{args.timeframe}"
+        names = args.timeframe.split(",")
+        if len(names) > 1 and args.sink.startswith("kafka://"):
+            raise SystemExit("a Kafka sink names one topic: run a job per timeframe, or write envelope files")
+        revs = CS.candle_stream(_source(spark, args), names if len(names) > 1 else args.timeframe,
+                                grace_seconds=args.grace_seconds, per_tick=True, timer=args.timer or ("event" if args.once else "processing"))
+        topic = F.concat(F.lit(CANDLES_TOPIC.rsplit(".", 1)[0] + "."), F.col("timeframe"))
 
         def messages(out: DataFrame) -> DataFrame:
             return S.candle_messages(CS.candle_rows(out).withColumn(

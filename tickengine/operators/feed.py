@@ -142,6 +142,17 @@ def chart_series(history: DataFrame, live: DataFrame) -> DataFrame:
     return last.select(*INSTRUMENT, "time", "_l.*")
 
 
+_LAST = ("last_close", "last_open_time", "last_update")
+
+
+def metric_counts(messages: DataFrame) -> DataFrame:
+    """A8 ahead of the subscriptions: per routing fields and partition, the messages the chart accepted (``_n``), the last
+    of them by offset (``_l``, ``_at``) and the first record time (``_seen``). ``messages`` may be a stream (update mode)."""
+    at = F.struct("offset", "key")
+    return _points(messages).where(F.col("_ok")).groupBy("route_symbol", "route_timeframe", "partition").agg(
+        F.count(F.lit(1)).alias("_n"), F.max_by(F.struct(*_LAST), at).alias("_l"), F.max(at).alias("_at"), F.min("timestamp").alias("_seen"))
+
+
 def feed_metrics(messages: DataFrame, subscriptions: DataFrame, history: DataFrame | None = None) -> DataFrame:
     """Per subscriber, the number of messages the chart accepted (those that parse into a candle point) and the
     latest accepted message's close, open time and publish time.
@@ -150,11 +161,14 @@ def feed_metrics(messages: DataFrame, subscriptions: DataFrame, history: DataFra
     rows count, if the chart accepts one of them, and its last candle by open time is the last message until a live one
     comes. Messages are parsed once and folded by routing fields (partial aggregates) before any are copied to
     subscribers, so what is delivered is a row per symbol and timeframe."""
-    last = F.struct("last_close", "last_open_time", "last_update")
+    return metrics_of(metric_counts(messages), subscriptions, history)
+
+
+def metrics_of(counts: DataFrame, subscriptions: DataFrame, history: DataFrame | None = None) -> DataFrame:
+    """:func:`feed_metrics` from the rows of :func:`metric_counts`, which a stream may have kept."""
+    last = F.struct(*_LAST)
     at = F.struct("offset", "key")
-    per = _points(messages).where(F.col("_ok")).groupBy("route_symbol", "route_timeframe", "partition").agg(
-        F.count(F.lit(1)).alias("_n"), F.max_by(last, at).alias("_l"), F.max(at).alias("_at"), F.min("timestamp").alias("_seen"))
-    per = per.withColumn("_seen", F.min("_seen").over(Window.partitionBy("partition")))
+    per = counts.withColumn("_seen", F.min("_seen").over(Window.partitionBy("partition")))
     # live after history; partitions by their first record, then offsets
     pos = F.struct(F.lit(1).alias("src"), F.lit("").alias("open"), "_seen", "partition", "_at")
     per_key = per.groupBy("route_symbol", "route_timeframe").agg(

@@ -33,7 +33,7 @@ def _text(c: Column) -> Column:
     return c.cast("string")
 
 
-def candle_messages(revisions: DataFrame, topic: str = CANDLES_TOPIC, partition: Column | None = None) -> DataFrame:
+def candle_messages(revisions: DataFrame, topic: str | Column = CANDLES_TOPIC, partition: Column | None = None) -> DataFrame:
     """Candle revisions -> envelopes as the candle builder publishes them.
 
     Key ``exchange:symbol:timeframe``; value JSON with OHLCV as text, ``currency`` "" when missing, ``tickCount`` a
@@ -61,7 +61,7 @@ def candle_messages(revisions: DataFrame, topic: str = CANDLES_TOPIC, partition:
     return revisions.select(
         F.concat_ws(":", "exchange", "symbol", "timeframe").alias("key"),
         F.to_json(msg).alias("value"),
-        F.lit(topic).alias("topic"),
+        (topic if isinstance(topic, Column) else F.lit(topic)).alias("topic"),
         (partition if partition is not None else F.lit(0)).cast("int").alias("partition"),
         (F.expr("open_us div 1000") * F.lit(1_000_000) + F.col("rev")).alias("offset"),
         F.timestamp_micros(F.col("published_us")).alias("timestamp"),

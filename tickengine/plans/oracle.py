@@ -7,6 +7,8 @@ check the chunked two-level form of the Spark operators.
 
 from __future__ import annotations
 
+from ..schema import TIMEFRAME_SECONDS
+
 # FIXTURES §2 tick proxy (DuckDB dialect)
 TICKS = """
 ticks as (
@@ -109,10 +111,11 @@ select exchange, symbol, coalesce(price_source, 'none') as price_source, count(*
 from parsed group by all
 """
 
-CANDLES_1M_PARSED = f"""
+def _candles_parsed_sql(bucket_us: int, timeframe: str) -> str:
+    return f"""
 with {TICKS},{PARSED},
 good as (select * exclude (price_c), price_p as price_c from parsed where price_p is not null),
-bucketed as (select *, ts_us - (ts_us % 60000000) as bucket from good),
+bucketed as (select *, ts_us - (ts_us % {bucket_us}) as bucket from good),
 marked as (
   select *, coalesce(bucket < max(bucket) over (partition by exchange, symbol order by "offset"
                      rows between unbounded preceding and 1 preceding), false) as is_late
@@ -131,12 +134,17 @@ acc as (
                  when size > 0 then size else 0 end as inc
   from acc0
 )
-select exchange, symbol, 'EUR' as currency, '1m' as timeframe, bucket as open_us, bucket + 59999000 as close_us,
+select exchange, symbol, 'EUR' as currency, '{timeframe}' as timeframe, bucket as open_us, bucket + {bucket_us - 1000} as close_us,
   first(price_c order by "offset") as open, max(price_c) as high, min(price_c) as low,
   last(price_c order by "offset") as close, sum(inc) as volume, count(*) as tick_count
 from acc group by exchange, symbol, bucket
 """
 
+
+CANDLES_1M_PARSED = _candles_parsed_sql(60_000_000, "1m")
+CANDLES_TIMEFRAMES_STREAM = " union all ".join(
+    f"select * from ({_candles_parsed_sql(seconds * 1_000_000, name)})" for name, seconds in TIMEFRAME_SECONDS.items())
+
 LATE_TICKS_STREAM = CANDLES_1M_PARSED[: CANDLES_1M_PARSED.index("acc0 as (")].rstrip().rstrip(",") + """
 select exchange, symbol, ts_us as event_us, bucket, price_c from marked where is_late
 """
@@ -538,9 +546,11 @@ ORACLE: dict[str, str] = {
     "route": ROUTE,
     "chart_series": CHART_SERIES,
     "feed_metrics": FEED_METRICS,
+    "feed_metrics_stream": FEED_METRICS,
     "feed_metrics_history": FEED_METRICS_HISTORY,
     # the stream must equal the batch candles of the same messages
     "candles_1m_stream": CANDLES_1M_PARSED,
+    "candles_timeframes_stream": CANDLES_TIMEFRAMES_STREAM,
     "late_ticks_stream": LATE_TICKS_STREAM,
     "candles_lagging_stream": CANDLES_1M_PARSED,
     "candles_moved_partition": CANDLES_1M_PARSED,

@@ -3,7 +3,7 @@ the DuckDB oracle of the same name (:mod:`.oracle`). Times are compared as epoch
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -16,7 +16,7 @@ from ..operators import options as O
 from ..operators import store as S
 from ..functions.text import iso_instant, resolve_date
 from ..operators.late import late_ticks
-from ..schema import ENVELOPE_TICKS, PROXY_TICKS
+from ..schema import ENVELOPE_TICKS, PROXY_TICKS, TIMEFRAME_SECONDS
 from ..session import materialize, prepare
 from ..sources.envelope import learning_events, received_records, replay_stream, tick_envelopes
 from ..sources.proxy import option_envelopes, option_proxy, raw_snapshots, tick_proxy
@@ -300,10 +300,10 @@ def replay_input(spark: SparkSession, env: DataFrame, steps: int = 3) -> tuple[s
     return base, CS.write_replay_files(env, f"{base}/source", steps)
 
 
-def replayed(spark: SparkSession, base: str, files: int, per_tick: bool = False) -> DataFrame:
+def replayed(spark: SparkSession, base: str, files: int, per_tick: bool = False, timeframe: str | Sequence[str] = "1m") -> DataFrame:
     """The stream's output over replay files, step by step, until all are read."""
     run = CS.scratch_dir(spark, "run")
-    CS.run_replay(spark, f"{base}/source", f"{run}/sink", f"{run}/checkpoint", files_per_trigger=files, per_tick=per_tick)
+    CS.run_replay(spark, f"{base}/source", f"{run}/sink", f"{run}/checkpoint", timeframe, files_per_trigger=files, per_tick=per_tick)
     return spark.read.parquet(f"{run}/sink")
 
 
@@ -323,6 +323,20 @@ def q_candles_1m_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drained(replayed(spark, *replay_input(spark, tick_envelopes(_ticks(spark, sf_dir)))))
 
 
+def q_candles_timeframes_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4 in the stream: the candles of every timeframe from one fold of the messages, drained at the end; equal to the
+    batch candles of each timeframe."""
+    return drained(replayed(spark, *replay_input(spark, tick_envelopes(_ticks(spark, sf_dir))), timeframe=tuple(TIMEFRAME_SECONDS)))
+
+
+def q_feed_metrics_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A8 over a stream: the candle messages replayed in three steps through the stateful counts, whose last state meets
+    the subscriptions."""
+    base, files = replay_input(spark, _candle_envelopes(spark, sf_dir))
+    K.metrics_stream(replay_stream(spark, f"{base}/source", files), f"{base}/counts", f"{base}/checkpoint").awaitTermination()
+    return FD.metrics_of(K.read_metric_counts(spark, f"{base}/counts"), subscriptions(spark, sf_dir))
+
+
 def q_late_ticks_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F3 / W5 in the stream: every tick that the builder skipped."""
     out = CS.late_rows(replayed(spark, *replay_input(spark, tick_envelopes(_ticks(spark, sf_dir)))))
@@ -493,6 +507,8 @@ QUERIES: dict[str, Query] = {
     "feed_metrics": q_feed_metrics,
     "feed_metrics_history": q_feed_metrics_history,
     "candles_1m_stream": q_candles_1m_stream,
+    "candles_timeframes_stream": q_candles_timeframes_stream,
+    "feed_metrics_stream": q_feed_metrics_stream,
     "late_ticks_stream": q_late_ticks_stream,
     "candles_lagging_stream": q_candles_lagging_stream,
     "candles_moved_partition": q_candles_moved_partition,

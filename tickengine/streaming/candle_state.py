@@ -14,6 +14,9 @@ Timers (W3): with ``timer="processing"`` a candle is closed by the wall clock ``
 while its instrument is live, that is while its newest record was stamped less than a minute (and the grace) ago. On a
 backlog the instrument's own ticks close its candles, as with ``timer="event"``, which sets no timers.
 
+One stream can build several timeframes (A4): an instrument's ticks are parsed and shuffled once, its state holds one open
+candle per timeframe, and every timeframe folds the same rows.
+
 A micro-batch must fit its tasks instrument by instrument: sources cap it (``maxOffsetsPerTrigger`` and
 ``maxFilesPerTrigger``).
 
@@ -28,7 +31,7 @@ from __future__ import annotations
 import decimal
 import time
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -298,11 +301,54 @@ def _state_fn(length_us: int, grace_us: int, per_tick: bool = False, timer: str
     return fn
 
 
-def candle_stream(envelopes: DataFrame, timeframe: str = "1m", grace_seconds: int = 2, per_tick: bool = False,
+class _Share:
+    """One timeframe's share of an instrument's state, as its fold sees it."""
+
+    def __init__(self, values: tuple | None, timed_out: bool, now_ms: int | None):
+        self.get, self.exists, self.hasTimedOut = values, values is not None, timed_out
+        self.now_ms, self.wait_ms = now_ms, None
+
+    def update(self, values: tuple) -> None:
+        self.get = values
+
+    def getCurrentProcessingTimeMs(self) -> int:
+        return self.now_ms
+
+    def setTimeoutDuration(self, wait_ms: int) -> None:
+        self.wait_ms = wait_ms
+
+
+def _timeframes_fn(timeframes: Sequence[str], grace_us: int, per_tick: bool, timer: str):
+    """The folds of several timeframes over one instrument's micro-batch. A timeout closes the candles that are due, and
+    the next one is set for the first of the others."""
+    folds = [(t, timeframe_micros(t) + grace_us, _state_fn(timeframe_micros(t), grace_us, per_tick, timer)) for t in timeframes]
+    opened = _FIELDS.index("open_us")
+
+    def fn(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        frames = [] if state.hasTimedOut else [p for p in pdfs if len(p)]
+        now_ms = state.getCurrentProcessingTimeMs() if timer == "processing" else None
+        kept = tuple(state.get) if state.exists else None
+        shares = []
+        for i, (timeframe, span_us, fold) in enumerate(folds):
+            own = None if kept is None else kept[i * len(_FIELDS) : (i + 1) * len(_FIELDS)]
+            due = state.hasTimedOut and own[opened] is not None and (own[opened] + span_us) // 1000 <= now_ms
+            share = _Share(own, due, now_ms)
+            for out in fold(key, iter(frames), share):
+                yield out.assign(timeframe=timeframe)
+            shares.append(share)
+        state.update(tuple(x for share in shares for x in share.get))
+        waits = [share.wait_ms for share in shares if share.wait_ms is not None]
+        if waits:
+            state.setTimeoutDuration(min(waits))
+
+    return fn
+
+
+def candle_stream(envelopes: DataFrame, timeframe: str | Sequence[str] = "1m", grace_seconds: int = 2, per_tick: bool = False,
                   timer: str = "event") -> DataFrame:
-    """Streaming candles from a streaming envelope DataFrame (Kafka or replay files). With ``per_tick`` every
-    accepted tick emits a ``candle.updated`` revision (the reference's publication pattern, A3); otherwise each
-    micro-batch emits one snapshot per changed open candle. ``timer="processing"`` also closes the candles of live
+    """Streaming candles from a streaming envelope DataFrame (Kafka or replay files), of one timeframe or of several
+    from one fold. With ``per_tick`` every accepted tick emits a ``candle.updated`` revision (the reference's publication
+    pattern, A3); otherwise each micro-batch emits one snapshot per changed open candle. ``timer="processing"`` also closes the candles of live
     instruments by the wall clock (minute end + grace, as the reference does)."""
     if timer not in ("event", "processing"):
         raise ValueError("timer must be 'event' or 'processing'")
@@ -323,8 +369,14 @@ def candle_stream(envelopes: DataFrame, timeframe: str = "1m", grace_seconds: in
         *units, exact.alias("exact"),
     )
     kind = GroupStateTimeout.NoTimeout if timer == "event" else GroupStateTimeout.ProcessingTimeTimeout
-    return ticks.groupBy("exchange", "symbol").applyInPandasWithState(
-        _state_fn(timeframe_micros(timeframe), grace_seconds * 1_000_000, per_tick, timer), OUTPUT_SCHEMA, STATE_SCHEMA, "append", kind,
+    grace_us = grace_seconds * 1_000_000
+    keyed = ticks.groupBy("exchange", "symbol")
+    if not isinstance(timeframe, str):
+        state = ", ".join(f"t{i}_{f}" for i in range(len(timeframe)) for f in STATE_SCHEMA.split(", "))
+        return keyed.applyInPandasWithState(
+            _timeframes_fn(timeframe, grace_us, per_tick, timer), f"{OUTPUT_SCHEMA}, timeframe string", state, "append", kind)
+    return keyed.applyInPandasWithState(
+        _state_fn(timeframe_micros(timeframe), grace_us, per_tick, timer), OUTPUT_SCHEMA, STATE_SCHEMA, "append", kind,
     ).withColumn("timeframe", F.lit(timeframe))
 
 
@@ -334,7 +386,8 @@ def candle_rows(out: DataFrame) -> DataFrame:
 
 
 def late_rows(out: DataFrame) -> DataFrame:
-    """F3 / W5 in the stream: the ticks the candle builder skipped, with their bucket (``open_us``), price and time."""
+    """F3 / W5 in the stream: the ticks the candle builder skipped, with their bucket (``open_us``), price and time (a row
+    per timeframe that skipped the tick, if the stream builds several)."""
     return out.where(F.col("kind") == "late").select(
         "exchange", "symbol", "open_us", F.col("close").alias("price"), F.col("published_us").alias("event_us"))
 
@@ -350,8 +403,8 @@ def latest_candles(revisions: DataFrame, drain: bool = True) -> DataFrame:
     return latest.withColumn("is_final", F.lit(True)) if drain else latest
 
 
-def run_replay(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint: str, timeframe: str = "1m",
-               files_per_trigger: int | None = None, timeout_s: float | None = None, per_tick: bool = False,
+def run_replay(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint: str,
+               timeframe: str | Sequence[str] = "1m", files_per_trigger: int | None = None, timeout_s: float | None = None, per_tick: bool = False,
                timer: str = "event", settle_s: float = 5.0) -> None:
     """Run the candle stream over envelope files until all are processed. With a ``timeout_s``, a run that is not
     done by then raises :class:`TimeoutError`: its output is never taken for the result.

@@ -7,6 +7,7 @@
   id and the batch's number, and readers take the last revision of every candle (A6). A batch that is run again
   replaces its own folder, and a query with a new checkpoint appends the same revisions again, which readers see once.
   Closed days are compacted into a folder of their own.
+* A8: the counts behind the feed metrics: every micro-batch writes the totals that changed, and readers take the last ones.
 * F2: candle records that do not parse go to a dead-letter sink.
 """
 
@@ -16,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators import feed as FD
 from ..operators import store as S
 from ..operators.chunks import last_by_arrival
 from ..operators.parse import bad_records, parse_candles
@@ -167,3 +169,25 @@ def live_stream(candle_envelopes: DataFrame, table: LiveTable, checkpoint: str,
 
     w = candle_envelopes.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def metrics_stream(candle_envelopes: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
+    """A8 as a streaming query: Spark's state holds the counts of every symbol, timeframe and partition, and each
+    micro-batch writes those that changed under its number (a batch that is run again replaces its own folder). ``path``
+    belongs to one checkpoint."""
+    counts = FD.metric_counts(candle_envelopes)
+    empty = candle_envelopes.sparkSession.createDataFrame([], counts.schema)
+    empty.write.mode("overwrite").parquet(f"{path}/batch=-1")  # readers find the schema before the first batch
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    w = counts.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def read_metric_counts(spark: SparkSession, path: str) -> DataFrame:
+    """The latest totals that :func:`metrics_stream` wrote, for :func:`tickengine.operators.feed.metrics_of`."""
+    keys = ["route_symbol", "route_timeframe", "partition"]
+    totals = F.struct("_n", "_l", "_at", "_seen")
+    return spark.read.parquet(path).groupBy(*keys).agg(F.max_by(totals, F.col("batch")).alias("_t")).select(*keys, "_t.*")
