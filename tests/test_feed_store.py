@@ -126,3 +126,14 @@ def test_route_with_partial_pattern_classes(spark):
     assert sorted((r.client_id, r.offset) for r in FD.route(msgs, anyone).collect()) == [("w", 0), ("w", 1)]
     nobody = spark.createDataFrame([], "client_id string, symbol string, timeframe string")
     assert FD.route(msgs, nobody).count() == 0
+
+
+def test_metric_counts_take_the_last_batch_by_number(spark, tmp_path):
+    from tickengine.streaming.sinks import read_metric_counts
+
+    subs = spark.createDataFrame([("a", None, None)], "client_id string, symbol string, timeframe string")
+    for batch, messages in ((9, ["ASML"]), (10, ["ASML", "ASML", "SAP"])):
+        counts = FD.metric_counts(envelopes(spark, [candle_msg(s, close=str(batch)) for s in messages]))
+        counts.write.parquet(f"{tmp_path}/counts/batch={batch}")
+    got = FD.metrics_of(read_metric_counts(spark, f"{tmp_path}/counts"), subs).collect()
+    assert [(r.client_id, r.message_count, r.last_close) for r in got] == [("a", 3, "10")]

@@ -15,6 +15,7 @@ from conftest import SF_SMALL
 
 
 def plan(df) -> str:
+    df.sparkSession.conf.set("spark.sql.maxMetadataStringLength", "2000")  # filters are printed whole, however long their ids
     df.write.format("noop").mode("overwrite").save()
     return df._jdf.queryExecution().executedPlan().toString()
 

@@ -190,4 +190,4 @@ def read_metric_counts(spark: SparkSession, path: str) -> DataFrame:
     """The latest totals that :func:`metrics_stream` wrote, for :func:`tickengine.operators.feed.metrics_of`."""
     keys = ["route_symbol", "route_timeframe", "partition"]
     totals = F.struct("_n", "_l", "_at", "_seen")
-    return spark.read.parquet(path).groupBy(*keys).agg(F.max_by(totals, F.col("batch")).alias("_t")).select(*keys, "_t.*")
+    return spark.read.parquet(path).groupBy(*keys).agg(F.max_by(totals, F.col("batch").cast("long")).alias("_t")).select(*keys, "_t.*")
