@@ -1,7 +1,8 @@
 """Forward as-of lookup: for each probe, the first row of the same key at or after a position.
 
-Rows and probes are unioned, partitioned by (key, time bucket) and sorted, so each lookup inside a bucket is a
-``first(..., ignorenulls)`` over the following rows. Probes that find nothing in their bucket take the first row of
+Rows and probes are unioned, partitioned by (key, time bucket) and sorted from the latest position down, so each lookup
+inside a bucket is the ``last(..., ignorenulls)`` of the rows so far: a running value, where a frame that reaches to the
+partition's end would be read anew for every row. Probes that find nothing in their bucket take the first row of
 the next non-empty bucket, from a per-bucket summary (one row per bucket). Linear work, no pairs, and no task
 holds more than one bucket of one key.
 """
@@ -45,9 +46,9 @@ def first_at_or_after(
     u = r.unionByName(p).withColumn("_b", F.expr(f"_t div {int(bucket)}"))
 
     # inside the bucket: probes sort before rows at the same position, so the lookup is inclusive
-    w = Window.partitionBy(*keys, "_b").orderBy("_t", "_s", "_kind")
-    following = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    inside = u.withColumn("_in", F.first("_row", ignorenulls=True).over(following)).where(F.col("_kind") == 0)
+    w = Window.partitionBy(*keys, "_b").orderBy(F.desc("_t"), F.desc("_s"), F.desc("_kind"))
+    following = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = u.withColumn("_in", F.last("_row", ignorenulls=True).over(following)).where(F.col("_kind") == 0)
 
     # later buckets: first row of the next non-empty bucket. Probe buckets join the per-bucket summary with an
     # empty entry, so a probe in a bucket without rows also finds its successor (no pairs of buckets).
@@ -62,7 +63,7 @@ def first_at_or_after(
     buckets = row_buckets.unionByName(probe_buckets).groupBy(*keys, "_b").agg(
         F.first("_first", ignorenulls=True).alias("_first")
     )
-    later = Window.partitionBy(*keys).orderBy("_b").rowsBetween(1, Window.unboundedFollowing)
-    nxt = buckets.select(*keys, "_b", F.first("_first", ignorenulls=True).over(later).alias("_next_first"))
+    later = Window.partitionBy(*keys).orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)
+    nxt = buckets.select(*keys, "_b", F.last("_first", ignorenulls=True).over(later).alias("_next_first"))
     res = inside.join(nxt, [*keys, "_b"], "left")
     return res.select(*keys, *probe_cols, F.coalesce("_in", "_next_first").alias(hit))

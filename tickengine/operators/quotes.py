@@ -130,9 +130,10 @@ def quote_throttle(quotes: DataFrame, keys: list[str], t_us: str, seq: str,
     # what a long segment opens with is its first quote that differs from the state it starts in: published for sure
     long = q.where(F.col("_n") > segment_rows)
     if not long.isEmpty():
-        w = Window.partitionBy(*keys, "_seg").orderBy("_t", "_s").rowsBetween(Window.unboundedPreceding, 0)
         differs = F.col("_first") | ~F.col("_sig").eqNullSafe(F.col("_init"))
-        opened = long.withColumn("_open", F.max(differs.cast("int")).over(w)).where("_open = 1")
+        # a row for each segment of more than segment_rows quotes
+        opening = long.where(differs).groupBy(*keys, "_seg").agg(F.min(F.struct("_t", "_s")).alias("_open"))
+        opened = long.join(F.broadcast(opening), [*keys, "_seg"]).where(F.struct("_t", "_s") >= F.col("_open"))
         bucket = int(bucket_us or max(interval_us, 60_000_000))
         pointers = materialize(_next_pointers(opened.select(*keys, "_seg", "_t", "_s", "_sig"), [*keys, "_seg"], interval_us, bucket))
         found = found.unionByName(_chain_by_blocks(pointers, [*keys, "_seg"], int(block_us)).drop("_seg"))
@@ -232,6 +233,9 @@ def _next_pointers(base: DataFrame, keys: list[str], interval_us: int, bucket: i
     b = base.withColumn("_b", F.expr(f"_t div {bucket}"))
     w = Window.partitionBy(*keys, "_b").orderBy("_t", "_s")
     by_bucket = Window.partitionBy(*keys).orderBy("_b")
+    # the rows after one are those before it in the opposite order: a running value, linear in the rows
+    w_back = Window.partitionBy(*keys, "_b").orderBy(F.desc("_t"), F.desc("_s")).rowsBetween(Window.unboundedPreceding, -1)
+    back_by_bucket = Window.partitionBy(*keys).orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)
 
     # run starts: the signature differs from the previous quote's (the previous bucket's last one at a border)
     last_sig = b.groupBy(*keys, "_b").agg(F.max_by("_sig", pos).alias("_last"))
@@ -243,10 +247,8 @@ def _next_pointers(base: DataFrame, keys: list[str], interval_us: int, bucket: i
 
     # next run start strictly after each quote: inside the bucket, else the first one of a later bucket
     first_rs = b.groupBy(*keys, "_b").agg(F.min("_rs").alias("_frs"))
-    later = first_rs.select(
-        *keys, "_b", F.min("_frs").over(by_bucket.rowsBetween(1, Window.unboundedFollowing)).alias("_later_rs"))
-    b = b.withColumn("_rn_in", F.min("_rs").over(w.rowsBetween(1, Window.unboundedFollowing))).join(
-        later, [*keys, "_b"], "left")
+    later = first_rs.select(*keys, "_b", F.min("_frs").over(back_by_bucket).alias("_later_rs"))
+    b = b.withColumn("_rn_in", F.min("_rs").over(w_back)).join(later, [*keys, "_b"], "left")
     rows = b.select(*keys, "_t", "_s", "_sig", F.coalesce("_rn_in", "_later_rs").alias("_rn"))
 
     # k0 with its signature and next run start
