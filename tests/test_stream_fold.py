@@ -86,3 +86,49 @@ def test_cumulative_volumes_stay_exact(spark):
     out.option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start(f"{base}/sink").awaitTermination()
     got = spark.read.parquet(f"{base}/sink").where("is_final").selectExpr("cast(volume as decimal(28,10)) as v")
     assert rows(got, "v") == [(D(7),)]
+
+
+@pytest.mark.parametrize("per_tick", [False, True])
+def test_slices_of_a_batch_fold_like_the_whole(monkeypatch, per_tick):
+    """An instrument's ticks are not held as output rows all at once; no snapshot is published between slices."""
+    rnd = random.Random(5 + per_tick)
+    for _ in range(30):
+        start = 1_705_298_400_000_000
+        batches = [ticks(rnd, rnd.randint(1, 40), 40 * i, start + i * rnd.choice([0, 30, 400]) * 1_000_000) for i in range(3)]
+        got = []
+        for size in (1 << 16, 3):
+            monkeypatch.setattr(CS, "FOLD_ROWS", size)
+            state, run = State(), CS._state_fn(60_000_000, 0, per_tick)
+            out = [frame for batch in batches for frame in run(("x", "y"), iter([batch.iloc[:7], batch.iloc[7:]]), state)]
+            got.append((plain(out), state.get))
+            assert size == 1 << 16 or max(map(len, out)) <= 2 * size
+        assert got[0] == got[1]
+
+
+def test_exact_ticks_bring_no_texts(monkeypatch):
+    """The loop reads a number from its units where its text is empty."""
+    frame = ticks(random.Random(3), 30, 0, 1_705_298_400_000_000)
+    bare = frame.assign(**{c: [None if x is None else "" for x in frame[c]] for c in ("price", "size", "cumulative_volume")})
+    got = []
+    for scan in (CS._scan, lambda *_: None):
+        monkeypatch.setattr(CS, "_scan", scan)
+        for rows in (frame, bare):
+            got.append(plain(list(CS._state_fn(60_000_000, 0)(("x", "y"), iter([rows]), State()))))
+    assert all(g == got[0] for g in got)
+
+
+def test_units_as_text():
+    units = [0, 1, -1, 9_999, 10_000, -(10**10), 10**10, 123_456_789_012, 2**62, -(2**62)]
+    assert list(CS._texts(np.array(units))) == [str(D(u).scaleb(-10)) for u in units]
+
+
+def test_replay_files_follow_the_messages(spark, monkeypatch):
+    import os
+
+    from helpers import envelopes, tick
+
+    env = envelopes(spark, [tick(0, i % 60, last=1.0, volume=i) for i in range(100)])
+    monkeypatch.setattr(CS, "REPLAY_FILE_ROWS", 5)
+    path = CS.scratch_dir(spark, "files")
+    assert CS.write_replay_files(env, path, steps=2) == 10
+    assert sum(n.endswith(".parquet") for n in os.listdir(path.removeprefix("file:"))) == 20

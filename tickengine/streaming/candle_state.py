@@ -23,7 +23,8 @@ A micro-batch must fit its tasks instrument by instrument: sources cap it (``max
 An instrument's ticks of a micro-batch are folded with segmented numpy scans: a running maximum of the buckets tells late
 ticks, the accepted ones form one segment a candle, the last known cumulative volume is a running index, and candles are
 reductions over segments. Numbers cross as integers in units of the tenth decimal, which is exact; a batch with a number
-that has no such 64-bit form is folded tick by tick in Decimals, with the same result.
+that has no such 64-bit form is folded tick by tick in Decimals, with the same result. The instrument's ticks are held
+once, as columns of numbers, for all timeframes, and are folded slice by slice, so what a fold builds is bounded.
 """
 
 from __future__ import annotations
@@ -35,6 +36,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -54,6 +56,7 @@ STATE_SCHEMA = (
     "tick_count long, last_cum string, published_us long, closed_us long, rev long, dirty boolean, record_us long"
 )
 OUTPUT_ROWS = 10_000  # rows of one output frame of an instrument
+FOLD_ROWS = 1 << 16  # ticks of an instrument that are folded at once
 _FIELDS = [f.split()[0] for f in STATE_SCHEMA.split(", ")]
 
 
@@ -74,9 +77,53 @@ _CANDLE = ["exchange", "symbol", "open_us", "close_us", "currency", "open", "hig
 _TYPES = {"open_us": "int64", "close_us": "int64", "tick_count": "int64", "is_final": "bool", "published_us": "int64", "rev": "Int64"}
 
 
-def _text(units: int) -> str:
-    """A whole number of units as decimal text."""
-    return str(decimal.Decimal(int(units)).scaleb(-10))
+def _texts(units) -> np.ndarray:
+    """Whole numbers of units as decimal texts, such as ``str`` gives a Decimal of ten places."""
+    low = np.ascontiguousarray(units, dtype=np.int64)
+    wide = np.stack([low, low >> 63], axis=1)  # as 128-bit numbers
+    return pa.Array.from_buffers(pa.decimal128(38, 10), len(low), [None, pa.py_buffer(wide)]).cast(pa.string()).to_numpy(zero_copy_only=False)
+
+
+def _missing(texts: np.ndarray) -> np.ndarray:
+    """Texts with None for every missing one."""
+    return np.where(pd.isna(texts), None, texts)
+
+
+_NUMBERS = ["event_us", "price_u", "size_u", "cum_u", "partition", "offset", "record_us", "exact"]
+_TEXTS = ["price", "size", "cumulative_volume", "currency"]
+
+
+class _Arrived:
+    """One instrument's ticks of a micro-batch, in arrival order: slices of them as frames."""
+
+    def __init__(self, pdfs: Iterator[pd.DataFrame]):
+        # the key's texts are not kept with every row
+        frames = [p[[*_NUMBERS, *_TEXTS]] for p in pdfs if len(p)]
+        self.rows = pd.concat(frames, ignore_index=True) if frames else pd.DataFrame()
+        self.record_us = None
+        if not len(self.rows):
+            return
+        del frames
+        record, partition, offset = (self.rows[c].to_numpy() for c in ("record_us", "partition", "offset"))
+        self.record_us = int(record.max())
+        # a key that moved to another partition continues there: partitions by their first record time
+        _, of = np.unique(partition, return_inverse=True)
+        seen = np.full(int(of.max()) + 1, np.iinfo(np.int64).max)
+        np.minimum.at(seen, of, record)
+        self.order = np.lexsort((offset, partition, seen[of]))
+
+    def __len__(self) -> int:
+        return len(self.rows)
+
+    def slices(self) -> Iterator[tuple[pd.DataFrame, bool]]:
+        """Frames of up to ``FOLD_ROWS`` ticks, and whether more follow."""
+        for lo in range(0, len(self.rows), FOLD_ROWS):
+            yield self.rows.iloc[self.order[lo : lo + FOLD_ROWS]], lo + FOLD_ROWS < len(self.rows)
+
+
+def _amount(text: str | None, units: int) -> decimal.Decimal | None:
+    """A number of a tick: its text, empty where the units say it exactly."""
+    return decimal.Decimal(int(units)).scaleb(-10) if text == "" else _dec(text)
 
 
 def _frame(columns: dict) -> pd.DataFrame:
@@ -94,9 +141,10 @@ def _units(st: dict) -> dict | None:
     return out
 
 
-def _scan(rows: pd.DataFrame, st: dict, length_us: int, per_tick: bool, exchange: str, symbol: str) -> list[pd.DataFrame] | None:
+def _scan(rows: pd.DataFrame, st: dict, length_us: int, per_tick: bool, exchange: str, symbol: str, more: bool = False) -> list[pd.DataFrame] | None:
     """Folds one instrument's ticks (in arrival order) into ``st``, which must hold all state columns, and gives the
-    output rows. None, with ``st`` unchanged, if a number has no 64-bit form."""
+    output rows. None, with ``st`` unchanged, if a number has no 64-bit form. With ``more`` ticks to follow in the
+    micro-batch, the snapshot of the open candle is left to them (``dirty``)."""
     kept = _units(st) if st["open_us"] is not None else dict.fromkeys(_NUM)
     if kept is None or not rows["exact"].all():
         return None
@@ -112,13 +160,12 @@ def _scan(rows: pd.DataFrame, st: dict, length_us: int, per_tick: bool, exchange
     top = np.maximum.accumulate(np.concatenate([[floor], bucket]))[:-1]
     late = bucket < top
     out = []
-    missing = lambda c: [None if pd.isna(x) else x for x in c]
     if late.any():
-        texts = [_text(p) for p in price[late]]
+        texts = _texts(price[late])
         n = len(texts)
         out.append(_frame({
             "exchange": exchange, "symbol": symbol, "open_us": bucket[late], "close_us": bucket[late] + length_us - 1000,
-            "currency": missing(currency[late]), "open": texts, "high": texts, "low": texts, "close": texts, "volume": "0", "tick_count": np.zeros(n, np.int64),
+            "currency": _missing(currency[late]), "open": texts, "high": texts, "low": texts, "close": texts, "volume": "0", "tick_count": np.zeros(n, np.int64),
             "is_final": False, "published_us": t[late], "rev": pd.array([None] * n, "Int64"), "kind": "late"}))
     at = np.flatnonzero(~late)
     if not len(at):
@@ -143,25 +190,25 @@ def _scan(rows: pd.DataFrame, st: dict, length_us: int, per_tick: bool, exchange
     candle = {
         "open": price[head], "high": np.maximum.reduceat(price, head), "low": np.minimum.reduceat(price, head), "close": price[stop - 1],
         "volume": np.add.reduceat(inc, head), "tick_count": stop - head, "published_us": t[stop - 1], "open_us": bucket[head]}
-    first = missing(currency[head])
-    last_seen = seen[stop - 1]
-    last_cum = [int(cum[k]) if k >= h else None for k, h in zip(last_seen.tolist(), head.tolist(), strict=True)]
+    first = _missing(currency[head])
+    last_cum = int(cum[seen[-1]]) if seen[-1] >= head[-1] else None  # of the candle that stays open
     if going:
         candle["open"][0] = kept["open"]
         candle["high"][0], candle["low"][0] = max(candle["high"][0], kept["high"]), min(candle["low"][0], kept["low"])
         candle["volume"][0] += kept["volume"]
         candle["tick_count"][0] += st["tick_count"]
         first[0] = st["currency"]
-        last_cum[0] = kept["last_cum"] if last_cum[0] is None else last_cum[0]
+        if last_cum is None and len(head) == 1:
+            last_cum = kept["last_cum"]
     ended = None  # an open candle that the first tick closes as it was
     if st["open_us"] is not None and not going:
-        ended = {f: [_text(kept[f])] for f in ("open", "high", "low", "close", "volume")} | {
+        ended = {f: [kept[f]] for f in ("open", "high", "low", "close", "volume")} | {
             "open_us": [st["open_us"]], "tick_count": [st["tick_count"]], "published_us": [st["published_us"]], "currency": [st["currency"]]}
     rev = st["rev"]
 
     def emitted(columns: dict, final: bool, revs) -> pd.DataFrame:
         opened = np.asarray(columns["open_us"], dtype=np.int64)
-        texts = {f: [x if isinstance(x, str) else _text(x) for x in columns[f]] for f in ("open", "high", "low", "close", "volume")}
+        texts = {f: _texts(columns[f]) for f in ("open", "high", "low", "close", "volume")}
         return _frame(columns | texts | {"exchange": exchange, "symbol": symbol, "open_us": opened, "close_us": opened + length_us - 1000,
                                          "is_final": final, "rev": pd.array(revs, "Int64"), "kind": "candle"})
 
@@ -170,7 +217,7 @@ def _scan(rows: pd.DataFrame, st: dict, length_us: int, per_tick: bool, exchange
         out.append(emitted(ended, True, [rev]))
     closing = np.arange(len(head) - 1)
     if per_tick:  # every tick's candle so far: running values of each segment
-        running = {"open": candle["open"][segment], "close": price, "published_us": t, "open_us": bucket, "currency": [first[k] for k in segment.tolist()]}
+        running = {"open": candle["open"][segment], "close": price, "published_us": t, "open_us": bucket, "currency": first[segment]}
         high, low, volume = price.copy(), price.copy(), inc.copy()
         if going:
             high[0], low[0], volume[0] = max(high[0], kept["high"]), min(low[0], kept["low"]), volume[0] + kept["volume"]
@@ -182,25 +229,35 @@ def _scan(rows: pd.DataFrame, st: dict, length_us: int, per_tick: bool, exchange
         rev += n + len(closing)
     else:
         closes = rev + closing + 1
-        rev += len(closing) + 1  # and the snapshot of the open candle
+        rev += len(closing) + (not more)  # and the snapshot of the open candle
     if len(closing):
         out.append(emitted({f: v[:-1] for f, v in candle.items()} | {"currency": first[:-1]}, True, closes))
         st["closed_us"] = int(candle["open_us"][-2])
     elif ended:
         st["closed_us"] = st["open_us"]
-    if not per_tick:
+    if not per_tick and not more:
         out.append(emitted({f: v[-1:] for f, v in candle.items()} | {"currency": first[-1:]}, False, [rev]))
     amount = lambda x: None if x is None else decimal.Decimal(int(x)).scaleb(-10)
-    st.update({f: amount(candle[f][-1]) for f in ("open", "high", "low", "close", "volume")}, last_cum=amount(last_cum[-1]), currency=first[-1],
-              tick_count=int(candle["tick_count"][-1]), published_us=int(t[-1]), open_us=int(bucket[-1]), rev=int(rev), dirty=False)
+    st.update({f: amount(candle[f][-1]) for f in ("open", "high", "low", "close", "volume")}, last_cum=amount(last_cum), currency=first[-1],
+              tick_count=int(candle["tick_count"][-1]), published_us=int(t[-1]), open_us=int(bucket[-1]), rev=int(rev), dirty=more and not per_tick)
     return out
 
 
 def _state_fn(length_us: int, grace_us: int, per_tick: bool = False, timer: str = "event"):
-    """The candle loop for one instrument and micro-batch. The open candle is kept as Decimals while the batch's
-    ticks are folded and converted to text only when a revision is emitted or the state is saved."""
+    """The candle loop for one instrument and micro-batch."""
+    fold = _fold_fn(length_us, grace_us, per_tick, timer)
 
     def fn(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        yield from fold(key, _Arrived(iter(()) if state.hasTimedOut else pdfs), state)
+
+    return fn
+
+
+def _fold_fn(length_us: int, grace_us: int, per_tick: bool, timer: str):
+    """The loop over an instrument's arrived ticks. The open candle is kept as Decimals while the batch's
+    ticks are folded and converted to text only when a revision is emitted or the state is saved."""
+
+    def fn(key: tuple, arrived: _Arrived, state: GroupState) -> Iterator[pd.DataFrame]:
         exchange, symbol = key
         if state.exists:
             st = dict(zip(_FIELDS, state.get))
@@ -229,61 +286,57 @@ def _state_fn(length_us: int, grace_us: int, per_tick: bool = False, timer: str
             if st["open_us"] is not None:
                 close_open_candle()
         else:
-            frames = [p for p in pdfs if len(p)]
-            rows = pd.concat(frames) if frames else pd.DataFrame()
-            if len(rows):
-                # a key that moved to another partition continues there: partitions by their first record time
-                seen = rows.groupby("partition")["record_us"].transform("min")
-                rows = rows.assign(_seen=seen).sort_values(["_seen", "partition", "offset"])
-                st["record_us"] = max(int(rows["record_us"].max()), st.get("record_us") or 0)
-            scanned = _scan(rows, st, length_us, per_tick, exchange, symbol) if len(rows) and not st.get("dirty") else None
-            if scanned is not None:
-                yield from scanned
-                rows = rows.iloc[:0]
-            cols = ("event_us", "price", "cumulative_volume", "size", "currency")
-            for t, price, cum, size, currency in (zip(*(rows[c] for c in cols)) if len(rows) else ()):
-                t = int(t)
-                bucket = t - (t % length_us)
-                price, cum, size = _dec(price), _dec(cum), _dec(size) or _ZERO
-                current = st["open_us"] if st["open_us"] is not None else st["closed_us"]
-                if current is not None and (bucket < current or (st["open_us"] is None and bucket == current)):
-                    # late for this instrument (or a minute already closed): to the late table, not dropped
-                    out.append({
-                        "exchange": exchange, "symbol": symbol, "open_us": bucket, "close_us": bucket + length_us - 1000,
-                        "currency": None if pd.isna(currency) else currency, "open": str(price), "high": str(price),
-                        "low": str(price), "close": str(price), "volume": "0", "tick_count": 0, "is_final": False,
-                        "published_us": t, "rev": None, "kind": "late",
-                    })
+            if len(arrived):
+                st["record_us"] = max(arrived.record_us, st.get("record_us") or 0)
+            for rows, more in arrived.slices():
+                scanned = _scan(rows, st, length_us, per_tick, exchange, symbol, more)
+                if scanned is not None:
+                    yield from scanned
                     continue
-                if st["open_us"] is not None and bucket > st["open_us"]:
-                    close_open_candle()
-                if st["open_us"] is None:
-                    st.update(open_us=bucket, currency=None if pd.isna(currency) else currency, open=price,
-                              high=price, low=price, close=price, volume=_ZERO, tick_count=1, last_cum=cum,
-                              published_us=t, dirty=True)
-                else:
-                    prev = st["last_cum"]
-                    if cum is not None and prev is not None:
-                        inc = max(cum - prev, _ZERO)
-                    elif size > 0:
-                        inc = size
+                cols = ("event_us", "price", "price_u", "cumulative_volume", "cum_u", "size", "size_u", "currency")
+                for t, price, price_u, cum, cum_u, size, size_u, currency in zip(*(rows[c] for c in cols), strict=True):
+                    t = int(t)
+                    bucket = t - (t % length_us)
+                    price, cum, size = _amount(price, price_u), _amount(cum, cum_u), _amount(size, size_u) or _ZERO
+                    current = st["open_us"] if st["open_us"] is not None else st["closed_us"]
+                    if current is not None and (bucket < current or (st["open_us"] is None and bucket == current)):
+                        # late for this instrument (or a minute already closed): to the late table, not dropped
+                        out.append({
+                            "exchange": exchange, "symbol": symbol, "open_us": bucket, "close_us": bucket + length_us - 1000,
+                            "currency": None if pd.isna(currency) else currency, "open": str(price), "high": str(price),
+                            "low": str(price), "close": str(price), "volume": "0", "tick_count": 0, "is_final": False,
+                            "published_us": t, "rev": None, "kind": "late",
+                        })
+                        continue
+                    if st["open_us"] is not None and bucket > st["open_us"]:
+                        close_open_candle()
+                    if st["open_us"] is None:
+                        st.update(open_us=bucket, currency=None if pd.isna(currency) else currency, open=price,
+                                  high=price, low=price, close=price, volume=_ZERO, tick_count=1, last_cum=cum,
+                                  published_us=t, dirty=True)
                     else:
-                        inc = _ZERO
-                    st["high"] = max(st["high"], price)
-                    st["low"] = min(st["low"], price)
-                    st["close"] = price
-                    st["volume"] += inc
-                    st["tick_count"] += 1
-                    if cum is not None:
-                        st["last_cum"] = cum
-                    st["published_us"] = t
-                    st["dirty"] = True
-                if per_tick:
-                    emit(False)
-                    st["dirty"] = False
-                if len(out) >= OUTPUT_ROWS:
-                    yield pd.DataFrame(out)
-                    out.clear()
+                        prev = st["last_cum"]
+                        if cum is not None and prev is not None:
+                            inc = max(cum - prev, _ZERO)
+                        elif size > 0:
+                            inc = size
+                        else:
+                            inc = _ZERO
+                        st["high"] = max(st["high"], price)
+                        st["low"] = min(st["low"], price)
+                        st["close"] = price
+                        st["volume"] += inc
+                        st["tick_count"] += 1
+                        if cum is not None:
+                            st["last_cum"] = cum
+                        st["published_us"] = t
+                        st["dirty"] = True
+                    if per_tick:
+                        emit(False)
+                        st["dirty"] = False
+                    if len(out) >= OUTPUT_ROWS:
+                        yield pd.DataFrame(out)
+                        out.clear()
             if st["open_us"] is not None and st["dirty"]:
                 emit(False)
                 st["dirty"] = False
@@ -321,11 +374,11 @@ class _Share:
 def _timeframes_fn(timeframes: Sequence[str], grace_us: int, per_tick: bool, timer: str):
     """The folds of several timeframes over one instrument's micro-batch. A timeout closes the candles that are due, and
     the next one is set for the first of the others."""
-    folds = [(t, timeframe_micros(t) + grace_us, _state_fn(timeframe_micros(t), grace_us, per_tick, timer)) for t in timeframes]
+    folds = [(t, timeframe_micros(t) + grace_us, _fold_fn(timeframe_micros(t), grace_us, per_tick, timer)) for t in timeframes]
     opened = _FIELDS.index("open_us")
 
     def fn(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        frames = [] if state.hasTimedOut else [p for p in pdfs if len(p)]
+        arrived = _Arrived(iter(()) if state.hasTimedOut else pdfs)
         now_ms = state.getCurrentProcessingTimeMs() if timer == "processing" else None
         kept = tuple(state.get) if state.exists else None
         shares = []
@@ -333,7 +386,7 @@ def _timeframes_fn(timeframes: Sequence[str], grace_us: int, per_tick: bool, tim
             own = None if kept is None else kept[i * len(_FIELDS) : (i + 1) * len(_FIELDS)]
             due = state.hasTimedOut and own[opened] is not None and (own[opened] + span_us) // 1000 <= now_ms
             share = _Share(own, due, now_ms)
-            for out in fold(key, iter(frames), share):
+            for out in fold(key, arrived, share):
                 yield out.assign(timeframe=timeframe)
             shares.append(share)
         state.update(tuple(x for share in shares for x in share.get))
@@ -360,12 +413,11 @@ def candle_stream(envelopes: DataFrame, timeframe: str | Sequence[str] = "1m", g
     exact = F.lit(True)
     for c in named:
         exact = exact & (F.col(c).isNull() | whole[c].isNotNull())
-    # decimals cross into Python as text: Arrow decimal -> pandas object conversion is far slower
+    # a tick whose units are not all exact brings its decimals as text (Arrow decimal -> pandas object conversion is far
+    # slower); any other brings empty texts, which Python holds once
+    texts = [F.when(F.col(c).isNotNull(), F.when(exact, F.lit("")).otherwise(F.col(c).cast("string"))).alias(c) for c in named]
     ticks = good_ticks(parse_ticks(envelopes)).select(
-        "exchange", "symbol", "currency", F.col("price").cast("string").alias("price"),
-        F.col("size").cast("string").alias("size"),
-        F.col("cumulative_volume").cast("string").alias("cumulative_volume"),
-        "event_us", "partition", "offset", F.unix_micros("timestamp").alias("record_us"),
+        "exchange", "symbol", "currency", *texts, "event_us", "partition", "offset", F.unix_micros("timestamp").alias("record_us"),
         *units, exact.alias("exact"),
     )
     kind = GroupStateTimeout.NoTimeout if timer == "event" else GroupStateTimeout.ProcessingTimeTimeout
@@ -447,14 +499,16 @@ def run_replay(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint:
         raise TimeoutError(f"the replay of {source_dir} was not done after {timeout_s} s")
 
 
-REPLAY_FILES = 4  # files of one replay step
+REPLAY_FILES = 4  # files of one replay step, at least
+REPLAY_FILE_ROWS = 250_000  # a file is read by one task
 
 
 def write_replay_files(envelopes: DataFrame, path: str, steps: int = 3) -> int:
     """Write envelopes as ``steps`` arrival-ordered steps of files (the file source takes files by modification time)
     and return how many files a step has: a trigger of that many files replays one step. Every step is written in
-    parallel; steps are cut by offset."""
+    parallel, as more files the more messages there are, so that more tasks read it; steps are cut by offset."""
     envelopes = materialize(envelopes)
+    files = max(REPLAY_FILES, -(-envelopes.count() // (steps * REPLAY_FILE_ROWS)))
     cuts = envelopes.approxQuantile("offset", [i / steps for i in range(1, steps)], 0.001) if steps > 1 else []
     bounds = [None, *[int(c) for c in cuts], None]
     for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
@@ -463,8 +517,8 @@ def write_replay_files(envelopes: DataFrame, path: str, steps: int = 3) -> int:
             part = part.where(F.col("offset") > lo)
         if hi is not None:
             part = part.where(F.col("offset") <= hi)
-        part.repartition(REPLAY_FILES).write.mode("append").parquet(path)
-    return REPLAY_FILES
+        part.repartition(files).write.mode("append").parquet(path)
+    return files
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
