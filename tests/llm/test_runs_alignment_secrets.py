@@ -277,3 +277,26 @@ def test_op11_digests(spark):
         assert [r.n_assign, r.n_access, r.n_hex] == [sum(k == j for _, k, _ in base) for j in range(3)]
         assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest() and set(filter(None, joined.split(","))) <= set(r.spans.split(","))
     assert len(got) == len(docs) and plain(spark.createDataFrame(got))  # no null columns
+
+
+def test_a_slice_is_aligned_like_its_texts():
+    """Groups of every shape, and texts without tokens at the ends and between."""
+    rnd = random.Random(11)
+    pieces = [b"", *(bytes([97 + k % 3]) * n for n in (1, 2, 3) for k in range(3))]
+    a, b = (alignment.Side(lambda texts: [], pieces) for _ in range(2))
+
+    def cut(length):
+        ids = []
+        while length:
+            n = rnd.randint(1, min(3, length))
+            ids.append(1 + 3 * (n - 1) + rnd.randrange(3))
+            length -= n
+        return ids
+
+    for _ in range(50):
+        rows = [(cut(n), cut(n)) for n in (rnd.choice([0, 0, 1, 5, 30]) for _ in range(rnd.randint(1, 6)))]
+        n_groups, n_links, texts, links_a, links_b = alignment.align_slice(rows, a, b)
+        one = [alignment.align(*row, a, b) for row in rows]
+        assert texts == [";".join(groups) for groups, _, _ in one] and n_groups.tolist() == [len(groups) for groups, _, _ in one]
+        assert n_links.tolist() == [len(x) for _, x, _ in one]
+        assert sorted(zip(links_a.tolist(), links_b.tolist())) == sorted(z for _, x, y in one for z in zip(x, y))

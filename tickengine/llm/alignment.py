@@ -3,7 +3,8 @@
 A text is encoded twice: by a byte-level vocabulary (A) and by a piece vocabulary with byte fallback (B, which puts a
 space before the text, so A is given one too). The cumulative byte ends of each side are the keys of a dictionary from
 end to index; the ends that both sides have (a hash-set intersection), sorted, slice the two id lists into groups, and
-the links of a group (pairs of tokens whose bytes overlap) are expanded from its slice.
+the links of a group (pairs of tokens whose bytes overlap) are expanded from its slice. :func:`align` does
+so text by text; :func:`align_slice` takes the same from sorted arrays over all texts of a slice.
 
 Links are counted over the whole corpus per pair of ids. A slice of documents (a few MB) holds each of its pairs once,
 with the slice's count; Spark sums the counts by pair, marks the pairs that are the best of their B id, joins totals
@@ -21,7 +22,7 @@ import gc
 import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -53,11 +54,11 @@ class Side:
     encode: Encoder
     pieces: list[bytes]
     lengths: list[int] = field(init=False)
-    names: list[str] = field(init=False)
+    labels: list[str] = field(init=False, default_factory=list)
+    widths: np.ndarray = field(init=False, default=None)
 
     def __post_init__(self):
         self.lengths = [len(p) for p in self.pieces]
-        self.names = [str(i) for i in range(len(self.pieces))]
 
 
 _sides: dict = {}
@@ -142,7 +143,7 @@ def cumulative(ids: list[int], side: Side) -> list[int]:
 def align(ids_a: list[int], ids_b: list[int], a: Side, b: Side) -> tuple[list[str], list[int], list[int]]:
     """A text's groups, as ``a1,a2|b1``, and the A ids and B ids of its links."""
     ends_a, ends_b = cumulative(ids_a, a), cumulative(ids_b, b)
-    names_a, names_b = list(map(a.names.__getitem__, ids_a)), list(map(b.names.__getitem__, ids_b))
+    names_a, names_b = list(map(str, ids_a)), list(map(str, ids_b))
     groups, links_a, links_b = [], [], []
     i = j = 0
     for to_i, to_j in zip(*group_ends(ends_a, ends_b), strict=True):
@@ -170,6 +171,37 @@ def align(ids_a: list[int], ids_b: list[int], a: Side, b: Side) -> tuple[list[st
     return groups, links_a, links_b
 
 
+def _labels(side: Side, last: str) -> list[str]:
+    """Each id's text as it stands in a group (at 2 id) and at the end of its side of the group (at 2 id + 1)."""
+    return [text for i in range(len(side.pieces)) for text in (f"{i},", f"{i}{last}")]
+
+
+def align_slice(rows: list[tuple[list[int], list[int]]], a: Side, b: Side) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray, np.ndarray]:
+    """:func:`align` for many texts at once: the number of groups and of links of each, its groups' texts, and the A ids
+    and B ids of all links. Texts lie end to end, and the end of a text is an end of both sides. The tokens that overlap
+    are those around each stretch between neighbouring ends of either side, so links are read off the merged ends."""
+    if not a.labels:
+        a.labels, b.labels = _labels(a, "|"), _labels(b, ";")
+        a.widths, b.widths = np.array(a.lengths, dtype=np.int64), np.array(b.lengths, dtype=np.int64)
+    first_a, first_b = (np.cumsum([0, *(len(row[k]) for row in rows)]) for k in (0, 1))
+    ids_a, ids_b = (np.fromiter(chain.from_iterable(row[k] for row in rows), np.int64, int(n[-1])) for k, n in ((0, first_a), (1, first_b)))
+    ends_a, ends_b = np.cumsum(a.widths[ids_a]), np.cumsum(b.widths[ids_b])
+    close_a, close_b = np.isin(ends_a, ends_b, assume_unique=True), np.isin(ends_b, ends_a, assume_unique=True)
+    to_a, to_b = np.flatnonzero(close_a) + 1, np.flatnonzero(close_b) + 1  # where the groups end
+    ends = np.union1d(ends_a, ends_b)
+    links_a, links_b = ids_a[np.searchsorted(ends_a, ends)], ids_b[np.searchsorted(ends_b, ends)]
+    bounds = np.concatenate([[0], ends_a])[first_a]
+    n_links = np.diff(np.searchsorted(ends, bounds, "right"))
+    n_groups = np.diff(np.searchsorted(to_a, first_a, "right"))
+    # a group's A tokens stand behind the B tokens of the groups before it, its B tokens behind its A tokens
+    of_a, of_b = np.cumsum(close_a) - close_a, np.cumsum(close_b) - close_b
+    text = np.empty(len(ids_a) + len(ids_b), dtype=object)
+    text[np.arange(len(ids_a)) + np.concatenate([[0], to_b])[of_a]] = list(map(a.labels.__getitem__, (2 * ids_a + close_a).tolist()))
+    text[np.arange(len(ids_b)) + to_a[of_b]] = list(map(b.labels.__getitem__, (2 * ids_b + close_b).tolist()))
+    cuts = (first_a + first_b).tolist()
+    return n_groups, n_links, ["".join(text[lo:hi].tolist())[:-1] for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)], links_a, links_b
+
+
 def token_groups(docs: DataFrame, folder: str | None = None) -> DataFrame:
     """doc_id, n_a, n_b and the groups (ids of A and of B) of every document. Narrow: no shuffle."""
 
@@ -210,17 +242,12 @@ def aligned_slices(docs: DataFrame, folder: str | None = None, slice_bytes: int
         for batch in batches:
             texts = batch["text"]
             for lo, hi in tk.slices(tk.as_texts(texts), slice_bytes):
-                links: list[np.ndarray] = [np.zeros(0, np.int64)]
-                n_a, n_b, n_groups, n_links, digests = [], [], [], [], []
-                for ids_a, ids_b in encoded(texts.slice(lo, hi - lo).to_pylist(), a, b):
-                    groups, own_a, own_b = align(ids_a, ids_b, a, b)
-                    n_a.append(len(ids_a))
-                    n_b.append(len(ids_b))
-                    n_groups.append(len(groups))
-                    n_links.append(len(own_a))
-                    digests.append(hashlib.sha256(";".join(groups).encode()).hexdigest() if groups else "")
-                    links.append(np.array(own_a, dtype=np.int64) << 32 | np.array(own_b, dtype=np.int64))
-                pair, link, n = np.unique(np.concatenate(links), return_inverse=True, return_counts=True)
+                rows = list(encoded(texts.slice(lo, hi - lo).to_pylist(), a, b))
+                n_a, n_b = [len(row[0]) for row in rows], [len(row[1]) for row in rows]
+                n_groups, n_links, groups, links_a, links_b = align_slice(rows, a, b)
+                del rows
+                digests = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in groups]
+                pair, link, n = np.unique(links_a << 32 | links_b, return_inverse=True, return_counts=True)
                 long = pa.int64()
                 yield _one_row({
                     "doc_id": (batch["doc_id"].slice(lo, hi - lo), long), "n_a": (n_a, long), "n_b": (n_b, long), "n_groups": (n_groups, long),
