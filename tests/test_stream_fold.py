@@ -132,3 +132,12 @@ def test_replay_files_follow_the_messages(spark, monkeypatch):
     path = CS.scratch_dir(spark, "files")
     assert CS.write_replay_files(env, path, steps=2) == 10
     assert sum(n.endswith(".parquet") for n in os.listdir(path.removeprefix("file:"))) == 20
+
+
+def test_ticks_without_a_record_time_are_folded():
+    frame = ticks(random.Random(2), 12, 0, 1_705_298_400_000_000)
+    whole = plain(list(CS._state_fn(60_000_000, 0)(("x", "y"), iter([frame]), State())))
+    for times in (frame["record_us"].where(frame.index % 3 > 0), np.nan):
+        state = State()
+        assert plain(list(CS._state_fn(60_000_000, 0)(("x", "y"), iter([frame.assign(record_us=times)]), state))) == whole
+        assert state.get[CS._FIELDS.index("record_us")] == (0 if np.isscalar(times) else int(times.max()))

@@ -104,13 +104,11 @@ class _Arrived:
         if not len(self.rows):
             return
         del frames
-        record, partition, offset = (self.rows[c].to_numpy() for c in ("record_us", "partition", "offset"))
-        self.record_us = int(record.max())
-        # a key that moved to another partition continues there: partitions by their first record time
-        _, of = np.unique(partition, return_inverse=True)
-        seen = np.full(int(of.max()) + 1, np.iinfo(np.int64).max)
-        np.minimum.at(seen, of, record)
-        self.order = np.lexsort((offset, partition, seen[of]))
+        newest = self.rows["record_us"].max()
+        self.record_us = None if pd.isna(newest) else int(newest)
+        # a key that moved to another partition continues there: partitions by their first record time (missing: last)
+        seen = self.rows.groupby("partition")["record_us"].transform("min").to_numpy()
+        self.order = np.lexsort((self.rows["offset"].to_numpy(), self.rows["partition"].to_numpy(), seen))
 
     def __len__(self) -> int:
         return len(self.rows)
@@ -287,7 +285,7 @@ def _fold_fn(length_us: int, grace_us: int, per_tick: bool, timer: str):
                 close_open_candle()
         else:
             if len(arrived):
-                st["record_us"] = max(arrived.record_us, st.get("record_us") or 0)
+                st["record_us"] = max(arrived.record_us or 0, st.get("record_us") or 0)
             for rows, more in arrived.slices():
                 scanned = _scan(rows, st, length_us, per_tick, exchange, symbol, more)
                 if scanned is not None:
