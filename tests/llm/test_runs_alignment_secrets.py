@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -148,6 +149,22 @@ def test_alignment_matches_byte_ranges(spark, docs, no_docs, slice_bytes):
     assert alignment.alignment(no_docs).count() == 0
 
 
+def test_a_slice_is_held_as_numbers():
+    """What is held beside the numbers of a slice is that of a stretch, and stretches change no figure."""
+    a, b = alignment.sides()
+    texts = pa.array([" ".join(f"w{(i * 7919 + k * k) % 5003}" for k in range(300)) for i in range(300)] + [None, "", "ﬁ", "x" * 200_000])
+    alignment.slice_links(texts, a, b)  # labels are made once
+    peaks, found = [], []
+    for size in (alignment.STRETCH_BYTES, texts.nbytes):
+        tracemalloc.start()
+        found.append(alignment.slice_links(texts, a, b, size))
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    (figures, digests, links), (whole, digests_whole, links_whole) = found
+    assert digests == digests_whole and (links == links_whole).all() and all((figures[c] == whole[c]).all() for c in whole)
+    assert len(digests) == len(texts) and 2 * peaks[0] < peaks[1]
+
+
 def test_special_strings_are_plain_text_on_both_paths():
     from tokenizers import Tokenizer
 

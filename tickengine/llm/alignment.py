@@ -35,6 +35,7 @@ from tickengine.llm.common import documents
 from tickengine.session import materialize, ship
 
 SLICE_BYTES = 1 << 20
+STRETCH_BYTES = 1 << 17  # lists of ids and texts of groups are held for this much of a slice at once
 BYTE_VOCABULARY = "byte_bpe_50k"
 PIECE_VOCABULARY = "piece_bpe_32k"
 _SLICES = ("slice long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, "
@@ -230,6 +231,20 @@ def _one_row(values: dict[str, tuple[list | np.ndarray, pa.DataType]], number: i
     return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *columns], names=["slice", *values])
 
 
+def slice_links(texts: pa.Array, a: Side, b: Side, stretch_bytes: int = STRETCH_BYTES) -> tuple[dict[str, np.ndarray], list[str], np.ndarray]:
+    """The figures of every text of a slice, the digests of their groups, and the pairs of all links (A id << 32 | B id).
+    Texts are encoded and aligned by stretches, of which only numbers and digests stay."""
+    figures, digests, links = {c: [] for c in ("n_a", "n_b", "n_groups", "n_links")}, [], []
+    for lo, hi in tk.slices(tk.as_texts(texts), stretch_bytes):
+        rows = list(encoded(texts.slice(lo, hi - lo).to_pylist(), a, b))
+        n_groups, n_links, groups, links_a, links_b = align_slice(rows, a, b)
+        for c, n in (("n_a", [len(row[0]) for row in rows]), ("n_b", [len(row[1]) for row in rows]), ("n_groups", n_groups), ("n_links", n_links)):
+            figures[c].append(np.asarray(n, np.int64))
+        digests += [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in groups]
+        links.append(links_a << 32 | links_b)
+    return {c: np.concatenate(n) for c, n in figures.items()}, digests, np.concatenate(links)
+
+
 def aligned_slices(docs: DataFrame, folder: str | None = None, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """One row per slice of documents: lists of the documents' figures, the distinct pairs of the slice with their
     counts, and for every link, document after document, the place of its pair. To be written once: the slices' numbers
@@ -241,17 +256,13 @@ def aligned_slices(docs: DataFrame, folder: str | None = None, slice_bytes: int
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
             texts = batch["text"]
-            for lo, hi in tk.slices(tk.as_texts(texts), slice_bytes):
-                rows = list(encoded(texts.slice(lo, hi - lo).to_pylist(), a, b))
-                n_a, n_b = [len(row[0]) for row in rows], [len(row[1]) for row in rows]
-                n_groups, n_links, groups, links_a, links_b = align_slice(rows, a, b)
-                del rows
-                digests = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in groups]
-                pair, link, n = np.unique(links_a << 32 | links_b, return_inverse=True, return_counts=True)
+            for lo, hi in list(tk.slices(tk.as_texts(texts), slice_bytes)):  # a list: the copy of the texts goes
+                figures, digests, links = slice_links(texts.slice(lo, hi - lo), a, b)
+                pair, link, n = np.unique(links, return_inverse=True, return_counts=True)
                 long = pa.int64()
                 yield _one_row({
-                    "doc_id": (batch["doc_id"].slice(lo, hi - lo), long), "n_a": (n_a, long), "n_b": (n_b, long), "n_groups": (n_groups, long),
-                    "n_links": (n_links, long), "groups_sha256": (digests, pa.string()), "pair": (pair, long), "n": (n, long),
+                    "doc_id": (batch["doc_id"].slice(lo, hi - lo), long), **{c: (v, long) for c, v in figures.items()},
+                    "groups_sha256": (digests, pa.string()), "pair": (pair, long), "n": (n, long),
                     "link": (link.astype(np.int32), pa.int32())}, number)
                 number += 1
         gc.enable()
