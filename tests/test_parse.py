@@ -64,3 +64,20 @@ def test_candle_message_defaults(spark):
         "candle", "0", 0, False, "", "1")
     assert (p[1].tickCount, p[1].isFinal, p[1].currency, p[1].symbol) == (7, True, None, "0012")
     assert [r.bad_reason for r in p] == [None, None, "missing_field", "not_numeric"]
+
+
+def test_texts_of_odd_messages(spark):
+    """The text of a string field is the variant's, whatever else the message holds."""
+    whole = json.dumps({"exchange": "e", "symbol": "S", "last": 1})
+    texts = ['"a\\"b\\\\c\\u00e9\\n"', '"\\ud83d\\ude00"', '"\\ud800"', '"\\u0000"', '" "', '""', "1.50", "true", "null", '{"symbol": "T"}', '["S"]']
+    msgs = [whole[:-1] + f', "currency": {t}}}' for t in texts] + [f'{{"currency": {t}, ' + whole[1:] for t in texts]
+    msgs += [whole + " more", whole + whole, whole[:-1], whole[:-1] + ",}", " \t\r\n" + whole, "[" + whole + "]", whole.replace('"', "'"), "\ufeff" + whole,
+             whole[:-1] + ', "symbol": "T"}', whole[:-1] + ', "Symbol": "T"}', whole[:-1] + ', "x": NaN}', whole[:-1] + ', "x": {"symbol": "T"}}',
+             whole.replace("symbol", "sym\\u0062ol"), whole[:-1] + ', "x": ' + "[" * 1200 + "]" * 1200 + "}", "{}", "", None]
+    p = parse_ticks(envelopes(spark, msgs, key="k"))
+    v = F.try_parse_json("value")
+    own = {f: F.when(F.schema_of_variant(F.try_variant_get(v, f"$.{f}", "variant")) == "STRING", F.nullif(F.try_variant_get(v, f"$.{f}", "string"), F.lit("")))
+           for f in ("symbol", "currency")}
+    rows = p.select("symbol", "currency", "bad_reason", own["symbol"].alias("s"), own["currency"].alias("c"), v.isNull().alias("no")).collect()
+    assert len(rows) == len(msgs) and {r.bad_reason for r in rows} == {None, "not_json", "not_object", "no_symbol"}
+    assert all((r.symbol, r.currency) == (r.s, r.c) and (r.bad_reason == "not_json") == r.no for r in rows)

@@ -6,7 +6,7 @@ import pytest
 
 from tickengine.operators import candles as C
 from tickengine.operators import feed as FD
-from tickengine.operators.parse import parse_ticks
+from tickengine.operators.parse import parse_candles, parse_ticks
 from tickengine.schema import PROXY_TICKS
 from tickengine.sources.envelope import tick_envelopes
 from tickengine.sources.proxy import tick_proxy
@@ -54,6 +54,17 @@ def test_json_parsed_once(spark):
     assert len(re.findall(r"parseJson|try_parse_json", p)) == 1
 
 
+@pytest.mark.parametrize("parse", [parse_ticks, parse_candles])
+def test_fields_are_taken_out_of_a_message_at_once(spark, parse):
+    """One get a message for all fields, and no cast of a variant for the text of a string."""
+    env = tick_envelopes(tick_proxy(spark, SF_SMALL))
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    p = parse(env)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"variant_get\(_v#", p)) == 1 and len(re.findall(r"parseJson|try_parse_json", p)) == 1
+    assert len(re.findall(r"variant_get\(_f#\d+\.(symbol|exchange|currency|openTime|sourceTimestamp|publishedAt)", p)) == 0
+    assert "schema_of_variant(_v#" not in p and not re.search(r"variant_get\(_f_(symbol|exchange|currency)#", p)
+
+
 def test_subscriptions_are_not_copied_per_shuffle_partition(spark):
     env = tick_envelopes(tick_proxy(spark, SF_SMALL))
     subs = spark.createDataFrame([("a", None, None), ("b", "click", "1m")], "client_id string, symbol string, timeframe string")

@@ -1,9 +1,11 @@
 """Typed getters on a parsed JSON message (a VARIANT column), with the reference's acceptance rules.
 
-A message is parsed once with ``try_parse_json``; :func:`extract` then pulls every needed field out once, as a
-variant plus its JSON type (``schema_of_variant``). The getters check that type before casting, so
-``"symbol": 123`` is not a symbol and ``"last": true`` is not a price. All of it stays in JVM expressions; keeping
-the three steps in separate projections stops the optimizer from re-parsing the message per getter.
+A message is parsed once with ``try_parse_json``, which says whether it is JSON at all; :func:`extract` then pulls all
+needed fields out at once, as variants with their JSON type (``schema_of_variant``). The getters check that type, so
+``"symbol": 123`` is not a symbol and ``"last": true`` is not a price. The text of a string field comes from
+``from_json``: a cast of a variant builds a new cast expression for every value, which costs several times as much as
+reading the message a second time. All of it stays in JVM expressions; keeping the steps in separate projections stops
+the optimizer from re-parsing the message per getter.
 """
 
 from __future__ import annotations
@@ -28,18 +30,21 @@ def parse(df: DataFrame, value: str = "value") -> DataFrame:
     return df.withColumn(VARIANT, F.try_parse_json(F.col(value)))
 
 
-def extract(df: DataFrame, names: Iterable[str]) -> DataFrame:
-    """Adds ``_f_<name>`` (the field as a variant) and ``_t_<name>`` (its JSON type, null when absent) for every
-    name, plus ``_is_object``. Needs :func:`parse` first."""
-    v = F.col(VARIANT)
+def extract(df: DataFrame, names: Iterable[str], value: str = "value") -> DataFrame:
+    """Adds ``_f_<name>`` (the field as a variant), ``_t_<name>`` (its JSON type, null when absent) and ``_s_<name>`` (its
+    text, of use where the type is a string) for every name, plus ``_is_object``. Needs :func:`parse` first."""
     names = list(names)
-    fields = [F.try_variant_get(v, f"$.{n}", "variant").alias(f"_f_{n}") for n in names]
-    out = df.select("*", *fields, F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False)).alias("_is_object"))
-    return out.select("*", *[F.schema_of_variant(F.col(f"_f_{n}")).alias(f"_t_{n}") for n in names])
+    struct = lambda kind: f"struct<{', '.join(f'`{n}`: {kind}' for n in names)}>"
+    out = df.select("*", F.try_variant_get(F.col(VARIANT), "$", struct("variant")).alias("_f"),
+                    F.from_json(F.col(value), struct("string")).alias("_s"))
+    return out.select(
+        *df.columns, F.col("_f").isNotNull().alias("_is_object"),
+        *[F.col("_f")[n].alias(f"_f_{n}") for n in names], *[F.col("_s")[n].alias(f"_s_{n}") for n in names],
+        *[F.schema_of_variant(F.col("_f")[n]).alias(f"_t_{n}") for n in names])
 
 
 def drop_extracted(df: DataFrame) -> DataFrame:
-    return df.drop(*[c for c in df.columns if c.startswith(("_f_", "_t_"))], "_is_object", VARIANT)
+    return df.drop(*[c for c in df.columns if c.startswith(("_f_", "_s_", "_t_"))], "_is_object", VARIANT)
 
 
 def _f(name: str) -> Column:
@@ -51,7 +56,7 @@ def _t(name: str) -> Column:
 
 
 def _text(name: str) -> Column:
-    return F.try_variant_get(_f(name), "$", "string")
+    return F.col(f"_s_{name}")
 
 
 def _is_number(name: str) -> Column:
@@ -83,7 +88,7 @@ def instant_us(name: str) -> Column:
 
 def string_or_number_field(name: str) -> Column:
     """A string as it is (empty allowed) or a number as its decimal text."""
-    return F.when((_t(name) == "STRING") | _is_number(name), _text(name))
+    return F.when(_t(name) == "STRING", _text(name)).when(_is_number(name), F.try_variant_get(_f(name), "$", "string"))
 
 
 def long_field(name: str) -> Column:
