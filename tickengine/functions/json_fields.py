@@ -2,8 +2,8 @@
 
 A message is parsed once with ``try_parse_json``, which says whether it is JSON at all; :func:`extract` then pulls all
 needed fields out at once, as variants with their JSON type (``schema_of_variant``). The getters check that type, so
-``"symbol": 123`` is not a symbol and ``"last": true`` is not a price. The text of a string field comes from
-``from_json``: a cast of a variant builds a new cast expression for every value, which costs several times as much as
+``"symbol": 123`` is not a symbol and ``"last": true`` is not a price. Texts of strings, whole numbers and booleans come
+from ``from_json``: a cast of a variant builds a new cast expression for every value, which costs several times as much as
 reading the message a second time. All of it stays in JVM expressions; keeping the steps in separate projections stops
 the optimizer from re-parsing the message per getter.
 """
@@ -20,7 +20,8 @@ from ..schema import PRICE
 # The strict ISO-8601 instant form accepted by the reference's instant parser
 INSTANT_PATTERN = r"^-?\d{4}-\d{2}-\d{2}[Tt]\d{2}:\d{2}:\d{2}(\.\d{1,9})?([Zz]|[+-]\d{2}:\d{2})$"
 
-NUMERIC_TYPES = ("TINYINT", "SMALLINT", "INT", "BIGINT", "FLOAT", "DOUBLE")
+WHOLE_TYPES = ("TINYINT", "SMALLINT", "INT", "BIGINT")
+NUMERIC_TYPES = (*WHOLE_TYPES, "FLOAT", "DOUBLE")
 
 VARIANT = "_v"
 
@@ -32,7 +33,8 @@ def parse(df: DataFrame, value: str = "value") -> DataFrame:
 
 def extract(df: DataFrame, names: Iterable[str], value: str = "value") -> DataFrame:
     """Adds ``_f_<name>`` (the field as a variant), ``_t_<name>`` (its JSON type, null when absent) and ``_s_<name>`` (its
-    text, of use where the type is a string) for every name, plus ``_is_object``. Needs :func:`parse` first."""
+    text, of use where the type is a string, a whole number or a boolean) for every name, plus ``_is_object``. Needs
+    :func:`parse` first."""
     names = list(names)
     struct = lambda kind: f"struct<{', '.join(f'`{n}`: {kind}' for n in names)}>"
     out = df.select("*", F.try_variant_get(F.col(VARIANT), "$", struct("variant")).alias("_f"),
@@ -94,13 +96,14 @@ def string_or_number_field(name: str) -> Column:
 def long_field(name: str) -> Column:
     """A number (truncated) or a string holding a whole number."""
     return (
-        F.when(_is_number(name), F.try_variant_get(_f(name), "$", "double").cast("long"))
+        F.when(_t(name).isin(*WHOLE_TYPES), _text(name).try_cast("double").cast("long"))
+        .when(_is_number(name), F.try_variant_get(_f(name), "$", "double").cast("long"))
         .when(_t(name) == "STRING", _text(name).try_cast("bigint"))
     )
 
 
 def boolean_field(name: str) -> Column:
-    return F.when(_t(name) == "BOOLEAN", F.try_variant_get(_f(name), "$", "boolean"))
+    return F.when(_t(name) == "BOOLEAN", _text(name) == "true")
 
 
 def settle(df: DataFrame) -> DataFrame:
