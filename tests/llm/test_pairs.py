@@ -13,6 +13,7 @@ from tickengine.llm import textkit as tk
 from tickengine.llm.components import components
 from tickengine.llm.decontamination import OP2_SQL, ItemAutomaton, benchmark_hits, contaminated, decontamination_stage, item_words
 from tickengine.llm.topk import OP8_SQL, scaled, search
+from tickengine.session import materialize
 
 
 def shingles(text, width):
@@ -270,6 +271,15 @@ def test_search(spark, docs, monkeypatch):
     assert got == sorted(want, key=repr)
 
 
+def test_search_broadcasts_neither_blocks_nor_shards(spark, docs):
+    """Packed rows and their copies count as small in Spark's estimates, at any size."""
+    df = materialize(scaled(spark.createDataFrame([(i, v) for i, v in vectors() if i is not None], "vec_id long, embedding array<float>")))
+    found = search(df.filter("vec_id % 50 = 0"), df)
+    assert found.count()
+    plan = found._jdf.queryExecution().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_sql_of_search():
     import pyarrow as pa
 

@@ -85,7 +85,8 @@ def search(queries: DataFrame, vectors: DataFrame, k: int = 5) -> DataFrame:
     block_rows = _packed(queries.dropDuplicates(["vec_id", "x"]), "block", blocks, by_id)
     # every query block meets every shard: the blocks are copied to the shards, as packed rows
     copies = block_rows.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
-    tiles = copies.join(shard_rows, ["shard", "dim"])
+    # the same plan at every size: Spark takes packed rows and copies for far smaller than they are, so neither side is broadcast
+    tiles = copies.hint("merge").join(shard_rows, ["shard", "dim"])
     hits = tiles.groupBy("shard", "block", "dim").applyInArrow(_tile(k), "query_id long, vec_id long, score long, node long")
     best = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id"))), 1, k)
     while True:
