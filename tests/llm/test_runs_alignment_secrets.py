@@ -1,6 +1,7 @@
 """Periodic runs, token alignment and secret scans against plain Python."""
 
 import collections
+import glob
 import hashlib
 import random
 import re
@@ -9,12 +10,14 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
 from tests.llm.conftest import plain, rows
+from tickengine import session
 from tickengine.llm import alignment, periodicruns, secretscan
 from tickengine.llm import textkit as tk
 
@@ -165,6 +168,18 @@ def test_a_slice_is_held_as_numbers():
     assert len(digests) == len(texts) and 2 * peaks[0] < peaks[1]
 
 
+def test_slices_are_written_in_small_row_groups(spark, docs, monkeypatch):
+    """A reader decodes a row group's rows at once: many slices of a task must not be one."""
+    monkeypatch.setattr(alignment, "GROUP_BYTES", 32 << 10, raising=False)
+    data = [(i, " ".join(f"w{(i * 7919 + k * k) % 5003}" for k in range(300))) for i in range(200)]
+    got = alignment.alignment(spark.createDataFrame(data, "doc_id long, text string").coalesce(1), slice_bytes=4 << 10)
+    assert got.count() == 200
+    files = [pq.ParquetFile(f) for f in glob.glob(f"{session._written[-1].removeprefix('file:')}/*.parquet")]
+    groups = [f.metadata.row_group(i) for f in files for i in range(f.metadata.num_row_groups)]
+    assert sum(g.num_rows for g in groups) >= 90 and max(g.num_rows for g in groups) <= 20
+    assert max(g.total_byte_size for g in groups) <= 128 << 10
+
+
 def test_special_strings_are_plain_text_on_both_paths():
     from tokenizers import Tokenizer
 

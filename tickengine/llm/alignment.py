@@ -36,6 +36,7 @@ from tickengine.session import materialize, ship
 
 SLICE_BYTES = 1 << 20
 STRETCH_BYTES = 1 << 17  # lists of ids and texts of groups are held for this much of a slice at once
+GROUP_BYTES = 4 << 20  # a row group of the written slices: readers decode all rows of one at once, up to thousands
 BYTE_VOCABULARY = "byte_bpe_50k"
 PIECE_VOCABULARY = "piece_bpe_32k"
 _SLICES = ("slice long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, "
@@ -301,7 +302,9 @@ def _judged(left: pa.Table, right: pa.Table) -> pa.Table:
 def alignment(docs: DataFrame, folder: str | None = None, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """Per document: doc_id, n_a, n_b, n_groups, n_links, n_best (links that are the best of their B id in the corpus),
     count_sum (corpus counts over its links) and groups_sha256."""
-    slices = materialize(aligned_slices(docs, folder, slice_bytes))
+    # a slice's row is a few MB, so the writer looks at the sizes of its pages and row groups after every row
+    every = dict.fromkeys(("parquet.page.size.row.check.min", "parquet.page.size.row.check.max"), "1")
+    slices = materialize(aligned_slices(docs, folder, slice_bytes), **every, **{"parquet.block.size": str(GROUP_BYTES)})
     totals = pair_counts(slices)
     back = _slice_pairs(slices).drop("n").join(totals, "pair").select(F.col("slice").alias("of"), "k", "total", "best")
     return slices.drop("n").groupBy("slice").cogroup(back.groupBy("of")).applyInArrow(_judged, ALIGNED)
