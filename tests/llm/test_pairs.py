@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -105,6 +106,37 @@ def test_links_of_a_large_group_grow_with_its_members(spark, monkeypatch):
     assert given[1] == 1
 
 
+def test_lists_of_the_same_classes_are_compared_once(spark, docs, monkeypatch, tmp_path):
+    """Two near copies share most of their lists, which all hold the same two classes."""
+    lists, folder = nd._cluster_lists, str(tmp_path)
+
+    def counted(*args):
+        work = lists(*args)
+
+        def compare(table):
+            with open(f"{folder}/{uuid.uuid4().hex}", "w") as f:
+                f.write(str(table.num_rows))
+            return work(table)
+
+        return compare
+
+    monkeypatch.setattr(nd, "_cluster_lists", counted)
+    texts = [[f"{k}w{i}" for i in range(120)] for k in range(30)]
+    data = [(k, " ".join(t)) for k, t in enumerate(texts)] + [(100 + k, " ".join(t[:60] + ["x"] + t[61:])) for k, t in enumerate(texts)]
+    assert plain(nd.near_duplicates(spark.createDataFrame(data, "doc_id long, text string"), 4).drop("text_hash")) == brute_near(data, 4)
+    assert 60 <= sum(int(f.read_text()) for f in tmp_path.iterdir()) <= 300
+
+
+def test_texts_that_are_wanted_are_found_by_their_bits(spark):
+    texts = spark.range(-3000, 3000).selectExpr("id AS doc_id", "concat('t', id) AS text", "xxhash64(concat('t', id)) AS text_hash")
+    wanted = texts.filter("doc_id % 7 = 0")
+    got = nd._of_wanted(texts, wanted)
+    assert got.columns == texts.columns
+    ids = {r.doc_id for r in got.collect()}
+    assert {i for i in range(-3000, 3000) if i % 7 == 0} <= ids and len(ids) < 900
+    assert nd._of_wanted(texts, wanted.limit(0)).count() == 0
+
+
 def thue_morse(n):
     bits = [0]
     while len(bits) < n:
